@@ -28,8 +28,8 @@ class Chunk:
         self.rows = len(offsets) - 1
 
 
-def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """The texts of a column (null: empty) in pieces of about limit bytes; a longer text is one piece."""
+def chunks(column: pa.Array, limit: int = CHUNK_BYTES, rows: int = 10_000) -> Iterator[Chunk]:
+    """The texts of a column (null: empty) in pieces of about limit bytes and at most rows texts; a longer text is one piece."""
     column = pc.fill_null(column.cast(pa.large_binary()), b"")
     if not len(column):
         return
@@ -39,6 +39,7 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
+        last = min(last, first + rows)
         yield Chunk(first, buf[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
         first = last
 

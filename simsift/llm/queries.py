@@ -2,10 +2,30 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from simsift.llm import exact_dedup, mixing
+from simsift.llm import decontamination, exact_dedup, language_id, mixing, quality, token_files, toxicity, warc
 from simsift.llm._space import read_table
+from simsift.llm.language_id import in_fold
+
+
+def _labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """Training rows with the label; of labels for a doc_id more than once each counts."""
+    return docs.where("NOT held_out").join(labels.select("doc_id", label), "doc_id").select("doc_id", "text", label)
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", in_fold(F.col("doc_id"), 4, 2))
+    model = language_id.fit(docs.where("NOT held_out"))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), model)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", in_fold(F.col("doc_id"), 4, 2))
+    model = toxicity.fit(docs.where("NOT held_out"), _labelled(docs, read_table(spark, sf_dir, "labels"), "toxic"))
+    return toxicity.score(docs.select("doc_id", "held_out", "text"), model)
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,13 +33,56 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(read_table(spark, sf_dir, "pages"), min_bytes=0)
+    records = warc.reassemble(warc.read_segments(archives))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"), keep="max")
 
 
-QUERIES = {f.__name__: f for f in (op4_mix_sources, op7_exact_dedup)}
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", in_fold(F.col("doc_id"), 5, 0))
+    model = quality.fit(_labelled(docs, read_table(spark, sf_dir, "labels"), "quality"))
+    return quality.score(docs.select("doc_id", "held_out", "text"), model)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.read_shards(token_files.write_shards(read_table(spark, sf_dir, "documents"), path, end_id=2))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_language_id, op3_toxicity, op4_mix_sources, op5_warc_segments, op6_decontamination, op7_exact_dedup, op8_quality, op9_token_files)
+}
+
+_UPPER, _LOWER = decontamination.UPPER, decontamination.LOWER
 
 SQL = {
+    "op6_decontamination": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{decontamination.WORD}') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{decontamination.WORD}') AS w FROM benchmark),
+        g AS (SELECT DISTINCT item_id, list_slice(w, s + 1, s + least(10, len(w))) AS g
+              FROM (SELECT item_id, w, unnest(generate_series(0, greatest(len(w) - 10, 0))) AS s FROM b WHERE len(w) > 0)),
+        k AS (SELECT DISTINCT len(g) AS k FROM g),
+        dw AS (SELECT doc_id, s, k, list_slice(w, s + 1, s + k) AS g
+               FROM (SELECT doc_id, w, k, unnest(generate_series(0, len(w) - k)) AS s FROM d, k WHERE len(w) >= k)),
+        hits AS (SELECT doc_id, s, k, item_id FROM dw JOIN g USING (g)),
+        covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                    FROM (SELECT doc_id, unnest(generate_series(s, s + k - 1)) AS p FROM hits) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
