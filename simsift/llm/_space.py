@@ -1,34 +1,5 @@
 """Tables and files in the folder that the driver and all executors share."""
 
-from __future__ import annotations
+from simsift.space import new_folder, read_table, shared_dir, written
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-SETTING = "spark.checkpoint.dir"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; where the setting is missing (tests), a temporary one is set."""
-    root = spark.conf.get(SETTING, None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="simsift-")
-        spark.conf.set(SETTING, root)
-    return root.rstrip("/")
-
-
-def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/simsift/{label}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends here, and lost executors lose nothing."""
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["new_folder", "read_table", "shared_dir", "written"]

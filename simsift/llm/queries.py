@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsift.llm import decontamination, exact_dedup, language_id, mixing, quality, token_files, toxicity, warc
+from simsift.llm import decontamination, exact_dedup, language_id, lattice_lm, mixing, near_dedup, quality, token_files, toxicity, warc
 from simsift.llm._space import read_table
 from simsift.llm.language_id import in_fold
 
@@ -22,6 +22,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "held_out", "text"), model)
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").withColumn("held_out", in_fold(F.col("doc_id"), 4, 2))
     model = toxicity.fit(docs.where("NOT held_out"), _labelled(docs, read_table(spark, sf_dir, "labels"), "toxic"))
@@ -58,14 +62,40 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_shards(token_files.write_shards(read_table(spark, sf_dir, "documents"), path, end_id=2))
 
 
+def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", in_fold(F.col("doc_id"), 10, 0))
+    return lattice_lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op3_toxicity, op4_mix_sources, op5_warc_segments, op6_decontamination, op7_exact_dedup, op8_quality, op9_token_files)
+    for f in (
+        op1_language_id,
+        op2_near_dedup,
+        op3_toxicity,
+        op4_mix_sources,
+        op5_warc_segments,
+        op6_decontamination,
+        op7_exact_dedup,
+        op8_quality,
+        op9_token_files,
+        op10_lattice_lm,
+    )
 }
 
 _UPPER, _LOWER = decontamination.UPPER, decontamination.LOWER
 
 SQL = {
+    "op2_near_dedup": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) > 1 THEN list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS g FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * x >= 80 * (na.n + nb.n - x)),
+        r AS (SELECT doc_id, doc_id AS o FROM w UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.o = l.a)
+        SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(o) AS component_id, doc_id = min(o) AS kept
+        FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+    """,
     "op6_decontamination": f"""
         WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{decontamination.WORD}') AS w FROM documents),
         b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{decontamination.WORD}') AS w FROM benchmark),
