@@ -84,7 +84,7 @@ def fit_labels(docs: DataFrame, label: str, features, sample_rows: int, **params
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
-    return fit_labels(docs, "quality", ngrams, sample_rows, alpha=0.5, l1=0.05, l2=0.001)
+    return fit_labels(docs, "quality", ngrams, sample_rows, alpha=5.0, l1=0.1, l2=0.001)
 
 
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:

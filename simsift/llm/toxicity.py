@@ -4,7 +4,7 @@ Spans that look disguised (signs or digits among letters, letters three times in
 spaced or dotted apart) are read as a noisy channel's output: each observed character may stand
 for several letters or for none, and a Viterbi search finds the letters that the channel and a
 character trigram model, counted over all training texts, make likeliest. The restored text is
-scored by a logistic regression (FTRL) over which words and word beginnings it holds, hashed.
+scored by a logistic regression (FTRL) over how often it holds which words and word beginnings, hashed.
 
 Labels are learned from a sample of about SAMPLE_ROWS labelled rows, chosen by hash of doc_id.
 
@@ -27,13 +27,13 @@ from simsift.llm import quality
 from simsift.llm._ftrl import map_texts
 from simsift.llm._text import LOWER, SPACES, Chunk, chunks, span_hashes, spans
 
-SAMPLE_ROWS, BEGINNINGS = 12_000, (4, 5, 6, 7)
+SAMPLE_ROWS, BEGINNINGS = 12_000, (3, 4, 5, 6, 7)
 KEPT_SPANS = 100_000
 #: What each sign may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 APART = " .-_*"
 #: Costs of the channel (minus log probabilities, but for a constant).
-STANDS_FOR, AS_IT_IS, REPEATED, TWICE, JOINED, PARTED = 1.0, 9.0, 0.3, 4.0, 0.3, 5.0
+STANDS_FOR, AS_IT_IS, REPEATED, TWICE, JOINED, PARTED = 1.0, 9.0, 0.3, 7.0, 0.3, 5.0
 
 _ALPHABET = np.full(256, 27, np.int64)
 _ALPHABET[97:123] = np.arange(1, 27)
@@ -150,21 +150,26 @@ class Restorer:
 
 
 def beginnings(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """texts, buckets, values (1) of the distinct words of each text and their beginnings."""
+    """texts, buckets, values of the words of each text and their beginnings; a value is the damped
+    number of occurrences, whatever the text's length."""
     buf = LOWER[chunk.buf]
     starts, ends, _ = spans(Chunk(0, buf, chunk.offsets), _LETTER)
     text = np.searchsorted(chunk.offsets, starts, "right") - 1
     h = span_hashes(buf, starts, ends)
     key = (h >> np.uint64(12)) | (text.astype(np.uint64) << np.uint64(52))
-    _, first = np.unique(key, return_index=True)
+    _, first, n = np.unique(key, return_index=True, return_counts=True)
     starts, ends, text, h = starts[first], ends[first], text[first], h[first]
-    texts, hashes = [text], [h]
-    for n in BEGINNINGS:
-        long = ends - starts > n
+    texts, hashes, counts = [text], [h], [n]
+    for size in BEGINNINGS:
+        long = ends - starts > size
         texts.append(text[long])
-        hashes.append(span_hashes(buf, starts[long], starts[long] + n) ^ np.uint64(n))
-    rows, slots, _ = quality.counted(np.concatenate(texts), np.concatenate(hashes), chunk.rows, quality.BUCKETS)
-    return rows, slots, np.ones(len(rows), np.float32)
+        hashes.append(span_hashes(buf, starts[long], starts[long] + size) ^ np.uint64(size))
+        counts.append(n[long])
+    slots = (np.concatenate(hashes) >> np.uint64(20)) % np.uint64(quality.BUCKETS - 1)
+    keys = np.concatenate(texts).astype(np.int64) * quality.BUCKETS + slots.astype(np.int64)
+    keys, which = np.unique(keys, return_inverse=True)
+    val = np.log2(1 + np.bincount(which, np.concatenate(counts)))
+    return keys // quality.BUCKETS, keys % quality.BUCKETS, val.astype(np.float32)
 
 
 def char_counts(docs: DataFrame) -> np.ndarray:
@@ -207,7 +212,7 @@ def fit(train_docs: DataFrame, labelled: DataFrame, sample_rows: int = SAMPLE_RO
         made or made.append(model.features())
         return made[0](chunk)
 
-    model.weights = quality.fit_labels(labelled, "toxic", features, sample_rows, alpha=0.1, l1=0.5, l2=0.01)
+    model.weights = quality.fit_labels(labelled, "toxic", features, sample_rows, alpha=1.0, l1=2.0, l2=0.01)
     return model
 
 
