@@ -7,11 +7,19 @@ its words and one end. Weights:
 
 * Pieces come from an existing tokenizer vocabulary. Its scores weight them at first; then
   expectation-maximisation over the training words (a forward-backward pass over each distinct
-  word, weighted by its count) re-estimates them, with the first weights as a prior. The vocabulary
+  word) re-estimates them, with the first weights as a prior. The vocabulary
   itself isn't changed. Pieces that begin a word and pieces within are two distributions, and each
   piece is a word's last with a learned probability, so the piece paths sum to one over all words.
-* The whole-word arc has the word's share in the training words. It and the piece paths are
-  weighed by how many words are new (Witten and Bell): N tokens of T types leave T / (N + T).
+  They stand for words that training didn't see, so each training word counts once, not by use.
+* The whole-word arc has the word's share in the training words less a discount, and the piece
+  paths have what all discounts leave (absolute discounting; the discount follows from how many
+  words occur once and twice).
+
+Documents come in kinds (a column of the training rows, as their language). Each kind has its own
+whole-word shares, which back off to those of all kinds in the same way, and a document's
+probability is the sum over kinds of the kind's share times the document's probability in it; the
+kind of a scored document is never looked at. The MAX_KINDS - 1 commonest kinds stand alone and all
+others, and rows without one, are one more kind.
 
 All words are counted and weighed in Spark. Words with at least 1 / FREQUENT of all occurrences are
 FREQUENT at most, so their weights go to every task; occurrences of the others are joined with the
@@ -35,7 +43,7 @@ from pyspark.sql import functions as F
 from simsift.llm._space import written
 from simsift.llm._text import LOWER, SPACES, chunks, powers, mix, span_hashes, spans
 
-FREQUENT, PRIOR, ROUNDS, COUNT_BYTES = 2_000_000, 1_000.0, 1, 2_000_000
+FREQUENT, PRIOR, ROUNDS, COUNT_BYTES, MAX_KINDS = 2_000_000, 200.0, 3, 2_000_000, 8
 START = "▁"
 
 
@@ -136,7 +144,7 @@ class Lattice:
     def log_probability(self, w: Weights) -> np.ndarray:
         return self.forward(w, self._scores(w))[:, -1] + w.stop
 
-    def expected(self, w: Weights, counts: np.ndarray, first: np.ndarray, inner: np.ndarray) -> None:
+    def expected(self, w: Weights, first: np.ndarray, inner: np.ndarray) -> None:
         """Adds the expected uses of each piece."""
         scores = self._scores(w)
         a = self.forward(w, scores)
@@ -146,12 +154,12 @@ class Lattice:
             b[:, j] = self._sum([scores[k - 1][:, j] + b[:, j + k] for k in range(1, min(self.length - j, len(scores)) + 1)])
         total = a[:, -1]
         for k, (word, pos, piece) in enumerate(self.inner, 1):
-            share = np.exp(a[word, pos] + w.inner[piece] + b[word, pos + k] - total[word]) * counts[word]
+            share = np.exp(a[word, pos] + w.inner[piece] + b[word, pos + k] - total[word])
             inner += np.bincount(piece, share, len(inner))
         for k, (word, piece) in enumerate(self.first, 1):
-            share = np.exp(w.first[piece] + b[word, k] - total[word]) * counts[word]
+            share = np.exp(w.first[piece] + b[word, k] - total[word])
             first += np.bincount(piece, share, len(first))
-        first[self.pieces.empty] += (np.exp(w.first[self.pieces.empty] + b[:, 0] - total) * counts).sum()
+        first[self.pieces.empty] += (np.exp(w.first[self.pieces.empty] + b[:, 0] - total)).sum()
 
 
 def lattices(pieces: Pieces, column: pa.Array, cells: int = 1 << 21) -> Iterator[tuple[np.ndarray, Lattice]]:
@@ -171,27 +179,32 @@ def lattices(pieces: Pieces, column: pa.Array, cells: int = 1 << 21) -> Iterator
             yield some, Lattice(pieces, buf[take], np.arange(len(some)) * n, n)
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word (bytes), n (all occurrences), c (those in training) of docs(text, training)."""
+def word_counts(docs: DataFrame, kinds: int) -> DataFrame:
+    """word (bytes), n (all occurrences), c (array: those in training rows of each kind) of
+    docs(text, kind), kind null outside training."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            training = np.array(batch.column(1))
+            kind = np.array(batch.column(1).fill_null(-1))
             for chunk in chunks(batch.column(0), COUNT_BYTES):
                 buf = LOWER[chunk.buf]
                 starts, ends, _ = spans(chunk, ~SPACES)
                 if not len(starts):
                     continue
-                text = np.searchsorted(chunk.offsets, starts, "right") - 1
-                _, first, which = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
-                n = np.bincount(which)
-                c = np.bincount(which, training[chunk.first + text]).astype(np.int64)
+                own = kind[chunk.first + np.searchsorted(chunk.offsets, starts, "right") - 1]
+                h = span_hashes(buf, starts, ends) + own.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                _, first, n = np.unique(h, return_index=True, return_counts=True)
                 data = buf.tobytes()
                 names = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(n), pa.array(c)], names=["word", "n", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(own[first].astype(np.int32)), pa.array(n)], names=["word", "kind", "n"])
+
+    rows = docs.select("text", "kind").mapInArrow(run, "word binary, kind int, n long")
+    each = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)) for k in range(kinds)]
+    return written(rows.groupBy("word").agg(F.sum("n").alias("n"), F.array(*each).alias("c")), "word-counts")
+
 
-    rows = docs.select("text", "training").mapInArrow(run, "word binary, n long, c long")
-    return written(rows.groupBy("word").agg(F.sum("n").alias("n"), F.sum("c").alias("c")), "word-counts")
+def _all(c: str = "c"):
+    return F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
 def learn(counts: DataFrame, pieces: Pieces, rounds: int = ROUNDS) -> Weights:
@@ -203,14 +216,13 @@ def learn(counts: DataFrame, pieces: Pieces, rounds: int = ROUNDS) -> Weights:
         def run(batches: Iterator[pa.RecordBatch], w=w) -> Iterator[pa.RecordBatch]:
             ps, sums = spread.value, [np.zeros(len(first)), np.zeros(len(inner))]
             for batch in batches:
-                c = np.array(batch.column(1))
-                for rows, lattice in lattices(ps, batch.column(0)):
-                    lattice.expected(w, c[rows], *sums)
+                for _, lattice in lattices(ps, batch.column(0)):
+                    lattice.expected(w, *sums)
             for part, s in enumerate(sums):
                 k = np.flatnonzero(s)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), part, np.int32)), pa.array(k.astype(np.int32)), pa.array(s[k])], names=["part", "piece", "uses"])
 
-        uses = counts.where("c > 0").select("word", "c").mapInArrow(run, "part int, piece int, uses double")
+        uses = counts.where(_all() > 0).select("word").mapInArrow(run, "part int, piece int, uses double")
         got = [np.zeros(len(first)), np.zeros(len(inner))]
         for r in uses.groupBy("part", "piece").agg(F.sum("uses").alias("uses")).collect():
             got[r["part"]][r["piece"]] = r["uses"]
@@ -221,62 +233,92 @@ def learn(counts: DataFrame, pieces: Pieces, rounds: int = ROUNDS) -> Weights:
 
 
 class Totals:
-    def __init__(self, words: int, types: int, documents: int):
-        self.words, self.types, self.documents = words, types, documents
-        self.tokens, self.distinct = words + documents, types + (documents > 0)
+    """Training words, types and documents, of each kind and in all."""
+
+    def __init__(self, words: list[int], types: list[int], documents: list[int], all_types: int, once: int, twice: int):
+        self.kind_words, self.kind_types = np.array(words, float), np.array(types, float)
+        self.kind_documents = np.array(documents, float)
+        self.words, self.types, self.documents = sum(words), all_types, sum(documents)
+        self.tokens, self.distinct = self.words + self.documents, all_types + (self.documents > 0)
+        self.discount = min(0.95, max(0.3, once / max(1, once + 2 * twice)))
+        self.end = np.log10((self.kind_documents + 1) / (self.kind_words + self.kind_documents + 2))
+        self.share = np.log10((self.kind_documents + 1) / (self.documents + len(words)))
 
     def base(self, c):
         return np.log10((c + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
 
-    @property
-    def end(self) -> float:
-        return math.log10((self.documents + 1) / (self.tokens + 2))
+    def weights(self, c: np.ndarray, path: np.ndarray) -> np.ndarray:
+        """words x kinds of log10 probabilities, from counts (words x kinds) and the piece paths' logs."""
+        d = self.discount
+        new = d * self.types / self.words if self.words else 1.0
+        every = np.maximum(c.sum(1) - d, 0) / max(1, self.words) + new * np.exp(path)
+        rest = np.where(self.kind_words > 0, d * self.kind_types / np.maximum(1, self.kind_words), 1.0)
+        own = np.maximum(c - d, 0) / np.maximum(1, self.kind_words) + rest * every[:, None]
+        return np.log10(np.maximum(own, 1e-300)) + np.log10(1 - 10**self.end)
 
 
 def weighed(counts: DataFrame, pieces: Pieces, w: Weights, totals: Totals) -> DataFrame:
-    """h (hash of the word), n, c, lp (log10 probability) of all words."""
-    spread = counts.sparkSession.sparkContext.broadcast(pieces)
-    words, types = totals.words, max(1, totals.types)
-    go_on = math.log10(1 - 10**totals.end)
+    """h (hash of the word), n, c (training occurrences), lp (log10 probability in each kind)."""
+    spread, kinds = counts.sparkSession.sparkContext.broadcast(pieces), len(totals.kind_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            lp, h = np.empty(len(batch)), np.empty(len(batch), np.uint64)
+            path, h = np.empty(len(batch)), np.empty(len(batch), np.uint64)
             for rows, lattice in lattices(spread.value, batch.column(0)):
-                lp[rows] = lattice.log_probability(w)
+                path[rows] = lattice.log_probability(w)
             for chunk in chunks(batch.column(0), rows=len(batch)):
                 h[chunk.first : chunk.first + chunk.rows] = span_hashes(chunk.buf, chunk.offsets[:-1], chunk.offsets[1:])
-            c = np.array(batch.column(2))
-            path = math.log(types / (words + types)) + lp
-            with np.errstate(divide="ignore"):
-                whole = np.log(c / (words + types))
+            c = np.array(batch.column(2).flatten()).reshape(-1, kinds)
+            lp = totals.weights(c, path)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), batch.column(1), batch.column(2), pa.array(np.logaddexp(path, whole) / math.log(10) + go_on)],
-                names=["h", "n", "c", "lp"],
+                [pa.array(h.view(np.int64)), batch.column(1), pa.array(c.sum(1)), *(pa.array(lp[:, k]) for k in range(kinds))], names=names
             )
 
-    return written(counts.select("word", "n", "c").mapInArrow(run, "h long, n long, c long, lp double"), "word-weights")
+    names = ["h", "n", "c", *(f"lp{k}" for k in range(kinds))]
+    schema = "h long, n long, c long, " + ", ".join(f"lp{k} double" for k in range(kinds))
+    return written(counts.select("word", "n", "c").mapInArrow(run, schema), "word-weights")
+
+
+def kind_numbers(docs: DataFrame, column: str) -> tuple:
+    """The expression that numbers a training row's kind, and how many there are."""
+    counts = docs.where("NOT held_out").groupBy(column).count().where(F.col(column).isNotNull())
+    names = [r[0] for r in counts.orderBy(F.desc("count"), column).limit(MAX_KINDS - 1).collect()]
+    number = F.lit(len(names))
+    for k, name in enumerate(names):
+        number = F.when(F.col(column) == name, F.lit(k)).otherwise(number)
+    return number, len(names) + 1
 
 
-def score(docs: DataFrame, vocabulary: str, held_out: str = "held_out") -> DataFrame:
+def score(docs: DataFrame, vocabulary: str, kind: str | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of
     docs(doc_id, text, held_out); rows with held_out aren't learned from.
 
-    vocabulary is the path of a sentencepiece model that every executor has.
+    vocabulary is the path of a sentencepiece model; kind names a column of docs.
     """
     spark = docs.sparkSession
-    own = docs.select("doc_id", F.col(held_out).alias("held_out"), "text")
+    number, kinds = kind_numbers(docs, kind) if kind else (F.lit(0), 1)
+    own = docs.select("doc_id", "held_out", "text", F.when(~F.col("held_out"), number).alias("kind"))
     pieces = Pieces(vocabulary)
-    counts = word_counts(own.select("text", (~F.col("held_out")).alias("training")))
-    t = counts.agg(F.sum("c").alias("c"), F.count_if("c > 0").alias("v"), F.sum("n").alias("n")).collect()[0]
-    documents = own.where("NOT held_out").count()
-    totals = Totals(t["c"] or 0, t["v"] or 0, documents)
+    counts = word_counts(own, kinds)
+    each = range(kinds)
+    t = counts.agg(
+        F.sum("n").alias("n"),
+        F.array(*[F.sum(F.get("c", F.lit(k))) for k in each]).alias("words"),
+        F.array(*[F.count_if(F.get("c", F.lit(k)) > 0) for k in each]).alias("types"),
+        *(F.count_if(_all() == k).alias(f"c{k}") for k in (1, 2)),
+        F.count_if(_all() > 0).alias("v"),
+    ).collect()[0]
+    documents = dict(own.where("NOT held_out").groupBy("kind").count().collect())
+    totals = Totals([x or 0 for x in t["words"]], [x or 0 for x in t["types"]], [documents.get(k, 0) for k in each], t["v"] or 0, t["c1"] or 0, t["c2"] or 0)
     table = weighed(counts, pieces, learn(counts, pieces), totals)
-    often = table.where(F.col("n") >= max(1, (t["n"] or 0) / FREQUENT)).select("h", "c", "lp").toArrow()
+    limit = max(1, (t["n"] or 0) / FREQUENT)
+    lps = [f"lp{k}" for k in each]
+    often = table.where(F.col("n") >= limit).select("h", "c", *lps).toArrow()
     order = np.argsort(often.column("h").to_numpy())
-    common = spark.sparkContext.broadcast(tuple(often.column(x).to_numpy()[order] for x in ("h", "c", "lp")))
+    lp = np.stack([often.column(x).to_numpy()[order] for x in lps], 1)
+    common = spark.sparkContext.broadcast((*(often.column(x).to_numpy()[order] for x in ("h", "c")), lp))
     # A row is known by this hash; rows that repeat share it, and what their words add up to is divided.
     keyed = own.select("text", F.xxhash64(F.lit("row"), F.col("doc_id"), F.col("text")).alias("row"), "doc_id", "held_out")
 
@@ -284,42 +326,40 @@ def score(docs: DataFrame, vocabulary: str, held_out: str = "held_out") -> DataF
         ch, cc, cl = common.value
         for batch in batches:
             for chunk in chunks(batch.column(0)):
+                n = chunk.rows
                 starts, ends, first = spans(chunk, ~SPACES)
                 h = span_hashes(LOWER[chunk.buf], starts, ends).view(np.int64)
                 text = np.searchsorted(chunk.offsets, starts, "right") - 1
-                at = np.minimum(np.searchsorted(ch, h), max(0, len(ch) - 1))
-                found = ch[at] == h if len(ch) else np.zeros(len(h), bool)
-                c, lp = cc[at[found]] if len(ch) else np.zeros(0), cl[at[found]] if len(ch) else np.zeros(0)
-                rows, n = text[found], chunk.rows
-                known = np.bincount(rows, c > 0, n) + (totals.documents > 0)
-                base = np.bincount(rows, totals.base(c), n) + totals.base(totals.documents)
-                score = np.bincount(rows, lp, n) + totals.end
-                there = slice(chunk.first, chunk.first + n)
-                row = np.array(batch.column(1))[there]
+                found, at = np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+                if len(ch):
+                    at = np.minimum(np.searchsorted(ch, h), len(ch) - 1)
+                    found = ch[at] == h
+                rows, at = text[found], at[found]
+                known = np.bincount(rows, cc[at] > 0, n) + (totals.documents > 0)
+                base = np.bincount(rows, totals.base(cc[at]), n) + totals.base(totals.documents)
+                sums = [np.bincount(rows, cl[at, k], n) + totals.end[k] for k in each]
+                row = np.array(batch.column(1))[chunk.first : chunk.first + n]
                 # A document's own row joins nothing: it counts no occurrence of the word it names.
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row), pa.array(row), pa.array(np.zeros(n, np.int32)), *(batch.column(k).slice(chunk.first, n) for k in (2, 3)), pa.array(np.diff(first) + 1), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
+                    [pa.array(row), pa.array(row), pa.array(np.zeros(n, np.int32)), *(batch.column(k).slice(chunk.first, n) for k in (2, 3)), pa.array(np.diff(first) + 1), pa.array(known.astype(np.int64)), pa.array(base), *map(pa.array, sums)],
                     names=names,
                 )
                 rest = np.flatnonzero(~found)
                 if len(rest):
-                    order = rest[np.lexsort((h[rest], text[rest]))]
-                    new = np.ones(len(order), bool)
-                    new[1:] = (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])
-                    tf = np.diff(np.append(np.flatnonzero(new), len(order)))
-                    order = order[new]
-                    m = len(order)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(row[text[order]]), pa.array(h[order]), pa.array(tf.astype(np.int32)), pa.nulls(m, batch.column(2).type), pa.nulls(m, pa.bool_()), *(pa.nulls(m, x) for x in (pa.int64(), pa.int64(), pa.float64(), pa.float64()))],
-                        names=names,
-                    )
-
-    kind = own.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, h long, tf int, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, lp double"
+                    rest = rest[np.lexsort((h[rest], text[rest]))]
+                    new = np.ones(len(rest), bool)
+                    new[1:] = (h[rest][1:] != h[rest][:-1]) | (text[rest][1:] != text[rest][:-1])
+                    tf = np.diff(np.append(np.flatnonzero(new), len(rest)))
+                    rest = rest[new]
+                    m = len(rest)
+                    nulls = (pa.nulls(m, x) for x in (batch.column(2).type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), *(pa.float64() for _ in each)))
+                    yield pa.RecordBatch.from_arrays([pa.array(row[text[rest]]), pa.array(h[rest]), pa.array(tf.astype(np.int32)), *nulls], names=names)
+
+    id_type = own.schema["doc_id"].dataType.simpleString()
+    schema = f"row long, h long, tf int, doc_id {id_type}, held_out boolean, n_tokens long, known long, base double, " + ", ".join(f"s{k} double" for k in each)
     names = [x.split()[0] for x in schema.split(", ")]
     rows = keyed.mapInArrow(run, schema)
-    seldom = table.where(F.col("n") < max(1, (t["n"] or 0) / FREQUENT)).select("h", "c", F.col("lp").alias("_lp"))
-    met = rows.join(seldom, "h", "left")
+    met = rows.join(table.where(F.col("n") < limit).select("h", "c", *lps), "h", "left")
     c = F.coalesce("c", F.lit(0))
     base = F.log10((c + 0.1) / (totals.tokens + 0.1 * (totals.distinct + 1)))
     met = met.select(
@@ -329,7 +369,7 @@ def score(docs: DataFrame, vocabulary: str, held_out: str = "held_out") -> DataF
         "n_tokens",
         F.coalesce("known", F.when(c > 0, F.col("tf")).otherwise(0).cast("long")).alias("known"),
         F.coalesce("base", F.col("tf") * base).alias("base"),
-        F.coalesce("lp", F.col("tf") * F.col("_lp")).alias("lp"),
+        *(F.coalesce(f"s{k}", F.col("tf") * F.col(f"lp{k}")).alias(f"s{k}") for k in each),
     )
     sums = met.groupBy("row").agg(
         F.count("n_tokens").alias("n"),
@@ -338,9 +378,12 @@ def score(docs: DataFrame, vocabulary: str, held_out: str = "held_out") -> DataF
         F.sum("n_tokens").alias("n_tokens"),
         F.sum("known").alias("n_known"),
         F.sum("base").alias("base_score"),
-        F.sum("lp").alias("score"),
+        *(F.sum(f"s{k}").alias(f"s{k}") for k in each),
     )
     sums = sums.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    in_kind = [F.col(f"s{k}") / F.col("n") + F.lit(float(totals.share[k])) for k in each]
+    best = F.array_max(F.array(*in_kind))
+    spread = F.aggregate(F.array(*in_kind), F.lit(0.0), lambda a, x: a + F.pow(F.lit(10.0), x - best))
     return sums.select(
         "doc_id",
         "held_out",
@@ -348,5 +391,5 @@ def score(docs: DataFrame, vocabulary: str, held_out: str = "held_out") -> DataF
         (F.col("n_known") / F.col("n")).cast("long").alias("n_known"),
         F.lit(totals.tokens).cast("long").alias("train_tokens"),
         (F.col("base_score") / F.col("n")).alias("base_score"),
-        (F.col("score") / F.col("n")).alias("score"),
+        (best + F.log10(spread)).alias("score"),
     )

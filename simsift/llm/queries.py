@@ -64,7 +64,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").withColumn("held_out", in_fold(F.col("doc_id"), 10, 0))
-    return lattice_lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return lattice_lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"), kind="lang")
 
 
 QUERIES = {
