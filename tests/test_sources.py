@@ -1,0 +1,103 @@
+import bz2
+
+import pytest
+from pyspark.sql import functions as F
+
+from simsift.functions import records
+from simsift.functions.smiles import fingerprints, query_fingerprint
+from simsift.operators import search
+from simsift.sources import cxsmiles, manifest, sinks
+
+HEADER = " ".join(records.FIELDS)
+FULL = "CCO{a} ID{n} 46.07 3 0.1 1 1 0 0.5 20.2 M KEY"
+
+
+def archive(path, data: bytes):
+    path.write_bytes(data)
+    return f"file://{path}"
+
+
+@pytest.fixture
+def library(tmp_path):
+    lines = [HEADER, FULL.format(a="", n=0), "", "   ", FULL.format(a=" |&1:1| x", n=3), "C1CC bad", "CCN short"]
+    one = archive(tmp_path / "a.cxsmiles.bz2", bz2.compress("\n".join(lines[:4]).encode() + b"\n") + bz2.compress("\n".join(lines[4:]).encode()))
+    two = archive(tmp_path / "b.cxsmiles.bz2", bz2.compress(b"h\r\nCC\xc2\xa0x\r\n\xff\xfe y\r\n"))
+    head = archive(tmp_path / "c.cxsmiles.bz2", bz2.compress(HEADER.encode()))
+    empty = archive(tmp_path / "d.cxsmiles.bz2", bz2.compress(b""))
+    return [one, two, head, empty]
+
+
+def test_lines_are_numbered_after_the_header_with_blanks(spark, library):
+    rows = cxsmiles.read_archives(spark, library).orderBy("archive_index", "ligand_line").collect()
+    assert [(r["archive_index"], r["ligand_line"]) for r in rows] == [(0, i) for i in range(6)] + [(1, 0), (1, 1)]
+    parts = cxsmiles.read_archives(spark, library).select("archive_index", "ligand_line", records.record_tokens(F.col("record")).alias("p"))
+    got = {(r[0], r[1]): r[2] for r in parts.collect()}
+    assert got[0, 1] == [] == got[0, 2] and got[1, 0] == ["CC", "x"] and got[1, 1] == ["��", "y"]
+    ids = parts.where(records.complete(F.col("p"))).select("ligand_line", records.identifier(F.col("p")), records.annotation(F.col("p"))).orderBy("ligand_line").collect()
+    assert [tuple(r) for r in ids] == [(0, "ID0", []), (3, "ID3", ["|&1:1|", "x"])]
+
+
+def test_header_lines_and_early_stop(spark, library):
+    assert cxsmiles.read_archives(spark, library, header_lines=0).count() == 7 + 3 + 1
+    assert cxsmiles.read_archives(spark, library, header_lines=2).count() == 5 + 1
+    rows = cxsmiles.read_archives(spark, library, last_lines={0: 1}).collect()
+    assert [(r["archive_index"], r["ligand_line"]) for r in rows] == [(0, 0), (0, 1)]
+
+
+def test_search_accepts_short_records_and_recovery_refuses_them(spark, library):
+    rows = cxsmiles.read_archives(spark, library)
+    parsed = rows.withColumn("smiles", records.structure(records.record_tokens(F.col("record")))).drop("record")
+    hits = search.top(search.scored(fingerprints(parsed), query_fingerprint("CCO")), 10).collect()
+    assert {(r["archive_index"], r["ligand_line"]) for r in hits if r["tanimoto"] == 1.0} == {(0, 0), (0, 3)}
+    assert (0, 4) not in {(r["archive_index"], r["ligand_line"]) for r in hits}
+    parts = records.record_tokens(F.col("record"))
+    with pytest.raises(Exception, match="fewer than 12"):
+        rows.select(records.checked(parts, F.col("record"))).collect()
+
+
+def test_chunked_archives_round_trip(spark, tmp_path):
+    records_ = spark.range(25).select(F.lit("x").alias("base"), F.col("id").alias("line"), F.concat(F.lit("r"), "id").alias("record"))
+    files = cxsmiles.write_chunks(records_.repartition(4), 10, HEADER, f"file://{tmp_path}/x_chunks")
+    got = files.orderBy("chunk").collect()
+    assert [(r["file"].rpartition("/")[2], r["records"]) for r in got] == [(f"x.part{i:05d}.cxsmiles.bz2", n) for i, n in enumerate((10, 10, 5))]
+    paths = [r["file"] for r in got]
+    cxsmiles.verify_chunks(spark, paths, 10, 25)
+    back = cxsmiles.read_archives(spark, paths).select((F.col("archive_index") * 10 + F.col("ligand_line")).alias("n"), "record").collect()
+    assert sorted((r["n"], r["record"]) for r in back) == [(i, f"r{i}") for i in range(25)]
+    for wrong in ((paths[:2], 10, 25), (paths, 9, 25), (paths, 10, 0)):
+        with pytest.raises(ValueError):
+            cxsmiles.verify_chunks(spark, *wrong)
+
+
+def test_manifests(tmp_path, spark):
+    for name in ("b/x.cxsmiles.bz2", "a/y.cxsmiles.bz2", "a/z_chunks.inprogress/z.part00000.cxsmiles.bz2", "a/note.txt", "b/x_chunks/x.part00000.cxsmiles.bz2"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"")
+    found = manifest.discover(f"file://{tmp_path}")
+    assert [p.rpartition(f"{tmp_path}/")[2] for p in found] == ["a/y.cxsmiles.bz2", "b/x.cxsmiles.bz2", "b/x_chunks/x.part00000.cxsmiles.bz2"]
+    assert manifest.kept_originals(found) == [found[1]]
+    (tmp_path / "m.txt").write_text("\n p1 \n\np0\n")
+    paths = manifest.read_manifest(f"file://{tmp_path}/m.txt")
+    assert paths == ["p1", "p0"]
+    assert [tuple(r) for r in manifest.manifest_frame(spark, paths).collect()] == [(0, "p1"), (1, "p0")]
+    (tmp_path / "n.txt").write_text(" \n")
+    for bad in (lambda: manifest.read_manifest(f"file://{tmp_path}/n.txt"), lambda: manifest.discover(f"file://{tmp_path}/a/z_chunks.inprogress")):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([(2, 0.00634765625, "b", 5), (1, 0.5, "a", 7)], "rank bigint, tanimoto double, source_file string, ligand_line bigint")
+    sinks.write_locators(rows, f"file://{tmp_path}/t")
+    text = next((tmp_path / "t").glob("part*")).read_text()
+    assert text == "rank\ttanimoto\tsource_file\tligand_line\n1\t0.5000000000\ta\t7\n2\t0.0063476562\tb\t5\n"
+    out = spark.createDataFrame([(1, 'a"b,c', "x", "f", 0.25)], "rank bigint, smiles string, ligand_name string, source_bz2 string, tanimoto double")
+    sinks.write_pipeline(out, f"file://{tmp_path}/c")
+    assert next((tmp_path / "c").glob("part*")).read_bytes() == b'"a""b,c",x,f,0.25\r\n'
+    sinks.write_pipeline(out.limit(0), f"file://{tmp_path}/e")
+    assert sinks.read_pipeline(spark, f"file://{tmp_path}/e").count() == 0
+
+
+def test_pipeline_rows_that_are_no_hits_are_dropped(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("smiles,ligand_name,source_bz2,tanimoto\nCC,a,f,0.7\nNA,b,f,0.8\nCO,c,f,x\n,d,f,0.9\nCN,e,f,nan\n")
+    assert [r["ligand_name"] for r in sinks.read_pipeline(spark, f"file://{tmp_path}/in.csv").collect()] == ["a"]
