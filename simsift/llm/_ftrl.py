@@ -13,8 +13,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from simsift.llm._space import written
+from simsift.llm._text import chunks
 
 EXAMPLE = "y array<byte>, idx array<int>, val array<float>"
 
@@ -86,23 +88,23 @@ def train(examples: DataFrame, outputs: int, buckets: int, epochs: int = 5, part
 def map_texts(docs: DataFrame, schema: str, make: Callable[[], Callable], column: str = "text") -> DataFrame:
     """docs's other columns, and for each row what make()'s function returns for chunks of texts.
 
-    The function takes a Chunk and returns a dict of a column (list or array) for each output.
+    The function takes a Chunk and returns a dict of a column (list or array) for each output. A
+    column of docs that has an output's name gives way to it.
     """
-    from simsift.llm._text import chunks
-
-    others = [c for c in docs.columns if c != column]
-    names = [x.split()[0] for x in schema.split(", ")]
-    fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != column), schema])
+    made = StructType.fromDDL(schema)
+    names = made.names
+    others = [c for c in docs.columns if c != column and c not in names]
+    fields = StructType([*(docs.schema[c] for c in others), *made.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
             for chunk in chunks(batch.column(0), rows=256):
-                made = work(chunk)
+                new = work(chunk)
                 kept = [batch.column(1 + k).slice(chunk.first, chunk.rows) for k in range(len(others))]
-                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(made[n]) if not isinstance(made[n], pa.Array) else made[n] for n in names)], names=[*others, *names])
+                yield pa.RecordBatch.from_arrays([*kept, *(x if isinstance(x := new[n], pa.Array) else pa.array(x) for n in names)], names=[*others, *names])
 
-    return docs.select(column, *others).mapInArrow(run, fields)
+    return docs.select(column, *[F.col(f"`{c}`") for c in others]).mapInArrow(run, fields)
 
 
 def lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:

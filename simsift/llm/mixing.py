@@ -129,7 +129,13 @@ def _shared(placed: DataFrame, taken: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, **params) -> DataFrame:
     """The rows of docs that the mix takes, each as often as it is taken, with all their columns."""
-    got = mix(docs, **params).where("copies > 0").groupBy("doc_id", "tie").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    got = got.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "_copies", "_rows")
-    met = docs.join(got, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_tie")))
-    return met.withColumn("_", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_copies") / F.col("_rows")).cast("int")))).select(docs.columns)
+    got = mix(docs, **params).groupBy("doc_id", "tie").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    got = written(got.where("copies > 0"), "mix-copies")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"))
+    met = rows.join(got, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("tie")))
+    number = F.lit(1)
+    if not got.where("rows > 1").isEmpty():
+        number = F.row_number().over(W.partitionBy("d", "h").orderBy(F.lit(0)))
+    met = met.withColumn("own", F.floor(F.col("copies") / F.col("rows")) + (number <= F.col("copies") % F.col("rows")).cast("long"))
+    met = met.where("own > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("own").cast("int"))))
+    return met.select("row.*")
