@@ -25,8 +25,8 @@ import os
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
-from itertools import chain
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +38,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from simsift.llm._space import new_folder, written
+from simsift.llm._text import chunks
 
 FRAME_IDS = 65_536
 #: Fixed values of the seekable zstandard format.
 INDEX_MAGIC, SEEK_MAGIC, FOOTER_MAGIC, WITH_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 #: Words kept with their ids by a worker, and the longest such word in bytes.
-CACHED_WORDS, CACHED_BYTES = 400_000, 64
+CACHED_WORDS, CACHED_BYTES = 1_200_000, 64
+ENDINGS = b".,;:!?#$%&*"
 
 MANIFEST = "shard int, file string, documents long, tokens long"
 
@@ -140,32 +142,61 @@ class ShardReader:
 
 
 class WordEncoder:
-    """Ids of a text, word by word: words between ASCII white space are encoded by the library once
-    and kept. Right for tokenizers whose tokens never cross white space and don't depend on it."""
+    """Ids of texts, word by word: words between ASCII white space are encoded by the library once
+    and kept. Right for tokenizers whose tokens never cross white space and don't depend on it, and
+    never join an ASCII letter or digit to a sign of ENDINGS that follows it.
+
+    New words go to the library as one text, a bar between them, which is one id of its own.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def __call__(self, text: bytes) -> list[int]:
-        words = text.split()
-        known = self.known
-        if new := list({w for w in words if w not in known}):
-            if len(known) > CACHED_WORDS:
-                known.clear()
-                new = list(set(words))
-            encoded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            known.update((w, e.ids) for w, e in zip(new, encoded))
-        ids = list(chain.from_iterable(map(known.__getitem__, words)))
-        for w in new:
+        self.bar = self.tokenizer.encode("|", add_special_tokens=False).ids
+
+    def _encode(self, words: list[bytes]) -> None:
+        plain = [w for w in words if b"|" not in w] if len(self.bar) == 1 else []
+        for at in range(0, len(plain), 1000):
+            some = plain[at : at + 1000]
+            text = b" | ".join(some).decode("utf-8", "replace")
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            data, cuts = ids.tobytes(), np.flatnonzero(ids == self.bar[0]).tolist()
+            if len(cuts) != len(some) - 1:
+                raise ValueError("the tokenizer doesn't keep words apart")
+            self.known.update((w, data[4 * x + 4 : 4 * y]) for w, x, y in zip(some, [-1, *cuts], [*cuts, len(ids)]))
+        rest = words if len(plain) < len(words) and not plain else [w for w in words if b"|" in w]
+        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in rest], add_special_tokens=False)
+        self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, encoded))
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """Of each text its ids as little-endian unsigned 32-bit integers."""
+        split = [t.split() for t in texts]
+        words, known = set().union(*split), self.known
+        new = words.difference(known)
+        if len(known) + len(new) > CACHED_WORDS:
+            known.clear()
+            new = words
+        ended = [(w, core, w[len(core) :]) for w in new if (core := w.rstrip(ENDINGS)) != w and core[-1:].isalnum()]
+        parts = new.difference(w for w, _, _ in ended).union(*(x[1:] for x in ended)).difference(known)
+        self._encode(list(parts))
+        known.update((w, known[core] + known[end]) for w, core, end in ended)
+        out = [b"".join(map(known.__getitem__, w)) for w in split]
+        for w in new | parts:
             if len(w) > CACHED_BYTES:
                 del known[w]
-        return ids
+        return out
+
+
+#: Kept by a worker from task to task.
+_encoders: dict[str, WordEncoder] = {}
 
 
-_encoders: dict[str, Callable[[bytes], list[int]]] = {}
+def encoder(path: str) -> WordEncoder:
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def _opened(folder: str) -> tuple[fs.FileSystem, str]:
@@ -182,21 +213,21 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, folder: str | Non
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = _encoders.setdefault(tokenizer, None) or WordEncoder(tokenizer)
-        _encoders[tokenizer] = encode
+        encode, end = encoder(tokenizer), array("I", [end_id]).tobytes()
         shard = TaskContext.get().partitionId()
         name, writer, out = f"{folder}/tokens-{shard:06d}-{uuid.uuid4().hex}.zst", None, None
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary())
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts):
-                if writer is None:
-                    where, path = _opened(name)
-                    where.create_dir(path.rpartition("/")[0], recursive=True)
-                    out = where.open_output_stream(path, compression=None)
-                    writer = ShardWriter(out)
-                ids = encode(text.as_py() or b"")
-                ids.append(end_id)
-                writer.add(doc_id, np.array(ids, "<u4"))
+            if len(batch) and writer is None:
+                where, path = _opened(name)
+                where.create_dir(path.rpartition("/")[0], recursive=True)
+                out = where.open_output_stream(path, compression=None)
+                writer = ShardWriter(out)
+            doc_ids = batch.column(0).to_pylist()
+            for chunk in chunks(batch.column(1)):
+                data, cuts = chunk.buf.tobytes(), chunk.offsets.tolist()
+                encoded = encode([data[a:b] for a, b in zip(cuts, cuts[1:])])
+                for doc_id, ids in zip(doc_ids[chunk.first :], encoded):
+                    writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
         if writer is not None:
             writer.close()
             out.close()
