@@ -12,9 +12,10 @@ Two rounds of candidates, and no list of all pairs of a region:
    Links found give components.
 2. In regions that still hold several components, nodes outside the largest are compared with all
    nodes of other components there by their MinHash sketches (256 one-byte values); pairs whose
-   estimate lies within ESTIMATE of the threshold are candidates, each in its first common tree.
-   Regions over BLOCK nodes are dealt into blocks, and the nodes outside the largest component go
-   to each block, so no task holds a region of unbounded size.
+   estimate lies within ESTIMATE of the threshold are candidates, each in its first common tree,
+   and confirmed where they are found, until their components are one. So a region yields fewer
+   links than it has components. Regions over BLOCK nodes are dealt into blocks, and the nodes
+   outside the largest component go to each block, so no task holds a region of unbounded size.
 
 Pairs inside a component need no test, so what round 2 leaves out can't change a class. Candidates
 are confirmed on the texts themselves: the sets' 64-bit shingle hashes are intersected and counted
@@ -42,9 +43,9 @@ from simsift.llm._space import written
 from simsift.llm._text import Chunk, chunks, mix, shingles, words
 
 WIDTH, PERCENT = 5, 80
-MISS, SKETCH, ESTIMATE = 1e-6, 256, 0.11
+MISS, SKETCH, ESTIMATE = 1e-6, 256, 0.15
 #: Nodes of a region that one task compares at once; pairs with a head that one task confirms; rows to broadcast.
-BLOCK, PAIRS_A_TASK, BROADCAST_ROWS = 4096, 256, 200_000
+BLOCK, PAIRS_A_TASK, BROADCAST_ROWS = 1024, 256, 200_000
 
 
 def forest_shape(rows: int, percent: int = PERCENT) -> tuple[int, int]:
@@ -121,6 +122,29 @@ def bounded(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """sid, text of the wanted nodes (sid); of rows that share a doc_id those with the node's set."""
+    need = written(wanted.select("sid").distinct().join(nodes.select("sid", "lo"), "sid"), "wanted-texts")
+    rows = docs.select("doc_id", "text").join(bounded(need), F.col("doc_id").eqNullSafe(F.col("lo"))).select("text", "sid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = []
+            for chunk in chunks(batch.column(0)):
+                names += set_ids(shingles(*words(chunk), width))
+            same = [a == b for a, b in zip(names, batch.column(1).to_pylist())]
+            yield batch.filter(pa.array(same, pa.bool_()))
+
+    return written(rows.mapInArrow(run, "text string, sid binary"), "texts")
+
+
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """a, b of those pairs (a written table of set ids leaf, hub) whose full sets are similar."""
     loads = written(pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_TASK).alias("parts")), "hubs")
@@ -129,28 +153,20 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, p
     wanted = dealt.select("hub", "part", F.lit(1).alias("role"), F.col("leaf").alias("sid")).unionByName(
         dealt.select("hub", "part", F.lit(0).alias("role"), F.col("hub").alias("sid")).distinct()
     )
-    need = dealt.select(F.explode(F.array("hub", "leaf")).alias("sid")).distinct().join(nodes.select("sid", "lo"), "sid")
-    need = written(need, "wanted-texts")
-    texts = docs.select("doc_id", "text").join(bounded(need), F.col("doc_id").eqNullSafe(F.col("lo"))).select("sid", "text")
-    rows = wanted.join(written(texts, "texts"), "sid")
+    rows = wanted.join(texts_of(wanted, nodes, docs, width), "sid")
     rows = rows.repartition("hub", "part").sortWithinPartitions("hub", "part", "role").select("text", "hub", "part", "role", "sid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, current = None, None
+        held = np.zeros(0, np.uint64)
         for batch in batches:
-            hubs, parts, roles, sids = (batch.column(k).to_pylist() for k in range(1, 5))
+            hubs, _, roles, sids = (batch.column(k).to_pylist() for k in range(1, 5))
             found: list[tuple[bytes, bytes]] = []
             for chunk in chunks(batch.column(0)):
-                sets = shingles(*words(chunk), width)
-                for k, (s, name) in enumerate(zip(sets, set_ids(sets)), chunk.first):
-                    if name != sids[k]:
-                        continue  # another row with this doc_id
+                for k, s in enumerate(shingles(*words(chunk), width), chunk.first):
                     if roles[k] == 0:
-                        held, current = s, (hubs[k], parts[k])
-                    elif current == (hubs[k], parts[k]) and 100 * min(len(s), len(held)) >= percent * max(len(s), len(held)):
-                        both = len(np.intersect1d(s, held, assume_unique=True))
-                        if 100 * both >= percent * (len(s) + len(held) - both):
-                            found.append((sids[k], hubs[k]))
+                        held = s
+                    elif similar(s, held, percent):
+                        found.append((sids[k], hubs[k]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], names=["a", "b"])
 
@@ -179,73 +195,93 @@ def components(links: DataFrame) -> DataFrame:
     return written(label, "labels") if len(steps) > 1 else label
 
 
-def _across(regions: DataFrame, label: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """leaf, hub: candidates between components that share a region, by sketch."""
-    placed = regions.join(label, F.col("sid") == F.col("v"), "left")
-    placed = written(placed.select("k", "sid", "size", F.coalesce("root", "sid").alias("root")), "placed")
-    counts = placed.groupBy("k", "root").count().groupBy("k").agg(F.max(F.struct("count", "root")).alias("most"), F.count(F.lit(1)).alias("n"))
-    open_ = written(counts.where("n > 1").select("k", F.col("most.root").alias("largest")), "open-regions")
-    rows = placed.join(open_, "k").withColumn("asks", F.col("root") != F.col("largest"))
-    rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    every = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
-    rows = rows.select("k", "sid", "root", "asks", "own", F.explode(every).alias("block"))
-    rows = rows.join(nodes.select("sid", "n_shingles", "keys", "sketch"), "sid")
-    rows = rows.select("k", "block", "sid", "root", "asks", (F.col("own") == F.col("block")).alias("here"), "n_shingles", "keys", "sketch")
-    rows = rows.repartition("k", "block").sortWithinPartitions("k", "block")
-    least = percent / 100 - ESTIMATE
-
-    def pairs_of(group: list[pa.RecordBatch]) -> tuple[list, list]:
-        t = pa.Table.from_batches(group)
-        k = t.column("k")[0].as_py()
-        sid, root = t.column("sid").to_pylist(), t.column("root").to_pylist()
-        root = np.unique([x.hex() for x in root], return_inverse=True)[1]
-        asks, here = np.array(t.column("asks")), np.array(t.column("here"))
-        n = np.array(t.column("n_shingles"))
-        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(n), SKETCH)
-        keys = np.array(t.column("keys").combine_chunks().values).reshape(len(n), -1)
-        a_all, b_all = np.flatnonzero(asks), np.flatnonzero(here)
-        step, out = max(1, (1 << 23) // max(1, len(b_all) * SKETCH)), ([], [])
+class Region:
+    """The rows of one block of a region."""
+
+    def __init__(self, rows: pa.Table, width: int):
+        self.rows, self.width, self.sets = rows, width, {}
+        self.k = rows.column("k")[0].as_py()
+        self.sid = rows.column("sid").to_pylist()
+        names = [x.hex() for x in rows.column("root").to_pylist()]
+        self.root = np.unique(names, return_inverse=True)[1].tolist()
+        self.asks, self.here = np.array(rows.column("asks")), np.array(rows.column("here"))
+        self.n = np.array(rows.column("n_shingles"))
+        self.sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(self.n), SKETCH)
+        self.keys = np.array(rows.column("keys").combine_chunks().values).reshape(len(self.n), -1)
+        self.parent = list(range(len(self.n)))
+
+    def component(self, i: int) -> int:
+        """Of row i, by the number of its root."""
+        r = self.root[i]
+        while self.parent[r] != r:
+            r = self.parent[r]
+        return r
+
+    def set_of(self, i: int) -> np.ndarray:
+        if i not in self.sets:
+            [chunk] = chunks(self.rows.column("text").slice(i, 1).combine_chunks())
+            [self.sets[i]] = shingles(*words(chunk), self.width)
+        return self.sets[i]
+
+    def candidates(self, percent: int) -> Iterator[tuple[int, int]]:
+        """Pairs of different components, those that look most alike first within each step."""
+        a_all, b_all, root = np.flatnonzero(self.asks), np.flatnonzero(self.here), np.array(self.root)
+        step = max(1, (1 << 23) // max(1, len(b_all) * SKETCH))
         for at in range(0, len(a_all), step):
             a = a_all[at : at + step]
-            near = np.minimum(n[a][:, None], n[b_all]) * 100 >= percent * np.maximum(n[a][:, None], n[b_all])
-            near &= root[a][:, None] != root[b_all]
+            x, y = self.n[a][:, None], self.n[b_all]
+            near = (np.minimum(x, y) * 100 >= percent * np.maximum(x, y)) & (root[a][:, None] != root[b_all])
             if not near.any():
                 continue
-            same = (sketch[a][:, None, :] == sketch[b_all][None]).mean(2)
-            near &= (same - 1 / 256) / (1 - 1 / 256) >= least
-            for i, j in zip(*np.nonzero(near)):
-                x, y = a[i], b_all[j]
-                if asks[y] and here[x] and sid[x] > sid[y]:
-                    continue  # y asks x as well
-                common = keys[x] == keys[y]
-                if keys[x][common.argmax()] == k:
-                    out[0].append(sid[x])
-                    out[1].append(sid[y])
-        return out
+            same = (self.sketch[a][:, None, :] == self.sketch[b_all][None]).mean(2)
+            alike = (same - 1 / 256) / (1 - 1 / 256)
+            i, j = np.nonzero(near & (alike >= percent / 100 - ESTIMATE))
+            for q in np.argsort(-alike[i, j]).tolist():
+                yield int(a[i[q]]), int(b_all[j[q]])
+
+    def links(self, percent: int) -> Iterator[tuple[bytes, bytes]]:
+        for x, y in self.candidates(percent):
+            r, s = self.component(x), self.component(y)
+            common = self.keys[x] == self.keys[y]
+            if r != s and self.keys[x][common.argmax()] == self.k and similar(self.set_of(x), self.set_of(y), percent):
+                self.parent[r] = s
+                yield self.sid[x], self.sid[y]
+
+
+def _across(regions: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """a, b: links between components that share a region, enough to join those that are linked."""
+    placed = regions.join(label, F.col("sid") == F.col("v"), "left")
+    placed = written(placed.select("k", "sid", "size", F.coalesce("root", "sid").alias("root")), "placed")
+    counts = placed.groupBy("k", "root").count().groupBy("k").agg(F.max(F.struct("count", "root")).alias("most"), F.count(F.lit(1)).alias("n"))
+    open_ = written(counts.where("n > 1").select("k", F.col("most.root").alias("largest")), "open-regions")
+    rows = written(placed.join(open_, "k").withColumn("asks", F.col("root") != F.col("largest")), "open-rows")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("sid"), blocks).cast("int")
+    every = F.when(F.col("asks"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
+    dealt = rows.select("k", "sid", "root", "asks", own.alias("own"), F.explode(every).alias("block"))
+    dealt = dealt.join(nodes.select("sid", "n_shingles", "keys", "sketch"), "sid").join(texts_of(rows, nodes, docs, width), "sid")
+    dealt = dealt.select("k", "block", "sid", "root", "asks", (F.col("own") == F.col("block")).alias("here"), "n_shingles", "keys", "sketch", "text")
+    dealt = dealt.repartition("k", "block").sortWithinPartitions("k", "block")
+
+    def links_of(group: list[pa.RecordBatch]) -> list[tuple[bytes, bytes]]:
+        return list(Region(pa.Table.from_batches(group), width).links(percent)) if group else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, name = [], None
+        group, name, found = [], None, []
         for batch in batches:
             ks, blocks = np.array(batch.column(0)), np.array(batch.column(1))
             cuts = np.flatnonzero((np.diff(ks) != 0) | (np.diff(blocks) != 0)) + 1
-            found = ([], [])
             for x, y in zip([0, *cuts], [*cuts, len(ks)]):
-                if y == x:
-                    continue
-                if name != (ks[x], blocks[x]) and group:
-                    for to, more in zip(found, pairs_of(group)):
-                        to += more
-                    group = []
-                name = (ks[x], blocks[x])
-                group.append(batch.slice(x, y - x))
-            if found[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in found], names=["leaf", "hub"])
-        if group and (last := pairs_of(group))[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in last], names=["leaf", "hub"])
-
-    pairs = rows.mapInArrow(run, "leaf binary, hub binary")
-    return written(pairs.select(F.greatest("leaf", "hub").alias("leaf"), F.least("leaf", "hub").alias("hub")).distinct(), "candidates")
+                if y > x and name != (ks[x], blocks[x]):
+                    found += links_of(group)
+                    group, name = [], (ks[x], blocks[x])
+                if y > x:
+                    group.append(batch.slice(x, y - x))
+        found += links_of(group)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], names=["a", "b"])
+
+    return written(dealt.mapInArrow(run, "a binary, b binary"), "more-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -266,9 +302,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     links = confirmed(written(pairs, "head-pairs"), nodes, docs, width, percent)
     label = components(links)
 
-    more = _across(regions, label, nodes, percent)
+    more = _across(regions, label, nodes, docs, width, percent)
     if not more.isEmpty():
-        more = confirmed(more, nodes, docs, width, percent)
         label = components(written(links.unionByName(more), "all-links"))
     named = written(label.join(nodes.select("sid", "lo"), F.col("v") == F.col("sid")).select("v", "root", "lo"), "named")
     least = written(named.groupBy("root").agg(F.min("lo").alias("component_id")), "classes")
