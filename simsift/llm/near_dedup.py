@@ -13,9 +13,11 @@ Two rounds of candidates, and no list of all pairs of a region:
 2. In regions that still hold several components, nodes outside the largest are compared with all
    nodes of other components there by their MinHash sketches (256 one-byte values); pairs whose
    estimate lies within ESTIMATE of the threshold are candidates, each in its first common tree,
-   and confirmed where they are found, until their components are one. So a region yields fewer
-   links than it has components. Regions over BLOCK nodes are dealt into blocks, and the nodes
-   outside the largest component go to each block, so no task holds a region of unbounded size.
+   and confirmed where they are found, until their components are one. So a tile yields fewer
+   links than it has components. A region's nodes and those of them outside the largest component
+   are dealt by hash into blocks of about BLOCK each, and a tile is one block of each kind: a task
+   holds two blocks at a time, whatever the region's size. Tiles first go by sketches alone; texts
+   are fetched only for nodes that a pair of the tile needs.
 
 Pairs inside a component need no test, so what round 2 leaves out can't change a class. Candidates
 are confirmed on the texts themselves: the sets' 64-bit shingle hashes are intersected and counted
@@ -31,12 +33,13 @@ rows are all kept if one is; other columns don't matter; an empty table gives an
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from simsift.llm._ftrl import lists, map_texts
 from simsift.llm._space import written
@@ -196,7 +199,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 class Region:
-    """The rows of one block of a region."""
+    """The rows of one tile of a region; without a column of texts only its candidates can be asked for."""
 
     def __init__(self, rows: pa.Table, width: int):
         self.rows, self.width, self.sets = rows, width, {}
@@ -207,7 +210,7 @@ class Region:
         self.asks, self.here = np.array(rows.column("asks")), np.array(rows.column("here"))
         self.n = np.array(rows.column("n_shingles"))
         self.sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(self.n), SKETCH)
-        self.keys = np.array(rows.column("keys").combine_chunks().values).reshape(len(self.n), -1)
+        self.keys = np.array(rows.column("keys").combine_chunks().flatten()).reshape(len(self.n), -1)
         self.parent = list(range(len(self.n)))
 
     def component(self, i: int) -> int:
@@ -237,51 +240,86 @@ class Region:
             alike = (same - 1 / 256) / (1 - 1 / 256)
             i, j = np.nonzero(near & (alike >= percent / 100 - ESTIMATE))
             for q in np.argsort(-alike[i, j]).tolist():
-                yield int(a[i[q]]), int(b_all[j[q]])
+                x, y = int(a[i[q]]), int(b_all[j[q]])
+                if self.keys[x][(self.keys[x] == self.keys[y]).argmax()] == self.k:
+                    yield x, y
+
+    def likely(self, percent: int) -> np.ndarray:
+        """The rows that some candidate holds."""
+        held = np.zeros(len(self.n), bool)
+        for pair in self.candidates(percent):
+            held[list(pair)] = True
+        return np.flatnonzero(held)
 
     def links(self, percent: int) -> Iterator[tuple[bytes, bytes]]:
         for x, y in self.candidates(percent):
             r, s = self.component(x), self.component(y)
-            common = self.keys[x] == self.keys[y]
-            if r != s and self.keys[x][common.argmax()] == self.k and similar(self.set_of(x), self.set_of(y), percent):
+            if r != s and similar(self.set_of(x), self.set_of(y), percent):
                 self.parent[r] = s
                 yield self.sid[x], self.sid[y]
 
 
-def _across(regions: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """a, b: links between components that share a region, enough to join those that are linked."""
-    placed = regions.join(label, F.col("sid") == F.col("v"), "left")
-    placed = written(placed.select("k", "sid", "size", F.coalesce("root", "sid").alias("root")), "placed")
-    counts = placed.groupBy("k", "root").count().groupBy("k").agg(F.max(F.struct("count", "root")).alias("most"), F.count(F.lit(1)).alias("n"))
-    open_ = written(counts.where("n > 1").select("k", F.col("most.root").alias("largest")), "open-regions")
-    rows = written(placed.join(open_, "k").withColumn("asks", F.col("root") != F.col("largest")), "open-rows")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("sid"), blocks).cast("int")
-    every = F.when(F.col("asks"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
-    dealt = rows.select("k", "sid", "root", "asks", own.alias("own"), F.explode(every).alias("block"))
-    dealt = dealt.join(nodes.select("sid", "n_shingles", "keys", "sketch"), "sid").join(texts_of(rows, nodes, docs, width), "sid")
-    dealt = dealt.select("k", "block", "sid", "root", "asks", (F.col("own") == F.col("block")).alias("here"), "n_shingles", "keys", "sketch", "text")
-    dealt = dealt.repartition("k", "block").sortWithinPartitions("k", "block")
-
-    def links_of(group: list[pa.RecordBatch]) -> list[tuple[bytes, bytes]]:
-        return list(Region(pa.Table.from_batches(group), width).links(percent)) if group else []
+TILE = ["k", "askers", "block"]
+
+
+def tiles(rows: DataFrame) -> DataFrame:
+    """rows(k, sid, root, asks, size, n_asks) of open regions, each in every tile that needs it: k,
+    askers, block (of the tile), sid, root, asks and here (whether it is of the tile's askers, of its block)."""
+    across, down = (F.ceil(F.col(n) / BLOCK).cast("int") for n in ("n_asks", "size"))
+    own, mine = F.pmod(F.xxhash64("sid"), down).cast("int"), F.pmod(F.xxhash64(F.lit("asks"), "sid"), across).cast("int")
+    placed = rows.withColumns({"own": own, "mine": F.when(F.col("asks"), mine)})
+    here = placed.withColumn("askers", F.explode(F.sequence(F.lit(0), across - 1)))
+    here = here.select("k", "askers", F.col("own").alias("block"), "sid", "root", F.coalesce(F.col("askers") == F.col("mine"), F.lit(False)).alias("asks"), F.lit(True).alias("here"))
+    asks = placed.where("asks").withColumn("block", F.explode(F.sequence(F.lit(0), down - 1))).where("block <> own")
+    return here.unionByName(asks.select("k", F.col("mine").alias("askers"), "block", "sid", "root", F.lit(True).alias("asks"), F.lit(False).alias("here")))
+
+
+def _by_tile(rows: DataFrame, work: Callable, schema: str | StructType) -> DataFrame:
+    """What work makes of the table of each tile of rows, whose first columns are the tile's."""
+    rows = rows.select(*TILE, *[c for c in rows.columns if c not in TILE]).repartition(*TILE).sortWithinPartitions(*TILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, name, found = [], None, []
+        group, name = [], None
         for batch in batches:
-            ks, blocks = np.array(batch.column(0)), np.array(batch.column(1))
-            cuts = np.flatnonzero((np.diff(ks) != 0) | (np.diff(blocks) != 0)) + 1
-            for x, y in zip([0, *cuts], [*cuts, len(ks)]):
-                if y > x and name != (ks[x], blocks[x]):
-                    found += links_of(group)
-                    group, name = [], (ks[x], blocks[x])
+            names = list(zip(*(batch.column(k).to_pylist() for k in range(3))))
+            cuts = [k for k in range(1, len(names)) if names[k] != names[k - 1]]
+            for x, y in zip([0, *cuts], [*cuts, len(names)]):
+                if y > x and name != names[x]:
+                    if group:
+                        yield from work(pa.Table.from_batches(group))
+                    group, name = [], names[x]
                 if y > x:
                     group.append(batch.slice(x, y - x))
-        found += links_of(group)
+        if group:
+            yield from work(pa.Table.from_batches(group))
+
+    return rows.mapInArrow(run, schema)
+
+
+def _across(regions: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """a, b: links between components that share a region, enough to join those that are linked."""
+    placed = regions.join(label, F.col("sid") == F.col("v"), "left")
+    placed = written(placed.select("k", "sid", "size", F.coalesce("root", "sid").alias("root")), "placed")
+    counts = placed.groupBy("k", "root").count().groupBy("k")
+    counts = counts.agg(F.max(F.struct("count", "root")).alias("most"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("n"))
+    open_ = counts.where("n > 1").select("k", F.col("most.root").alias("largest"), (F.col("all") - F.col("most.count")).alias("n_asks"))
+    rows = placed.join(written(open_, "open-regions"), "k").withColumn("asks", F.col("root") != F.col("largest")).drop("largest")
+    dealt = tiles(written(rows, "open-rows")).join(nodes.select("sid", "n_shingles", "keys", "sketch"), "sid")
+
+    def likely(tile: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = Region(tile, width).likely(percent)
+        if len(rows):
+            yield from tile.take(pa.array(rows)).combine_chunks().to_batches()
+
+    def links(tile: pa.Table) -> Iterator[pa.RecordBatch]:
+        found = list(Region(tile, width).links(percent))
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], names=["a", "b"])
 
-    return written(dealt.mapInArrow(run, "a binary, b binary"), "more-links")
+    dealt = dealt.select(*TILE, "sid", "root", "asks", "here", "n_shingles", "keys", "sketch")
+    near = written(_by_tile(dealt, likely, dealt.schema), "likely-rows")
+    near = near.join(texts_of(near, nodes, docs, width), "sid")
+    return written(_by_tile(near, links, "a binary, b binary"), "more-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

@@ -103,3 +103,37 @@ def test_the_forest_keeps_its_miss_rate():
 
 def test_query_equals_sql(spark):
     same(spark, SMALL, queries.QUERIES["op2_near_dedup"], queries.SQL["op2_near_dedup"])
+
+
+def test_no_tile_holds_a_region_of_many_components(make, spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 16)
+    b = lambda i: i.to_bytes(16, "big")
+    rows = spark.createDataFrame([(1, b(i), b(i), i > 0, 400, 399) for i in range(400)], "k long, sid binary, root binary, asks boolean, size int, n_asks int")
+    dealt = nd.tiles(rows)
+    got = dealt.collect()
+    held, met = {}, set()
+    for r in got:
+        held.setdefault((r["askers"], r["block"]), []).append(r)
+    assert max(map(len, held.values())) <= 4 * 16 and "text" not in dealt.columns
+    for tile in held.values():
+        assert len({r["sid"] for r in tile}) == len(tile)
+        met |= {(x["sid"], y["sid"]) for x in tile if x["asks"] for y in tile if y["here"]}
+    assert met == {(b(i), b(j)) for i in range(1, 400) for j in range(400)}
+
+
+def family(seed, n, rate):
+    """Texts of one template that are mostly unlinked, some of them with a near copy."""
+    rng = random.Random(seed)
+    base, texts = [f"w{i}" for i in range(120)], []
+    for _ in range(n):
+        texts.append(edited(rng, base, rate))
+        if rng.random() < 0.2:
+            texts.append(edited(rng, texts[-1], 0.01))
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_families_of_unlinked_texts(make, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 16)
+    rows = family(5, 60, 0.07)
+    got = nd.near_duplicates(make([(i, t, "en", "s") for i, t in rows]).repartition(3), 2)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows, 2)
