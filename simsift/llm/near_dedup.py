@@ -1,12 +1,19 @@
 """Near-duplicate classes by a MinHash LSH forest, with every link confirmed on full shingle sets.
 
 Texts with equal sets are one node (a 128-bit hash of the set; so groups of copies never pair up).
-Each node has MinHash values; every tree of the forest orders the nodes by depth of these values.
-A region is a run of the order with one common prefix of that depth. The depth grows with the
-logarithm of the rows, so that regions of unlike texts stay small, and the trees with it, so that
-a pair at the threshold shares no region with a chance of MISS at most, at any size.
+Every tree of the forest gives a node a signature: the tree's number and its MinHash values, two
+bytes each, so that signatures sort as bytes. A region is a run of that order with one common prefix,
+found by grouping on the prefix; a node's neighbours are all nodes of its runs. The first depth grows
+with the logarithm of the rows, so that regions of unlike texts stay small, and the trees with it.
 
-Two rounds of candidates, and no list of all pairs of a region:
+Depth adapts: a region in which more than BLOCK nodes stand outside the largest component is not
+searched but split, its nodes' signatures getting STEP more values, up to LEVELS depths. These nodes
+get more trees too, as many as the new depth needs: a pair that shares a region to be split has both
+its nodes there. So at each depth a pair at the threshold shares no region with a chance of
+MISS / LEVELS at most, and is missed with a chance of MISS at most, at any size. What the last depth
+can't split is searched whole, in tiles.
+
+Two rounds of candidates at each depth, and no list of all pairs of a region:
 
 1. In each region every node is paired with the region's head, the node that shares most regions.
    Links found give components.
@@ -41,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from simsift.llm._ftrl import lists, map_texts
+from simsift.llm._ftrl import map_texts
 from simsift.llm._space import written
 from simsift.llm._text import Chunk, chunks, mix, shingles, words
 
@@ -49,12 +56,18 @@ WIDTH, PERCENT = 5, 80
 MISS, SKETCH, ESTIMATE = 1e-6, 256, 0.15
 #: Nodes of a region that one task compares at once; pairs with a head that one task confirms; rows to broadcast.
 BLOCK, PAIRS_A_TASK, BROADCAST_ROWS = 1024, 256, 200_000
+#: Depths of the forest and how many values one has more than the one before.
+LEVELS, STEP = 3, 4
 
 
 def forest_shape(rows: int, percent: int = PERCENT) -> tuple[int, int]:
     """Depth and trees: 4 levels to a million rows, one more for each factor of 30 beyond."""
     depth = 4 + max(0, math.ceil(math.log(max(rows, 1) / 1e6) / math.log(30)))
-    return depth, math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** depth))
+    return depth, trees_at(depth, percent)
+
+
+def trees_at(depth: int, percent: int) -> int:
+    return math.ceil(math.log(MISS / LEVELS) / math.log(1 - (percent / 100) ** depth))
 
 
 def set_ids(sets: list[np.ndarray]) -> list[bytes | None]:
@@ -69,16 +82,15 @@ def set_ids(sets: list[np.ndarray]) -> list[bytes | None]:
     return out
 
 
-def minhashes(sets: list[np.ndarray], hashes: int) -> np.ndarray:
-    """sets (none empty) x hashes."""
+def minhashes(sets: list[np.ndarray], numbers: np.ndarray) -> np.ndarray:
+    """sets (none empty) x hash functions of these numbers."""
     low = np.concatenate(sets)
     low = (low >> np.uint64(17)).astype(np.uint32)
     first = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    rng = np.random.default_rng(11)
-    salts = rng.integers(0, 1 << 32, hashes, dtype=np.uint32)
-    odds = rng.integers(0, 1 << 32, hashes, dtype=np.uint32) | np.uint32(1)
-    out = np.empty((len(sets), hashes), np.uint32)
-    for k in range(hashes):
+    seeds = mix((numbers.astype(np.uint64) + np.uint64(11)) * np.uint64(0x9E3779B97F4A7C15))
+    salts, odds = seeds.astype(np.uint32), (seeds >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    out = np.empty((len(sets), len(numbers)), np.uint32)
+    for k in range(len(numbers)):
         h = (low ^ salts[k]) * odds[k]
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x2C1B3C6D)
@@ -86,40 +98,53 @@ def minhashes(sets: list[np.ndarray], hashes: int) -> np.ndarray:
     return out
 
 
+def hash_numbers(base: tuple[int, int], depth: int, trees: int) -> np.ndarray:
+    """trees x depth: numbers of the hash functions. base is the first depth and its trees, which go on deeper."""
+    tree, level = np.arange(trees)[:, None], np.arange(depth)[None]
+    return np.where((level < base[0]) & (tree < base[1]), tree * base[0] + level, (1 << 20) + (tree << 8) + level)
+
+
+def signatures(values: np.ndarray, trees: int) -> list[bytes]:
+    """Of each row of minhashes (tree by tree) its signatures, one after another."""
+    out = np.empty((len(values), trees, values.shape[1] // trees + 1), ">u2")
+    out[:, :, 0] = np.arange(trees)
+    out[:, :, 1:] = (values * np.uint32(0x85EBCA6B) >> np.uint32(16)).reshape(len(values), trees, -1)
+    return [row.tobytes() for row in out]
+
+
 def sketched(docs: DataFrame, width: int, depth: int, trees: int) -> DataFrame:
-    """doc_id, n_shingles, sid, keys (one a tree), sketch of docs(doc_id, text)."""
+    """doc_id, n_shingles, sid, signs (of all trees), sketch of docs(doc_id, text)."""
 
     def work(chunk: Chunk) -> dict:
         sets = shingles(*words(chunk), width)
         full = [k for k, s in enumerate(sets) if len(s)]
-        offsets = np.zeros(chunk.rows + 1, np.int64)
-        keys, sketch = np.zeros(0, np.int64), [None] * chunk.rows
+        signs, sketch = [None] * chunk.rows, [None] * chunk.rows
         if full:
-            signs = minhashes([sets[k] for k in full], max(SKETCH, depth * trees))
-            made = np.empty((len(full), trees), np.uint64)
-            for t in range(trees):
-                key = np.full(len(full), t + 1, np.uint64)
-                for k in range(t * depth, (t + 1) * depth):
-                    key = mix(key * np.uint64(0x9E3779B97F4A7C15) + signs[:, k])
-                made[:, t] = key
-            keys = made.view(np.int64).ravel()
-            counts = np.zeros(chunk.rows, np.int64)
-            counts[full] = trees
-            offsets[1:] = np.cumsum(counts)
-            low = (signs[:, :SKETCH] * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
-            for k, row in zip(full, low):
-                sketch[k] = row.tobytes()
+            values = minhashes([sets[k] for k in full], np.arange(max(SKETCH, depth * trees)))
+            low = (values[:, :SKETCH] * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
+            for k, sign, row in zip(full, signatures(values[:, : depth * trees], trees), low):
+                signs[k], sketch[k] = sign, row.tobytes()
         return {
             "n_shingles": np.array([len(s) for s in sets], np.int64),
             "sid": pa.array(set_ids(sets), pa.binary()),
-            "keys": lists(keys, offsets),
+            "signs": pa.array(signs, pa.binary()),
             "sketch": pa.array(sketch, pa.binary()),
         }
 
-    schema = "n_shingles long, sid binary, keys array<bigint>, sketch binary"
+    schema = "n_shingles long, sid binary, signs binary, sketch binary"
     return map_texts(docs.select("doc_id", "text"), schema, lambda: work)
 
 
+def deeper(texts: DataFrame, width: int, base: tuple[int, int], depth: int, trees: int) -> DataFrame:
+    """sid, signs of texts(sid, text), none without words."""
+    numbers = hash_numbers(base, depth, trees).ravel()
+
+    def work(chunk: Chunk) -> dict:
+        return {"signs": pa.array(signatures(minhashes(shingles(*words(chunk), width), numbers), trees), pa.binary())}
+
+    return map_texts(texts.dropDuplicates(["sid"]), "signs binary", lambda: work)
+
+
 def bounded(table: DataFrame) -> DataFrame:
     """A written table to broadcast if it has few rows, else as it is."""
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
@@ -203,14 +228,15 @@ class Region:
 
     def __init__(self, rows: pa.Table, width: int):
         self.rows, self.width, self.sets = rows, width, {}
-        self.k = rows.column("k")[0].as_py()
+        k = rows.column("k")[0].as_py()
+        self.tree = int.from_bytes(k[:2], "big")
         self.sid = rows.column("sid").to_pylist()
         names = [x.hex() for x in rows.column("root").to_pylist()]
         self.root = np.unique(names, return_inverse=True)[1].tolist()
         self.asks, self.here = np.array(rows.column("asks")), np.array(rows.column("here"))
         self.n = np.array(rows.column("n_shingles"))
         self.sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(self.n), SKETCH)
-        self.keys = np.array(rows.column("keys").combine_chunks().flatten()).reshape(len(self.n), -1)
+        self.signs = np.frombuffer(b"".join(rows.column("signs").to_pylist()), f"S{len(k)}").reshape(len(self.n), -1)
         self.parent = list(range(len(self.n)))
 
     def component(self, i: int) -> int:
@@ -241,7 +267,7 @@ class Region:
             i, j = np.nonzero(near & (alike >= percent / 100 - ESTIMATE))
             for q in np.argsort(-alike[i, j]).tolist():
                 x, y = int(a[i[q]]), int(b_all[j[q]])
-                if self.keys[x][(self.keys[x] == self.keys[y]).argmax()] == self.k:
+                if (self.signs[x] == self.signs[y]).argmax() == self.tree:
                     yield x, y
 
     def likely(self, percent: int) -> np.ndarray:
@@ -296,15 +322,21 @@ def _by_tile(rows: DataFrame, work: Callable, schema: str | StructType) -> DataF
     return rows.mapInArrow(run, schema)
 
 
-def _across(regions: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """a, b: links between components that share a region, enough to join those that are linked."""
-    placed = regions.join(label, F.col("sid") == F.col("v"), "left")
+def _across(regions: DataFrame, label: DataFrame, at: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int, last: bool) -> tuple:
+    """a, b: links between components that share a region, enough to join those that are linked; and sid
+    of the nodes in regions to be split first (None if there are none, or none can be)."""
+    placed = regions.drop("root").join(label, F.col("sid") == F.col("v"), "left")
     placed = written(placed.select("k", "sid", "size", F.coalesce("root", "sid").alias("root")), "placed")
     counts = placed.groupBy("k", "root").count().groupBy("k")
     counts = counts.agg(F.max(F.struct("count", "root")).alias("most"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("n"))
     open_ = counts.where("n > 1").select("k", F.col("most.root").alias("largest"), (F.col("all") - F.col("most.count")).alias("n_asks"))
-    rows = placed.join(written(open_, "open-regions"), "k").withColumn("asks", F.col("root") != F.col("largest")).drop("largest")
-    dealt = tiles(written(rows, "open-rows")).join(nodes.select("sid", "n_shingles", "keys", "sketch"), "sid")
+    open_ = written(open_, "open-regions")
+    rows = placed.join(open_, "k").withColumn("asks", F.col("root") != F.col("largest")).drop("largest")
+    rows, hot = written(rows, "open-rows"), None
+    if not last and not open_.where(F.col("n_asks") > BLOCK).isEmpty():
+        hot = written(rows.where(F.col("n_asks") > BLOCK).select("sid").distinct(), "nodes-to-split")
+        rows = rows.where(F.col("n_asks") <= BLOCK)
+    dealt = tiles(rows).join(at.select("sid", "n_shingles", "signs", "sketch"), "sid")
 
     def likely(tile: pa.Table) -> Iterator[pa.RecordBatch]:
         rows = Region(tile, width).likely(percent)
@@ -316,33 +348,47 @@ def _across(regions: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFr
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], names=["a", "b"])
 
-    dealt = dealt.select(*TILE, "sid", "root", "asks", "here", "n_shingles", "keys", "sketch")
+    dealt = dealt.select(*TILE, "sid", "root", "asks", "here", "n_shingles", "signs", "sketch")
     near = written(_by_tile(dealt, likely, dealt.schema), "likely-rows")
     near = near.join(texts_of(near, nodes, docs, width), "sid")
-    return written(_by_tile(near, links, "a binary, b binary"), "more-links")
+    return written(_by_tile(near, links, "a binary, b binary"), "more-links"), hot
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of docs(doc_id, text)."""
-    depth, trees = forest_shape(docs.count(), percent)
+    base = depth, trees = forest_shape(docs.count(), percent)
     rows = written(sketched(docs, width, depth, trees), "sketches")
     nodes = rows.where("sid IS NOT NULL").groupBy("sid").agg(
-        F.min("doc_id").alias("lo"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("lo"), *(F.first(c).alias(c) for c in ("n_shingles", "signs", "sketch"))
     )
-    nodes = written(nodes, "nodes")
-    members = nodes.select("sid", F.explode("keys").alias("k"))
-    sizes = written(members.groupBy("k").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "region-sizes")
-    regions = written(members.join(sizes, "k"), "regions")
-    shared = regions.groupBy("sid").agg(F.sum("size").alias("shared"))
-    heads = regions.join(shared, "sid").groupBy("k").agg(F.max(F.struct("shared", "sid"))["sid"].alias("hub"))
-    heads = written(heads, "heads")
-    pairs = regions.join(heads, "k").where("sid <> hub").select(F.col("sid").alias("leaf"), "hub").distinct()
-    links = confirmed(written(pairs, "head-pairs"), nodes, docs, width, percent)
-    label = components(links)
-
-    more = _across(regions, label, nodes, docs, width, percent)
-    if not more.isEmpty():
-        label = components(written(links.unionByName(more), "all-links"))
+    at = nodes = written(nodes, "nodes")
+    links = label = None
+    for level in range(LEVELS):
+        size = 2 * (depth + 1)
+        each = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("signs", t * size + 1, F.lit(size)))
+        members = at.select("sid", F.explode(each).alias("k"))
+        sizes = written(members.groupBy("k").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "region-sizes")
+        regions = members.join(sizes, "k").withColumn("root", F.col("sid"))
+        if label is not None:
+            regions = regions.drop("root").join(label, F.col("sid") == F.col("v"), "left").select("k", "sid", "size", F.coalesce("root", "sid").alias("root"))
+        regions = written(regions, "regions")
+        shared = regions.groupBy("sid").agg(F.sum("size").alias("shared"))
+        heads = regions.join(shared, "sid").groupBy("k").agg(F.max(F.struct("shared", "sid", "root")).alias("head"))
+        heads = written(heads.select("k", F.col("head.sid").alias("hub"), F.col("head.root").alias("hub_root")), "heads")
+        pairs = regions.join(heads, "k").where("root <> hub_root").select(F.col("sid").alias("leaf"), "hub").distinct()
+        found = confirmed(written(pairs, "head-pairs"), nodes, docs, width, percent)
+        links = found if links is None else written(links.unionByName(found), "links-so-far")
+        label = components(links)
+
+        more, hot = _across(regions, label, at, nodes, docs, width, percent, level == LEVELS - 1)
+        if not more.isEmpty():
+            links = written(links.unionByName(more), "all-links")
+            label = components(links)
+        if hot is None:
+            break
+        depth, trees = depth + STEP, trees_at(depth + STEP, percent)
+        deep = deeper(texts_of(hot, nodes, docs, width), width, base, depth, trees)
+        at = written(deep.join(nodes.select("sid", "n_shingles", "sketch"), "sid"), "deeper-nodes")
     named = written(label.join(nodes.select("sid", "lo"), F.col("v") == F.col("sid")).select("v", "root", "lo"), "named")
     least = written(named.groupBy("root").agg(F.min("lo").alias("component_id")), "classes")
     linked = named.join(least, "root").select("v", "component_id")

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from simsift.llm import near_dedup as nd
@@ -132,8 +133,27 @@ def family(seed, n, rate):
     return [(i, " ".join(t)) for i, t in enumerate(texts)]
 
 
+def test_signatures_sort_and_go_on_deeper():
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 1 << 63, 40).astype(np.uint64) for _ in range(5)]
+    sets.append(np.append(sets[0][:39], sets[1][:1]))
+    base = depth, trees = nd.forest_shape(1)
+    short = nd.signatures(nd.minhashes(sets, np.arange(depth * trees)), trees)
+    more = nd.trees_at(depth + nd.STEP, 80)
+    long = nd.signatures(nd.minhashes(sets, nd.hash_numbers(base, depth + nd.STEP, more).ravel()), more)
+    a, b = 2 * (depth + 1), 2 * (depth + nd.STEP + 1)
+    assert more > trees and all(len(x) == a * trees and len(y) == b * more for x, y in zip(short, long))
+    for x, y in zip(short, long):
+        assert all(x[t * a : t * a + a] == y[t * b : t * b + a] for t in range(trees))
+    assert sum(long[0][t * b : t * b + b] == long[5][t * b : t * b + b] for t in range(more)) > 0
+    assert (1 - 0.8 ** (depth + nd.STEP)) ** more <= nd.MISS / nd.LEVELS
+
+
 def test_families_of_unlinked_texts(make, monkeypatch):
-    monkeypatch.setattr(nd, "BLOCK", 16)
+    monkeypatch.setattr(nd, "BLOCK", 8)
+    depths, plain = [], nd.deeper
+    monkeypatch.setattr(nd, "deeper", lambda texts, width, base, depth, trees: depths.append(depth) or plain(texts, width, base, depth, trees))
     rows = family(5, 60, 0.07)
     got = nd.near_duplicates(make([(i, t, "en", "s") for i, t in rows]).repartition(3), 2)
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows, 2)
+    assert depths and depths[0] == 8
