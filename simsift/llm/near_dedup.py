@@ -2,9 +2,9 @@
 
 Texts with equal sets are one node (a 128-bit hash of the set; so groups of copies never pair up).
 Every tree of the forest gives a node a signature: the tree's number and its MinHash values, two
-bytes each, so that signatures sort as bytes. A region is a run of that order with one common prefix,
-found by grouping on the prefix; a node's neighbours are all nodes of its runs. The first depth grows
-with the logarithm of the rows, so that regions of unlike texts stay small, and the trees with it.
+bytes each, so that signatures sort as bytes. A region is a run of that order with one common prefix
+of at least the forest's depth, and neighbours are nodes of one region. The first depth grows with
+the logarithm of the rows, so that regions of unlike texts stay small, and the trees with it.
 
 Depth adapts: a region in which more than BLOCK nodes stand outside the largest component is not
 searched but split, its nodes' signatures getting STEP more values, up to LEVELS depths. These nodes
@@ -13,23 +13,27 @@ its nodes there. So at each depth a pair at the threshold shares no region with
 MISS / LEVELS at most, and is missed with a chance of MISS at most, at any size. What the last depth
 can't split is searched whole, in tiles.
 
-Two rounds of candidates at each depth, and no list of all pairs of a region:
+Three rounds of candidates at each depth, and no list of all pairs of a region:
 
 1. In each region every node is paired with the region's head, the node that shares most regions.
    Links found give components.
-2. In regions that still hold several components, nodes outside the largest are compared with all
-   nodes of other components there by their MinHash sketches (256 one-byte values); pairs whose
+2. Regions that still hold several components are sorted by their trees' whole signatures (a range
+   sort over all trees), and nodes that stand next to each other there, so have the longest common
+   prefix, are candidates if their components differ. The sort cuts regions wherever it likes: a
+   neighbour lost to a cut is met in round 3.
+3. In regions that even then hold several components, nodes outside the largest are compared with
+   all nodes of other components there by their MinHash values (SKETCH of them); pairs whose
    estimate lies within ESTIMATE of the threshold are candidates, each in its first common tree,
    and confirmed where they are found, until their components are one. So a tile yields fewer
    links than it has components. A region's nodes and those of them outside the largest component
    are dealt by hash into blocks of about BLOCK each, and a tile is one block of each kind: a task
-   holds two blocks at a time, whatever the region's size. Tiles first go by sketches alone; texts
+   holds two blocks at a time, whatever the region's size. Tiles first go by signatures alone; texts
    are fetched only for nodes that a pair of the tile needs.
 
-Pairs inside a component need no test, so what round 2 leaves out can't change a class. Candidates
-are confirmed on the texts themselves: the sets' 64-bit shingle hashes are intersected and counted
-in integers. Components are found by contraction: every node joins its least neighbour, edges are
-renamed, and what is left is done again; ids are hashes, so long chains shrink fast.
+Pairs inside a component need no test, so what later rounds leave out can't change a class.
+Candidates are confirmed on the texts themselves: the sets' 64-bit shingle hashes are intersected
+and counted in integers. Components are found by contraction: every node joins its least neighbour,
+edges are renamed, and what is left is done again; ids are hashes, so long chains shrink fast.
 
 Defined cases: null texts, empty texts and texts without words have an empty set and are linked
 with nothing; a text with fewer words than a shingle has one shingle of all its words; null
@@ -44,7 +48,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -53,11 +58,12 @@ from simsift.llm._space import written
 from simsift.llm._text import Chunk, chunks, mix, shingles, words
 
 WIDTH, PERCENT = 5, 80
-MISS, SKETCH, ESTIMATE = 1e-6, 256, 0.15
+MISS, SKETCH, ESTIMATE = 1e-6, 224, 0.16
 #: Nodes of a region that one task compares at once; pairs with a head that one task confirms; rows to broadcast.
 BLOCK, PAIRS_A_TASK, BROADCAST_ROWS = 1024, 256, 200_000
-#: Depths of the forest and how many values one has more than the one before.
-LEVELS, STEP = 3, 4
+#: Depths of the forest and how many values one has more than the one before. Signatures have STEP
+#: values beyond the depth, to sort by; a tree has at most TREE_VALUES.
+LEVELS, STEP, TREE_VALUES = 3, 4, 64
 
 
 def forest_shape(rows: int, percent: int = PERCENT) -> tuple[int, int]:
@@ -98,49 +104,44 @@ def minhashes(sets: list[np.ndarray], numbers: np.ndarray) -> np.ndarray:
     return out
 
 
-def hash_numbers(base: tuple[int, int], depth: int, trees: int) -> np.ndarray:
-    """trees x depth: numbers of the hash functions. base is the first depth and its trees, which go on deeper."""
-    tree, level = np.arange(trees)[:, None], np.arange(depth)[None]
-    return np.where((level < base[0]) & (tree < base[1]), tree * base[0] + level, (1 << 20) + (tree << 8) + level)
+def hash_numbers(depth: int, trees: int) -> np.ndarray:
+    """trees x depth: numbers of the hash functions; a tree's are the same at any depth."""
+    return np.arange(trees)[:, None] * TREE_VALUES + np.arange(depth)[None]
 
 
-def signatures(values: np.ndarray, trees: int) -> list[bytes]:
-    """Of each row of minhashes (tree by tree) its signatures, one after another."""
-    out = np.empty((len(values), trees, values.shape[1] // trees + 1), ">u2")
+def signatures(sets: list[np.ndarray], depth: int, trees: int) -> list[bytes]:
+    """Of each set (none empty) its signatures in all trees, one after another."""
+    values = minhashes(sets, hash_numbers(depth + STEP, trees).ravel())
+    out = np.empty((len(sets), trees, depth + STEP + 1), ">u2")
     out[:, :, 0] = np.arange(trees)
-    out[:, :, 1:] = (values * np.uint32(0x85EBCA6B) >> np.uint32(16)).reshape(len(values), trees, -1)
+    out[:, :, 1:] = (values * np.uint32(0x85EBCA6B) >> np.uint32(16)).reshape(len(sets), trees, -1)
     return [row.tobytes() for row in out]
 
 
 def sketched(docs: DataFrame, width: int, depth: int, trees: int) -> DataFrame:
-    """doc_id, n_shingles, sid, signs (of all trees), sketch of docs(doc_id, text)."""
+    """doc_id, n_shingles, sid, signs (of all trees) of docs(doc_id, text)."""
 
     def work(chunk: Chunk) -> dict:
         sets = shingles(*words(chunk), width)
         full = [k for k, s in enumerate(sets) if len(s)]
-        signs, sketch = [None] * chunk.rows, [None] * chunk.rows
+        signs = [None] * chunk.rows
         if full:
-            values = minhashes([sets[k] for k in full], np.arange(max(SKETCH, depth * trees)))
-            low = (values[:, :SKETCH] * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
-            for k, sign, row in zip(full, signatures(values[:, : depth * trees], trees), low):
-                signs[k], sketch[k] = sign, row.tobytes()
+            for k, sign in zip(full, signatures([sets[k] for k in full], depth, trees)):
+                signs[k] = sign
         return {
             "n_shingles": np.array([len(s) for s in sets], np.int64),
             "sid": pa.array(set_ids(sets), pa.binary()),
             "signs": pa.array(signs, pa.binary()),
-            "sketch": pa.array(sketch, pa.binary()),
         }
 
-    schema = "n_shingles long, sid binary, signs binary, sketch binary"
-    return map_texts(docs.select("doc_id", "text"), schema, lambda: work)
+    return map_texts(docs.select("doc_id", "text"), "n_shingles long, sid binary, signs binary", lambda: work)
 
 
-def deeper(texts: DataFrame, width: int, base: tuple[int, int], depth: int, trees: int) -> DataFrame:
+def deeper(texts: DataFrame, width: int, depth: int, trees: int) -> DataFrame:
     """sid, signs of texts(sid, text), none without words."""
-    numbers = hash_numbers(base, depth, trees).ravel()
 
     def work(chunk: Chunk) -> dict:
-        return {"signs": pa.array(signatures(minhashes(shingles(*words(chunk), width), numbers), trees), pa.binary())}
+        return {"signs": pa.array(signatures(shingles(*words(chunk), width), depth, trees), pa.binary())}
 
     return map_texts(texts.dropDuplicates(["sid"]), "signs binary", lambda: work)
 
@@ -170,12 +171,12 @@ def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -
             same = [a == b for a, b in zip(names, batch.column(1).to_pylist())]
             yield batch.filter(pa.array(same, pa.bool_()))
 
-    return written(rows.mapInArrow(run, "text string, sid binary"), "texts")
+    return rows.mapInArrow(run, "text string, sid binary")
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """a, b of those pairs (a written table of set ids leaf, hub) whose full sets are similar."""
-    loads = written(pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_TASK).alias("parts")), "hubs")
+    loads = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_TASK).alias("parts"))
     part = F.pmod(F.xxhash64("leaf"), F.col("parts")).alias("part")
     dealt = written(pairs.join(loads, "hub").select("hub", part, "leaf"), "dealt-pairs")
     wanted = dealt.select("hub", "part", F.lit(1).alias("role"), F.col("leaf").alias("sid")).unionByName(
@@ -235,8 +236,10 @@ class Region:
         self.root = np.unique(names, return_inverse=True)[1].tolist()
         self.asks, self.here = np.array(rows.column("asks")), np.array(rows.column("here"))
         self.n = np.array(rows.column("n_shingles"))
-        self.sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(self.n), SKETCH)
-        self.signs = np.frombuffer(b"".join(rows.column("signs").to_pylist()), f"S{len(k)}").reshape(len(self.n), -1)
+        depth = len(k) // 2
+        signs = np.frombuffer(b"".join(rows.column("signs").to_pylist()), np.uint16).reshape(len(self.n), -1, depth + STEP)
+        self.sketch = np.ascontiguousarray(signs[:, :, 1:].reshape(len(self.n), -1)[:, :SKETCH])
+        self.prefixes = np.ascontiguousarray(signs[:, :, :depth]).view(f"S{2 * depth}")[:, :, 0]
         self.parent = list(range(len(self.n)))
 
     def component(self, i: int) -> int:
@@ -255,19 +258,18 @@ class Region:
     def candidates(self, percent: int) -> Iterator[tuple[int, int]]:
         """Pairs of different components, those that look most alike first within each step."""
         a_all, b_all, root = np.flatnonzero(self.asks), np.flatnonzero(self.here), np.array(self.root)
-        step = max(1, (1 << 23) // max(1, len(b_all) * SKETCH))
+        step = max(1, (1 << 23) // max(1, len(b_all) * self.sketch.shape[1]))
         for at in range(0, len(a_all), step):
             a = a_all[at : at + step]
             x, y = self.n[a][:, None], self.n[b_all]
             near = (np.minimum(x, y) * 100 >= percent * np.maximum(x, y)) & (root[a][:, None] != root[b_all])
             if not near.any():
                 continue
-            same = (self.sketch[a][:, None, :] == self.sketch[b_all][None]).mean(2)
-            alike = (same - 1 / 256) / (1 - 1 / 256)
+            alike = (self.sketch[a][:, None, :] == self.sketch[b_all][None]).mean(2)
             i, j = np.nonzero(near & (alike >= percent / 100 - ESTIMATE))
             for q in np.argsort(-alike[i, j]).tolist():
                 x, y = int(a[i[q]]), int(b_all[j[q]])
-                if (self.signs[x] == self.signs[y]).argmax() == self.tree:
+                if (self.prefixes[x] == self.prefixes[y]).argmax() == self.tree:
                     yield x, y
 
     def likely(self, percent: int) -> np.ndarray:
@@ -322,21 +324,44 @@ def _by_tile(rows: DataFrame, work: Callable, schema: str | StructType) -> DataF
     return rows.mapInArrow(run, schema)
 
 
-def _across(regions: DataFrame, label: DataFrame, at: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int, last: bool) -> tuple:
-    """a, b: links between components that share a region, enough to join those that are linked; and sid
-    of the nodes in regions to be split first (None if there are none, or none can be)."""
-    placed = regions.drop("root").join(label, F.col("sid") == F.col("v"), "left")
+def open_regions(regions: DataFrame, label: DataFrame) -> DataFrame:
+    """k, sid, root, size, n_asks, asks of regions(k, sid, size) that hold several components."""
+    placed = regions.select("k", "sid", "size").join(label, F.col("sid") == F.col("v"), "left")
     placed = written(placed.select("k", "sid", "size", F.coalesce("root", "sid").alias("root")), "placed")
     counts = placed.groupBy("k", "root").count().groupBy("k")
     counts = counts.agg(F.max(F.struct("count", "root")).alias("most"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("n"))
     open_ = counts.where("n > 1").select("k", F.col("most.root").alias("largest"), (F.col("all") - F.col("most.count")).alias("n_asks"))
-    open_ = written(open_, "open-regions")
-    rows = placed.join(open_, "k").withColumn("asks", F.col("root") != F.col("largest")).drop("largest")
-    rows, hot = written(rows, "open-rows"), None
-    if not last and not open_.where(F.col("n_asks") > BLOCK).isEmpty():
-        hot = written(rows.where(F.col("n_asks") > BLOCK).select("sid").distinct(), "nodes-to-split")
-        rows = rows.where(F.col("n_asks") <= BLOCK)
-    dealt = tiles(rows).join(at.select("sid", "n_shingles", "signs", "sketch"), "sid")
+    rows = placed.join(open_, "k").withColumn("asks", F.col("root") != F.col("largest"))
+    return written(rows.drop("largest"), "open-rows")
+
+
+def sign_in(k: Column, signs: Column, size: int) -> Column:
+    """The signature (size bytes) of the tree of prefix k."""
+    return F.substring(signs, F.conv(F.hex(F.substring(k, 1, 2)), 16, 10).cast("int") * size + 1, F.lit(size))
+
+
+def neighbours(rows: DataFrame) -> DataFrame:
+    """leaf, hub: nodes of rows(k, sid, root, sign) next to each other in the order of sign, of one
+    region but of different components."""
+    ordered = rows.repartitionByRange("sign", "sid").sortWithinPartitions("sign", "sid").select("k", "root", "sid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            k, root, sid = pa.Table.from_batches([*held, batch]).combine_chunks().columns
+            held = [batch.slice(len(batch) - 1)]
+            near = pc.and_(pc.equal(k[1:], k[:-1]), pc.not_equal(root[1:], root[:-1])).combine_chunks()
+            yield pa.RecordBatch.from_arrays([x.combine_chunks().filter(near) for x in (sid[1:], sid[:-1])], names=["leaf", "hub"])
+
+    found = ordered.mapInArrow(run, "leaf binary, hub binary")
+    return written(found.select(F.least("leaf", "hub").alias("leaf"), F.greatest("leaf", "hub").alias("hub")).distinct(), "neighbours")
+
+
+def searched(rows: DataFrame, at: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """a, b: links between components of open regions, enough to join those that are linked."""
+    dealt = tiles(rows).join(at.select("sid", "n_shingles", "signs"), "sid")
 
     def likely(tile: pa.Table) -> Iterator[pa.RecordBatch]:
         rows = Region(tile, width).likely(percent)
@@ -348,24 +373,22 @@ def _across(regions: DataFrame, label: DataFrame, at: DataFrame, nodes: DataFram
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], names=["a", "b"])
 
-    dealt = dealt.select(*TILE, "sid", "root", "asks", "here", "n_shingles", "signs", "sketch")
+    dealt = dealt.select(*TILE, "sid", "root", "asks", "here", "n_shingles", "signs")
     near = written(_by_tile(dealt, likely, dealt.schema), "likely-rows")
     near = near.join(texts_of(near, nodes, docs, width), "sid")
-    return written(_by_tile(near, links, "a binary, b binary"), "more-links"), hot
+    return written(_by_tile(near, links, "a binary, b binary"), "more-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of docs(doc_id, text)."""
-    base = depth, trees = forest_shape(docs.count(), percent)
+    depth, trees = forest_shape(docs.count(), percent)
     rows = written(sketched(docs, width, depth, trees), "sketches")
-    nodes = rows.where("sid IS NOT NULL").groupBy("sid").agg(
-        F.min("doc_id").alias("lo"), *(F.first(c).alias(c) for c in ("n_shingles", "signs", "sketch"))
-    )
+    nodes = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("lo"), *(F.first(c).alias(c) for c in ("n_shingles", "signs")))
     at = nodes = written(nodes, "nodes")
-    links = label = None
+    found = label = None
     for level in range(LEVELS):
-        size = 2 * (depth + 1)
-        each = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("signs", t * size + 1, F.lit(size)))
+        size = 2 * (depth + STEP + 1)
+        each = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("signs", t * size + 1, F.lit(2 * (depth + 1))))
         members = at.select("sid", F.explode(each).alias("k"))
         sizes = written(members.groupBy("k").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "region-sizes")
         regions = members.join(sizes, "k").withColumn("root", F.col("sid"))
@@ -376,21 +399,32 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         heads = regions.join(shared, "sid").groupBy("k").agg(F.max(F.struct("shared", "sid", "root")).alias("head"))
         heads = written(heads.select("k", F.col("head.sid").alias("hub"), F.col("head.root").alias("hub_root")), "heads")
         pairs = regions.join(heads, "k").where("root <> hub_root").select(F.col("sid").alias("leaf"), "hub").distinct()
-        found = confirmed(written(pairs, "head-pairs"), nodes, docs, width, percent)
-        links = found if links is None else written(links.unionByName(found), "links-so-far")
-        label = components(links)
-
-        more, hot = _across(regions, label, at, nodes, docs, width, percent, level == LEVELS - 1)
-        if not more.isEmpty():
-            links = written(links.unionByName(more), "all-links")
-            label = components(links)
+        links = confirmed(written(pairs, "head-pairs"), nodes, docs, width, percent)
+        found = links if found is None else written(found.unionByName(links), "links-so-far")
+        label = components(found)
+
+        rows_left = open_regions(regions, label)
+        signed = rows_left.join(at.select("sid", "signs"), "sid").select("k", "sid", "root", sign_in(F.col("k"), F.col("signs"), size).alias("sign"))
+        pairs = neighbours(signed)
+        if not (links := confirmed(pairs, nodes, docs, width, percent)).isEmpty():
+            found = written(found.unionByName(links), "links-so-far")
+            label = components(found)
+            rows_left = open_regions(rows_left, label)
+        hot = None
+        if level < LEVELS - 1 and not rows_left.where(F.col("n_asks") > BLOCK).isEmpty():
+            hot = written(rows_left.where(F.col("n_asks") > BLOCK).select("sid").distinct(), "nodes-to-split")
+            rows_left = rows_left.where(F.col("n_asks") <= BLOCK)
+        links = searched(rows_left, at, nodes, docs, width, percent)
+        if not links.isEmpty():
+            found = written(found.unionByName(links), "all-links")
+            label = components(found)
         if hot is None:
             break
         depth, trees = depth + STEP, trees_at(depth + STEP, percent)
-        deep = deeper(texts_of(hot, nodes, docs, width), width, base, depth, trees)
-        at = written(deep.join(nodes.select("sid", "n_shingles", "sketch"), "sid"), "deeper-nodes")
-    named = written(label.join(nodes.select("sid", "lo"), F.col("v") == F.col("sid")).select("v", "root", "lo"), "named")
-    least = written(named.groupBy("root").agg(F.min("lo").alias("component_id")), "classes")
+        deep = deeper(texts_of(hot, nodes, docs, width), width, depth, trees)
+        at = written(deep.join(nodes.select("sid", "n_shingles"), "sid"), "deeper-nodes")
+    named = label.join(nodes.select("sid", "lo"), F.col("v") == F.col("sid")).select("v", "root", "lo")
+    least = named.groupBy("root").agg(F.min("lo").alias("component_id"))
     linked = named.join(least, "root").select("v", "component_id")
     classes = nodes.select("sid", "lo").join(linked, F.col("sid") == F.col("v"), "left")
     classes = written(classes.select("sid", F.coalesce("component_id", "lo").alias("component_id")), "set-classes")

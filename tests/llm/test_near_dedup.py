@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from simsift.llm import near_dedup as nd
 from simsift.llm import queries
@@ -137,22 +138,34 @@ def test_signatures_sort_and_go_on_deeper():
     rng = np.random.default_rng(3)
     sets = [rng.integers(0, 1 << 63, 40).astype(np.uint64) for _ in range(5)]
     sets.append(np.append(sets[0][:39], sets[1][:1]))
-    base = depth, trees = nd.forest_shape(1)
-    short = nd.signatures(nd.minhashes(sets, np.arange(depth * trees)), trees)
-    more = nd.trees_at(depth + nd.STEP, 80)
-    long = nd.signatures(nd.minhashes(sets, nd.hash_numbers(base, depth + nd.STEP, more).ravel()), more)
-    a, b = 2 * (depth + 1), 2 * (depth + nd.STEP + 1)
+    depth, trees = nd.forest_shape(1)
+    short, more = nd.signatures(sets, depth, trees), nd.trees_at(depth + nd.STEP, 80)
+    long = nd.signatures(sets, depth + nd.STEP, more)
+    a, b = 2 * (depth + nd.STEP + 1), 2 * (depth + 2 * nd.STEP + 1)
     assert more > trees and all(len(x) == a * trees and len(y) == b * more for x, y in zip(short, long))
     for x, y in zip(short, long):
         assert all(x[t * a : t * a + a] == y[t * b : t * b + a] for t in range(trees))
-    assert sum(long[0][t * b : t * b + b] == long[5][t * b : t * b + b] for t in range(more)) > 0
+    assert sum(long[0][t * b : t * b + a] == long[5][t * b : t * b + a] for t in range(more)) > 0
     assert (1 - 0.8 ** (depth + nd.STEP)) ** more <= nd.MISS / nd.LEVELS
 
 
+def test_neighbours_have_the_longest_common_prefix(spark):
+    rng = random.Random(9)
+    b = lambda i: i.to_bytes(4, "big")
+    rows = [(b(t) + bytes(rng.choice(b"ab") for _ in range(3)), i, rng.randint(0, 3)) for t in range(2) for i in range(60)]
+    rows = sorted((sign, b(100 * sign[3] + i), root) for sign, i, root in rows)
+    table = spark.createDataFrame([(s[:5], sid, b(root), s) for s, sid, root in rows], "k binary, sid binary, root binary, sign binary")
+    want = {(min(x[1], y[1]), max(x[1], y[1])) for x, y in zip(rows, rows[1:]) if x[0][:5] == y[0][:5] and x[2] != y[2]}
+    whole = {tuple(map(bytes, r)) for r in nd.neighbours(table.coalesce(1)).select("leaf", "hub").collect()}
+    assert whole <= want and len(want - whole) < 8
+    k, signs = spark.range(1).select(F.lit(b(0)[:2] + b(7)).alias("k"), F.lit(bytes(range(20))).alias("s")).select("k", nd.sign_in(F.lit(b"\x00\x01xx"), F.col("s"), 10)).first()
+    assert bytes(signs) == bytes(range(10, 20))
+
+
 def test_families_of_unlinked_texts(make, monkeypatch):
     monkeypatch.setattr(nd, "BLOCK", 8)
     depths, plain = [], nd.deeper
-    monkeypatch.setattr(nd, "deeper", lambda texts, width, base, depth, trees: depths.append(depth) or plain(texts, width, base, depth, trees))
+    monkeypatch.setattr(nd, "deeper", lambda texts, width, depth, trees: depths.append(depth) or plain(texts, width, depth, trees))
     rows = family(5, 60, 0.07)
     got = nd.near_duplicates(make([(i, t, "en", "s") for i, t in rows]).repartition(3), 2)
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows, 2)
