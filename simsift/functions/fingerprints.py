@@ -18,7 +18,14 @@ def tokens(text: Column, pattern: str = r"[ \t\n\r]+") -> Column:
 def token_bits(text: Column, bits: int = BITS) -> Column:
     """Distinct bit positions of the lower-cased tokens: the first 32 bits of a token's MD5, modulo bits."""
     position = lambda t: (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % bits).cast("int")
-    return F.array_distinct(F.transform(tokens(F.lower(text)), position))
+    return F.array_distinct(F.transform(F.array_distinct(tokens(F.lower(text))), position))
+
+
+def packed(bits: Column, size: int = BITS) -> Column:
+    """Distinct bit positions as size / 64 words, bit i of word w set for position 64 w + i."""
+    one = lambda b: F.call_function("shiftleft", F.lit(1).cast("bigint"), b.bitwiseAND(F.lit(63)))
+    own = lambda w: F.filter(bits, lambda b: F.shiftright(b, 6) == w)
+    return F.transform(F.sequence(F.lit(0), F.lit(size // 64 - 1)), lambda w: F.aggregate(own(w), F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(one(b))))
 
 
 def sign_bits(vector: Column, dims: int) -> list[Column]:

@@ -15,19 +15,22 @@ def tanimoto(both: Column, left: Column, right: Column) -> Column:
 
 
 def set_tanimoto(bits: Column, query: list[int]) -> Column:
-    """Of an array of distinct positions and a query's positions."""
+    """Of an array of distinct positions and a query's positions; the intersection is made once."""
     asked = F.array(*[F.lit(int(b)) for b in sorted(query)]).cast("array<int>")
-    return tanimoto(F.size(F.array_intersect(bits, asked)), F.size(bits), F.lit(len(query)))
+    both = F.array(F.size(F.array_intersect(bits, asked)))
+    return F.get(F.transform(both, lambda n: tanimoto(n, F.size(bits), F.lit(len(query)))), F.lit(0))
 
 
 def popcount(words: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, (F.bit_count(w) for w in words))
 
 
-def word_tanimoto(words: list[Column], query: list[int]) -> Column:
-    """Of packed words and a query's packed words, unrolled into one generated expression."""
-    both = reduce(lambda a, b: a + b, (F.bit_count(w.bitwiseAND(F.lit(q).cast("bigint"))) for w, q in zip(words, query)))
-    return tanimoto(both, popcount(words), F.lit(sum((q & (1 << 64) - 1).bit_count() for q in query)))
+def word_tanimoto(words: list[Column], query: list[int], count: Column | None = None) -> Column:
+    """Of packed words and a query's packed words, unrolled into one generated expression; words in
+    which the query has no bit aren't looked at if the record's count of bits is given."""
+    both = [F.bit_count(w.bitwiseAND(F.lit(q).cast("bigint"))) for w, q in zip(words, query) if q]
+    total = F.lit(sum((q & (1 << 64) - 1).bit_count() for q in query))
+    return tanimoto(reduce(lambda a, b: a + b, both, F.lit(0)), popcount(words) if count is None else count, total)
 
 
 def popcount_bounds(query_bits: int, cutoff: float) -> tuple[int, int]:

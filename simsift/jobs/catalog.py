@@ -14,16 +14,23 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from simsift.functions import records, similarity, smiles
-from simsift.functions.fingerprints import sign_bits
+from simsift.functions.fingerprints import packed, query_words, sign_bits
+from simsift.jobs.merge import merge
+from simsift.jobs.report import report
+from simsift.jobs.search import search as search_shards
+from simsift.jobs.search import shard_hits, shard_metadata
+from simsift.jobs.split import split
 from simsift.operators import brackets, chunks, recover, search, shards
-from simsift.sources import cxsmiles, sinks
+from simsift.sources import cxsmiles, manifest, sinks
 from simsift.space import new_folder, read_table, written
 from simsift.streaming.top_k import fold_top_k
 
-TOP_K, GROUP_K, CUTOFF, TASKS, CHUNK = 100, 5, 0.1, 7, 10_000
+TOP_K, GROUP_K, LARGE_GROUP_K, CUTOFF, TASKS, CHUNK = 100, 5, 2_500, 0.1, 7, 10_000
 #: Brackets over the scores that documents have.
 WIDE = [(i / 10, (i + 1) / 10) for i in range(9, -1, -1)]
 DIMS = 64
+#: Of the jobs over documents: documents an archive, shards, K and cutoff of a shard, K of the merge.
+DOCS, SHARDS, SHARD_K, SHARD_CUTOFF, MERGE_K = 90, 2, 40, 0.05, 30
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,7 +52,7 @@ WITH manifest AS (SELECT source AS source_file, CAST(row_number() OVER (ORDER BY
 fp AS (SELECT doc_id AS ligand_line, source AS source_file, text AS record,
               list_distinct(list_transform(list_filter(string_split_regex(lower(text), '[ \\t\\n\\r]+'), lambda t: t <> ''),
                                            lambda t: CAST(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % 2048 AS INT))) AS bits FROM documents),
-library AS (SELECT * FROM fp JOIN manifest USING (source_file)),
+library AS (SELECT fp.*, archive_index FROM fp JOIN manifest ON fp.source_file IS NOT DISTINCT FROM manifest.source_file),
 q AS (SELECT bits AS qb FROM fp WHERE ligand_line = 0),
 sized AS (SELECT *, len(list_intersect(bits, qb)) AS x FROM library, q WHERE len(bits) > 0),
 scored AS (SELECT archive_index, source_file, ligand_line, x / (len(bits) + len(qb) - x) AS tanimoto FROM sized),
@@ -62,6 +69,11 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.scored(*_library(spark, sf_dir))
 
 
+def _every_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    library, query = _library(spark, sf_dir)
+    return library.select("archive_index", search.score_of(query).alias("tanimoto"))
+
+
 @registered(LIBRARY + f"SELECT rank, tanimoto, archive_index, source_file, ligand_line FROM best WHERE rank <= {TOP_K}")
 def similarity_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score, cut to the K best, rank."""
@@ -76,7 +88,7 @@ def similarity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(LIBRARY + f"SELECT tanimoto, archive_index, ligand_line FROM scored WHERE tanimoto >= {CUTOFF}")
 def similarity_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.above(_scored(spark, sf_dir), CUTOFF).select("tanimoto", "archive_index", "ligand_line")
+    return search.scored(*_library(spark, sf_dir), cutoff=CUTOFF).select("tanimoto", "archive_index", "ligand_line")
 
 
 @registered(
@@ -94,7 +106,7 @@ def topk_partial_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By way of archive and shard lists: the same rows as one search."""
     docs = read_table(spark, sf_dir, "documents")
     hits = search.scored(search.document_library(docs), search.query_bits(docs))
-    best = search.top_by_levels(hits, search.manifest_of(docs, "source"), TOP_K, TASKS)
+    best = search.top_by_levels(hits, search.manifest_of(docs, "source").count(), TOP_K, TASKS)
     return search.ranked(best).select("rank", "tanimoto", "archive_index", "ligand_line")
 
 
@@ -105,7 +117,7 @@ _METRICS = f"""archives AS (SELECT archive_index, count(*) AS records, count(*)
 
 @registered(f"{LIBRARY}, {_METRICS} SELECT *, least(passing_cutoff, {TOP_K}) AS retained FROM archives")
 def archive_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.archive_counts(*_library(spark, sf_dir), CUTOFF, TOP_K)
+    return search.archive_counts(_every_score(spark, sf_dir), CUTOFF, TOP_K)
 
 
 @registered(
@@ -117,7 +129,7 @@ def archive_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM archives JOIN t ON archive_index >= a AND archive_index < b GROUP BY task_index"""
 )
 def shard_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archives = written(search.archive_counts(*_library(spark, sf_dir), CUTOFF, TOP_K), "archive-metrics")
+    archives = written(search.archive_counts(_every_score(spark, sf_dir), CUTOFF, TOP_K), "archive-metrics")
     return search.shard_counts(archives, archives.count(), TASKS, TOP_K)
 
 
@@ -142,6 +154,38 @@ def needed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recover.needed(search.top(_scored(spark, sf_dir), TOP_K))
 
 
+_LARGE = f"SELECT rank, tanimoto, archive_index, ligand_line FROM best WHERE rank <= (SELECT count(*) * 3 // 5 FROM documents)"
+
+
+@registered(LIBRARY + _LARGE)
+def similarity_topk_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K beyond what one task may hold, three fifths of the library: cut by counts, not by sorting."""
+    hits = written(_scored(spark, sf_dir), "hits")
+    k = max(1, read_table(spark, sf_dir, "documents").count() * 3 // 5)
+    return search.ranked(search.first_k(hits, k)).select("rank", "tanimoto", "archive_index", "ligand_line")
+
+
+@registered(
+    LIBRARY
+    + f"""SELECT archive_index, group_rank, tanimoto, ligand_line FROM (SELECT *, CAST(row_number() OVER (
+    PARTITION BY archive_index ORDER BY tanimoto DESC, ligand_line) AS INT) AS group_rank FROM scored) WHERE group_rank <= {LARGE_GROUP_K}"""
+)
+def topk_per_archive_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K beyond the planner's group limit."""
+    best = search.top_in_groups(_scored(spark, sf_dir), LARGE_GROUP_K, "archive_index")
+    return best.select("archive_index", "group_rank", "tanimoto", "ligand_line")
+
+
+@registered(LIBRARY + f"SELECT tanimoto, archive_index, ligand_line FROM scored WHERE tanimoto >= {CUTOFF}")
+def packed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The library's 2,048-bit fingerprints packed and stored once in order of popcount; the cutoff's
+    bound prunes the scan, bit counts score what is left."""
+    library, query = _library(spark, sf_dir)
+    stored, path = library.select("archive_index", "source_file", "ligand_line", F.size("bits").alias("popcount"), packed(F.col("bits")).alias("words")), new_folder(spark, "packed")
+    stored.repartitionByRange("popcount", "archive_index", "ligand_line").sortWithinPartitions("popcount").write.parquet(path)
+    return search.scored_packed(spark.read.parquet(path), query_words(query), CUTOFF).select("tanimoto", "archive_index", "ligand_line")
+
+
 @registered(LIBRARY + f"SELECT rank, tanimoto, source_file, ligand_line FROM best WHERE rank <= {TOP_K}")
 def locator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.locators(search.ranked(search.top(_scored(spark, sf_dir), TOP_K)))
@@ -206,43 +250,138 @@ def manifest_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.manifest_digest(search.manifest_of(read_table(spark, sf_dir, "documents"), "source"))
 
 
-def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run metadata of shards that documents' languages stand for."""
+def _document_archives(spark: SparkSession, sf_dir: str, size: int = DOCS) -> str:
+    """A manifest of archives that hold the documents in order of doc_id, a line each."""
     docs = read_table(spark, sf_dir, "documents")
-    lang = F.dense_rank().over(W.orderBy("lang"))
-    per = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("records"), F.max("n_chars").alias("longest")).withColumn("task_index", lang)
-    text = lambda k: F.lit(k).cast("string")
-    return per.select(
-        "task_index",
-        F.lit(4).alias("task_count"),
-        text("digest").alias("manifest_sha256"),
-        F.col("records").alias("manifest_archive_count"),
-        F.when(F.col("task_index") > 2, text("CCO")).otherwise(text("CCN")).alias("query_smiles"),
-        F.lit(TOP_K).alias("top_k"),
-        F.when(F.col("task_index") > 1, F.lit(0.6)).alias("min_tanimoto"),
-        F.lit(2).alias("radius"),
-        F.lit(2048).alias("fp_size"),
-        F.lit(False).alias("use_chirality"),
-        F.lit(None).cast("int").alias("header_lines"),
-    )
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\n]+", " ")
+    rows = docs.select(F.lit("docs").alias("base"), F.col("doc_id").alias("line"), text.alias("record"))
+    folder = new_folder(spark, "document-archives")
+    files = cxsmiles.write_chunks(rows, size, "header", folder)
+    manifest.write_manifest(f"{folder}/manifest.txt", [r["file"] for r in files.orderBy("chunk").toLocalIterator()])
+    return f"{folder}/manifest.txt"
+
+
+def _query_text(spark: SparkSession, sf_dir: str) -> str:
+    row = read_table(spark, sf_dir, "documents").where("doc_id = 0").select("text").first()
+    return row["text"] if row is not None else ""
+
+
+def _searched(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The manifest and the shards' folder of a whole run."""
+    archives, out = _document_archives(spark, sf_dir), new_folder(spark, "shards")
+    search_shards(spark, archives, _query_text(spark, sf_dir), out, SHARDS, top_k=SHARD_K, min_tanimoto=SHARD_CUTOFF, kind="tokens")
+    return archives, out
+
+
+_RUN = f"""{LIBRARY}, n AS (SELECT count(DISTINCT doc_id // {DOCS}) AS n FROM documents),
+t AS (SELECT CAST(i AS INT) AS task_index, CAST(n * (i - 1) // {SHARDS} AS INT) AS slice_start, CAST(n * i // {SHARDS} AS INT) AS slice_end, CAST(n AS INT) AS n FROM n, generate_series(1, {SHARDS}) AS g(i)),
+every AS (SELECT task_index, CAST(doc_id // {DOCS} AS INT) AS archive, doc_id % {DOCS} AS line, tanimoto, s.ligand_line IS NOT NULL AS valid, text
+          FROM documents LEFT JOIN scored s ON doc_id = s.ligand_line JOIN t ON doc_id // {DOCS} >= slice_start AND doc_id // {DOCS} < slice_end),
+kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY task_index ORDER BY tanimoto DESC, archive, line) AS k FROM every WHERE tanimoto >= {SHARD_CUTOFF}) WHERE k <= {SHARD_K}),
+final AS (SELECT *, row_number() OVER (ORDER BY tanimoto DESC, archive, line) AS rank FROM kept)"""
+
+
+@registered(f"{_RUN} SELECT task_index, archive AS archive_index, line AS ligand_line, tanimoto FROM kept")
+def search_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole search over archives: every shard's hits, as the merge reads them."""
+    _, out = _searched(spark, sf_dir)
+    return shard_hits(spark, out, shard_metadata(spark, out)).select("task_index", "archive_index", "ligand_line", "tanimoto")
 
 
 @registered(
-    """WITH per AS (SELECT lang, count(*) AS records FROM documents GROUP BY lang), m AS (SELECT records, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS t FROM per),
-    v AS (SELECT count(DISTINCT records) AS r, count(DISTINCT t > 2) AS q, count(DISTINCT t > 1) AS c FROM m)
-    SELECT key, n AS n_values, n <= 1 AS agree FROM (SELECT unnest(['task_count', 'manifest_sha256', 'manifest_archive_count', 'query_smiles', 'top_k', 'min_tanimoto',
-      'radius', 'fp_size', 'use_chirality', 'header_lines']) AS key, unnest([1, 1, r, q, 1, c, 1, 1, 1, 1]) AS n FROM v)"""
+    f"""{_RUN} SELECT t.task_index, any_value(slice_start) AS slice_start, any_value(slice_end) AS slice_end, any_value(slice_end - slice_start) AS archive_count, any_value(n) AS manifest_archive_count,
+    count(*) AS total_records, count(*) FILTER (valid) AS valid_records, count(*) FILTER (tanimoto >= {SHARD_CUTOFF}) AS passing_cutoff,
+    least(count(*) FILTER (tanimoto >= {SHARD_CUTOFF}), {SHARD_K}) AS retained FROM t JOIN every USING (task_index) GROUP BY t.task_index"""
 )
-def metadata_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shards.agreement(_metadata(spark, sf_dir))
+def search_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, out = _searched(spark, sf_dir)
+    names = ["task_index", "slice_start", "slice_end", "archive_count", "manifest_archive_count", "total_records", "valid_records", "passing_cutoff", "retained"]
+    return shard_metadata(spark, out).select(*names)
+
+
+def _merged(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    archives, out = _searched(spark, sf_dir)
+    locators, csv = new_folder(spark, "locators"), new_folder(spark, "pipeline")
+    merge(spark, archives, out, SHARDS, locators, csv, MERGE_K, include_header=True, short="null")
+    return locators, csv
+
+
+_DOCS_FILE = "'docs.part' || lpad(CAST(archive AS VARCHAR), 5, '0') || '.cxsmiles.bz2'"
+
+
+@registered(f"{_RUN} SELECT CAST(rank AS VARCHAR) AS rank, format('{{:.10f}}', tanimoto) AS tanimoto, {_DOCS_FILE} AS source_file, CAST(line AS VARCHAR) AS ligand_line FROM final WHERE rank <= {MERGE_K}")
+def merge_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards checked and merged; the locator file's text, ten decimals and all, but for the folder."""
+    locators, _ = _merged(spark, sf_dir)
+    rows = spark.read.option("sep", "\t").option("header", True).schema("rank string, tanimoto string, source_file string, ligand_line string").csv(locators)
+    return rows.withColumn("source_file", F.element_at(F.split("source_file", "/"), -1))
+
+
+_PARTS = r"list_filter(string_split_regex(text, '[\s\x1c-\x1f\x{00A0}\x{0085}\p{Z}]+'), lambda t: t <> '')"
 
 
 @registered(
-    """WITH m AS (SELECT dense_rank() OVER (ORDER BY lang NULLS FIRST) AS t FROM (SELECT DISTINCT lang FROM documents))
-    SELECT i AS task_index FROM generate_series(1, 7) AS g(i) WHERE i NOT IN (SELECT t FROM m)"""
+    f"""{_RUN} SELECT p[1] AS smiles, CASE WHEN len(p) >= 12 THEN p[len(p) - 10] END AS ligand_name, {_DOCS_FILE} AS source_file, tanimoto
+    FROM (SELECT *, {_PARTS} AS p FROM final) WHERE rank <= {MERGE_K}"""
 )
+def merge_pipeline_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge's CSV with its header: records recovered from the archives' lines."""
+    _, csv = _merged(spark, sf_dir)
+    return sinks.read_pipeline(spark, csv, header=True).withColumn("source_file", F.element_at(F.split("source_file", "/"), -1))
+
+
+@registered(
+    f"""SELECT 'docs.part00000.part' || lpad(CAST(doc_id // {DOCS} AS VARCHAR), 5, '0') || '.cxsmiles.bz2' AS file, doc_id // {DOCS} AS chunk, count(*) AS records,
+    CAST(sum(length(regexp_replace(coalesce(text, ''), '[\r\n]+', ' ', 'g'))) AS BIGINT) AS letters FROM documents GROUP BY ALL"""
+)
+def split_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One archive of all documents split into verified chunks; the published files, read back."""
+    [whole] = manifest.read_manifest(_document_archives(spark, sf_dir, 1 << 40))
+    files = split(spark, whole, DOCS).orderBy("chunk").collect()
+    rows = cxsmiles.read_archives(spark, [r["file"] for r in files])
+    per = rows.groupBy(F.element_at(F.split("source_file", "/"), -1).alias("file"), F.col("archive_index").cast("bigint").alias("chunk"))
+    return per.agg(F.count(F.lit(1)).alias("records"), F.sum(F.length("record")).alias("letters"))
+
+
+def _pipeline_csv(spark: SparkSession, sf_dir: str) -> str:
+    path = new_folder(spark, "pipeline")
+    sinks.write_pipeline(_pipeline(spark, sf_dir), path)
+    return path
+
+
+_JOB_BRACKETS = f"""brackets(bracket, low, high, label) AS (VALUES {_WIDE}),
+inside AS (SELECT bracket, CAST(ligand_line AS VARCHAR) AS ligand_name, source_file, tanimoto FROM best JOIN brackets ON tanimoto >= low AND tanimoto < high WHERE tanimoto < 1 AND rank <= {TOP_K}),
+drawn AS (SELECT *, ligand_name || '|' || source_file AS key, row_number() OVER (PARTITION BY bracket ORDER BY md5('42|' || ligand_name || '|' || source_file), ligand_name || '|' || source_file) AS n FROM inside),
+picks AS (SELECT *, CAST(row_number() OVER (PARTITION BY bracket ORDER BY tanimoto DESC, key) AS INT) AS slot FROM drawn WHERE n <= 5)"""
+
+
+@registered(
+    f"""{LIBRARY}, {_JOB_BRACKETS} SELECT bracket, slot, label, ligand_name, tanimoto, tanimoto IS NULL AS is_placeholder
+    FROM (SELECT bracket, label, CAST(s AS INT) AS slot FROM brackets, generate_series(1, 5) AS g(s)) LEFT JOIN picks USING (bracket, slot)"""
+)
+def report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = report(spark, _pipeline_csv(spark, sf_dir), new_folder(spark, "report"), ranges=WIDE)
+    return found.select("bracket", "slot", "label", "ligand_name", "tanimoto", "is_placeholder")
+
+
+@registered(
+    """SELECT key, CASE WHEN key IN ('top_k', 'min_tanimoto') THEN 2 ELSE 1 END AS n_values, key NOT IN ('top_k', 'min_tanimoto') AS agree FROM (SELECT unnest(['task_count', 'manifest_sha256',
+    'manifest_archive_count', 'query_smiles', 'top_k', 'min_tanimoto', 'radius', 'fp_size', 'use_chirality', 'header_lines']) AS key) WHERE EXISTS (SELECT 1 FROM documents)"""
+)
+def metadata_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two searches over the documents' archives whose K and cutoff differ, each of one shard."""
+    archives, out, query = _document_archives(spark, sf_dir), new_folder(spark, "shards"), _query_text(spark, sf_dir)
+    search_shards(spark, archives, query, out, SHARDS, [1], top_k=SHARD_K, min_tanimoto=SHARD_CUTOFF, kind="tokens")
+    search_shards(spark, archives, query, out, SHARDS, [2], top_k=2 * SHARD_K, kind="tokens")
+    return shards.agreement(shard_metadata(spark, out))
+
+
+@registered(f"SELECT CAST(i AS BIGINT) AS task_index FROM generate_series(2, {SHARDS}) AS g(i) WHERE EXISTS (SELECT 1 FROM documents)")
 def missing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shards.missing_tasks(_metadata(spark, sf_dir), TASKS)
+    """A run of which one shard was searched."""
+    archives, out = _document_archives(spark, sf_dir), new_folder(spark, "shards")
+    done = search_shards(spark, archives, _query_text(spark, sf_dir), out, SHARDS, [1], top_k=SHARD_K, kind="tokens")
+    return shards.missing_tasks(done, SHARDS)
 
 
 _LINES = "SELECT l_orderkey * 10 + l_linenumber AS line FROM lineitem"
@@ -264,9 +403,6 @@ def chunk_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.verified(chunks.assigned(lines, CHUNK), CHUNK)
 
 
-_PARTS = r"list_filter(string_split_regex(text, '[\s\x1c-\x1f\x{00A0}\x{0085}\p{Z}]+'), lambda t: t <> '')"
-
-
 @registered(f"SELECT doc_id, p[1] AS smiles, p[4] AS fourth, CASE WHEN len(p) >= 11 THEN p[len(p) - 10] END AS id, greatest(len(p) - 12, 0) AS n_annotations FROM (SELECT doc_id, {_PARTS} AS p FROM documents)")
 def tokenize_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = records.record_tokens(F.col("text"))
@@ -342,20 +478,22 @@ def popcount_bound_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def legacy_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single precision, strict threshold."""
     library, query = _library(spark, sf_dir)
-    hits = search.scored(library, query, single_precision=True).where(F.col("tanimoto") > F.lit(CUTOFF).cast("float"))
+    hits = search.scored(library, query, single_precision=True, cutoff=CUTOFF, strict=True)
     return search.ranked(search.top(hits, TOP_K)).select("rank", "tanimoto", "archive_index", "ligand_line")
 
 
 @registered(LIBRARY + f"SELECT rank, tanimoto, archive_index, ligand_line FROM best WHERE rank <= {TOP_K}")
 def stream_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New files of the library folded into a stored list, batch by batch."""
+    """New files of the library folded into a stored list, a file a batch."""
     docs = read_table(spark, sf_dir, "documents")
-    query, manifest = search.query_bits(docs), search.manifest_of(docs, "source")
-    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 4).parquet(f"{sf_dir}/documents.parque[t]")
+    query, archives = search.query_bits(docs), search.manifest_of(docs, "source")
+    arriving = new_folder(spark, "arriving")
+    docs.repartition(5, "doc_id").write.parquet(arriving)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
 
     def score(batch: DataFrame) -> DataFrame:
         rows = batch.select(F.col("source").alias("source_file"), F.col("doc_id").alias("ligand_line"), search.token_bits(F.col("text")).alias("bits"))
-        return search.scored(rows.join(manifest, "source_file"), query)
+        return search.scored(search.with_archive_index(rows, archives), query)
 
     return search.ranked(fold_top_k(stream, score, TOP_K)).select("rank", "tanimoto", "archive_index", "ligand_line")
 
@@ -400,7 +538,7 @@ def ecfp_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     library = cxsmiles.read_archives(spark, paths)
     parts = library.withColumn("smiles", records.structure(records.record_tokens(F.col("record"))))
     query = smiles.query_fingerprint("CCCCO")
-    hits = search.scored(smiles.fingerprints(parts.drop("record")), query)
+    hits = search.scored_packed(smiles.fingerprints(parts.drop("record")), query)
     best = written(search.ranked(search.top(hits, TOP_K)), "ecfp-hits")
     last = {r["archive_index"]: r["last_line"] for r in recover.needed(best).toLocalIterator()}
     found = recover.recover_all(best, cxsmiles.read_archives(spark, paths, last_lines=last))
@@ -408,13 +546,33 @@ def ecfp_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("rank", "tanimoto", "archive_index", "ligand_line", records.structure(parts).alias("smiles"), records.identifier(parts).alias("id"))
 
 
-@registered(LIBRARY + f"SELECT CAST(rank AS VARCHAR) AS rank, CAST(round(tanimoto, 6) AS DOUBLE) AS tanimoto, source_file, CAST(ligand_line AS VARCHAR) AS ligand_line FROM best WHERE rank <= {TOP_K}")
-def locator_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tab-separated file, read back."""
+_LOCATOR = "SELECT CAST(rank AS VARCHAR) AS rank, format('{:.%df}', tanimoto) AS tanimoto, source_file, CAST(ligand_line AS VARCHAR) AS ligand_line FROM best WHERE rank <= %d"
+
+
+def _locator_file(spark: SparkSession, ranked: DataFrame, digits: int) -> DataFrame:
     path = new_folder(spark, "locators")
-    sinks.write_locators(search.ranked(search.top(_scored(spark, sf_dir), TOP_K)), path)
-    rows = spark.read.option("sep", "\t").option("header", True).csv(path)
-    return rows.withColumn("tanimoto", F.round(F.col("tanimoto").cast("double"), 6))
+    sinks.write_locators(ranked, path, digits)
+    return spark.read.option("sep", "\t").option("header", True).schema("rank string, tanimoto string, source_file string, ligand_line string").csv(path)
+
+
+@registered(LIBRARY + _LOCATOR % (10, TOP_K))
+def locator_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tab-separated file's text, read back: ten decimals."""
+    return _locator_file(spark, search.ranked(search.top(_scored(spark, sf_dir), TOP_K)), 10)
+
+
+@registered(
+    LIBRARY
+    + f""", legacy AS (SELECT archive_index, source_file, ligand_line, CAST(tanimoto AS FLOAT) AS tanimoto FROM scored WHERE CAST(tanimoto AS FLOAT) > CAST({CUTOFF} AS FLOAT))
+    SELECT CAST(rank AS VARCHAR) AS rank, format('{{:.6f}}', CAST(tanimoto AS DOUBLE)) AS tanimoto, source_file, CAST(ligand_line AS VARCHAR) AS ligand_line
+    FROM (SELECT *, row_number() OVER (ORDER BY tanimoto DESC, archive_index, ligand_line) AS rank FROM legacy) WHERE rank <= {TOP_K}"""
+)
+def legacy_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older file: single precision, six decimals, hits joined to the list of archives for their path."""
+    library, query = _library(spark, sf_dir)
+    best = search.ranked(search.top(search.scored(library, query, single_precision=True, cutoff=CUTOFF, strict=True), TOP_K)).drop("source_file")
+    listed = search.manifest_of(read_table(spark, sf_dir, "documents"), "source")
+    return _locator_file(spark, best.join(listed, "archive_index"), 6)
 
 
 @registered(

@@ -43,8 +43,9 @@ def sample(hits: DataFrame, key: str, brackets=None, n: int = SAMPLE, seed: int
     return picks.withColumn("slot", slot).drop("_place", "_n")
 
 
-def gallery(hits: DataFrame, key: str, brackets=None, n: int = SAMPLE, seed: int = SEED) -> DataFrame:
-    """n slots for each bracket; those without a pick are placeholders."""
+def gallery(hits: DataFrame, key: str, brackets=None, n: int = SAMPLE, seed: int = SEED, more: tuple[str, ...] = ()) -> DataFrame:
+    """n slots for each bracket with the key, score and more columns of its pick; those without one
+    are placeholders."""
     table = bracket_table(hits.sparkSession, brackets).select("bracket", "label", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("slot"))
-    picks = sample(hits, key, brackets, n, seed).select("bracket", "slot", key, "tanimoto")
+    picks = sample(hits, key, brackets, n, seed).select("bracket", "slot", key, *more, "tanimoto")
     return table.join(picks, ["bracket", "slot"], "left").withColumn("is_placeholder", F.col("tanimoto").isNull())

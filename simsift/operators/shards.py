@@ -60,7 +60,3 @@ def final_k(worker_k: int, asked: int | None) -> int:
     if not 1 <= k <= worker_k:
         raise ValueError(f"K must lie in 1..{worker_k}")
     return k
-
-
-def passing_percent(passing: Column, valid: Column) -> Column:
-    return F.when(valid > 0, 100.0 * passing / valid).otherwise(F.lit(0.0))

@@ -13,9 +13,11 @@ from __future__ import annotations
 import bz2
 import io
 import json
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -25,7 +27,7 @@ from simsift.sources.manifest import SUFFIX, opened
 from simsift.space import written
 
 SCHEMA = "archive_index int, source_file string, ligand_line bigint, record string"
-BATCH_ROWS = 50_000
+BATCH_ROWS, UNFINISHED = 50_000, ".unfinished"
 
 
 class Archive(InputPartition):
@@ -47,16 +49,19 @@ class ArchiveReader(DataSourceReader):
     def __init__(self, options: dict):
         self.paths = json.loads(options["paths"])
         self.header = int(options.get("header_lines", 1))
+        self.first = int(options.get("first_index", 0))
         last = options.get("last_lines")
         self.last = None if last is None else {int(k): int(v) for k, v in json.loads(last).items()}
 
     def partitions(self) -> list[InputPartition]:
-        numbered = list(enumerate(self.paths))
+        numbered = list(enumerate(self.paths, self.first))
         if self.last is None:
             return [Archive(i, p, None) for i, p in numbered]
         return [Archive(i, p, self.last[i]) for i, p in numbered if i in self.last]
 
-    def read(self, partition: Archive) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Archive | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # no archive holds a needed line
+            return
         rows: list[str] = []
         first = 0
         for line in lines_of(partition.path, self.header):
@@ -88,17 +93,22 @@ class ArchiveSource(DataSource):
         return ArchiveReader(self.options)
 
 
-def read_archives(spark: SparkSession, paths: list[str], header_lines: int = 1, last_lines: dict[int, int] | None = None) -> DataFrame:
+def read_archives(spark: SparkSession, paths: list[str], header_lines: int = 1, last_lines: dict[int, int] | None = None, first_index: int = 0) -> DataFrame:
+    """archive_index (counted from first_index), source_file, ligand_line, record."""
     spark.dataSource.register(ArchiveSource)
-    reader = spark.read.format("cxsmiles").option("paths", json.dumps(paths)).option("header_lines", header_lines)
+    reader = spark.read.format("cxsmiles").option("paths", json.dumps(paths)).option("header_lines", header_lines).option("first_index", first_index)
     if last_lines is not None:
         reader = reader.option("last_lines", json.dumps(last_lines))
     return reader.load()
 
 
-def write_chunks(records: DataFrame, size: int, header: str, folder: str) -> DataFrame:
+def write_chunks(records: DataFrame, size: int, header: str | None, folder: str) -> DataFrame:
     """Writes records(base, line, record) as archives of size records each, the header in every one;
-    returns the written files: file, chunk, records. A chunk is one task's work and never held whole."""
+    returns the written files: file, chunk, records. A chunk is one task's work and never held whole.
+
+    Tasks write under names of their own. Once the table of files is committed, its files get their
+    final names, and what lost or repeated attempts left behind is deleted.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, root = opened(folder)
@@ -109,30 +119,56 @@ def write_chunks(records: DataFrame, size: int, header: str, folder: str) -> Dat
                 if file != name:
                     if out is not None:
                         out.close()
-                    out, name = bz2.BZ2File(where.open_output_stream(f"{root}/{file}", compression=None), "w"), file
-                    out.write(header.encode() + b"\n")
-                    files.append([f"{folder}/{file}", chunk, 0])
+                    own = f"{root}/{file}.{uuid.uuid4().hex}{UNFINISHED}"
+                    out, name = bz2.BZ2File(where.open_output_stream(own, compression=None), "w"), file
+                    if header is not None:
+                        out.write(header.encode() + b"\n")
+                    files.append([f"{folder}/{file}", own, chunk, 0])
                 out.write(record.encode() + b"\n")
-                files[-1][2] += 1
+                files[-1][3] += 1
         if out is not None:
             out.close()
-        columns = [pa.array(x, t) for x, t in zip(zip(*files), (pa.string(), pa.int64(), pa.int64()))] if files else [pa.array([], t) for t in (pa.string(), pa.int64(), pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["file", "chunk", "records"])
+        types = (pa.string(), pa.string(), pa.int64(), pa.int64())
+        columns = [pa.array([f[k] for f in files], t) for k, t in enumerate(types)]
+        yield pa.RecordBatch.from_arrays(columns, names=["file", "own", "chunk", "records"])
 
     chunk = chunk_of(F.col("line"), size)
     rows = records.select(chunk_name(F.col("base"), chunk).alias("file"), chunk.alias("chunk"), "record", "line")
     rows = rows.repartition("file").sortWithinPartitions("file", "line").select("file", "chunk", "record")
-    return written(rows.mapInArrow(write, "file string, chunk bigint, records bigint"), "chunks")
+    made = written(rows.mapInArrow(write, "file string, own string, chunk bigint, records bigint"), "chunks")
+    where, root = opened(folder)
+    where.create_dir(root, recursive=True)
+    for row in made.select("file", "own").toLocalIterator():
+        where.move(row["own"], f"{root}/{row['file'].rpartition('/')[2]}")
+    for info in where.get_file_info(fs.FileSelector(root)):
+        if info.path.endswith(UNFINISHED):
+            where.delete_file(info.path)
+    return made.drop("own")
+
+
+def headers_of(uri: str, header_lines: int) -> list[str]:
+    """The first header_lines lines of an archive; fewer if it has fewer."""
+    return [line.rstrip("\r\n") for line, _ in zip(lines_of(uri, 0), range(header_lines))]
 
 
-def verify_chunks(spark: SparkSession, files: list[str], size: int, total: int, header_lines: int = 1) -> None:
-    """Reads the chunks again; raises unless all but the last are full and all records are there."""
+def verify_chunks(spark: SparkSession, files: list[str], size: int, total: int, header_lines: int = 1, header: list[str] | None = None) -> None:
+    """Reads the chunks again; raises unless all but the last are full, all records are there and
+    each begins with the header."""
     if not total:
         raise ValueError("the archive has no record")
     counts = read_archives(spark, files, header_lines).groupBy("archive_index").agg(F.count(F.lit(1)).alias("n"))
     odd = counts.where((F.col("n") > size) | ((F.col("n") < size) & (F.col("archive_index") < len(files) - 1)))
-    if not odd.isEmpty() or counts.agg(F.sum("n")).first()[0] != total:
+    if not odd.isEmpty() or (counts.agg(F.sum("n")).first()[0] or 0) != total:
         raise ValueError(f"the chunks don't hold the {total} records in full chunks of {size}")
+    if header is not None:
+
+        def differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array([headers_of(f, header_lines) != header for f in batch.column(0).to_pylist()], pa.bool_()))
+
+        names = spark.createDataFrame([(f,) for f in files], "file string").repartition(min(len(files), 200))
+        if not names.mapInArrow(differing, "file string").isEmpty():
+            raise ValueError("a chunk's header differs from the archive's")
 
 
-__all__ = ["SUFFIX", "ArchiveSource", "read_archives", "verify_chunks", "write_chunks"]
+__all__ = ["SUFFIX", "ArchiveSource", "headers_of", "read_archives", "verify_chunks", "write_chunks"]

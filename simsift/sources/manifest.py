@@ -45,3 +45,10 @@ def read_manifest(uri: str) -> list[str]:
 
 def manifest_frame(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.createDataFrame(list(enumerate(paths)), "archive_index int, source_file string")
+
+
+def write_manifest(uri: str, paths: list[str]) -> None:
+    where, path = opened(uri)
+    where.create_dir(path.rpartition("/")[0], recursive=True)
+    with where.open_output_stream(path) as f:
+        f.write("".join(f"{p}\n" for p in paths).encode())

@@ -1,10 +1,12 @@
-"""Result files: ranked locators, the pipeline's CSV, shard lists with their metadata."""
+"""Result files: ranked locators and the pipeline's CSV, and how numbers stand in them."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from simsift.functions.records import MISSING, number
+
 PIPELINE = ("smiles", "ligand_name", "source_bz2", "tanimoto")
 
 
@@ -38,12 +40,10 @@ def read_pipeline(spark, path: str, header: bool = False) -> DataFrame:
     dropped, a header row by option."""
     schema = "smiles string, ligand_name string, source_file string, score string"
     rows = spark.read.schema(schema).option("header", header).option("escape", '"').csv(path)
-    from simsift.functions.records import MISSING, number
-
     rows = rows.withColumn("tanimoto", number(F.trim("score"))).drop("score")
     return rows.where(~F.col("smiles").isin(*MISSING)).dropna(subset=["smiles", "tanimoto"])
 
 
-def write_shards(hits: DataFrame, path: str) -> None:
-    """Hits by task; the writer's commit makes a shard appear whole or not at all."""
-    hits.write.partitionBy("task_index").parquet(path)
+def grouped(number: Column) -> Column:
+    """A whole number with thousands separators."""
+    return F.format_number(number, 0)

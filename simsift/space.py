@@ -11,16 +11,25 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; where the setting is missing (tests), a temporary one is set."""
+    """The cluster's shared folder. Only where driver and executors are one machine's single process
+    (tests) a missing setting is filled in; a cluster without it is refused."""
     root = spark.conf.get(SETTING, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{SETTING} must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="simsift-")
         spark.conf.set(SETTING, root)
     return root.rstrip("/")
 
 
+#: Folders made in this process, for `discard`.
+_made: list[str] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/simsift/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/simsift/{label}-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return folder
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -30,5 +39,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, whichever store it lies in, and the path as it knows it."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), name
+
+
+def discard(spark: SparkSession) -> None:
+    """Deletes every intermediate table and file of this process. Call it once results are saved:
+    frames that still read them can't be run again."""
+    while _made:
+        where, path = hadoop_path(spark, _made.pop())
+        where.delete(path, True)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

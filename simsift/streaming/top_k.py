@@ -1,7 +1,9 @@
 """The best K of a stream: each micro-batch is cut to its K best and folded into a stored list.
 
 Top K is associative, so folding batches gives what one search over all archives gives. The state
-is a table a batch; a batch that is run again writes the same table, so a restart counts no hit twice.
+is a table a batch, whole once its writer has committed it (_SUCCESS). A batch that runs again
+starts from the table before its own and writes its own anew, so a restart counts no hit twice; a
+restart without new files returns the newest committed table.
 """
 
 from __future__ import annotations
@@ -11,7 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from simsift.operators.search import top
-from simsift.space import new_folder
+from simsift.space import hadoop_path, new_folder
+
+
+def newest(spark: SparkSession, state: str, before: int | None = None) -> str | None:
+    """The committed table of the last batch (before a number), None if there is none."""
+    where, folder = hadoop_path(spark, state)
+    if not where.exists(folder):
+        return None
+    numbers = [int(n[6:]) for x in where.listStatus(folder) if (n := x.getPath().getName()).startswith("batch=")]
+    for n in sorted((n for n in numbers if before is None or n < before), reverse=True):
+        if where.exists(hadoop_path(spark, f"{state}/batch={n}/_SUCCESS")[1]):
+            return f"{state}/batch={n}"
+    return None
 
 
 def fold_top_k(stream: DataFrame, score: Callable[[DataFrame], DataFrame], k: int, state: str | None = None) -> DataFrame:
@@ -21,15 +35,12 @@ def fold_top_k(stream: DataFrame, score: Callable[[DataFrame], DataFrame], k: in
 
     def fold(batch: DataFrame, number: int) -> None:
         best = top(score(batch), k)
-        if number > 0:
-            best = top(best.unionByName(spark.read.schema(best.schema).parquet(f"{state}/batch={number - 1}")), k)
+        if (last := newest(spark, state, number)) is not None:
+            best = top(best.unionByName(spark.read.schema(best.schema).parquet(last)), k)
         best.write.mode("overwrite").parquet(f"{state}/batch={number}")
-        last[0] = number
 
-    last: list[int | None] = [None]
     query = stream.writeStream.foreachBatch(fold).option("checkpointLocation", f"{state}/progress").trigger(availableNow=True).start()
     query.awaitTermination()
-    if last[0] is None:
-        progress = [p["batchId"] for p in query.recentProgress]
-        last[0] = max(progress, default=0)
-    return spark.read.parquet(f"{state}/batch={last[0]}")
+    if (last := newest(spark, state)) is not None:
+        return spark.read.parquet(last)
+    return score(spark.createDataFrame([], stream.schema))

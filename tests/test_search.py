@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from simsift.functions import similarity, smiles
-from simsift.functions.fingerprints import query_words
+from simsift.functions.fingerprints import packed, query_words
 from simsift.operators import brackets, chunks, recover, search, shards
 
 HITS = "tanimoto double, archive_index int, source_file string, ligand_line bigint"
@@ -31,13 +31,58 @@ def test_top_is_the_sorted_prefix_however_partitioned(hits):
 
 
 def test_levels_and_unions_give_the_same_top(spark, hits):
-    manifest = spark.createDataFrame([(i, f"a{i}") for i in range(7)], "archive_index int, source_file string")
     want = sorted(hits.collect(), key=key)[:25]
-    assert sorted(search.top_by_levels(hits, manifest, 25, 3).collect(), key=key) == want
+    assert sorted(search.top_by_levels(hits, 7, 25, 3).collect(), key=key) == want
     parts = [search.top(hits.where(F.col("ligand_line") % 2 == k), 25) for k in (0, 1)]
     assert search.top(parts[0].unionByName(parts[1]), 25).collect() == want
 
 
+@pytest.mark.parametrize("k", [1, 7, 299, 600, 5000])
+def test_a_large_k_is_cut_by_counts(hits, monkeypatch, k):
+    """Ties over the edge, K above a partition's rows and above all rows, runs of few lines."""
+    monkeypatch.setattr(search, "RUN_BITS", 3)
+    rows = hits.collect()
+    assert sorted(search.first_k(hits, k).collect(), key=key) == sorted(rows, key=key)[:k]
+    per = search.first_k(hits, k, "archive_index").collect()
+    want = [r for a in range(7) for r in sorted((r for r in rows if r["archive_index"] == a), key=key)[:k]]
+    assert sorted(per, key=key) == sorted(want, key=key)
+    same = hits.withColumn("tanimoto", F.lit(0.5))
+    assert sorted(search.first_k(same, k).collect(), key=key) == sorted(same.collect(), key=key)[:k]
+    assert search.first_k(hits.limit(0), k).collect() == []
+
+
+def test_plans_of_a_large_k(hits):
+    text = search.top(hits, 1_000_000)._jdf.queryExecution().toString()
+    assert "TakeOrdered" not in text
+    large = search.top_in_groups(hits, 1_000_000, "archive_index")._jdf.queryExecution().toString()
+    assert "_edge" in large  # cut by counts before the window
+    assert "WindowGroupLimit" in search.top_in_groups(hits, 1000, "archive_index")._jdf.queryExecution().toString()
+
+
+def test_a_fingerprint_is_made_once_a_record(spark):
+    docs = spark.createDataFrame([(0, "a b c", "s"), (1, "a b d", "s"), (2, None, None), (3, "c", None)], "doc_id long, text string, source string")
+    hits = search.scored(search.document_library(docs), search.query_bits(docs), cutoff=0.1)
+    plan = hits.select("tanimoto")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("md5(") == 1 and plan.count("array_intersect(") == 1
+    assert {(r["ligand_line"], r["source_file"], r["archive_index"]) for r in hits.collect()} == {(0, "s", 0), (1, "s", 0), (3, None, 1)}
+    assert search.query_bits(docs.limit(0)) == []
+    assert search.scored(search.document_library(docs.limit(0)), []).collect() == []
+    assert {r["tanimoto"] for r in search.scored(search.document_library(docs), []).collect()} == {0.0}
+
+
+def test_packed_fingerprints_score_as_sets(spark):
+    rng = random.Random(8)
+    sets = [sorted(rng.sample(range(2048), rng.randint(0, 60))) for _ in range(40)] + [[63, 64, 127, 2047]]
+    query = sets[3] or [1]
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(sets)], "ligand_line long, bits array<int>").withColumns({"archive_index": F.lit(0), "source_file": F.lit("a")})
+    stored = rows.withColumn("words", packed(F.col("bits"))).withColumn("popcount", F.size("bits"))
+    assert [list(r["words"]) for r in stored.orderBy("ligand_line").collect()] == [query_words(s) for s in sets] == smiles.packed_words(sets).tolist()
+    for cutoff in (None, 0.05, 0.9):
+        a = search.scored(rows, query, cutoff=cutoff).select("ligand_line", "tanimoto").collect()
+        b = search.scored_packed(stored, query_words(query), cutoff).select("ligand_line", "tanimoto").collect()
+        assert sorted(a) == sorted(b)
+
+
 def test_ranks_are_contiguous_and_groups_bounded(hits):
     assert [r["rank"] for r in search.ranked(search.top(hits, 30)).orderBy("rank").collect()] == list(range(1, 31))
     assert {r["n"] for r in search.top_in_groups(hits, 4, "archive_index").groupBy("archive_index").agg(F.count("*").alias("n")).collect()} == {4}
@@ -165,6 +210,6 @@ def test_structures_named_in_the_analysis_parse():
     for s in ("O=C1NC(=S)NC(=O)C1=CC1=CC=NC=C1", "CC1=CC=CC=C1NC(=O)NCC2CCCCC2", "CN1C(=O)C=CC=C1C(=O)NC2CCCCN(C2)C(=O)CC3(C)CCCCC3", "[13CH3][C@@H](N)C(=O)[O-]"):
         bits = smiles.circular_bits(smiles.parse(s))
         assert len(bits) > 5 and bits == sorted(set(bits))
-    assert smiles.query_fingerprint("CCO") != smiles.query_fingerprint("CCN")
+    assert smiles.query_fingerprint("CCO") != smiles.query_fingerprint("CCN") and len(smiles.query_fingerprint("CCO")) == 32
     with pytest.raises(ValueError):
         smiles.query_fingerprint("C1CC")

@@ -47,7 +47,7 @@ def test_header_lines_and_early_stop(spark, library):
 def test_search_accepts_short_records_and_recovery_refuses_them(spark, library):
     rows = cxsmiles.read_archives(spark, library)
     parsed = rows.withColumn("smiles", records.structure(records.record_tokens(F.col("record")))).drop("record")
-    hits = search.top(search.scored(fingerprints(parsed), query_fingerprint("CCO")), 10).collect()
+    hits = search.top(search.scored_packed(fingerprints(parsed), query_fingerprint("CCO")), 10).collect()
     assert {(r["archive_index"], r["ligand_line"]) for r in hits if r["tanimoto"] == 1.0} == {(0, 0), (0, 3)}
     assert (0, 4) not in {(r["archive_index"], r["ligand_line"]) for r in hits}
     parts = records.record_tokens(F.col("record"))
@@ -69,6 +69,16 @@ def test_chunked_archives_round_trip(spark, tmp_path):
             cxsmiles.verify_chunks(spark, *wrong)
 
 
+def test_chunks_of_lost_attempts_are_deleted(spark, tmp_path):
+    folder = tmp_path / "c"
+    folder.mkdir()
+    (folder / f"x.part00000.cxsmiles.bz2.1234{cxsmiles.UNFINISHED}").write_bytes(b"half")
+    rows = spark.range(3).select(F.lit("x").alias("base"), F.col("id").alias("line"), F.lit("r").alias("record"))
+    cxsmiles.write_chunks(rows, 10, None, f"file://{folder}")
+    assert [p.name for p in folder.iterdir()] == ["x.part00000.cxsmiles.bz2"]
+    assert bz2.decompress((folder / "x.part00000.cxsmiles.bz2").read_bytes()) == b"r\nr\nr\n"
+
+
 def test_manifests(tmp_path, spark):
     for name in ("b/x.cxsmiles.bz2", "a/y.cxsmiles.bz2", "a/z_chunks.inprogress/z.part00000.cxsmiles.bz2", "a/note.txt", "b/x_chunks/x.part00000.cxsmiles.bz2"):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
