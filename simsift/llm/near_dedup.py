@@ -331,6 +331,7 @@ def open_regions(regions: DataFrame, label: DataFrame) -> DataFrame:
     counts = placed.groupBy("k", "root").count().groupBy("k")
     counts = counts.agg(F.max(F.struct("count", "root")).alias("most"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("n"))
     open_ = counts.where("n > 1").select("k", F.col("most.root").alias("largest"), (F.col("all") - F.col("most.count")).alias("n_asks"))
+    open_ = bounded(written(open_, "open-regions"))  # so a region of one large component reaches no task whole
     rows = placed.join(open_, "k").withColumn("asks", F.col("root") != F.col("largest"))
     return written(rows.drop("largest"), "open-rows")
 
