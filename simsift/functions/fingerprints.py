@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 2048
@@ -21,11 +26,33 @@ def token_bits(text: Column, bits: int = BITS) -> Column:
     return F.array_distinct(F.transform(F.array_distinct(tokens(F.lower(text))), position))
 
 
-def packed(bits: Column, size: int = BITS) -> Column:
-    """Distinct bit positions as size / 64 words, bit i of word w set for position 64 w + i."""
-    one = lambda b: F.call_function("shiftleft", F.lit(1).cast("bigint"), b.bitwiseAND(F.lit(63)))
-    own = lambda w: F.filter(bits, lambda b: F.shiftright(b, 6) == w)
-    return F.transform(F.sequence(F.lit(0), F.lit(size // 64 - 1)), lambda w: F.aggregate(own(w), F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(one(b))))
+def packed_words(positions: pa.ListArray, size: int = BITS) -> np.ndarray:
+    """Rows of distinct positions as rows x size / 64 words, bit i of word w set for position 64 w + i."""
+    flat = np.zeros((len(positions), size), np.uint8)
+    lengths = np.array(pc.fill_null(pc.list_value_length(positions), 0), np.int64)
+    flat[np.repeat(np.arange(len(positions)), lengths), np.array(positions.flatten(), np.int64)] = 1
+    return np.packbits(flat, axis=1, bitorder="little").view("<i8")
+
+
+def word_lists(words: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(len(words) + 1, dtype=np.int32) * words.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(words.ravel()))
+
+
+def packed(library: DataFrame, size: int = BITS) -> DataFrame:
+    """library with words array<bigint> and popcount int in place of bits: a fingerprint of fixed
+    width, to be stored once and searched often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.schema.names
+            bits = batch.column(names.index("bits"))
+            counts = pc.fill_null(pc.list_value_length(bits), 0).cast(pa.int32())
+            rest = [batch.column(k) for k, n in enumerate(names) if n != "bits"]
+            yield pa.RecordBatch.from_arrays([*rest, word_lists(packed_words(bits, size)), counts], names=[*(n for n in names if n != "bits"), "words", "popcount"])
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in library.schema.fields if f.name != "bits"]
+    return library.mapInArrow(run, ", ".join([*fields, "words array<bigint>", "popcount int"]))
 
 
 def sign_bits(vector: Column, dims: int) -> list[Column]:

@@ -181,7 +181,7 @@ def packed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The library's 2,048-bit fingerprints packed and stored once in order of popcount; the cutoff's
     bound prunes the scan, bit counts score what is left."""
     library, query = _library(spark, sf_dir)
-    stored, path = library.select("archive_index", "source_file", "ligand_line", F.size("bits").alias("popcount"), packed(F.col("bits")).alias("words")), new_folder(spark, "packed")
+    stored, path = packed(library.select("archive_index", "source_file", "ligand_line", "bits")), new_folder(spark, "packed")
     stored.repartitionByRange("popcount", "archive_index", "ligand_line").sortWithinPartitions("popcount").write.parquet(path)
     return search.scored_packed(spark.read.parquet(path), query_words(query), CUTOFF).select("tanimoto", "archive_index", "ligand_line")
 

@@ -54,4 +54,11 @@ def discard(spark: SparkSession) -> None:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A table of fewer files than there are cores, dealt out to all of them: a file may be one row
+    group, so one task. Tables of more files are read as they lie, without a shuffle."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if len(table.inputFiles()) < cores else table
