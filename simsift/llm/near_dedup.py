@@ -54,13 +54,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from simsift.llm._ftrl import map_texts
-from simsift.llm._space import written
+from simsift.llm._space import bounded, written
 from simsift.llm._text import Chunk, chunks, mix, shingles, words
 
 WIDTH, PERCENT = 5, 80
 MISS, SKETCH, ESTIMATE = 1e-6, 224, 0.16
-#: Nodes of a region that one task compares at once; pairs with a head that one task confirms; rows to broadcast.
-BLOCK, PAIRS_A_TASK, BROADCAST_ROWS = 1024, 256, 200_000
+#: Nodes of a region that one task compares at once; pairs with a head that one task confirms.
+BLOCK, PAIRS_A_TASK = 1024, 256
 #: Depths of the forest and how many values one has more than the one before. Signatures have STEP
 #: values beyond the depth, to sort by; a tree has at most TREE_VALUES.
 LEVELS, STEP, TREE_VALUES = 3, 4, 64
@@ -146,11 +146,6 @@ def deeper(texts: DataFrame, width: int, depth: int, trees: int) -> DataFrame:
     return map_texts(texts.dropDuplicates(["sid"]), "signs binary", lambda: work)
 
 
-def bounded(table: DataFrame) -> DataFrame:
-    """A written table to broadcast if it has few rows, else as it is."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-
-
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
@@ -177,8 +172,9 @@ def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """a, b of those pairs (a written table of set ids leaf, hub) whose full sets are similar."""
     loads = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_TASK).alias("parts"))
-    part = F.pmod(F.xxhash64("leaf"), F.col("parts")).alias("part")
-    dealt = written(pairs.join(loads, "hub").select("hub", part, "leaf"), "dealt-pairs")
+    loads = bounded(written(loads.where("parts > 1"), "large-hubs"))
+    part = F.pmod(F.xxhash64("leaf"), F.coalesce("parts", F.lit(1))).alias("part")
+    dealt = written(pairs.join(loads, "hub", "left").select("hub", part, "leaf"), "dealt-pairs")
     wanted = dealt.select("hub", "part", F.lit(1).alias("role"), F.col("leaf").alias("sid")).unionByName(
         dealt.select("hub", "part", F.lit(0).alias("role"), F.col("hub").alias("sid")).distinct()
     )

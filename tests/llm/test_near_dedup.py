@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from simsift.llm import near_dedup as nd
-from simsift.llm import queries
+from simsift.llm import _space, queries
 from tests.compare import same
 from tests.conftest import SMALL
 
@@ -74,7 +74,7 @@ def test_classes_equal_brute_force(make, seed, width):
 def test_dense_regions_in_blocks_give_the_same(make, monkeypatch):
     monkeypatch.setattr(nd, "BLOCK", 8)
     monkeypatch.setattr(nd, "PAIRS_A_TASK", 5)
-    monkeypatch.setattr(nd, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(_space, "BROADCAST_ROWS", -1)
     rows = corpus(4)
     got = nd.near_duplicates(make([(i, t, "en", "s") for i, t in rows]).repartition(3), 2)
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows, 2)
