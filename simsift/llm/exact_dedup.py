@@ -1,8 +1,9 @@
 """Exact duplicates by a 128-bit content hash, with the bytes compared inside each group.
 
-The texts of a hash group are compared by the least and the greatest of them, which Spark
-aggregates map-side first: a group of any size reaches the shuffle as one row a task. Only if a
-group's least and greatest text differ (a hash collision) are its rows grouped by the text itself.
+Hashes are counted first, 16 bytes a row. Only rows of hashes that occur more than once are compared:
+by the least and the greatest text of the group, which Spark aggregates map-side, so a group of any
+size reaches the shuffle as one row a task. Only if these two differ (a hash collision) are the
+group's rows grouped by the text itself.
 
 Defined cases: a null text counts as empty; rows with a null doc_id take part, and a group of
 nothing else has a null keep_id; of rows that repeat a text and the kept doc_id, all are marked
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simsift.llm._space import written
+from simsift.llm._space import bounded, written
 
 
 def exact_duplicates(docs: DataFrame, keep: str = "min", content_hash=F.md5) -> DataFrame:
@@ -26,22 +27,18 @@ def exact_duplicates(docs: DataFrame, keep: str = "min", content_hash=F.md5) ->
     best = {"min": F.min, "max": F.max}[keep]
     text: Column = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).withColumn("h", content_hash(F.col("text")))
-    groups = written(
-        rows.groupBy("h").agg(
-            best("doc_id").alias("keep_id"),
-            F.count(F.lit(1)).alias("group_size"),
-            (F.min("text") != F.max("text")).alias("clash"),
-        ),
-        "content-groups",
-    )
+    counted = written(rows.groupBy("h").agg(best("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "content-groups")
+    several = bounded(written(counted.where("group_size > 1").select("h"), "content-groups-of-several"))
+    ends = rows.join(several, "h").groupBy("h").agg((F.min("text") != F.max("text")).alias("clash"))
+    clashes = bounded(written(ends.where("clash").select("h"), "content-clashes"))
     # Both sides reach this join straight from files, so adaptive execution can split a hot hash.
     slim = docs.select("doc_id", text.alias("text")).select(
         "doc_id", content_hash(F.col("text")).alias("h"), F.sha2("text", 256).alias("text_sha256")
     )
-    clean = slim.join(groups.where(~F.col("clash")).select("h", "keep_id", "group_size"), "h")
+    found = not clashes.isEmpty()
+    clean = slim.join(counted.join(clashes, "h", "left_anti") if found else counted, "h")
     out = clean.select("doc_id", "keep_id", "group_size", "text_sha256")
-    clashes = groups.where("clash").select("h")
-    if not clashes.isEmpty():
+    if found:
         same = rows.join(clashes, "h", "left_semi")
         exact = same.groupBy("text").agg(best("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         out = out.unionByName(
