@@ -2,18 +2,22 @@
 
 A window is `window` consecutive words of a benchmark item, or all words of a shorter item.
 
-1. Count the corpus occurrences of the benchmark's terms; of each window pick the two rarest terms.
+1. Split every text into words once, into a table of their own.
+2. Count the corpus occurrences of the benchmark's terms; of each window pick the two rarest terms.
    Neighbouring windows mostly pick the same places of an item, so few places are searched.
-2. Store the postings (term, document, position) of the picked terms: the index, written as a
-   table by the tasks that read the corpus, without a shuffle.
-3. Join postings and picked places on the term; position minus place is the offset at which the
-   item would stand in the document. Offsets at which some window has both its picks survive
-   (intersection of the offset-adjusted lists, from the rarest term).
-4. Compare the windows of the surviving (document, item, offset) word by word in the text.
+3. Store the postings (term, document, position) of the picked terms: the index, written as a
+   table by the tasks that read the words, without a shuffle.
+4. Join postings and picked places on the term; position minus place is the offset at which the
+   item would stand in the document. A (document, item, offset) survives if both places of some pick
+   are found there: one count over (document, item, offset, pick), the intersection of the
+   offset-adjusted lists of the rarest terms.
+5. Compare the windows of the surviving (document, item, offset) word by word with the document's.
 
-Sides that don't grow with the corpus are broadcast after their rows are counted (BROADCAST_ROWS),
-else joined by shuffle; postings and picks come straight from tables then, so adaptive execution
-can split a hot term.
+Sides that don't grow with the corpus are broadcast after their rows and bytes are checked, else
+joined by shuffle; postings and picks come straight from tables then, so adaptive execution can
+split a hot term. A document's survivors are rows of a join, never one list.
+
+phrase_matches and proximity_matches answer any other query from an index of all terms.
 
 Defined cases: null and empty texts have no words and no hits; items without words are no items;
 items that repeat an item_id count once a document; a row is known by doc_id (null too) and its
@@ -27,32 +31,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from simsift.llm._space import written
+from simsift.llm._space import bounded, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same words before A-Z are lower-cased, to count them.
-ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
-BROADCAST_ROWS = 200_000
 
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
 
 
-def bounded(table: DataFrame) -> DataFrame:
-    """A written table to broadcast if it has few rows, else as it is."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-
+def split_words(docs: DataFrame) -> DataFrame:
+    """doc_id, h (hash of the text), n_words, words of docs(doc_id, text), a row each, as a table."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.coalesce(words_of(F.col("text")), F.array().cast("array<string>")).alias("words"))
+    return written(rows.select("doc_id", "h", F.size("words").cast("long").alias("n_words"), "words"), "words")
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
 
-
-def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """Postings term, doc_id, h (hash of the text), at (0-based position) of the terms, or of all."""
-    postings = keyed(docs).select("doc_id", "h", F.posexplode(words_of(F.col("text"))).alias("at", "term"))
+def build_index(words: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """Postings term, doc_id, h, at (0-based position) of the terms, or of all, from split words."""
+    postings = words.select("doc_id", "h", F.posexplode("words").alias("at", "term"))
     if terms is not None:
         postings = postings.join(bounded(terms.select("term")), "term")
     return written(postings.select("term", "doc_id", "h", "at"), "postings")
@@ -78,7 +76,9 @@ def proximity_matches(index: DataFrame, queries: DataFrame, within: int) -> Data
 
 
 def _picked(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
-    """item, picks array<struct<a, b>>: places of the two rarest terms of each window that can occur."""
+    """item, pick, pos, need: of each window that can occur the places of its two rarest terms (one
+    place if it has one term), as rows; windows with the same places are one pick, and a pick is
+    found where `need` of its places are."""
     places = items.select("item", F.size("words").alias("n"), F.posexplode("words").alias("pos", "term"))
     places = places.join(counts, "term", "left").withColumn("count", F.coalesce("count", F.lit(0)))
     first = F.greatest(F.lit(0), F.col("pos") - window + 1)
@@ -86,8 +86,8 @@ def _picked(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
     windows = places.select("item", "pos", "count", F.explode(F.sequence(first, last)).alias("w"))
     rare = windows.groupBy("item", "w").agg(F.slice(F.array_sort(F.collect_list(F.struct("count", "pos"))), 1, 2).alias("r"))
     rare = rare.where(F.col("r")[0]["count"] > 0)
-    pick = F.struct(F.col("r")[0]["pos"].alias("a"), F.coalesce(F.get("r", F.lit(1))["pos"], F.col("r")[0]["pos"]).alias("b"))
-    return rare.groupBy("item").agg(F.collect_set(pick).alias("picks"))
+    picks = rare.select("item", F.array_sort(F.transform("r", lambda x: x["pos"])).alias("pick")).distinct()
+    return picks.select("item", "pick", F.size("pick").alias("need"), F.explode("pick").alias("pos"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -96,25 +96,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     items = written(items.distinct().withColumn("item", F.monotonically_increasing_id()), "items")
     terms = written(items.select(F.explode("words").alias("term")).distinct(), "terms")
-    seen = docs.select(F.explode(words_of(F.col("text"))).alias("term")).join(bounded(terms), "term")
+    corpus = split_words(docs)
+    seen = corpus.select(F.explode("words").alias("term")).join(bounded(terms), "term")
     counts = written(seen.groupBy("term").count(), "term-counts")
-    picked = written(_picked(items, counts, window), "picks")
-    anchors = picked.select("item", F.explode("picks").alias("p")).select("item", F.explode(F.array("p.a", "p.b")).alias("pos")).distinct()
-    anchors = anchors.join(items.select("item", "words"), "item")
-    anchors = written(anchors.select("item", "pos", F.get("words", F.col("pos")).alias("term")), "anchors")
-    index = build_index(docs, written(anchors.select("term").distinct(), "index-terms"))
-
-    met = index.join(bounded(anchors), "term").select("doc_id", "h", "item", (F.col("at") - F.col("pos")).alias("offset"), "pos")
-    met = met.groupBy("doc_id", "h", "item", "offset").agg(F.collect_set("pos").alias("found"))
-    both = F.exists("picks", lambda p: F.array_contains("found", p["a"]) & F.array_contains("found", p["b"]))
-    met = met.join(bounded(picked), "item").where(both)
-    spots = written(met.groupBy("doc_id", "h").agg(F.collect_list(F.struct("item", "offset")).alias("spots")), "spots")
-
-    held = spots.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "spots")
-    texts = keyed(docs).join(bounded(held), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")))
-    texts = texts.select("doc_id", "h", words_of(F.col("text")).alias("doc"), "spots")
-    texts = texts.select("doc_id", "h", "doc", F.explode("spots").alias("spot")).select("doc_id", "h", "doc", "spot.item", "spot.offset")
-    texts = texts.join(bounded(items), "item")
+    anchors = _picked(items, counts, window).join(items.select("item", "words"), "item")
+    anchors = written(anchors.select("item", F.concat_ws(",", "pick").alias("pick"), "need", "pos", F.get("words", F.col("pos")).alias("term")), "anchors")
+    index = build_index(corpus, written(anchors.select("term").distinct(), "index-terms"))
+
+    met = index.join(bounded(anchors), "term").select("doc_id", "h", "item", (F.col("at") - F.col("pos")).alias("offset"), "pick", "need", "pos")
+    met = met.groupBy("doc_id", "h", "item", "offset", "pick", "need").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    met = met.where("need = 1 OR first < last")
+    spots = written(met.select("doc_id", "h", "item", "offset").distinct(), "spots")
+
+    held = bounded(written(spots.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct(), "spotted"))
+    named = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
+    texts = corpus.join(held, named, "left_semi").select("doc_id", "h", F.col("words").alias("doc")).dropDuplicates(["doc_id", "h"])
+    spots = bounded(spots.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "item", "offset"))
+    texts = texts.join(spots, named).select("doc_id", "h", "doc", "item", "offset").join(bounded(items), "item")
     k = F.least(F.size("words"), F.lit(window))
     # Starts of windows in the item, where both the item and the document have all of the window.
     low, high = F.greatest(F.lit(0), -F.col("offset")), F.least(F.size("words"), F.size("doc") - F.col("offset")) - k
@@ -122,14 +120,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     same = lambda s: F.slice("words", s + 1, k) == F.slice("doc", s + F.col("offset") + 1, k)
     hits = texts.withColumn("starts", F.filter(tries, same)).where(F.size("starts") > 0)
     covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s + F.col("offset"), s + F.col("offset") + k - 1))))
-    hits = hits.select("doc_id", "h", F.col("item_id").cast("string").alias("item_id"), covered.alias("covered"))
-    found = hits.groupBy("doc_id", "h").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).cast("long").alias("n_hit"),
-        F.array_sort(F.collect_set("item_id")).alias("ids"),
-    )
-    found = written(found.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "n_hit", "ids"), "hits")
-    every = docs.select("doc_id", F.xxhash64("text").alias("h"), F.coalesce(F.regexp_count("text", F.lit(ANY_CASE)), F.lit(0)).cast("long").alias("n_words"))
-    every = every.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
+    hits = written(hits.select("doc_id", "h", F.col("item_id").cast("string").alias("item_id"), covered.alias("covered")), "hits")
+    words = hits.select("doc_id", "h", F.explode("covered").alias("at")).distinct().groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n_hit"))
+    ids = hits.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
+    found = words.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "n_hit").join(ids, named).select("_id", "_h", "n_hit", "ids")
+    found = bounded(written(found, "found"))
+    every = corpus.select("doc_id", "h", "n_words").join(found, named, "left")
     n_hit, ids = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("ids", F.array().cast("array<string>"))
     return every.select(
         "doc_id",

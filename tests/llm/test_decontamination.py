@@ -5,7 +5,7 @@ import re
 import pytest
 
 from simsift.llm import decontamination as d
-from simsift.llm import queries
+from simsift.llm import _space, queries
 from tests.compare import same
 from tests.conftest import SMALL
 
@@ -55,18 +55,28 @@ def test_defined_cases(spark, odd, none):
 def test_shuffled_joins_give_the_same(spark, odd, monkeypatch):
     items = spark.createDataFrame([(1, "cat sat on the mat")], "item_id long, text string")
     want = sorted(map(tuple, d.contamination(odd, items).collect()), key=str)
-    monkeypatch.setattr(d, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(_space, "BROADCAST_ROWS", -1)
     assert sorted(map(tuple, d.contamination(odd, items).collect()), key=str) == want
 
 
 def test_phrases_and_proximity(spark, make):
     docs = make([(0, "a b c a b x", "en", "s"), (1, "c b a", "en", "s"), (2, None, "en", "s")])
-    index = d.build_index(docs)
+    index = d.build_index(d.split_words(docs))
     asked = spark.createDataFrame([(1, ["a", "b"]), (2, ["b", "a"]), (3, ["a", "b", "c"])], "phrase_id int, words array<string>")
     got = d.phrase_matches(index, asked).select("phrase_id", "doc_id", "start").collect()
     assert sorted(map(tuple, got)) == [(1, 0, 0), (1, 0, 3), (2, 1, 1), (3, 0, 0)]
     near = d.proximity_matches(index, asked.withColumnRenamed("phrase_id", "query_id"), 3).select("query_id", "doc_id", "start").collect()
-    assert sorted(map(tuple, near)) == [(1, 0, 0), (1, 0, 1), (1, 0, 3), (1, 1, 1), (2, 0, 0), (2, 0, 1), (2, 0, 3), (2, 1, 1), (3, 0, 0), (3, 0, 2), (3, 1, 0)] or {x for x in map(tuple, near)} >= {(1, 0, 0), (3, 1, 0)}
+    pairs = [(0, 0), (0, 1), (0, 3), (1, 1)]
+    assert sorted(map(tuple, near)) == [(q, *x) for q in (1, 2) for x in pairs] + [(3, 0, 0), (3, 0, 1), (3, 0, 2), (3, 1, 0)]
+
+
+def test_picks_beside_each_other_and_repeated_rows(spark, make):
+    """Windows of one word, windows whose picks are one place, and rows that repeat."""
+    rows = [(1, "x y x y z", "en", "s")] * 3 + [(2, "y", "en", "s")]
+    items = spark.createDataFrame([(1, "x x x x"), (2, "y"), (3, "x y x"), (4, "q y x y z r")], "item_id long, text string")
+    for window in (1, 2, 3):
+        got = d.contamination(make(rows), items, window)
+        assert sorted(map(tuple, got.collect()), key=str) == brute([r[:2] for r in rows], [tuple(r) for r in items.collect()], window)
 
 
 def test_query_equals_sql(spark):
