@@ -5,14 +5,16 @@ is the words of its source up to and with it, divided by the source's target. Wh
 exceeds its source, the source repeats in the same order, up to max_repeats times. The documents
 of all sources in order of finish time, cut at the total budget, are the mix.
 
-Both running sums (words in a source, words in the global order) are taken in two steps: sums of
-small buckets of the order first, then a running sum within each bucket that starts at its
-bucket's offset. So no source, however large, is one task's work.
+Both running sums (words in a source, words in the global order) are taken in levels: sums of small
+buckets of the order, sums of SPREAD buckets each, a running sum over these, one within each of
+them, and one within each bucket that starts at its bucket's offset. So no source, however large, is
+one task's work, and the longest list that a task sums is one of rows / (BUCKET_ROWS * SPREAD).
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in order;
-rows that repeat a doc_id are ordered by text hash, and equal rows are interchangeable; documents
-of size 0 are taken once if their place is before the cut (0 words); an empty table, or one
-without words, gives targets of 0; other columns are ignored by `mix` and carried by `mixed`.
+rows that repeat a doc_id are placed by their texts' hashes, and equal rows (doc_id and text) are
+interchangeable and share a bucket; documents of size 0 take no words and are outside the queue,
+each taken once; an empty table, or one without words, gives targets of 0; other columns are ignored
+by `mix` and carried by `mixed`.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from simsift.llm._space import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents a bucket of the two-step running sums holds on average.
-BUCKET_ROWS = 500
+BUCKET_ROWS, SPREAD = 500, 1000
 
 
 def words_in(text: Column) -> Column:
@@ -61,22 +63,30 @@ def source_targets(sizes: DataFrame, max_repeats: int = 3, weight_cycle: int = 3
     return per.select("source", "source_size", "source_docs", target.alias("target"), "source_rank")
 
 
+def _offsets(sums: DataFrame, group: list[str], bucket: str) -> DataFrame:
+    """sums(group, bucket, _sum) with _offset: the sums of all earlier buckets of the group."""
+    sums = sums.withColumn("_coarse", F.floor(F.col(bucket) / SPREAD))
+    upper = sums.groupBy(*group, "_coarse").agg(F.sum("_sum").alias("_upper"))
+    ahead = W.partitionBy(*group).orderBy("_coarse").rowsBetween(W.unboundedPreceding, -1)
+    upper = upper.withColumn("_before", F.coalesce(F.sum("_upper").over(ahead), F.lit(0))).drop("_upper")
+    inside = W.partitionBy(*group, "_coarse").orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.withColumn("_inside", F.coalesce(F.sum("_sum").over(inside), F.lit(0)))
+    return sums.join(upper, [*group, "_coarse"]).withColumn("_offset", F.col("_before") + F.col("_inside")).select(*group, bucket, "_offset")
+
+
 def _running(df: DataFrame, group: list[str], bucket: str, order: list, value: str, out: str) -> DataFrame:
     """df (a written table) with out: the sum of value up to and with each row, over group, in
     order of bucket and then of order."""
     keys = [*group, bucket]
-    sums = df.groupBy(*keys).agg(F.sum(value).alias("_sum"))
-    ahead = W.partitionBy(*group).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select(*[F.col(k).alias(f"_{k}") for k in keys], F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_offset"))
+    sums = _offsets(df.groupBy(*keys).agg(F.sum(value).alias("_sum")), group, bucket)
     within = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    df = df.withColumn("_within", F.sum(value).over(within))
-    df = df.join(sums, [F.col(k) == F.col(f"_{k}") for k in keys])
-    return df.withColumn(out, F.col("_offset") + F.col("_within")).drop("_within", "_offset", *[f"_{k}" for k in keys])
+    df = df.withColumn("_within", F.sum(value).over(within)).join(sums, keys)
+    return df.withColumn(out, F.col("_offset") + F.col("_within")).drop("_within", "_offset")
 
 
 def mix(docs: DataFrame, max_repeats: int = 3, weight_cycle: int = 3, seed: str = "mix") -> DataFrame:
     """doc_id, size, source_size, target, copies, taken of every row of docs(doc_id, text, source)."""
-    order_hash = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    order_hash = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.xxhash64("text").cast("string")))
     sizes = written(
         docs.select(
             "doc_id",
@@ -94,17 +104,16 @@ def mix(docs: DataFrame, max_repeats: int = 3, weight_cycle: int = 3, seed: str
     buckets = F.ceil(F.col("source_docs") / BUCKET_ROWS)
     placed = written(joined.withColumn("bucket", F.floor(share * buckets / F.lit(1 << 32))).drop("source"), "mix-placed")
     order = ["place", "doc_id", "tie", "size"]
-    queued = _running(placed, ["source_rank"], "bucket", order, "size", "upto")
+    queued = _running(placed.where("size > 0"), ["source_rank"], "bucket", order, "size", "upto")
     # One item a repeat that starts before the target.
-    last = F.least(F.lit(max_repeats - 1), F.floor(F.col("target") / F.col("source_size")))
-    last = F.when(F.col("source_size") > 0, last).otherwise(0).cast("int")
+    last = F.least(F.lit(max_repeats - 1), F.floor(F.col("target") / F.col("source_size"))).cast("int")
     items = queued.withColumn("repeat", F.explode(F.sequence(F.lit(0), last)))
     total = F.col("upto") + F.col("repeat") * F.col("source_size")
-    items = items.withColumn("finish", F.when(F.col("target") > 0, total / F.col("target")).otherwise(F.lit(0.0)))
+    items = items.withColumn("finish", total / F.col("target"))
     # Finish times to the cut are uniform in 0..1; what ends far beyond it is one bucket that is never summed.
     n = placed.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("budget")).collect()[0]
     slots = max(1, -(-n["n"] // BUCKET_ROWS))
-    items = items.where((total - F.col("size") <= F.col("target")) | (F.col("target") <= 0))
+    items = items.where(total - F.col("size") <= F.col("target"))
     items = items.withColumn("slot", F.floor(F.least("finish", F.lit(2.0)) * slots))
     items = written(items, "mix-items").withColumn("_all", F.lit(0))
     cut = _running(items, ["_all"], "slot", ["finish", "source_rank", "repeat", *order], "size", "mixed")
@@ -116,15 +125,17 @@ def mix(docs: DataFrame, max_repeats: int = 3, weight_cycle: int = 3, seed: str
 
 def _shared(placed: DataFrame, taken: DataFrame) -> DataFrame:
     key = ["source_rank", "place", "doc_id", "tie", "size"]
-    # place is a function of doc_id, so it and tie name the row; ties are told apart by number.
-    numbered = placed.withColumn("_no", F.row_number().over(W.partitionBy(*key).orderBy(F.lit(0))))
+    # place and tie name the row; rows that share them are told apart by number.
+    none = placed.where("size = 0").withColumns({"copies": F.lit(1).cast("bigint"), "taken": F.lit(0).cast("bigint")})
+    numbered = placed.where("size > 0").withColumn("_no", F.row_number().over(W.partitionBy(*key).orderBy(F.lit(0))))
     numbered = numbered.withColumn("_of", F.count(F.lit(1)).over(W.partitionBy(*key)))
     names = {k: f"_{k}" for k in key}
     taken = taken.select(*[F.col(k).alias(v) for k, v in names.items()], "_n")
     met = numbered.join(taken, [F.col(k).eqNullSafe(F.col(v)) for k, v in names.items()], "left")
     n = F.coalesce(F.col("_n"), F.lit(0))
     copies = F.floor(n / F.col("_of")) + (F.col("_no") <= n % F.col("_of")).cast("long")
-    return met.select("doc_id", "tie", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    names = ["doc_id", "tie", "size", "source_size", "target", "copies", "taken"]
+    return met.withColumns({"copies": copies, "taken": copies * F.col("size")}).select(names).unionByName(none.select(names))
 
 
 def mixed(docs: DataFrame, **params) -> DataFrame:

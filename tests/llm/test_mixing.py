@@ -1,9 +1,12 @@
+import hashlib
 import random
 import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
+from simsift.llm import mixing
 from simsift.llm.mixing import mix, mixed
 
 
@@ -45,6 +48,40 @@ def test_targets_sizes_and_shares(make, seed, n):
         assert abs(taken[s] - want[s]) <= 31
 
 
+def queue(docs, cap=3):
+    """doc_id to words taken, by one fair queue over plain lists."""
+    sizes, lists = defaultdict(int), defaultdict(list)
+    for r in docs.select("doc_id", "source", "text", F.xxhash64("text").alias("tie")).collect():
+        size = len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
+        place = hashlib.md5(f"mix|{'null' if r['doc_id'] is None else r['doc_id']}|{r['tie']}".encode()).hexdigest()
+        sizes[r["source"]] += size
+        if size:
+            lists[r["source"]].append((place, r["doc_id"], r["tie"], size))
+    want, items = targets(sizes, cap), []
+    for rank, s in enumerate(sorted(sizes, key=lambda x: (x is None, x or ""))):
+        for repeat in range(cap):
+            upto = repeat * sizes[s]
+            for d in sorted(lists[s]):
+                if upto <= want[s]:
+                    items.append(((upto + d[3]) / want[s], rank, repeat, d))
+                upto += d[3]
+    taken, total = defaultdict(int), 0
+    for _, _, _, (_, doc_id, _, size) in sorted(items):
+        total += size
+        if total <= sum(sizes.values()):
+            taken[doc_id] += size
+    return taken
+
+
+@pytest.mark.parametrize("seed,n,rows,spread", [(1, 400, 20, 3), (5, 150, 500, 1000), (6, 60, 2, 2)])
+def test_taken_words_equal_a_plain_queue(make, monkeypatch, seed, n, rows, spread):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", rows)
+    monkeypatch.setattr(mixing, "SPREAD", spread)
+    docs = make(rows_of(seed, n) + [(10_000 + i, None, "en", "empty") for i in range(30)])
+    want = queue(docs)
+    assert {r["doc_id"]: r["taken"] for r in mix(docs).collect()} == {r["doc_id"]: want[r["doc_id"]] for r in docs.collect()}
+
+
 def test_reruns_agree_however_partitioned(make):
     docs = make(rows_of(7, 200))
     first = sorted((r["doc_id"], r["taken"]) for r in mix(docs).collect())
