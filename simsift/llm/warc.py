@@ -4,8 +4,9 @@ Writing: a page's HTTP response, its body in chunked transfer framing, is a `res
 Blocks longer than segment_bytes are split: the first segment is the response itself, the others
 are `continuation` records that name it (WARC-Segment-Origin-ID) and their number, and the last
 also the total length. Of pages with equal payloads (min_bytes or more), those with the smallest
-page_id are responses and the others `revisit` records, which hold the HTTP head alone. Each record
-is a gzip member; archives roll at archive_bytes, so segments of a page may lie in several files.
+page_id are responses and the others `revisit` records, which hold the HTTP head alone and name the
+response by its target URI and date (WARC-Refers-To-Target-URI, WARC-Refers-To-Date), as other
+readers follow it, and by its page_id for ours. Each record is a gzip member; archives roll at archive_bytes, so segments of a page may lie in several files.
 
 Reading: whole records are decoded where they are read. Only segments are shuffled: grouped by
 origin, ordered by number, checked for gaps and against the total length, joined and decoded.
@@ -69,16 +70,16 @@ def record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return gzip.compress("\r\n".join(["WARC/1.1", *lines, "", ""]).encode() + block + b"\r\n\r\n", 1, mtime=0)
 
 
-def page_records(page_id, url, payload: bytes, refers_to, segment_bytes: int) -> Iterator[bytes]:
+def page_records(page_id, url, payload: bytes, refers_to, segment_bytes: int, refers_to_url=None) -> Iterator[bytes]:
     """The records of a page, ready to append to an archive. refers_to is a page_id for a revisit."""
     name = f"<urn:uuid:{uuid.uuid4()}>"
-    url = None if url is None else " ".join(url.splitlines())
+    url, refers_to_url = (None if x is None else " ".join(x.splitlines()) for x in (url, refers_to_url))
     common = [("WARC-Record-ID", name), ("WARC-Date", DATE), ("WARC-Target-URI", url), ("WARC-Page-ID", page_id)]
     common += [("WARC-Payload-Digest", f"sha1:{digest(payload)}"), ("Content-Type", "application/http; msgtype=response")]
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
     if refers_to is not None:
         profile = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-        more = [("WARC-Type", "revisit"), ("WARC-Profile", profile), ("WARC-Refers-To-Page-ID", refers_to)]
+        more = [("WARC-Type", "revisit"), ("WARC-Profile", profile), ("WARC-Refers-To-Target-URI", refers_to_url), ("WARC-Refers-To-Date", DATE), ("WARC-Refers-To-Page-ID", refers_to)]
         yield record(more + common, head + b"Content-Length: %d\r\n\r\n" % len(payload))
         return
     block = head + b"Transfer-Encoding: chunked\r\n\r\n" + chunked(payload)
@@ -120,15 +121,18 @@ def parse_records(source) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def with_first_page(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """pages(page_id, url, html) with refers_to: the smallest page_id with the payload, if another's."""
+    """pages(page_id, url, html) with refers_to, refers_to_url: the smallest page_id with the payload,
+    if another's, and its url."""
     html = F.coalesce("html", F.lit(""))
     keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"))
     keyed = keyed.withColumn("h", F.sha1("html"))
-    first = written(keyed.groupBy("h").agg(F.min("page_id").alias("first"), F.octet_length(F.min("html")).alias("bytes")), "payloads")
+    least = F.min(F.struct(F.col("page_id").isNull(), "page_id", "url", F.octet_length("html"))).alias("least")
+    first = keyed.groupBy("h").agg(least).select("h", F.col("least.page_id").alias("first"), F.col("least.url").alias("first_url"), F.col("least.col4").alias("bytes"))
+    first = written(first, "payloads")
     # Both sides come straight from files: adaptive execution splits a hot payload.
     met = keyed.join(first, "h")
     later = (F.col("bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return met.select("page_id", "url", "html", F.when(later, F.col("first")).alias("refers_to"))
+    return met.select("page_id", "url", "html", *(F.when(later, F.col(c)).alias(n) for c, n in (("first", "refers_to"), ("first_url", "refers_to_url"))))
 
 
 def write_archives(pages: DataFrame, min_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES, folder: str | None = None) -> DataFrame:
@@ -141,8 +145,9 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, segment_bytes: int = SE
         files, counts, out, size = [], [], None, 0
         for batch in batches:
             html = batch.column(2).cast(pa.large_binary())
-            for page_id, url, payload, refers_to in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), html, batch.column(3).to_pylist()):
-                for data in page_records(page_id, url, payload.as_py(), refers_to, segment_bytes):
+            ids, urls, _, others, other_urls = (None if k == 2 else batch.column(k).to_pylist() for k in range(5))
+            for page_id, url, payload, refers_to, refers_to_url in zip(ids, urls, html, others, other_urls):
+                for data in page_records(page_id, url, payload.as_py(), refers_to, segment_bytes, refers_to_url):
                     if out is None or size >= ARCHIVE_BYTES:
                         if out is not None:
                             out.close()
@@ -199,7 +204,7 @@ def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for x in batch.to_pylist():
-            head, _, body = x["block"].partition(b"\r\n\r\n")
+            head, _, body = b"".join(x["blocks"]).partition(b"\r\n\r\n")
             fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(b":") for line in head.split(b"\r\n")[1:])}
             if x["record_type"] == "revisit":
                 rows.append((x["page_id"], "revisit", x["refers_to"], None, int(fields[b"content-length"]), x["stated"]))
@@ -214,24 +219,19 @@ def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def reassemble(segments: DataFrame) -> DataFrame:
     """Records with payloads from segments, in any order and from any file."""
-    whole = segments.where("number IS NULL").select("record_type", "page_id", "refers_to", "stated", "block")
+    names = ["record_type", "page_id", "refers_to", "stated", "blocks"]
+    whole = segments.where("number IS NULL").withColumn("blocks", F.array("block")).select(names)
     parts = segments.where("number IS NOT NULL").groupBy("origin").agg(
         F.array_sort(F.collect_list(F.struct("number", "block"))).alias("parts"),
+        F.sum(F.octet_length("block")).alias("bytes"),
         F.max("total").alias("total"),
         F.max("page_id").alias("page_id"),
         F.max("stated").alias("stated"),
         F.count(F.lit(1)).alias("n"),
         F.max("number").alias("last"),
     )
-    block = F.aggregate("parts", F.lit(b""), lambda a, x: F.concat(a, x["block"]))
-    parts = parts.withColumn("block", block)
-    complete = (F.col("n") == F.col("last")) & F.col("total").eqNullSafe(F.octet_length("block"))
+    complete = (F.col("n") == F.col("last")) & F.col("total").eqNullSafe(F.col("bytes"))
     message = F.concat(F.lit("segments are missing or of another length: "), F.col("origin"))
-    joined = parts.select(
-        F.lit("response").alias("record_type"),
-        "page_id",
-        F.lit(None).cast("long").alias("refers_to"),
-        "stated",
-        F.when(complete, F.col("block")).otherwise(F.raise_error(message).cast("binary")).alias("block"),
-    )
-    return whole.unionByName(joined).mapInArrow(_decoded, RECORD)
+    blocks = F.when(complete, F.transform("parts", lambda x: x["block"])).otherwise(F.raise_error(message).cast("array<binary>"))
+    joined = parts.withColumns({"record_type": F.lit("response"), "refers_to": F.lit(None).cast("long"), "blocks": blocks})
+    return whole.unionByName(joined.select(names)).mapInArrow(_decoded, RECORD)
