@@ -44,12 +44,13 @@ class Ftrl:
 
 
 def labelled_sample(docs: DataFrame, label: str, rows: int, key: str = "doc_id") -> DataFrame:
-    """About rows (at most, in expectation) of the rows whose label isn't null, chosen by hash of key."""
+    """About rows (at most, in expectation) of the rows whose label isn't null, chosen by hash of key and text."""
     known = docs.where(F.col(label).isNotNull())
-    total = known.select(key).count()
+    total = known.select(label).count()
     if total <= rows:
         return known
-    return known.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1_000_000)) < int(1_000_000 * rows / total))
+    names = [c for c in (key, "text") if c in docs.columns]
+    return known.where(F.pmod(F.xxhash64(F.lit("sample"), *names), F.lit(1 << 30)) < int((1 << 30) * rows / total))
 
 
 def train(examples: DataFrame, outputs: int, buckets: int, epochs: int = 5, parts: int = 6, **params) -> np.ndarray:

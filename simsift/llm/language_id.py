@@ -6,8 +6,10 @@ margin against each codeword, weighted by how often that bit's classifier is rig
 language on the training rows; the least loss wins. Rows whose two least losses lie close are
 flagged as ambiguous.
 
-The classifiers learn from a sample of about SAMPLE_ROWS labelled rows, chosen by hash; prediction
-reads the whole text and nothing else.
+The classifiers learn from a sample of labelled rows: up to about SAMPLE_ROWS / languages, but
+LEAST_ROWS at least, of each language, chosen by hash of doc_id and text, so that a rare language is
+learned at any size. Prediction reads the whole text and nothing else. The languages themselves are
+the model's size: their list, bits that grow with its logarithm, and nothing else goes to the driver.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0; with no labelled
 training rows every row is `und`; with one language all texts with letters are that language with
@@ -23,13 +25,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simsift.llm._ftrl import labelled_sample, lists, map_texts, train
+from simsift.llm._ftrl import lists, map_texts, train
 from simsift.llm._space import written
 from simsift.llm._text import LOWER, Chunk
 
-SAMPLE_ROWS, BUCKETS, GRAMS, UNKNOWN = 6_000, 1 << 13, (1, 2, 3), "und"
+SAMPLE_ROWS, LEAST_ROWS, BUCKETS, GRAMS, UNKNOWN = 6_000, 20, 1 << 13, (1, 2, 3), "und"
 AMBIGUOUS = 0.1
-LETTER = re.compile(r"[^\W\d_]")
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character is of the Unicode categories L*; number signs as in "½" are none."""
+    return any(c.isalpha() for m in _LETTERS.finditer(text) for c in m.group())
 
 
 def codewords(classes: int) -> np.ndarray:
@@ -41,7 +48,7 @@ def codewords(classes: int) -> np.ndarray:
         splits = np.arange(1, 1 << (classes - 1))
         return np.where(splits[None, :] >> np.arange(classes)[:, None] & 1, 1, -1).astype(np.int8)
     bits, best, code = int(10 * np.log2(classes)), -1, None
-    for seed in range(200):
+    for seed in range(200 if classes <= 100 else 5):
         c = np.random.default_rng(seed).choice(np.array([-1, 1], np.int8), (classes, bits))
         same = c.astype(int) @ c.T
         np.fill_diagonal(same, -bits)
@@ -97,7 +104,10 @@ def fit(train_rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     code = codewords(len(languages))
     if len(languages) < 2:
         return Model(languages, code, np.zeros((1, BUCKETS), np.float32), np.ones(code.shape))
-    sample = labelled_sample(rows, "lang", sample_rows)
+    each = max(LEAST_ROWS, sample_rows // len(languages))
+    counts = rows.where("lang IS NOT NULL").groupBy("lang").count().where(F.col("count") > each)
+    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 30))
+    sample = rows.where("lang IS NOT NULL").join(F.broadcast(counts), "lang", "left").where(F.col("count").isNull() | (place / F.lit(float(1 << 30)) < F.lit(float(each)) / F.col("count")))
     number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1
     examples = map_texts(sample.select("text", number.cast("int").alias("k")), "idx array<int>, val array<float>", lambda: _sparse)
     bits = F.array(*[F.array(*[F.lit(int(b > 0)).cast("byte") for b in row]) for row in code])
@@ -127,7 +137,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def work(chunk: Chunk) -> dict:
         data = chunk.buf.tobytes()
-        letters = [bool(LETTER.search(data[a:b].decode("utf-8", "replace"))) for a, b in zip(chunk.offsets[:-1], chunk.offsets[1:])]
+        letters = [has_letter(data[a:b].decode("utf-8", "replace")) for a, b in zip(chunk.offsets[:-1], chunk.offsets[1:])]
         if not languages:
             letters = [False] * chunk.rows
         if len(languages) < 2:
