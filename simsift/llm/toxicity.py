@@ -1,9 +1,9 @@
 """Toxicity scores of texts whose disguises are undone first.
 
-Spans that look disguised (signs or digits among letters, letters three times in a row, letters
-spaced or dotted apart) are read as a noisy channel's output: each observed character may stand
-for several letters or for none, and a Viterbi search finds the letters that the channel and a
-character trigram model, counted over all training texts, make likeliest. The restored text is
+Spans that look disguised (signs or digits among letters, letters three times in a row, four or more
+letters spaced or dotted apart; letters that are merely doubled aren't) are read as a noisy channel's output: each observed character may stand
+for several letters or for none, and an exact Viterbi search over all pairs of last letters finds the
+letters that the channel and a character trigram model, counted over all training texts, make likeliest. The restored text is
 scored by a logistic regression (FTRL) over how often it holds which words and word beginnings, hashed.
 
 Labels are learned from a sample of about SAMPLE_ROWS labelled rows, chosen by hash of doc_id.
@@ -16,6 +16,7 @@ matter.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +29,12 @@ from simsift.llm._ftrl import map_texts
 from simsift.llm._text import LOWER, SPACES, Chunk, chunks, span_hashes, spans
 
 SAMPLE_ROWS, BEGINNINGS = 12_000, (3, 4, 5, 6, 7)
-KEPT_SPANS = 100_000
+#: Spans kept with their readings by a worker, and the longest such span in bytes.
+KEPT_SPANS, KEPT_BYTES = 100_000, 64
 #: What each sign may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 APART = " .-_*"
+ANY_SPACE = re.compile(r"[\t-\r]")
 #: Costs of the channel (minus log probabilities, but for a constant).
 STANDS_FOR, AS_IT_IS, REPEATED, TWICE, JOINED, PARTED = 1.0, 9.0, 0.3, 7.0, 0.3, 5.0
 
@@ -47,7 +50,7 @@ def _mask(chars: str) -> np.ndarray:
     return m
 
 
-_DIGIT, _SIGN, _APART = _mask("01345789"), _mask("@$!|+"), _mask(APART[1:])
+_DIGIT, _SIGN, _LAST, _APART = _mask("01345789"), _mask("@$!|+"), _mask("@$"), _mask(APART[1:])
 
 
 class CharModel:
@@ -61,9 +64,13 @@ class CharModel:
         self.cost = -np.log((c3 + 5 * p2[None]) / (c3.sum(2, keepdims=True) + 5))
         self.cost = self.cost.tolist()
 
-    def decode(self, seen: str, beam: int = 24) -> str:
-        """The likeliest letters behind the lower-case characters seen, edges of words as spaces."""
-        paths = {(0, 0): (0.0, "")}
+    def decode(self, seen: str) -> str:
+        """The likeliest letters behind the lower-case characters seen, edges of words as spaces.
+
+        Exact: every state (the last two letters, so 28 * 28 at most) is kept at each character. A path
+        is a chain of links to the letter before, so the work grows with the length of seen.
+        """
+        paths: dict = {(0, 0): (0.0, None)}
         for i, c in enumerate(seen):
             out = []
             if c in LEET:
@@ -76,7 +83,7 @@ class CharModel:
                 longer = (i > 1 and seen[i - 2] == c) or (i + 1 < len(seen) and seen[i + 1] == c)
                 out.append(("", REPEATED if longer else TWICE))
             new: dict = {}
-            for (a, b), (cost, text) in paths.items():
+            for (a, b), (cost, path) in paths.items():
                 for x, more in out:
                     if not x:
                         key, total = (a, b), cost + more
@@ -86,11 +93,15 @@ class CharModel:
                         k = ord(x) - 96 if "a" <= x <= "z" else 27
                         key, total = (b, k), cost + more + self.cost[a][b][k]
                     if key not in new or total < new[key][0]:
-                        new[key] = (total, text + x)
-            if len(new) > beam:
-                new = dict(sorted(new.items(), key=lambda kv: kv[1][0])[:beam])
+                        new[key] = (total, (path, x) if x else path)
             paths = new
-        return min(((cost + self.cost[a][b][0], text) for (a, b), (cost, text) in paths.items()), default=(0, seen))[1]
+        a, b = min(paths, key=lambda s: (paths[s][0] + self.cost[s[0]][s[1]][0], s))
+        path = paths[a, b][1]
+        text = []
+        while path is not None:
+            path, x = path
+            text.append(x)
+        return "".join(reversed(text))
 
 
 def disguised(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +113,7 @@ def disguised(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     pad = np.concatenate([b, np.full(4, 32, np.uint8)])
     letter, sep = _LETTER[pad], _APART[pad]
     before = np.concatenate([[False], letter[: n - 1]])
-    odd = (_DIGIT[b] & (before | letter[1 : n + 1])) | (_SIGN[b] & letter[1 : n + 1])
+    odd = (_DIGIT[b] & (before | letter[1 : n + 1])) | (_SIGN[b] & letter[1 : n + 1]) | (_LAST[b] & before)
     odd |= letter[:n] & (b == pad[1 : n + 1]) & (b == pad[2 : n + 2])
     odd |= letter[:n] & sep[1 : n + 1] & letter[2 : n + 2] & sep[3 : n + 3] & letter[4 : n + 4]
     starts, ends, _ = spans(chunk, ~SPACES)
@@ -128,12 +139,13 @@ class Restorer:
 
     def span(self, seen: bytes) -> bytes:
         if (out := self.known.get(seen)) is None:
-            text = seen.decode("utf-8", "replace").lower()
+            text = ANY_SPACE.sub(" ", seen.decode("utf-8", "replace").lower())
             core = text.strip("#%&*?,.;:()[]{}\"'`~^<>=/\\-_")
             out = (" " + self.model.decode(core) + " ").encode()
             if len(self.known) >= KEPT_SPANS:
                 self.known.clear()
-            self.known[seen] = out
+            if len(seen) <= KEPT_BYTES:
+                self.known[seen] = out
         return out
 
     def chunk(self, chunk: Chunk) -> Chunk:

@@ -1,4 +1,7 @@
+import math
 import random
+import time
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -111,6 +114,69 @@ def test_disguises_are_undone(seen):
     assert got == [["plain", "words"], ["the", "idiot", "the"], [], [], ["idiot"]]
 
 
+@pytest.mark.parametrize("text,letter", [("½", False), ("²①Ⅷ", False), ("12 _ !", False), ("", False), ("a", True), ("ü1", True), ("1½ʰ", True), ("語", True)])
+def test_letters_are_those_of_unicode(text, letter):
+    assert language_id.has_letter(text) == letter == any(unicodedata.category(c).startswith("L") for c in text)
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(i, "der hund und die katze " * 3, "de") for i in range(600)] + [(1000 + i, "kvik zorp blun trax " * 3, "xx") for i in range(4)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.predict(table, language_id.fit(table, sample_rows=40)).where("doc_id >= 1000").collect()
+    assert {r["lang_pred"] for r in got} == {"xx"}
+
+
+def test_decoding_is_exact_and_linear():
+    rng = np.random.default_rng(2)
+    model = toxicity.CharModel(rng.integers(0, 50, 28**3).astype(float))
+
+    def cost(seen):
+        """The least cost over all readings, by listing them."""
+        best = []
+
+        def go(i, a, b, total, text):
+            if i == len(seen):
+                return best.append((total + model.cost[a][b][0], text))
+            c = seen[i]
+            if c in toxicity.LEET:
+                out = [(x, toxicity.STANDS_FOR + math.log(len(toxicity.LEET[c]))) for x in toxicity.LEET[c]] + [(c, toxicity.AS_IT_IS)]
+            elif c in toxicity.APART:
+                out = [("", toxicity.JOINED), (" ", toxicity.PARTED)]
+            else:
+                out = [(c, 0.0)]
+            if i and c == seen[i - 1] and c not in toxicity.APART:
+                longer = (i > 1 and seen[i - 2] == c) or (i + 1 < len(seen) and seen[i + 1] == c)
+                out.append(("", toxicity.REPEATED if longer else toxicity.TWICE))
+            for x, more in out:
+                k = 0 if x in ("", " ") else ord(x) - 96 if "a" <= x <= "z" else 27
+                if not x:
+                    go(i + 1, a, b, total + more, text)
+                elif x == " ":
+                    go(i + 1, 0, 0, total + more + (model.cost[a][b][0] if b else 0), text + x)
+                else:
+                    go(i + 1, b, k, total + more + model.cost[a][b][k], text + x)
+
+        go(0, 0, 0, 0.0, "")
+        return min(best)[1]
+
+    for seen in ("1d10t", "s.h.1.t", "bb00bb", "1|1!!1", "a5$h0l3", "w0w w0w"):
+        assert model.decode(seen) == cost(seen)
+    took = []
+    for n in (20_000, 80_000):
+        began = time.perf_counter()
+        assert len(model.decode("1d" * (n // 2))) >= n // 2
+        took.append(time.perf_counter() - began)
+    assert took[1] < 8 * took[0]
+
+
+def test_a_long_disguised_word_is_read_whole():
+    model = toxicity.Restorer(toxicity.CharModel(np.ones(28**3)))
+    [chunk] = chunks(pa.array(["1d10t" * 4000 + " the end", "a$$"]))
+    new = model.chunk(chunk)
+    texts = [bytes(new.buf[a:b]).decode() for a, b in zip(new.offsets[:-1], new.offsets[1:])]
+    assert texts[0].endswith("the end") and len(texts[0]) > 12_000 and not model.known.get(b"1d10t" * 4000) and "$" not in texts[1]
+
+
 def test_label_cases(odd, none, spark):
     marked = odd.withColumn("toxic", F.when(F.col("doc_id") == 4, 1).when(F.col("doc_id") < 3, 0)).withColumn("quality", F.col("toxic"))
     for fit, score in ((lambda d: toxicity.fit(odd, d), toxicity.score), (quality.fit, quality.score)):
