@@ -13,7 +13,8 @@ its words and one end. Weights:
   They stand for words that training didn't see, so each training word counts once, not by use.
 * The whole-word arc has the word's share in the training words less a discount, and the piece
   paths have what all discounts leave (absolute discounting; the discount follows from how many
-  words occur once and twice).
+  words occur once and twice). This is the one interpolation: `lattice_score` is the likelihood
+  without it, of the pieces' segmentations alone.
 
 Documents come in kinds (a column of the training rows, as their language). Each kind has its own
 whole-word shares, which back off to those of all kinds in the same way, and a document's
@@ -25,9 +26,13 @@ All words are counted and weighed in Spark. Words with at least 1 / FREQUENT of
 FREQUENT at most, so their weights go to every task; occurrences of the others are joined with the
 table of words, where none has more than that share.
 
+A row is known by two 64-bit hashes of its doc_id and text, a rare word by two of its bytes; the
+chance that two of 10^11 share both is below 10^-15. A frequent word is known by one.
+
 Defined cases: null and empty texts are one end; without training documents every count is 0 and
 the piece paths alone weigh; rows that repeat count and score each; a word of any length is read
-whole; other columns don't matter; an empty table gives an empty result.
+whole, one beyond LONG_WORD bytes arc by arc in time and memory that grow with its length; other
+columns don't matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -44,7 +49,9 @@ from simsift.llm._space import written
 from simsift.llm._text import LOWER, SPACES, chunks, powers, mix, span_hashes, spans
 
 FREQUENT, PRIOR, ROUNDS, COUNT_BYTES, MAX_KINDS = 2_000_000, 200.0, 3, 2_000_000, 8
-START = "▁"
+START, LONG_WORD = "▁", 1024
+#: A second hash of a word is that of its bytes put through this permutation.
+OTHER = np.random.default_rng(1).permutation(256).astype(np.uint8)
 
 
 class Pieces:
@@ -114,6 +121,23 @@ class Lattice:
             place, piece = pieces.find(0, hashes[:: length - k + 1])
             self.first.append((place, piece))
 
+    def _arcs(self, w: Weights) -> tuple:
+        """Of one word: begins, ends, logs and pieces of the arcs within, ends, logs and pieces of those that begin it."""
+        part = [(pos, pos + k, w.inner[piece], piece) for k, (_, pos, piece) in enumerate(self.inner, 1)]
+        inner = [np.concatenate(x) for x in zip(*part)]
+        part = [(np.full(len(piece), k), w.first[piece], piece) for k, (_, piece) in enumerate(self.first, 1)]
+        return inner, [np.concatenate(x) for x in zip(*part)]
+
+    def _long(self, w: Weights) -> tuple:
+        """Forward and backward logs of one long word, and its arcs."""
+        (begin, end, logs, piece), (stop, first_logs, first_piece) = arcs = self._arcs(w)
+        given: dict = {0: [float(w.first[self.pieces.empty])]}
+        for k, x in zip(stop.tolist(), first_logs.tolist()):
+            given.setdefault(k, []).append(x)
+        forward = sweep(self.length + 1, end, begin, logs, given)
+        backward = sweep(self.length + 1, self.length - begin, self.length - end, logs, {0: [0.0]})[::-1]
+        return forward, backward, arcs
+
     def _scores(self, w: Weights) -> list[np.ndarray]:
         """Of each piece length a words x positions array of log weights."""
         out = []
@@ -142,10 +166,18 @@ class Lattice:
         return a
 
     def log_probability(self, w: Weights) -> np.ndarray:
+        if self.length > LONG_WORD:
+            return np.array([self._long(w)[0][-1] + w.stop])
         return self.forward(w, self._scores(w))[:, -1] + w.stop
 
     def expected(self, w: Weights, first: np.ndarray, inner: np.ndarray) -> None:
         """Adds the expected uses of each piece."""
+        if self.length > LONG_WORD:
+            a, b, ((begin, end, logs, piece), (stop, first_logs, first_piece)) = self._long(w)
+            inner += np.bincount(piece, np.exp(a[begin] + logs + b[end] - a[-1]), len(inner))
+            first += np.bincount(first_piece, np.exp(first_logs + b[stop] - a[-1]), len(first))
+            first[self.pieces.empty] += np.exp(w.first[self.pieces.empty] + b[0] - a[-1])
+            return
         scores = self._scores(w)
         a = self.forward(w, scores)
         b = np.full((self.n, self.length + 1), -np.inf)
@@ -162,6 +194,18 @@ class Lattice:
         first[self.pieces.empty] += (np.exp(w.first[self.pieces.empty] + b[:, 0] - total)).sum()
 
 
+def sweep(n: int, to: np.ndarray, begin: np.ndarray, logs: np.ndarray, given: dict) -> np.ndarray:
+    """Of positions 0..n-1 the log of the sum over all paths to them: arcs begin -> to, and given logs."""
+    order = np.argsort(to, kind="stable")
+    cuts = np.searchsorted(to[order], np.arange(n + 1)).tolist()
+    begin, logs, out = begin[order].tolist(), logs[order].tolist(), [-math.inf] * n
+    for j in range(n):
+        terms = [out[begin[i]] + logs[i] for i in range(cuts[j], cuts[j + 1])] + given.get(j, [])
+        if terms and (top := max(terms)) > -math.inf:
+            out[j] = top + math.log(sum(math.exp(t - top) for t in terms))
+    return np.array(out)
+
+
 def lattices(pieces: Pieces, column: pa.Array, cells: int = 1 << 21) -> Iterator[tuple[np.ndarray, Lattice]]:
     """Rows of a column of words, by length, and their lattices; a batch has about so many cells."""
     column = column.cast(pa.large_binary())
@@ -172,7 +216,7 @@ def lattices(pieces: Pieces, column: pa.Array, cells: int = 1 << 21) -> Iterator
     cuts = np.flatnonzero(np.diff(lengths[order])) + 1
     for rows in np.split(order, cuts):
         n = int(lengths[rows[0]])
-        step = max(1, cells // (n * min(n, pieces.longest)))
+        step = 1 if n > LONG_WORD else max(1, cells // (n * min(n, pieces.longest)))
         for at in range(0, len(rows), step):
             some = rows[at : at + step]
             take = (offsets[some][:, None] + np.arange(n)[None]).ravel()
@@ -256,28 +300,35 @@ class Totals:
         own = np.maximum(c - d, 0) / np.maximum(1, self.kind_words) + rest * every[:, None]
         return np.log10(np.maximum(own, 1e-300)) + np.log10(1 - 10**self.end)
 
+    def lattice_end(self) -> float:
+        """log10 of the share of ends among training tokens."""
+        return math.log10((self.documents + 1) / (self.words + self.documents + 2))
+
 
 def weighed(counts: DataFrame, pieces: Pieces, w: Weights, totals: Totals) -> DataFrame:
-    """h (hash of the word), n, c (training occurrences), lp (log10 probability in each kind)."""
+    """h, h2 (hashes of the word), n, c (training occurrences), lattice (log10 probability by pieces
+    alone), lp (log10 probability in each kind)."""
     spread, kinds = counts.sparkSession.sparkContext.broadcast(pieces), len(totals.kind_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            path, h = np.empty(len(batch)), np.empty(len(batch), np.uint64)
+            path, (h, h2) = np.empty(len(batch)), np.empty((2, len(batch)), np.uint64)
             for rows, lattice in lattices(spread.value, batch.column(0)):
                 path[rows] = lattice.log_probability(w)
             for chunk in chunks(batch.column(0), rows=len(batch)):
-                h[chunk.first : chunk.first + chunk.rows] = span_hashes(chunk.buf, chunk.offsets[:-1], chunk.offsets[1:])
+                for to, buf in ((h, chunk.buf), (h2, OTHER[chunk.buf])):
+                    to[chunk.first : chunk.first + chunk.rows] = span_hashes(buf, chunk.offsets[:-1], chunk.offsets[1:])
             c = np.array(batch.column(2).flatten()).reshape(-1, kinds)
             lp = totals.weights(c, path)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), batch.column(1), pa.array(c.sum(1)), *(pa.array(lp[:, k]) for k in range(kinds))], names=names
+                [pa.array(h.view(np.int64)), pa.array(h2.view(np.int64)), batch.column(1), pa.array(c.sum(1)), pa.array(path / math.log(10) + rest), *(pa.array(lp[:, k]) for k in range(kinds))], names=names
             )
 
-    names = ["h", "n", "c", *(f"lp{k}" for k in range(kinds))]
-    schema = "h long, n long, c long, " + ", ".join(f"lp{k} double" for k in range(kinds))
+    rest = math.log10(1 - 10 ** totals.lattice_end())
+    names = ["h", "h2", "n", "c", "lattice", *(f"lp{k}" for k in range(kinds))]
+    schema = "h long, h2 long, n long, c long, lattice double, " + ", ".join(f"lp{k} double" for k in range(kinds))
     return written(counts.select("word", "n", "c").mapInArrow(run, schema), "word-weights")
 
 
@@ -292,7 +343,7 @@ def kind_numbers(docs: DataFrame, column: str) -> tuple:
 
 
 def score(docs: DataFrame, vocabulary: str, kind: str | None = None) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score of every row of
     docs(doc_id, text, held_out); rows with held_out aren't learned from.
 
     vocabulary is the path of a sentencepiece model; kind names a column of docs.
@@ -315,15 +366,16 @@ def score(docs: DataFrame, vocabulary: str, kind: str | None = None) -> DataFram
     table = weighed(counts, pieces, learn(counts, pieces), totals)
     limit = max(1, (t["n"] or 0) / FREQUENT)
     lps = [f"lp{k}" for k in each]
-    often = table.where(F.col("n") >= limit).select("h", "c", *lps).toArrow()
+    often = table.where(F.col("n") >= limit).select("h", "c", "lattice", *lps).toArrow()
     order = np.argsort(often.column("h").to_numpy())
     lp = np.stack([often.column(x).to_numpy()[order] for x in lps], 1)
-    common = spark.sparkContext.broadcast((*(often.column(x).to_numpy()[order] for x in ("h", "c")), lp))
-    # A row is known by this hash; rows that repeat share it, and what their words add up to is divided.
-    keyed = own.select("text", F.xxhash64(F.lit("row"), F.col("doc_id"), F.col("text")).alias("row"), "doc_id", "held_out")
+    common = spark.sparkContext.broadcast((*(often.column(x).to_numpy()[order] for x in ("h", "c", "lattice")), lp))
+    # Rows that repeat share both hashes, and what their words add up to is divided.
+    hashes = [F.xxhash64(F.lit(x), F.col("doc_id"), F.col("text")).alias(x) for x in ("row", "row2")]
+    keyed = own.select("text", *hashes, "doc_id", "held_out")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ch, cc, cl = common.value
+        ch, cc, ca, cl = common.value
         for batch in batches:
             for chunk in chunks(batch.column(0)):
                 n = chunk.rows
@@ -337,11 +389,11 @@ def score(docs: DataFrame, vocabulary: str, kind: str | None = None) -> DataFram
                 rows, at = text[found], at[found]
                 known = np.bincount(rows, cc[at] > 0, n) + (totals.documents > 0)
                 base = np.bincount(rows, totals.base(cc[at]), n) + totals.base(totals.documents)
-                sums = [np.bincount(rows, cl[at, k], n) + totals.end[k] for k in each]
-                row = np.array(batch.column(1))[chunk.first : chunk.first + n]
+                sums = [np.bincount(rows, ca[at], n) + totals.lattice_end(), *(np.bincount(rows, cl[at, k], n) + totals.end[k] for k in each)]
+                row, row2 = (np.array(batch.column(k))[chunk.first : chunk.first + n] for k in (1, 2))
                 # A document's own row joins nothing: it counts no occurrence of the word it names.
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row), pa.array(row), pa.array(np.zeros(n, np.int32)), *(batch.column(k).slice(chunk.first, n) for k in (2, 3)), pa.array(np.diff(first) + 1), pa.array(known.astype(np.int64)), pa.array(base), *map(pa.array, sums)],
+                    [pa.array(x) for x in (row, row2, row, row2, np.zeros(n, np.int32))] + [*(batch.column(k).slice(chunk.first, n) for k in (3, 4)), pa.array(np.diff(first) + 1), pa.array(known.astype(np.int64)), pa.array(base), *map(pa.array, sums)],
                     names=names,
                 )
                 rest = np.flatnonzero(~found)
@@ -352,32 +404,37 @@ def score(docs: DataFrame, vocabulary: str, kind: str | None = None) -> DataFram
                     tf = np.diff(np.append(np.flatnonzero(new), len(rest)))
                     rest = rest[new]
                     m = len(rest)
-                    nulls = (pa.nulls(m, x) for x in (batch.column(2).type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), *(pa.float64() for _ in each)))
-                    yield pa.RecordBatch.from_arrays([pa.array(row[text[rest]]), pa.array(h[rest]), pa.array(tf.astype(np.int32)), *nulls], names=names)
+                    h2 = span_hashes(OTHER[LOWER[chunk.buf]], starts[rest], ends[rest]).view(np.int64)
+                    nulls = (pa.nulls(m, x) for x in (batch.column(3).type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), *(pa.float64() for _ in each)))
+                    keys = [pa.array(x) for x in (row[text[rest]], row2[text[rest]], h[rest], h2, tf.astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays([*keys, *nulls], names=names)
 
     id_type = own.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, h long, tf int, doc_id {id_type}, held_out boolean, n_tokens long, known long, base double, " + ", ".join(f"s{k} double" for k in each)
+    schema = f"row long, row2 long, h long, h2 long, tf int, doc_id {id_type}, held_out boolean, n_tokens long, known long, base double, sa double, " + ", ".join(f"s{k} double" for k in each)
     names = [x.split()[0] for x in schema.split(", ")]
     rows = keyed.mapInArrow(run, schema)
-    met = rows.join(table.where(F.col("n") < limit).select("h", "c", *lps), "h", "left")
+    met = rows.join(table.where(F.col("n") < limit).select("h", "h2", "c", "lattice", *lps), ["h", "h2"], "left")
     c = F.coalesce("c", F.lit(0))
     base = F.log10((c + 0.1) / (totals.tokens + 0.1 * (totals.distinct + 1)))
     met = met.select(
         "row",
+        "row2",
         "doc_id",
         "held_out",
         "n_tokens",
         F.coalesce("known", F.when(c > 0, F.col("tf")).otherwise(0).cast("long")).alias("known"),
         F.coalesce("base", F.col("tf") * base).alias("base"),
+        F.coalesce("sa", F.col("tf") * F.col("lattice")).alias("sa"),
         *(F.coalesce(f"s{k}", F.col("tf") * F.col(f"lp{k}")).alias(f"s{k}") for k in each),
     )
-    sums = met.groupBy("row").agg(
+    sums = met.groupBy("row", "row2").agg(
         F.count("n_tokens").alias("n"),
         F.first("doc_id", ignorenulls=True).alias("doc_id"),
         F.first("held_out", ignorenulls=True).alias("held_out"),
         F.sum("n_tokens").alias("n_tokens"),
         F.sum("known").alias("n_known"),
         F.sum("base").alias("base_score"),
+        F.sum("sa").alias("sa"),
         *(F.sum(f"s{k}").alias(f"s{k}") for k in each),
     )
     sums = sums.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
@@ -392,4 +449,5 @@ def score(docs: DataFrame, vocabulary: str, kind: str | None = None) -> DataFram
         F.lit(totals.tokens).cast("long").alias("train_tokens"),
         (F.col("base_score") / F.col("n")).alias("base_score"),
         (best + F.log10(spread)).alias("score"),
+        (F.col("sa") / F.col("n")).alias("lattice_score"),
     )

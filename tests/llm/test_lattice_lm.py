@@ -61,6 +61,68 @@ def test_expected_uses_explain_each_word_once(pieces):
     assert first.sum() == pytest.approx(3) and 0 < inner.sum() < sum(map(len, words))
 
 
+def test_long_words_arc_by_arc_are_the_same(pieces, monkeypatch):
+    w = lm.Weights(pieces.tables[0][2], pieces.tables[1][2], 0.3)
+    words = [b"station", b"inter\xc3\xbcnational" * 20]
+    got = []
+    for limit in (10_000, 1):
+        monkeypatch.setattr(lm, "LONG_WORD", limit)
+        first, inner, logs = np.zeros(len(w.first)), np.zeros(len(w.inner)), {}
+        for rows, lattice in lm.lattices(pieces, pa.array(words, pa.binary())):
+            lattice.expected(w, first, inner)
+            logs |= dict(zip(rows.tolist(), lattice.log_probability(w)))
+        got.append((logs[0], logs[1], *first, *inner))
+    assert got[0] == pytest.approx(got[1], rel=1e-9, abs=1e-12)
+    [(_, lattice)] = list(lm.lattices(pieces, pa.array([b"QWxhZGRpbjpvcGVu" * 4000], pa.binary())))
+    assert math.isfinite(lattice.log_probability(w)[0])
+
+
+def brute_scores(pieces, rows, kinds):
+    """doc_id, score, lattice_score of rows(doc_id, text, kind, held_out), word by word: the model's
+    weights are taken from the operator's own learning, all sums are made here."""
+    train = [(words(t), k) for _, t, k, out in rows if not out]
+    names = [k for k, _ in sorted(Counter(k for _, k in train if k is not None).items(), key=lambda x: (-x[1], x[0]))][: lm.MAX_KINDS - 1]
+    number = {k: i for i, k in enumerate(names)}
+    own = [Counter() for _ in range(len(names) + 1)]
+    docs = [0] * len(own)
+    for w, k in train:
+        own[number.get(k, len(names))].update(w)
+        docs[number.get(k, len(names))] += 1
+    every = sum(own, Counter())
+    n, once, twice = sum(every.values()), sum(v == 1 for v in every.values()), sum(v == 2 for v in every.values())
+    d, total = min(0.95, max(0.3, once / max(1, once + 2 * twice))), sum(docs)
+    spread = pa.array([w.encode() for w in sorted(every)], pa.binary())
+    first, inner, w = pieces.tables[0][2], pieces.tables[1][2], lm.Weights(pieces.tables[0][2], pieces.tables[1][2], 0.3)
+    for _ in range(lm.ROUNDS if len(every) else 0):
+        a, b = np.zeros(len(first)), np.zeros(len(inner))
+        for _, lattice in lm.lattices(pieces, spread):
+            lattice.expected(w, a, b)
+        w = lm.Weights((a + lm.PRIOR * first) / (a.sum() + lm.PRIOR), (b + lm.PRIOR * inner) / (b.sum() + lm.PRIOR), (a.sum() + 0.3) / (a.sum() + b.sum() + 1))
+    path = lambda x: math.exp([lattice for _, lattice in lm.lattices(pieces, pa.array([x.encode()], pa.binary()))][0].log_probability(w)[0])
+    ends, share = [(x + 1) / (sum(c.values()) + x + 2) for x, c in zip(docs, own)], [(x + 1) / (total + len(own)) for x in docs]
+    end, known, out = (total + 1) / (n + total + 2), {}, []
+    for i, t, _, _ in rows:
+        in_kind, alone = [math.log10(s) + math.log10(e) for s, e in zip(share, ends)], math.log10(end)
+        for x in words(t):
+            if x not in known:
+                p = path(x)
+                all_ = max(every[x] - d, 0) / max(1, n) + (d * len(every) / n if n else 1) * p
+                mine = [max(c[x] - d, 0) / max(1, sum(c.values())) + (d * len(c) / sum(c.values()) if c else 1) * all_ for c in own]
+                known[x] = math.log10(p * (1 - end)), [math.log10(q * (1 - e)) for q, e in zip(mine, ends)]
+            alone += known[x][0]
+            in_kind = [a + b for a, b in zip(in_kind, known[x][1])]
+        out.append((i, max(in_kind) + math.log10(sum(10 ** (x - max(in_kind)) for x in in_kind)), alone))
+    return out
+
+
+def test_document_scores_equal_brute_force(spark, pieces):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumn("held_out", in_fold(F.col("doc_id"), 10, 0)).where("length(text) < 1500")
+    rows = [(r["doc_id"], r["text"], r["lang"], r["held_out"]) for r in docs.collect()]
+    got = {r["doc_id"]: (r["score"], r["lattice_score"]) for r in lm.score(docs, PATH, "lang").collect()}
+    for i, score, alone in brute_scores(pieces, rows, "lang"):
+        assert got[i] == pytest.approx((score, alone), rel=1e-6)
+
+
 def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
 
