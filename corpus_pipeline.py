@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from simsift.llm import decontamination, mixing, near_dedup, token_files, toxicity
-from simsift.llm._space import read_table, written
+from simsift.llm._space import bounded, read_table, written
 from simsift.llm.language_id import in_fold
 
 TOKENIZER, END = "word_bpe_49k.json", 2
@@ -28,7 +28,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def _without(rows: DataFrame, rejected: DataFrame, label: str) -> DataFrame:
     """The rows whose key isn't among the rejected (key): few are broadcast, many joined by shuffle."""
-    return rows.join(near_dedup.bounded(written(rejected.distinct(), label)), "key", "left_anti").select("row.*")
+    return rows.join(bounded(written(rejected.distinct(), label)), "key", "left_anti").select("row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
