@@ -5,7 +5,9 @@ signs and shouting are words as well. Features are 1- and 2-grams of words, and
 that repeats the word before it; counts are damped and scaled to unit length. A score is the
 logistic of a sparse dot product over the whole text.
 
-Training takes a sample of about SAMPLE_ROWS labelled rows, chosen by hash of doc_id.
+Training takes a sample of about SAMPLE_ROWS labelled rows, chosen by hash of doc_id and text. The
+learning rate and penalties were chosen by the log loss of a fourth of the training rows, set apart
+by another hash, of models fitted on the rest; rows held out for a query had no part in it.
 
 Defined cases: null and empty texts get the score of the bias alone; rows that repeat score alike;
 without labelled rows every score is 0.5; a doc_id labelled more than once counts once each; other
@@ -84,7 +86,7 @@ def fit_labels(docs: DataFrame, label: str, features, sample_rows: int, **params
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
-    return fit_labels(docs, "quality", ngrams, sample_rows, alpha=5.0, l1=0.1, l2=0.001)
+    return fit_labels(docs, "quality", ngrams, sample_rows, alpha=10.0, l1=0.1, l2=0.001)
 
 
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:

@@ -6,7 +6,8 @@ for several letters or for none, and an exact Viterbi search over all pairs of l
 letters that the channel and a character trigram model, counted over all training texts, make likeliest. The restored text is
 scored by a logistic regression (FTRL) over how often it holds which words and word beginnings, hashed.
 
-Labels are learned from a sample of about SAMPLE_ROWS labelled rows, chosen by hash of doc_id.
+Labels are learned from a sample of about SAMPLE_ROWS labelled rows, chosen by hash of doc_id and
+text, with a learning rate and penalties chosen inside the training rows, as those of quality.
 
 Defined cases: null and empty texts get the score of the bias alone; rows that repeat score alike;
 without labelled rows every score is 0.5; a text of any length is read whole; other columns don't
@@ -224,7 +225,7 @@ def fit(train_docs: DataFrame, labelled: DataFrame, sample_rows: int = SAMPLE_RO
         made or made.append(model.features())
         return made[0](chunk)
 
-    model.weights = quality.fit_labels(labelled, "toxic", features, sample_rows, alpha=1.0, l1=2.0, l2=0.01)
+    model.weights = quality.fit_labels(labelled, "toxic", features, sample_rows, alpha=1.0, l1=4.0, l2=0.01)
     return model
 
 
