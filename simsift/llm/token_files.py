@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from simsift.llm._space import new_folder, written
 from simsift.llm._text import chunks
 
-FRAME_IDS = 65_536
+FRAME_IDS, PLACES = 65_536, 4_096
 #: Fixed values of the seekable zstandard format.
 INDEX_MAGIC, SEEK_MAGIC, FOOTER_MAGIC, WITH_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 #: Words kept with their ids by a worker, and the longest such word in bytes.
@@ -272,26 +272,40 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def read_documents(manifest: DataFrame, doc_ids: DataFrame) -> DataFrame:
-    """doc_id, ids of the wanted documents (doc_ids: a column doc_id); other frames aren't touched.
-
-    The wanted ids reach every shard's task, so ask for what fits one.
-    """
-    wanted = {r[0] for r in doc_ids.select("doc_id").distinct().toLocalIterator()}
+def read_index(manifest: DataFrame) -> DataFrame:
+    """doc_id, file, place of every document: the files' tails alone are read."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file in batch.column(0).to_pylist():
                 where, path = _opened(file)
                 with where.open_input_file(path) as source:
+                    ids = pa.array(ShardReader(source).doc_ids, pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, pa.array([file] * len(ids)), pa.array(range(len(ids)), pa.int64())], names=["doc_id", "file", "place"])
+
+    return manifest.select("file").repartition("file").mapInArrow(read, "doc_id long, file string, place long")
+
+
+def read_documents(manifest: DataFrame, doc_ids: DataFrame) -> DataFrame:
+    """doc_id, ids of the wanted documents (doc_ids: a column doc_id); other frames aren't touched.
+    The wanted are joined with the files' indexes; PLACES neighbouring documents are one task's at most."""
+    wanted = doc_ids.select(F.col("doc_id").cast("long").alias("_wanted")).distinct()
+    found = read_index(manifest).join(wanted, F.col("doc_id").eqNullSafe(F.col("_wanted"))).withColumn("part", F.floor(F.col("place") / PLACES))
+    found = found.repartition("file", "part").sortWithinPartitions("file", "place").select("file", "place", "doc_id")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, source, shard = None, None, None
+        for batch in batches:
+            for file, place, doc_id in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if file != name:
+                    if source is not None:
+                        source.close()
+                    where, path = _opened(file)
+                    name, source = file, where.open_input_file(path)
                     shard = ShardReader(source)
-                    found = [k for k, x in enumerate(shard.doc_ids) if x in wanted]
-                    for k in found:
-                        yield pa.RecordBatch.from_pydict(
-                            {
-                                "doc_id": pa.array([shard.doc_ids[k]], pa.int64()),
-                                "ids": pa.array([shard.document(k).astype(np.int64)], pa.list_(pa.int64())),
-                            }
-                        )
-
-    return manifest.select("file").mapInArrow(read, "doc_id long, ids array<long>")
+                ids = pa.array([shard.document(place).astype(np.int64)], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), ids], names=["doc_id", "ids"])
+        if source is not None:
+            source.close()
+
+    return found.mapInArrow(read, "doc_id long, ids array<long>")

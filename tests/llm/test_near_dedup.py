@@ -64,7 +64,7 @@ def corpus(seed):
     return [(i * 3, " ".join(t)) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("seed,width", [(1, 2), (2, 2), (3, 5)])
+@pytest.mark.parametrize("seed,width", [(1, 2), (3, 5)])
 def test_classes_equal_brute_force(make, seed, width):
     rows = corpus(seed)
     got = nd.near_duplicates(make([(i, t, "en", "s") for i, t in rows]), width)
