@@ -18,7 +18,7 @@ from simsift.functions.fingerprints import packed, query_words, sign_bits
 from simsift.jobs.merge import merge
 from simsift.jobs.report import report
 from simsift.jobs.search import search as search_shards
-from simsift.jobs.search import shard_hits, shard_metadata
+from simsift.jobs.search import shard_hits, shard_metadata, summary
 from simsift.jobs.split import split
 from simsift.operators import brackets, chunks, recover, search, shards
 from simsift.sources import cxsmiles, manifest, sinks
@@ -299,6 +299,18 @@ def search_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_metadata(spark, out).select(*names)
 
 
+@registered(
+    f"""{_RUN}, m AS (SELECT t.task_index, any_value(slice_end - slice_start) AS archives, count(*) AS records, count(*) FILTER (valid) AS valid, count(*) FILTER (tanimoto >= {SHARD_CUTOFF}) AS passing
+    FROM t JOIN every USING (task_index) GROUP BY t.task_index)
+    SELECT task_index, format('{{:,}} archives, {{:,}} records, {{:,}} valid, {{:,}} passing ({{:.6f}}%), {{:,}} retained, {{:.3f}} s, {{:.2f}} records/s', archives, records, valid, passing,
+    CASE WHEN valid > 0 THEN 100.0::DOUBLE * passing / valid ELSE 0.0::DOUBLE END, least(passing, {SHARD_K}), records / 7.0::DOUBLE, 7.0::DOUBLE) AS line FROM m"""
+)
+def search_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run prints of each shard, its time set to a seventh of a second a record."""
+    _, out = _searched(spark, sf_dir)
+    return summary(shard_metadata(spark, out).withColumn("elapsed_seconds", F.col("total_records") / F.lit(7.0)))
+
+
 def _merged(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     archives, out = _searched(spark, sf_dir)
     locators, csv = new_folder(spark, "locators"), new_folder(spark, "pipeline")

@@ -38,7 +38,7 @@ def split(
             raise FileExistsError(f"{staging} exists: another run writes it or has left it behind")
         where.delete_dir(at)
     header = cxsmiles.headers_of(archive, header_lines)
-    rows = cxsmiles.read_archives(spark, [archive], header_lines)
+    rows = cxsmiles.read_large(spark, archive, header_lines)
     if len(header) < header_lines or rows.isEmpty():
         raise ValueError(f"{archive} has no record")
     name = base.rpartition("/")[2]

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -102,6 +103,23 @@ def read_archives(spark: SparkSession, paths: list[str], header_lines: int = 1,
     return reader.load()
 
 
+def read_large(spark: SparkSession, path: str, header_lines: int = 1) -> DataFrame:
+    """ligand_line, record of one archive that many tasks read, a stretch of its compressed blocks each.
+
+    A first pass counts the lines of each stretch; a line's number is its place in its stretch and the
+    lines of all stretches before. Lines end at line feeds; read_archives takes a lone carriage
+    return for an end as well.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    text = F.rtrim(F.make_valid_utf8("value"), F.lit("\r"))
+    lines = lines.select(text.alias("record"), F.col("_metadata.file_block_start").alias("stretch"), F.monotonically_increasing_id().alias("place"))
+    per = written(lines.groupBy("stretch").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")), "stretches")
+    before = F.coalesce(F.sum("n").over(W.orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    per = per.select("stretch", (before - F.col("first")).alias("shift"))  # a row a stretch: few
+    rows = lines.join(F.broadcast(per), "stretch").select((F.col("place") + F.col("shift") - header_lines).alias("ligand_line"), "record")
+    return rows.where("ligand_line >= 0")
+
+
 def write_chunks(records: DataFrame, size: int, header: str | None, folder: str) -> DataFrame:
     """Writes records(base, line, record) as archives of size records each, the header in every one;
     returns the written files: file, chunk, records. A chunk is one task's work and never held whole.
@@ -171,4 +189,4 @@ def verify_chunks(spark: SparkSession, files: list[str], size: int, total: int,
             raise ValueError("a chunk's header differs from the archive's")
 
 
-__all__ = ["SUFFIX", "ArchiveSource", "headers_of", "read_archives", "verify_chunks", "write_chunks"]
+__all__ = ["SUFFIX", "ArchiveSource", "headers_of", "read_archives", "read_large", "verify_chunks", "write_chunks"]

@@ -69,6 +69,28 @@ def test_chunked_archives_round_trip(spark, tmp_path):
             cxsmiles.verify_chunks(spark, *wrong)
 
 
+def test_one_large_archive_is_read_by_many_tasks(spark, tmp_path):
+    import random
+
+    rng = random.Random(1)
+    lines = ["head"] + ["" if i % 1000 == 7 else f"r{i} " + "".join(rng.choices("abcdefghijklmnop", k=60)) + "\r" * (i % 3 == 0) for i in range(40_000)]
+    data = "\n".join(lines).encode()
+    path = archive(tmp_path / "big.cxsmiles.bz2", bz2.compress(data[:1_500_000], 1) + bz2.compress(data[1_500_000:], 1))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        rows = cxsmiles.read_large(spark, path)
+        assert rows.rdd.getNumPartitions() > 4
+        got = {r["ligand_line"]: r["record"] for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {i: x.rstrip("\r") for i, x in enumerate(lines[1:])}
+    want = {r["ligand_line"]: r["record"] for r in cxsmiles.read_archives(spark, [path]).collect()}
+    assert got == want
+    odd = archive(tmp_path / "odd.cxsmiles.bz2", bz2.compress(b"h\n\xff\xfe y\nz"))
+    assert sorted(map(tuple, cxsmiles.read_large(spark, odd).collect())) == [(0, "\ufffd\ufffd y"), (1, "z")]
+
+
 def test_chunks_of_lost_attempts_are_deleted(spark, tmp_path):
     folder = tmp_path / "c"
     folder.mkdir()
