@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from simsift.llm._space import new_folder, written
-from simsift.llm._text import chunks
+from simsift.llm._text import chunks, kept
 
 FRAME_IDS, PLACES = 65_536, 4_096
 #: Fixed values of the seekable zstandard format.
@@ -189,14 +189,12 @@ class WordEncoder:
         return out
 
 
-#: Kept by a worker from task to task.
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    """Kept by a worker from task to task."""
+    encoders = kept("token_files")
+    if path not in encoders:
+        encoders[path] = WordEncoder(path)
+    return encoders[path]
 
 
 def _opened(folder: str) -> tuple[fs.FileSystem, str]:

@@ -73,7 +73,7 @@ def queue(docs, cap=3):
     return taken
 
 
-@pytest.mark.parametrize("seed,n,rows,spread", [(1, 400, 20, 3), (5, 150, 500, 1000), (6, 60, 2, 2)])
+@pytest.mark.parametrize("seed,n,rows,spread", [(1, 400, 20, 3), (6, 60, 2, 2)])
 def test_taken_words_equal_a_plain_queue(make, monkeypatch, seed, n, rows, spread):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", rows)
     monkeypatch.setattr(mixing, "SPREAD", spread)

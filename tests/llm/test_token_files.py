@@ -81,3 +81,13 @@ def test_words_alone_encode_as_in_texts(spark):
     got = WordEncoder(PATH)([x.encode() for x in texts])
     for text, ids in zip(texts, got):
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_a_worker_keeps_one_operators_cache():
+    from simsift.llm._text import kept
+    from simsift.llm.token_files import encoder
+
+    one = encoder(PATH)
+    assert encoder(PATH) is one
+    kept("")
+    assert encoder(PATH) is not one
