@@ -22,7 +22,7 @@ from simsift.operators import search as ops
 from simsift.operators import shards
 from simsift.sources import cxsmiles, manifest
 from simsift.sources.sinks import fixed, grouped
-from simsift.space import written
+from simsift.space import discard, mark, written
 
 TOP_K, HEADER_LINES, RADIUS, FP_SIZE = 1_000_000, 1, 2, 2048
 METADATA = (
@@ -76,7 +76,7 @@ def search(
     ops.check_arguments(top_k, min_tanimoto)
     if fp_size < 64 or fp_size % 64 or radius < 0 or header_lines < 0:
         raise ValueError("fp_size must be a multiple of 64, radius and header_lines not negative")
-    paths, began = manifest.read_manifest(manifest_file), time.monotonic()
+    paths, began, before = manifest.read_manifest(manifest_file), time.monotonic(), mark()
     if not 1 <= task_count <= len(paths):
         raise ValueError(f"{task_count} tasks for {len(paths)} archives: every task needs an archive")
     tasks = list(range(1, task_count + 1)) if tasks is None else sorted(set(tasks))
@@ -120,6 +120,7 @@ def search(
     zero = {"total_records", "valid_records", "passing_cutoff", "retained"}
     rows = rows.select(*[(F.coalesce(n, F.lit(0)) if n in zero else F.col(n)).cast(t).alias(n) for n, t in fields])
     rows.coalesce(1).write.mode("append").option("ignoreNullFields", False).json(f"{out}/metadata")
+    discard(spark, before)
     return spark.read.schema(METADATA).json(f"{out}/metadata").where(F.col("task_index").isin(tasks))
 
 

@@ -45,10 +45,15 @@ def hadoop_path(spark: SparkSession, path: str) -> tuple:
     return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), name
 
 
-def discard(spark: SparkSession) -> None:
-    """Deletes every intermediate table and file of this process. Call it once results are saved:
-    frames that still read them can't be run again."""
-    while _made:
+def mark() -> int:
+    """For `discard`: what is made from now on."""
+    return len(_made)
+
+
+def discard(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the intermediate tables and files of this process, those made since a mark or all. Call
+    it once results are saved: frames that still read them can't be run again."""
+    while len(_made) > since:
         where, path = hadoop_path(spark, _made.pop())
         where.delete(path, True)
 
