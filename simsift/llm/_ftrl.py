@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from simsift.llm._space import written
-from simsift.llm._text import chunks, kept
+from simsift.llm._text import chunks, worker_cache
 
 EXAMPLE = "y array<byte>, idx array<int>, val array<float>"
 
@@ -98,7 +98,7 @@ def map_texts(docs: DataFrame, schema: str, make: Callable[[], Callable], column
     fields = StructType([*(docs.schema[c] for c in others), *made.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept("")
+        worker_cache("")
         work = make()
         for batch in batches:
             for chunk in chunks(batch.column(0), rows=256):

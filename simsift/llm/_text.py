@@ -20,15 +20,15 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-_kept: dict[str, dict] = {}
+_caches: dict[str, dict] = {}
 
 
-def kept(operator: str) -> dict:
+def worker_cache(operator: str) -> dict:
     """What a worker keeps for an operator from task to task; that of other operators is dropped, so a
     worker that several operators use holds one's at most."""
-    for other in [x for x in _kept if x != operator]:
-        del _kept[other]
-    return _kept.setdefault(operator, {})
+    for other in [x for x in _caches if x != operator]:
+        del _caches[other]
+    return _caches.setdefault(operator, {})
 
 
 class Chunk:

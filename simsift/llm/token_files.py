@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from simsift.llm._space import new_folder, written
-from simsift.llm._text import chunks, kept
+from simsift.llm._text import chunks, worker_cache
 
 FRAME_IDS, PLACES = 65_536, 4_096
 #: Fixed values of the seekable zstandard format.
@@ -191,7 +191,7 @@ class WordEncoder:
 
 def encoder(path: str) -> WordEncoder:
     """Kept by a worker from task to task."""
-    encoders = kept("token_files")
+    encoders = worker_cache("token_files")
     if path not in encoders:
         encoders[path] = WordEncoder(path)
     return encoders[path]

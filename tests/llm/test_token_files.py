@@ -84,10 +84,10 @@ def test_words_alone_encode_as_in_texts(spark):
 
 
 def test_a_worker_keeps_one_operators_cache():
-    from simsift.llm._text import kept
+    from simsift.llm._text import worker_cache
     from simsift.llm.token_files import encoder
 
     one = encoder(PATH)
     assert encoder(PATH) is one
-    kept("")
+    worker_cache("")
     assert encoder(PATH) is not one
