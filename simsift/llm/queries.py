@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsift.llm import decontamination, exact_dedup, language_id, lattice_lm, mixing, near_dedup, quality, token_files, toxicity, warc
+from simsift.llm import decontamination, exact_dedup, language_id, lattice_lm, mixing, near_dedup, periodic_runs, quality, sentencepiece_bpe, token_files, toxicity, vector_codes, warc
 from simsift.llm._space import read_table
 from simsift.llm.language_id import in_fold
 
@@ -67,6 +67,21 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"), kind="lang")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compressed(read_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepiece_bpe.digests(sentencepiece_bpe.encode(read_table(spark, sf_dir, "documents"), path))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(read_table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,9 +95,35 @@ QUERIES = {
         op8_quality,
         op9_token_files,
         op10_lattice_lm,
+        op11_vector_codes,
+        op12_sentencepiece,
+        op13_periodic_runs,
     )
 }
 
+
+def _codes_sql(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """Rounds written out one after the other; the codebooks after r rounds are the table b{r}."""
+    steps = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))""",
+        f"""p AS MATERIALIZED (SELECT r, vec_id, part, list_slice(q, part * (len(q) // {parts}) + 1, (part + 1) * (len(q) // {parts})) AS x FROM v, generate_series(0, {parts - 1}) AS g(part))""",
+        f"b0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS c FROM p QUALIFY entry < {entries})",
+    ]
+    for n in range(rounds + 1):
+        near = "min({'far': CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), 'entry': entry})"
+        steps.append(f"a{n} AS MATERIALIZED (SELECT r, part, x, {near} AS best FROM p JOIN b{n} USING (part) GROUP BY r, part, x)")
+        if n < rounds:
+            steps.append(
+                f"""m{n} AS MATERIALIZED (SELECT part, entry, list((s - (s % n + n) % n) // n ORDER BY k) AS c FROM (SELECT part, best.entry AS entry, k, CAST(sum(x[k]) AS BIGINT) AS s, count(*) AS n
+                FROM a{n}, generate_series(1, (SELECT max(len(x)) FROM p)) AS g(k) GROUP BY ALL) GROUP BY part, entry)"""
+            )
+            steps.append(f"b{n + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m{n}.c, b{n}.c) AS c FROM b{n} LEFT JOIN m{n} USING (part, entry))")
+    steps.append(f"coded AS MATERIALIZED (SELECT r, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, CAST(sum(best.far) AS BIGINT) AS error FROM a{rounds} GROUP BY r)")
+    digest = f"SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM b{rounds}"
+    return f"""WITH {", ".join(steps)} SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, ({digest}) AS codebooks_sha256 FROM v JOIN coded USING (r)"""
+
+
 _UPPER, _LOWER = decontamination.UPPER, decontamination.LOWER
 
 SQL = {
@@ -118,4 +159,5 @@ SQL = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_vector_codes": _codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE),
 }

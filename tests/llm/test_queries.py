@@ -23,6 +23,9 @@ COLUMNS = {
     "op8_quality": "doc_id bigint, held_out boolean, score double, predicted int",
     "op9_token_files": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
     "op10_lattice_lm": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+    "op11_vector_codes": "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
+    "op12_sentencepiece": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op13_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
 }
 FOLDS = {"op1_language_id": (4, 2), "op3_toxicity": (4, 2), "op8_quality": (5, 0), "op10_lattice_lm": (10, 0)}
 
@@ -45,7 +48,7 @@ def results(spark):
     return rows
 
 
-def test_all_ten_are_there():
+def test_all_are_there():
     assert set(queries.QUERIES) == set(COLUMNS)
 
 
@@ -55,8 +58,8 @@ def test_columns_types_and_folds(results, docs, spark, name):
     for column in COLUMNS[name].split(", "):
         column, kind = column.split()
         assert types[column] == kind
-    key = "page_id" if name.startswith("op5") else "doc_id"
-    want = [r[0] for r in spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id").collect()] if key == "page_id" else list(docs)
+    table, key = {"op5_warc_segments": ("pages", "page_id"), "op11_vector_codes": ("embeddings", "vec_id")}.get(name, ("documents", "doc_id"))
+    want = list(docs) if key == "doc_id" else [r[0] for r in spark.read.parquet(f"{SMALL}/{table}.parquet").select(key).collect()]
     assert sorted(r[key] for r in rows) == sorted(want)
     if name in FOLDS:
         mod, rest = FOLDS[name]
