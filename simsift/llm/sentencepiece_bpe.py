@@ -6,12 +6,14 @@ best score first, of equal scores the leftmost: a pair is joined, the new neighb
 and pairs of which a symbol has changed since are passed over. A symbol without a piece of its own is
 spelt as bytes, or is unknown if the vocabulary has no bytes.
 
-No piece holds a mark after another character, which the vocabulary is looked through for once. So no
-pair across "other character, mark" is ever joined, a text falls apart there, and equal segments have
-equal ids: a worker keeps those of short segments. In a vocabulary with such a piece a text is one segment.
+Two characters that stand side by side in no piece are never joined, so a text falls apart between
+them and each part has an agenda of its own. Where "other character, mark" is such a pair, as in most
+vocabularies, the parts up to the next mark are segments; equal segments have equal ids, and a worker
+keeps those of short ones. Otherwise, or if unknown symbols are to be told, a text is one segment.
 
-Arrow batches are worked through in pieces of about a million bytes. In each the ids are compared
-with those of the sentencepiece library (agrees), whose decode(ids) gives the decoded text.
+Arrow batches are worked through in pieces of about a million bytes. In each, the ids of segments not
+kept yet are compared with those that the sentencepiece library gives them; a text agrees if all of
+its segments do. The library's decode(ids) gives the decoded text.
 
 Defined cases: a null or empty text has no ids and decodes to an empty text; a text of any length is
 encoded whole, a word of any length in time that grows as n log n; rows that repeat get the same
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +38,8 @@ from simsift.llm._text import chunks, worker_cache
 MARK = "▁"
 #: Fixed values of the model file: types of pieces, and that of a merge vocabulary.
 NORMAL, UNKNOWN, USER_DEFINED, UNUSED, BYTE, MERGES = 1, 2, 4, 5, 6, 2
-#: Segments kept with their ids by a worker, and the longest such segment.
-CACHED_SEGMENTS, CACHED_LENGTH = 500_000, 48
+#: Segments, and as many parts, kept with their ids by a worker; the longest of them.
+CACHED_SEGMENTS, CACHED_LENGTH = 700_000, 48
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -79,40 +82,50 @@ class Vocabulary:
         if USER_DEFINED in kinds or UNUSED in kinds:
             raise ValueError(f"{path} has user-defined or unused pieces")
         pieces = [self.library.id_to_piece(i) for i in range(len(kinds))]
-        self.scores = [self.library.get_score(i) for i in range(len(kinds))]
         self.ids = {p: i for i, (p, kind) in enumerate(zip(pieces, kinds)) if kind == NORMAL}
+        self.order = {p: -self.library.get_score(i) for p, i in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, (p, kind) in enumerate(zip(pieces, kinds)) if kind == BYTE}
         self.unknown = kinds.index(UNKNOWN)
-        joined = any(MARK in p.lstrip(MARK) for p in self.ids)
-        self.segments = re.compile(f".+" if joined else f"{MARK}*[^{MARK}]+|{MARK}+", re.DOTALL)
-
-    def agenda(self, segment: str) -> list[int]:
-        """Ids of a segment of normalised text."""
-        symbols, end = list(segment), len(segment)
-        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
-        ids, scores, heap = self.ids, self.scores, []
-
-        def propose(left: int, right: int) -> None:
-            if left >= 0 and right < end and (piece := ids.get(symbols[left] + symbols[right])) is not None:
-                heapq.heappush(heap, (-scores[piece], left, right, len(symbols[left]) + len(symbols[right])))
-
-        for left in range(end - 1):
-            propose(left, left + 1)
+        self.pairs = {pair for p in self.ids for pair in zip(p, p[1:])}
+        whole = not self.bytes or any(pair[1] == MARK != pair[0] for pair in self.pairs)
+        self.segments = re.compile(".+" if whole else f"{MARK}*[^{MARK}]+|{MARK}+", re.DOTALL)
+
+    def agenda(self, text: str) -> list[str]:
+        """The symbols that are left of a normalised text once no pair can be joined."""
+        symbols, end, order = list(text), len(text), self.order
+        heap = [(o, k, k + 1, 2) for k in range(end - 1) if (o := order.get(symbols[k] + symbols[k + 1])) is not None]
+        if not heap:
+            return symbols
+        heapq.heapify(heap)
+        after, before, sizes = list(range(1, end + 1)), list(range(-1, end - 1)), [1] * end
         while heap:
             _, left, right, size = heapq.heappop(heap)
-            if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
+            if not sizes[left] or not sizes[right] or sizes[left] + sizes[right] != size:
                 continue
-            symbols[left] += symbols[right]
-            symbols[right] = ""
-            after[left] = after[right]
-            if after[left] < end:
-                before[after[left]] = left
-            propose(before[left], left)
-            propose(left, after[left])
+            joined = symbols[left] = symbols[left] + symbols[right]
+            sizes[left], sizes[right], symbols[right] = size, 0, ""
+            after[left] = right = after[right]
+            if right < end:
+                before[right] = left
+                if (o := order.get(joined + symbols[right])) is not None:
+                    heapq.heappush(heap, (o, left, right, size + sizes[right]))
+            if (first := before[left]) >= 0 and (o := order.get(symbols[first] + joined)) is not None:
+                heapq.heappush(heap, (o, first, left, sizes[first] + size))
+        return [x for x in symbols if x]
+
+    def parts(self, segment: str) -> list[str]:
+        """The segment cut between characters that stand side by side in no piece."""
+        if not self.bytes:
+            return [segment]
+        cuts = [k for k, pair in enumerate(zip(segment, segment[1:]), 1) if pair not in self.pairs]
+        return [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])] if cuts else [segment]
+
+    def spelt(self, part: str) -> bytes:
+        """Ids of a part as 32-bit integers."""
         out: list[int] = []
         known = True
-        for symbol in filter(None, symbols):
-            piece = ids.get(symbol)
+        for symbol in self.agenda(part):
+            piece = self.ids.get(symbol)
             if piece is not None:
                 out.append(piece)
             elif self.bytes:
@@ -120,23 +133,42 @@ class Vocabulary:
             elif known:  # neighbouring unknown symbols are one
                 out.append(self.unknown)
             known = piece is not None
-        return out
-
-    def encode(self, text: str, kept: dict[str, list[int]]) -> list[int]:
-        """Ids of a text; kept holds those of short segments seen before."""
-        out: list[int] = []
-        for segment in self.segments.findall(self.library.normalize(text)):
-            found = kept.get(segment)
-            if found is None:
-                found = self.agenda(segment)
-                if len(segment) <= CACHED_LENGTH:
-                    if len(kept) >= CACHED_SEGMENTS:
-                        kept.clear()
-                    kept[segment] = found
-            if not self.bytes and out and found and out[-1] == found[0] == self.unknown:
-                found = found[1:]
-            out += found
-        return out
+        return array("i", out).tobytes()
+
+    def encode(self, segment: str, kept: dict[str, bytes]) -> bytes:
+        """Ids of a segment of normalised text; kept are those of parts seen before, and is added to."""
+        out = []
+        for part in self.parts(segment):
+            ids = kept.get(part)
+            if ids is None:
+                ids = self.spelt(part)
+                if len(part) <= CACHED_LENGTH:
+                    kept[part] = ids
+            out.append(ids)
+        return b"".join(out)
+
+    def librarys(self, segments: list[str]) -> list[list[int]]:
+        """What the library makes of segments, whose first mark it puts in front by itself."""
+        front = len(self.library.normalize("a")) - 1
+        found = self.library.encode([s[front:].replace(MARK, " ") for s in segments], num_threads=1)
+        return [x if len(s) > front else [self.library.piece_to_id(s)] for s, x in zip(segments, found)]
+
+    def encode_texts(self, texts: list[str], kept: dict[str, bytes], differ: set[str]) -> tuple[list[np.ndarray], list[bool]]:
+        """Ids of texts, and whether the library's agree. kept and differ are of segments seen before, and are added to."""
+        cut = [self.segments.findall(self.library.normalize(t)) for t in texts]
+        new = list({s for segments in cut for s in segments if s not in kept})
+        parts = kept.setdefault("", {})  # no segment is empty
+        found = [self.encode(s, parts) for s in new]
+        differ.update(s for s, a, b in zip(new, found, self.librarys(new)) if a != array("i", b).tobytes())
+        long = {}
+        for s, ids in zip(new, found):
+            (kept if len(s) <= CACHED_LENGTH else long)[s] = ids
+        rows = [b"".join([kept[s] if s in kept else long[s] for s in segments]) for segments in cut]
+        agree = [not differ or differ.isdisjoint(segments) for segments in cut]
+        if len(kept) > CACHED_SEGMENTS:
+            kept.clear()
+            kept[""] = parts if len(parts) <= CACHED_SEGMENTS else {}
+        return [np.frombuffer(r, np.int32) for r in rows], agree
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -145,17 +177,15 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = worker_cache(f"sentencepiece {path}")
         if "vocabulary" not in kept:
-            kept["vocabulary"], kept["segments"] = Vocabulary(path), {}
+            kept["vocabulary"], kept["segments"], kept["differ"] = Vocabulary(path), {}, set()
         vocabulary, library = kept["vocabulary"], kept["vocabulary"].library
         for batch in batches:
             for c in chunks(batch.column(1)):
                 texts = [c.buf[a:b].tobytes().decode() for a, b in zip(c.offsets[:-1], c.offsets[1:])]
-                ids = [vocabulary.encode(t, kept["segments"]) for t in texts]
-                agrees = [a == b for a, b in zip(ids, library.encode(texts, num_threads=1))]
-                decoded = [library.decode(x) for x in ids]
+                ids, agrees = vocabulary.encode_texts(texts, kept["segments"], kept["differ"])
+                decoded = [library.decode(x.tolist()) for x in ids]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = np.fromiter((i for x in ids for i in x), np.int32, int(ends[-1]))
-                columns = [batch.column(0).slice(c.first, c.rows), pa.ListArray.from_arrays(ends, flat), pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_())]
+                columns = [batch.column(0).slice(c.first, c.rows), pa.ListArray.from_arrays(ends, np.concatenate(ids)), pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded", "agrees"])
 
     rows = docs.select("doc_id", "text")

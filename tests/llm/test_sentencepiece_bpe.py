@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import example, given, settings
@@ -28,20 +29,30 @@ TEXTS = st.one_of(st.text(max_size=60), st.text(alphabet="ab  ▁\n\tthe<0x41>é
 @example("\x00a\x00")
 @example("ﬁ Å ａ")
 def test_ids_are_the_librarys(vocabulary, text):
-    kept = {}
-    assert vocabulary.encode(text, kept) == vocabulary.library.encode(text)
-    assert vocabulary.encode(text, kept) == vocabulary.library.encode(text)  # from what is kept
+    kept, differ, want = {}, set(), vocabulary.library.encode(text)
+    for _ in range(2):  # then from what is kept
+        [ids, twice], agree = vocabulary.encode_texts([text, text], kept, differ)
+        assert ids.tolist() == twice.tolist() == want and agree == [True, True] and not differ
 
 
 def test_segments_don_t_change_the_agenda(vocabulary):
     text = "the same words, the same words   and some OTHERS: the end"
-    whole = vocabulary.agenda(vocabulary.library.normalize(text))
-    assert whole == vocabulary.encode(text, {}) == vocabulary.library.encode(text)
+    normal = vocabulary.library.normalize(text)
+    whole = [vocabulary.ids[x] for x in vocabulary.agenda(normal)]
+    assert whole == np.frombuffer(vocabulary.encode(normal, {}), np.int32).tolist() == vocabulary.library.encode(text)
+    assert "".join(vocabulary.parts(normal)) == normal and len(vocabulary.parts(normal)) > 5
+
+
+def test_a_text_with_a_differing_segment_doesn_t_agree(vocabulary, monkeypatch):
+    monkeypatch.setattr(vocabulary, "encode", lambda s, kept: b"1234" if "bad" in s else type(vocabulary).encode(vocabulary, s, kept))
+    kept, differ = {}, set()
+    assert vocabulary.encode_texts(["good one", "a bad one", ""], kept, differ)[1] == [True, False, True]
+    assert vocabulary.encode_texts(["bad", "x bad"], kept, differ)[1] == [False, False]
 
 
 def test_a_very_long_word(vocabulary):
     text = "abcabd" * 30_000
-    assert vocabulary.encode(text, {}) == vocabulary.library.encode(text)
+    assert vocabulary.encode_texts([text], {}, set())[0][0].tolist() == vocabulary.library.encode(text)
 
 
 def test_odd_rows(odd, none):
