@@ -38,13 +38,22 @@ def test_ids_are_the_librarys(vocabulary, text):
 def test_segments_don_t_change_the_agenda(vocabulary):
     text = "the same words, the same words   and some OTHERS: the end"
     normal = vocabulary.library.normalize(text)
-    whole = [vocabulary.ids[x] for x in vocabulary.agenda(normal)]
-    assert whole == np.frombuffer(vocabulary.encode(normal, {}), np.int32).tolist() == vocabulary.library.encode(text)
-    assert "".join(vocabulary.parts(normal)) == normal and len(vocabulary.parts(normal)) > 5
+    want = vocabulary.library.encode(text)
+    assert [vocabulary.ids[x] for x in vocabulary.agenda(normal)] == want
+    for segments in ([normal], vocabulary.segments.findall(normal)):
+        assert np.frombuffer(b"".join(vocabulary.encode(segments)), np.int32).tolist() == want
+        assert np.frombuffer(b"".join(vocabulary.together(segments)), np.int32).tolist() == want
+    assert len(segments) == 11
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="▁abcthe.ing😀", min_size=1, max_size=40), min_size=1, max_size=8))
+def test_agendas_side_by_side_are_those_of_heaps(vocabulary, segments):
+    assert vocabulary.together(segments) == [vocabulary.spelt(s) for s in segments]
 
 
 def test_a_text_with_a_differing_segment_doesn_t_agree(vocabulary, monkeypatch):
-    monkeypatch.setattr(vocabulary, "encode", lambda s, kept: b"1234" if "bad" in s else type(vocabulary).encode(vocabulary, s, kept))
+    monkeypatch.setattr(vocabulary, "encode", lambda found: [b"1234" if "bad" in s else type(vocabulary).encode(vocabulary, [s])[0] for s in found])
     kept, differ = {}, set()
     assert vocabulary.encode_texts(["good one", "a bad one", ""], kept, differ)[1] == [True, False, True]
     assert vocabulary.encode_texts(["bad", "x bad"], kept, differ)[1] == [False, False]
