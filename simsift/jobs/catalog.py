@@ -545,15 +545,14 @@ def cxsmiles_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def ecfp_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Circular fingerprints of the archives' structures, the K most like the first part's, recovered
-    from only those archives, and lines, that hold a hit."""
+    from only those blocks of the archives that hold a hit."""
     paths = _archives(spark, sf_dir)
     library = cxsmiles.read_archives(spark, paths)
     parts = library.withColumn("smiles", records.structure(records.record_tokens(F.col("record"))))
     query = smiles.query_fingerprint("CCCCO")
-    hits = search.scored_packed(smiles.fingerprints(parts.drop("record")), query)
+    hits = search.scored_packed(smiles.fingerprints(parts.drop("record")), query, more=("block", "row"))
     best = written(search.ranked(search.top(hits, TOP_K)), "ecfp-hits")
-    last = {r["archive_index"]: r["last_line"] for r in recover.needed(best).toLocalIterator()}
-    found = recover.recover_all(best, cxsmiles.read_archives(spark, paths, last_lines=last))
+    found = cxsmiles.recovered(best)
     parts = records.checked(records.record_tokens(F.col("record")), F.col("record"))
     return found.select("rank", "tanimoto", "archive_index", "ligand_line", records.structure(parts).alias("smiles"), records.identifier(parts).alias("id"))
 

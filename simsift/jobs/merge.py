@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from simsift.functions import records
 from simsift.jobs.search import shard_hits, shard_metadata
-from simsift.operators import recover, search, shards
+from simsift.operators import search, shards
 from simsift.sources import cxsmiles, manifest, sinks
 from simsift.space import written
 
@@ -27,7 +27,8 @@ def merge(
     """Writes both files; rank, tanimoto, archive_index, source_file, ligand_line of the final list.
 
     Refused: shards without metadata or with fewer hits than it says, shards that disagree, another
-    manifest, another number of tasks, a K above the shards'. short says what a hit whose record has
+    manifest, another number of tasks, a K above the shards'. Records are read from the blocks that hold a
+    hit, and no others. short says what a hit whose record has
     fewer than its twelve fields does: "fail", or "null" for a row without an id.
     """
     paths, metadata = manifest.read_manifest(manifest_file), shard_metadata(spark, out)
@@ -39,8 +40,7 @@ def merge(
     best = written(search.ranked(search.top(shard_hits(spark, out, metadata).drop("task_index"), k)), "ranked")
     sinks.write_locators(best, locators, digits)
 
-    last = {r["archive_index"]: r["last_line"] for r in recover.needed(best).toLocalIterator()}
-    found = recover.recover_all(best, cxsmiles.read_archives(spark, paths, first["header_lines"], last))
+    found = cxsmiles.recovered(best)
     parts = records.record_tokens(F.col("record"))
     found = found.withColumn("parts", records.checked(parts, F.col("record")) if short == "fail" else parts)
     name = F.when(records.complete(F.col("parts")), records.identifier(F.col("parts")))

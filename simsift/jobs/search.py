@@ -1,18 +1,24 @@
 """The search job: a manifest of archives and a query in, hits and metadata of every shard out.
 
-    out/hits/task_index=t   tanimoto, archive_index, source_file, ligand_line: the shard's K best
-    out/metadata            one row a shard, written after the hits; what the merge checks
-
-A shard is a slice of the manifest. All shards are one Spark job: an archive is a partition of the
-scan, every record is parsed and scored once, and scores are stored with -1 for records below the
-cutoff, of which only the number matters; hits and counts come from that table.
+A shard is a slice of the manifest, its K best hits and its counts. The archives' stretches are scanned
+once each, in waves: first as many as fill the cluster, then each time twice as many as are done, in an order that
+takes all shards and all parts of them alike. A task scores the lines of its stretch, counts them by
+block and writes what can still matter to one file: the K best at or above the cutoff and above the
+K-th best score that its shard has so far, which is read from the files before each wave. So what is written
+follows the hits, and a file says that its stretch is done: a run that stopped goes on with the others.
+
+Once all stretches are done, block counts give the hits their line numbers, and the shards' K best
+and their metadata are published together (sources/shards.py).
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from simsift.functions import records, smiles
@@ -21,21 +27,24 @@ from simsift.functions.similarity import word_tanimoto
 from simsift.operators import search as ops
 from simsift.operators import shards
 from simsift.sources import cxsmiles, manifest
+from simsift.sources import shards as files
 from simsift.sources.sinks import fixed, grouped
-from simsift.space import discard, mark, written
+from simsift.space import kept_until_done, written
 
 TOP_K, HEADER_LINES, RADIUS, FP_SIZE = 1_000_000, 1, 2, 2048
 METADATA = (
     "task_index int, task_count int, manifest string, manifest_sha256 string, manifest_archive_count int, slice_start int, slice_end int, archive_count int, "
     "query_smiles string, top_k bigint, min_tanimoto double, radius int, fp_size int, use_chirality boolean, header_lines int, "
-    "total_records bigint, valid_records bigint, passing_cutoff bigint, retained bigint, elapsed_seconds double"
+    "total_records bigint, valid_records bigint, passing_cutoff bigint, retained bigint, elapsed_seconds double, files array<string>"
 )
-HITS = "tanimoto double, archive_index int, source_file string, ligand_line bigint, task_index int"
-BELOW = -1.0
+HITS = "tanimoto double, archive_index int, source_file string, ligand_line bigint, block bigint, row int, task_index int"
+LINE = ("archive_index", "source_file", "ligand_line")
+#: Scores are counted by so many equal steps to find how good a hit must be.
+STEPS = 1 << 16
 
 
-def every_score(library: DataFrame, query: str, kind: str = "structure", radius: int = RADIUS, fp_size: int = FP_SIZE, use_chirality: bool = False) -> DataFrame:
-    """archive_index, source_file, ligand_line, tanimoto of every record, null where it isn't valid.
+def every_score(library: DataFrame, query: str, kind: str = "structure", radius: int = RADIUS, fp_size: int = FP_SIZE, use_chirality: bool = False, line: tuple[str, ...] = LINE) -> DataFrame:
+    """The columns that name a line, and tanimoto, of every record, null where it isn't valid.
 
     kind "structure" takes circular fingerprints of the first token; "tokens" the hashed tokens of
     the whole record.
@@ -43,7 +52,7 @@ def every_score(library: DataFrame, query: str, kind: str = "structure", radius:
     if kind == "structure":
         asked = smiles.query_fingerprint(query, radius, fp_size, use_chirality)
         first = records.structure(records.record_tokens(F.col("record")))
-        rows = smiles.fingerprints(library.withColumn("smiles", first).drop("record"), "smiles", radius, fp_size, use_chirality)
+        rows = smiles.fingerprints(library.select(*line, first.alias("smiles")), "smiles", radius, fp_size, use_chirality)
         words = [F.get("words", F.lit(i)) for i in range(len(asked))]
         score: Column = F.when(F.col("popcount") > 0, word_tanimoto(words, asked, F.col("popcount")))
     elif kind == "tokens":
@@ -51,7 +60,40 @@ def every_score(library: DataFrame, query: str, kind: str = "structure", radius:
         rows, score = library.withColumn("bits", token_bits(F.col("record"), fp_size)), ops.score_of(sorted(row["b"]))
     else:
         raise ValueError(f"no such fingerprint: {kind}")
-    return rows.select("archive_index", "source_file", "ligand_line", score.alias("tanimoto"))
+    return rows.select(*line, score.alias("tanimoto"))
+
+
+def _spread_order(n: int) -> list[int]:
+    """0..n-1 so that any beginning is spread evenly: in order of their reversed bits."""
+    bits = max(1, (n - 1).bit_length())
+    return sorted(range(n), key=lambda k: int(f"{k:0{bits}b}"[::-1], 2))
+
+
+def _begun(out: str, task: int, asked: str) -> None:
+    """Notes what a shard's stretches are searched for; raises if it was something else before."""
+    where, folder = manifest.opened(f"{out}/parts/task_index={task}")
+    if where.get_file_info(f"{folder}/_search.json").type != manifest.fs.FileType.NotFound:
+        with where.open_input_stream(f"{folder}/_search.json") as f:
+            if f.read().decode() != asked:
+                raise ValueError(f"{out} holds an unfinished search of task {task} with other arguments")
+        return
+    where.create_dir(folder, recursive=True)
+    with where.open_output_stream(f"{folder}/_search.json") as f:
+        f.write(asked.encode())
+
+
+def _parts(spark: SparkSession, out: str, tasks: list[int]) -> DataFrame:
+    paths = [f"{out}/parts/task_index={t}" for t in tasks]
+    return spark.read.schema(f"{files.PARTS}, task_index int").option("basePath", f"{out}/parts").parquet(*paths)
+
+
+def _bounds(parts: DataFrame, k: int) -> dict[int, float]:
+    """Of each shard that has K hits already: a score that its K-th best can't be below."""
+    step = F.floor(F.col("tanimoto") * STEPS).alias("step")
+    counts = parts.where(F.col("tanimoto").isNotNull()).groupBy("task_index", step).agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(W.partitionBy("task_index").orderBy(F.desc("step")))
+    reached = counts.withColumn("upto", upto).where(F.col("upto") >= k).groupBy("task_index").agg(F.max("step").alias("step"))
+    return {r["task_index"]: r["step"] / STEPS for r in reached.collect()}  # a row a shard
 
 
 def search(
@@ -68,42 +110,32 @@ def search(
     fp_size: int = FP_SIZE,
     use_chirality: bool = False,
     kind: str = "structure",
+    resume: bool = False,
+    stretch_bytes: int = cxsmiles.STRETCH_BYTES,
 ) -> DataFrame:
     """Writes the shards of tasks (1-based, next to each other; all if None) to out; their metadata.
 
-    Tasks that out already has are refused, so a run that failed is done again into a new folder.
+    Shards that an earlier call left unfinished are gone on with, stretch by stretch, if their arguments were
+    the same. Finished ones are refused, or with resume left as they are.
     """
     ops.check_arguments(top_k, min_tanimoto)
     if fp_size < 64 or fp_size % 64 or radius < 0 or header_lines < 0:
         raise ValueError("fp_size must be a multiple of 64, radius and header_lines not negative")
-    paths, began, before = manifest.read_manifest(manifest_file), time.monotonic(), mark()
+    paths, began = manifest.read_manifest(manifest_file), time.monotonic()
     if not 1 <= task_count <= len(paths):
         raise ValueError(f"{task_count} tasks for {len(paths)} archives: every task needs an archive")
-    tasks = list(range(1, task_count + 1)) if tasks is None else sorted(set(tasks))
-    if not tasks or tasks[0] < 1 or tasks[-1] > task_count or tasks[-1] - tasks[0] + 1 != len(tasks):
+    asked = list(range(1, task_count + 1)) if tasks is None else sorted(set(tasks))
+    if not asked or asked[0] < 1 or asked[-1] > task_count or asked[-1] - asked[0] + 1 != len(asked):
         raise ValueError(f"tasks must be numbers in 1..{task_count} next to each other")
     known = shard_metadata(spark, out)
-    if known is not None and not known.where(F.col("task_index").isin(tasks)).isEmpty():
+    done = set() if known is None else {r["task_index"] for r in known.select("task_index").collect()}
+    if done & set(asked) and not resume:
         raise FileExistsError(f"{out} has some of these tasks already")
-    start, end = len(paths) * (tasks[0] - 1) // task_count, len(paths) * tasks[-1] // task_count
-    library = cxsmiles.read_archives(spark, paths[start:end], header_lines, first_index=start)
-    scores = every_score(library, query, kind, radius, fp_size, use_chirality)
-    if min_tanimoto is not None:
-        scores = scores.withColumn("tanimoto", F.transform(F.array("tanimoto"), lambda s: F.when(s < min_tanimoto, F.lit(BELOW)).otherwise(s)).getItem(0))
-    scores = written(scores, "scores")
-    task = ops.task_of(F.col("archive_index"), F.lit(len(paths)), task_count).cast("int").alias("task_index")
-    hits = scores.where(F.col("tanimoto") >= 0).select("tanimoto", "archive_index", "source_file", "ligand_line", task)
-    best = ops.top_in_groups(hits, top_k, "task_index").drop("group_rank")
-    best.repartition("task_index").write.mode("append").partitionBy("task_index").parquet(f"{out}/hits")
-
-    counts = ops.archive_counts(scores, 0.0, top_k)
-    counts = written(ops.shard_counts(counts, len(paths), task_count, top_k), "shard-counts")
-    every = shards.slices(len(paths), task_count, spark).where(F.col("task_index").isin(tasks))
-    digest = shards.manifest_digest(manifest.manifest_frame(spark, paths)).first()
+    tasks = [t for t in asked if t not in done]
     values = {
         "task_count": task_count,
         "manifest": manifest_file,
-        "manifest_sha256": digest["manifest_sha256"],
+        "manifest_sha256": hashlib.sha256("".join(f"{p}\n" for p in paths).encode()).hexdigest(),
         "manifest_archive_count": len(paths),
         "query_smiles": query,
         "top_k": top_k,
@@ -112,34 +144,94 @@ def search(
         "fp_size": fp_size,
         "use_chirality": use_chirality,
         "header_lines": header_lines,
-        "elapsed_seconds": time.monotonic() - began,
     }
-    rows = every.join(counts.drop("archive_count"), "task_index", "left").withColumns({k: F.lit(v) for k, v in values.items()})
-    rows = rows.withColumn("archive_count", F.col("slice_end") - F.col("slice_start"))
-    fields = [x.split() for x in METADATA.split(", ")]
-    zero = {"total_records", "valid_records", "passing_cutoff", "retained"}
-    rows = rows.select(*[(F.coalesce(n, F.lit(0)) if n in zero else F.col(n)).cast(t).alias(n) for n, t in fields])
-    rows.coalesce(1).write.mode("append").option("ignoreNullFields", False).json(f"{out}/metadata")
-    discard(spark, before)
-    return spark.read.schema(METADATA).json(f"{out}/metadata").where(F.col("task_index").isin(tasks))
+    slices = {t: (len(paths) * (t - 1) // task_count, len(paths) * t // task_count) for t in tasks}
+
+    def scores(plan: list[cxsmiles.Stretch]) -> DataFrame:
+        return every_score(cxsmiles.scan(spark, plan), query, kind, radius, fp_size, use_chirality, ("archive_index", "block", "row"))
+
+    scores([])  # an argument that is none is refused before anything is written
+    with kept_until_done(spark):
+        plans = {t: cxsmiles.stretches(paths[a:b], header_lines, a, stretch_bytes) for t, (a, b) in slices.items()}
+        for t in tasks:
+            _begun(out, t, json.dumps({**values, "kind": kind, "stretch_bytes": stretch_bytes}))
+        _scan(spark, out, plans, scores, top_k, min_tanimoto)
+        if tasks:
+            _publish(spark, out, paths, slices, values, began)
+    return shard_metadata(spark, out).where(F.col("task_index").isin(asked))
+
+
+def _scan(spark: SparkSession, out: str, plans: dict[int, list], scores, top_k: int, cutoff: float | None) -> None:
+    """Scans the stretches that aren't done, in waves."""
+    spark.dataSource.register(files.StretchSink)
+    ready = {t: files.finished(out, t) for t in plans}
+    left = {t: [plan[k] for k in _spread_order(len(plan)) if files.part_name(plan[k].index, plan[k].number) not in ready[t]] for t, plan in plans.items()}
+    todo = [(place / len(own), t, s) for t, own in left.items() for place, s in enumerate(own)]
+    todo.sort(key=lambda x: x[:2])
+    scanned, size = sum(map(len, ready.values())), 2 * spark.sparkContext.defaultParallelism
+    while todo:
+        wave, todo = todo[:size], todo[size:]
+        bounds = _bounds(_parts(spark, out, list(plans)), top_k) if scanned else {}
+        options = {
+            "out": out,
+            "top_k": top_k,
+            "cutoff": json.dumps(cutoff),
+            "bounds": json.dumps(bounds),
+            "todo": json.dumps([[t, s.index, s.number, s.start, s.end] for _, t, s in wave]),
+        }
+        scores([s for _, _, s in wave]).write.format("stretches").options(**options).mode("append").save()
+        scanned += len(wave)
+        size = max(size, 2 * scanned)
+    lost = [(s.index, s.number) for t, plan in plans.items() for s in plan if files.part_name(s.index, s.number) not in files.finished(out, t)]
+    if lost:
+        raise ValueError(f"stretches {lost[:10]} (archive, number) have no result")
+
+
+def _publish(spark: SparkSession, out: str, paths: list[str], slices: dict[int, tuple[int, int]], values: dict, began: float) -> None:
+    """From the stretches' files to the shards' hits and metadata."""
+    tasks, top_k = list(slices), values["top_k"]
+    parts = _parts(spark, out, tasks)
+    blocks = parts.where(F.col("lines").isNotNull()).withColumnRenamed("row", "first_row")
+    shift = cxsmiles.numbered(blocks).select("archive_index", "block", "shift")
+    hits = parts.where(F.col("tanimoto").isNotNull()).select("tanimoto", "archive_index", "block", "row", "task_index")
+    hits = hits.join(shift, ["archive_index", "block"]).withColumn("ligand_line", F.col("row") + F.col("shift"))
+    best = ops.top_in_groups(hits.drop("shift"), top_k, "task_index").drop("group_rank")
+    best = best.join(manifest.manifest_frame(spark, paths), "archive_index").select(*[x.split()[0] for x in HITS.split(", ")])
+
+    archives = blocks.groupBy("archive_index").agg(F.sum("lines").alias("records"), F.sum("valid").alias("valid"), F.sum("passing").alias("passing_cutoff"))
+    archives = archives.withColumn("retained", F.least("passing_cutoff", F.lit(top_k)))
+    counts = {r["task_index"]: r for r in ops.shard_counts(archives, len(paths), values["task_count"], top_k).collect()}  # a row a shard
+    names = ("total_records", "valid_records", "passing_cutoff", "retained")
+    rows = []
+    for t, (a, b) in slices.items():
+        own = {n: counts[t][n] if t in counts else 0 for n in names}
+        rows.append({"task_index": t, "slice_start": a, "slice_end": b, "archive_count": b - a, **values, **own, "elapsed_seconds": time.monotonic() - began})
+    spark.dataSource.register(files.ShardSink)
+    ready = best.repartition("task_index").sortWithinPartitions("task_index")
+    ready.write.format("shards").options(out=out, metadata=json.dumps(rows)).mode("append").save()
+    for t in tasks:
+        where, folder = manifest.opened(f"{out}/parts/task_index={t}")
+        where.delete_dir(folder)
 
 
 def shard_metadata(spark: SparkSession, out: str) -> DataFrame | None:
     """The metadata that out holds, None without any."""
     where, path = manifest.opened(f"{out}/metadata")
-    return spark.read.schema(METADATA).json(f"{out}/metadata") if where.get_file_info(path).type != manifest.fs.FileType.NotFound else None
+    found = [x for x in where.get_file_info(manifest.fs.FileSelector(path, allow_not_found=True)) if x.base_name[0] not in "._"]
+    return spark.read.schema(METADATA).json(f"{out}/metadata") if found else None
 
 
 def shard_hits(spark: SparkSession, out: str, metadata: DataFrame) -> DataFrame:
     """The hits of the shards; raises unless each has as many as its metadata says."""
-    where, path = manifest.opened(f"{out}/hits")
-    none = where.get_file_info(path).type == manifest.fs.FileType.NotFound or not where.get_file_info(manifest.fs.FileSelector(path))
-    hits = spark.createDataFrame([], HITS) if none else spark.read.schema(HITS).parquet(f"{out}/hits")
+    named = [(r["task_index"], f) for r in metadata.select("task_index", "files").collect() for f in r["files"] or ()]  # some files a shard
+    lost = sorted({t for t, f in named if manifest.opened(f)[0].get_file_info(manifest.opened(f)[1]).type == manifest.fs.FileType.NotFound})
+    there = [f for t, f in named if t not in lost]
+    hits = spark.read.schema(HITS).option("basePath", f"{out}/hits").parquet(*there) if there else spark.createDataFrame([], HITS)
     found = hits.groupBy("task_index").agg(F.count(F.lit(1)).alias("n"))
     odd = metadata.join(found, "task_index", "left").where(F.coalesce("n", F.lit(0)) != F.col("retained"))
-    if lost := [r["task_index"] for r in odd.select("task_index").limit(10).collect()]:
-        raise ValueError(f"results of tasks {lost} are missing or incomplete")
-    return hits.join(metadata.select("task_index"), "task_index", "left_semi")
+    if lost := lost or [r["task_index"] for r in odd.select("task_index").limit(10).collect()]:
+        raise ValueError(f"results of tasks {lost[:10]} are missing or incomplete")
+    return hits
 
 
 def summary(metadata: DataFrame) -> DataFrame:

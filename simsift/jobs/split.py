@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from simsift.sources import cxsmiles
 from simsift.sources.manifest import STAGING, SUFFIX, opened
+from simsift.space import written
 
 CHUNK_SIZE = 10_000_000
 
@@ -17,12 +18,19 @@ def _there(where: fs.FileSystem, path: str) -> bool:
 
 
 def split(
-    spark: SparkSession, archive: str, chunk_size: int = CHUNK_SIZE, header_lines: int = 1, delete_original: bool = False, overwrite_inprogress: bool = False
+    spark: SparkSession,
+    archive: str,
+    chunk_size: int = CHUNK_SIZE,
+    header_lines: int = 1,
+    delete_original: bool = False,
+    overwrite_inprogress: bool = False,
+    stretch_bytes: int = cxsmiles.STRETCH_BYTES,
 ) -> DataFrame:
     """file, chunk, records of the chunks of X.cxsmiles.bz2, which stand in X_chunks once all are proven.
 
-    Chunks are written to X_chunks.inprogress, read again (sizes, total, headers), and the folder is
-    renamed. An existing X_chunks is refused, and a staging folder that a run left behind unless
+    One pass over the archive's stretches counts the lines of its blocks; the total comes from it alone.
+    Then every chunk is read from the block where it begins and written to X_chunks.inprogress by a task of its
+    own, read again (sizes, total, headers, checksums), and the folder is renamed. An existing X_chunks is refused, and a staging folder that a run left behind unless
     overwrite_inprogress; an archive without records is an error. The archive is deleted, if asked
     for, as the last step.
     """
@@ -38,16 +46,15 @@ def split(
             raise FileExistsError(f"{staging} exists: another run writes it or has left it behind")
         where.delete_dir(at)
     header = cxsmiles.headers_of(archive, header_lines)
-    rows = cxsmiles.read_large(spark, archive, header_lines)
-    if len(header) < header_lines or rows.isEmpty():
+    blocks = written(cxsmiles.block_index(spark, cxsmiles.stretches([archive], header_lines, size=stretch_bytes)), "blocks")
+    total = blocks.agg(F.sum("lines")).first()[0] or 0
+    if len(header) < header_lines or not total:
         raise ValueError(f"{archive} has no record")
-    name = base.rpartition("/")[2]
-    lines = rows.select(F.lit(name).alias("base"), F.col("ligand_line").alias("line"), "record")
-    files = cxsmiles.write_chunks(lines, chunk_size, "\n".join(header) if header else None, staging)
-    ordered = [r["file"] for r in files.orderBy("chunk").toLocalIterator()]
-    last = rows.agg(F.count(F.lit(1))).first()[0]
-    cxsmiles.verify_chunks(spark, ordered, chunk_size, last, header_lines, header)
+    rows = cxsmiles.cut(spark, archive, blocks, chunk_size, base.rpartition("/")[2])
+    files = cxsmiles.save_chunks(rows, "\n".join(header) if header else None, staging)
+    made = files.orderBy("chunk").collect()  # a row a chunk
+    cxsmiles.verify_chunks(spark, [r["file"] for r in made], chunk_size, total, header_lines, header, [r["checksum"] for r in made])
     where.move(at, opened(final)[1])
     if delete_original:
         where.delete_file(opened(archive)[1])
-    return files.withColumn("file", F.concat(F.lit(final + "/"), F.element_at(F.split("file", "/"), -1)))
+    return files.drop("checksum").withColumn("file", F.concat(F.lit(final + "/"), F.element_at(F.split("file", "/"), -1)))

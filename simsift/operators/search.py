@@ -83,13 +83,13 @@ def scored(library: DataFrame, query: list[int], single_precision: bool = False,
     return library.select(kept, "archive_index", "source_file", "ligand_line")
 
 
-def scored_packed(library: DataFrame, query: list[int], cutoff: float | None = None) -> DataFrame:
+def scored_packed(library: DataFrame, query: list[int], cutoff: float | None = None, more: tuple[str, ...] = ()) -> DataFrame:
     """As scored, of packed words: bit counts in generated code. The bound that a cutoff sets to
-    popcount goes to the scan."""
+    popcount goes to the scan. more columns are kept beside the locator."""
     words = [F.get("words", F.lit(i)) for i in range(len(query))]
     low, high = popcount_bounds(sum((q & (1 << 64) - 1).bit_count() for q in query), cutoff or 0.0)
     near = library.where(F.col("popcount").between(max(1, low), min(high, 1 << 30)))
-    return near.select(_kept(word_tanimoto(words, query, F.col("popcount")), cutoff, False), "archive_index", "source_file", "ligand_line")
+    return near.select(_kept(word_tanimoto(words, query, F.col("popcount")), cutoff, False), "archive_index", "source_file", "ligand_line", *more)
 
 
 def above(hits: DataFrame, cutoff: float | None, strict: bool = False) -> DataFrame:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: What dealing out a small table may move for each core.
+SPREAD_BYTES = 128 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,16 +26,29 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-#: Folders made in this process, for `discard`.
+#: Folders made in this process, and those made since the innermost `kept_until_done` of a thread began.
 _made: list[str] = []
+_own: ContextVar[list[str] | None] = ContextVar("own", default=None)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     folder = f"{shared_dir(spark)}/simsift/{label}-{uuid.uuid4().hex}"
-    _made.append(folder)
+    own = _own.get()
+    (_made if own is None else own).append(folder)
     return folder
 
 
+@contextmanager
+def kept_until_done(spark: SparkSession):
+    """A job's intermediate tables and files, which are deleted at its end; other threads' stay."""
+    token = _own.set(own := [])
+    try:
+        yield
+    finally:
+        _own.reset(token)
+        _delete(spark, own)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """df as a Parquet table in the shared folder: lineage ends here, and lost executors lose nothing."""
     path = new_folder(df.sparkSession, label)
@@ -45,17 +62,16 @@ def hadoop_path(spark: SparkSession, path: str) -> tuple:
     return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), name
 
 
-def mark() -> int:
-    """For `discard`: what is made from now on."""
-    return len(_made)
+def _delete(spark: SparkSession, folders: list[str]) -> None:
+    while folders:
+        where, path = hadoop_path(spark, folders.pop())
+        where.delete(path, True)
 
 
-def discard(spark: SparkSession, since: int = 0) -> None:
-    """Deletes the intermediate tables and files of this process, those made since a mark or all. Call
-    it once results are saved: frames that still read them can't be run again."""
-    while len(_made) > since:
-        where, path = hadoop_path(spark, _made.pop())
-        where.delete(path, True)
+def discard(spark: SparkSession) -> None:
+    """Deletes the intermediate tables and files of this process. Call it once results are saved:
+    frames that still read them can't be run again."""
+    _delete(spark, _made)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,7 +79,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """A table of fewer files than there are cores, dealt out to all of them: a file may be one row
-    group, so one task. Tables of more files are read as they lie, without a shuffle."""
+    """A table of fewer files than there are cores and at most SPREAD_BYTES a core, dealt out to all of them:
+    a file may be one row group, so one task. Others are read as they lie, without a shuffle."""
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return table.repartition(cores) if size <= cores * SPREAD_BYTES and len(table.inputFiles()) < cores else table

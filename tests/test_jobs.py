@@ -149,6 +149,164 @@ def test_split_is_safe(spark, tmp_path):
         assert (tmp_path / "z.cxsmiles.bz2").exists() and not (tmp_path / "z_chunks").exists()
 
 
+def test_split_loses_nothing_whatever_changes_between_its_passes(spark, tmp_path, monkeypatch):
+    from simsift.sources import cxsmiles
+
+    rng = random.Random(6)
+    lines = [f"r{i} " + "".join(rng.choices("abcdefghijklmnop", k=40)) for i in range(30_000)]
+    one = tmp_path / "x.cxsmiles.bz2"
+    one.write_bytes(bz2.compress("\n".join(["head", *lines[:14_000]]).encode() + b"\n", 1) + bz2.compress("\r\n".join(lines[14_000:]).encode(), 1))
+    save, names = cxsmiles.save_chunks, ("spark.sql.files.maxPartitionBytes", "spark.sql.leafNodeDefaultParallelism")
+    before = {n: spark.conf.get(n, None) for n in names}
+
+    def changed(*args):
+        spark.conf.set(names[0], "150k")
+        spark.conf.set(names[1], "11")
+        return save(*args)
+
+    monkeypatch.setattr(cxsmiles, "save_chunks", changed)
+    try:
+        files = split(spark, f"file://{one}", 7_000, delete_original=True, stretch_bytes=60_000).orderBy("chunk").collect()
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+    assert [r["records"] for r in files] == [7_000] * 4 + [2_000] and not one.exists()
+    texts = [bz2.decompress((tmp_path / "x_chunks" / f"x.part{i:05d}.cxsmiles.bz2").read_bytes()).decode().splitlines() for i in range(5)]
+    assert [t[0] for t in texts] == ["head"] * 5 and [x for t in texts for x in t[1:]] == lines
+
+
+def test_chunks_that_differ_from_what_was_written_are_found(spark, tmp_path):
+    from simsift.sources import cxsmiles
+
+    rows = spark.range(25).selectExpr("'x' AS base", "id AS line", "concat('r', id) AS record")
+    files = cxsmiles.write_chunks(rows, 10, "head", f"file://{tmp_path}/c").orderBy("chunk").collect()
+    paths, sums = [r["file"] for r in files], [r["checksum"] for r in files]
+    cxsmiles.verify_chunks(spark, paths, 10, 25, 1, ["head"], sums)
+    changed = tmp_path / "c" / "x.part00001.cxsmiles.bz2"
+    changed.write_bytes(bz2.compress(bz2.decompress(changed.read_bytes()).replace(b"r13", b"r31")))
+    with pytest.raises(ValueError, match="differs from what was written"):
+        cxsmiles.verify_chunks(spark, paths, 10, 25, 1, ["head"], sums)
+    with pytest.raises(ValueError, match="header"):
+        cxsmiles.verify_chunks(spark, paths, 10, 25, 1, ["other"], sums)
+
+
+@pytest.fixture(scope="module")
+def tokens(tmp_path_factory):
+    """One archive of word records in many blocks, one small one, a query; and every score by brute force."""
+    from hashlib import md5
+
+    root, rng = tmp_path_factory.mktemp("tokens"), random.Random(8)
+    words, held = [f"w{i}" for i in range(60)], {}
+    for a, n in ((0, 20_000), (1, 300)):
+        held[a] = [" ".join(rng.choices(words, k=rng.randint(5, 30))) if i % 50 else " " for i in range(n)]
+        (root / f"t{a}.cxsmiles.bz2").write_bytes(bz2.compress("\n".join(["header", *held[a]]).encode(), 1))
+    path = f"file://{root}/manifest.txt"
+    manifest.write_manifest(path, [f"file://{root}/t{a}.cxsmiles.bz2" for a in held])
+    query = " ".join(words[:20])
+    bits = lambda t: {int(md5(w.encode()).hexdigest()[:8], 16) % 2048 for w in t.split()}
+    asked = bits(query)
+    scores = [(a, n, len(own & asked) / len(own | asked)) for a, lines in held.items() for n, line in enumerate(lines) if (own := bits(line))]
+    return path, query, sorted(scores, key=lambda r: (-r[2], r[0], r[1])), held
+
+
+def watch(monkeypatch, out, stop=False):
+    """What the stretches' files hold just before the shards are published; with stop they never are."""
+    seen, publish = {}, searches._publish
+
+    def published(spark, *args):
+        files = [f for f in (out / "parts").rglob("*.parquet") if f.name[0] != "."]
+        seen.update({f.name: f.stat().st_mtime_ns for f in files})
+        seen["hits"] = searches._parts(spark, f"file://{out}", [1, 2]).where("tanimoto IS NOT NULL").count()
+        seen["rows"] = searches._parts(spark, f"file://{out}", [1, 2]).count()
+        if stop:
+            raise RuntimeError("the driver is gone")
+        publish(spark, *args)
+
+    monkeypatch.setattr(searches, "_publish", published)
+    return seen
+
+
+def rows_of(spark, out):
+    rows = searches.shard_hits(spark, out, searches.shard_metadata(spark, out)).select("task_index", "archive_index", "ligand_line", "tanimoto").collect()
+    return sorted((tuple(r) for r in rows), key=lambda r: (r[0], -r[3], r[1], r[2]))
+
+
+@pytest.mark.parametrize("k", [5, 40, 3_000])
+def test_many_tasks_search_one_archive_and_write_little(spark, tokens, tmp_path, monkeypatch, k):
+    path, query, scores, held = tokens
+    seen = watch(monkeypatch, tmp_path)
+    meta = searches.search(spark, path, query, f"file://{tmp_path}", 2, top_k=k, min_tanimoto=0.1, kind="tokens", stretch_bytes=8_000).orderBy("task_index").collect()
+    want = [(a + 1, a, n, s) for a in (0, 1) for a_, n, s in [x for x in scores if x[0] == a and x[2] >= 0.1][:k]]
+    assert rows_of(spark, f"file://{tmp_path}") == want
+    stretches = len(seen) - 2
+    assert stretches > 25 and seen["rows"] - seen["hits"] < 200  # a count a block, nothing a record
+    passing = sum(s >= 0.1 for _, _, s in scores)
+    assert seen["hits"] <= min(passing, 8 * k + 300) and (k > 100 or seen["hits"] < stretches * k / 2)
+    for r in meta:
+        mine = [s for a, _, s in scores if a == r["task_index"] - 1]
+        counts = (len(held[r["task_index"] - 1]), len(mine), sum(s >= 0.1 for s in mine), min(k, sum(s >= 0.1 for s in mine)))
+        assert (r["total_records"], r["valid_records"], r["passing_cutoff"], r["retained"]) == counts
+    assert not list((tmp_path / "parts").rglob("*.parquet"))
+
+
+def test_a_stopped_search_goes_on_where_it_was(spark, tokens, tmp_path, monkeypatch):
+    path, query, scores, _ = tokens
+    out, more = f"file://{tmp_path}/run", {"top_k": 30, "kind": "tokens", "stretch_bytes": 8_000}
+    with monkeypatch.context() as m:
+        first = watch(m, tmp_path / "run", stop=True)
+        with pytest.raises(RuntimeError, match="gone"):
+            searches.search(spark, path, query, out, 2, **more)
+    assert searches.shard_metadata(spark, out) is None
+    with pytest.raises(ValueError, match="other arguments"):
+        searches.search(spark, path, query, out, 2, **{**more, "top_k": 31})
+    folder = tmp_path / "run" / "parts" / "task_index=1"
+    lost = sorted(folder.glob("*.parquet"))[3]
+    lost.unlink()  # a stretch that was not done
+    (folder / f".{lost.name}.half").write_bytes(b"half")  # and what its attempt left behind
+    with monkeypatch.context() as m:
+        second = watch(m, tmp_path / "run")
+        searches.search(spark, path, query, out, 2, **more)
+    assert set(first) == set(second) and {n for n in first if n.endswith("parquet") and first[n] != second[n]} == {lost.name}
+    assert rows_of(spark, out) == [(a + 1, a, n, s) for a in (0, 1) for a_, n, s in [x for x in scores if x[0] == a][:30]]
+    with pytest.raises(FileExistsError):
+        searches.search(spark, path, query, out, 2, **more)
+    assert searches.search(spark, path, query, out, 2, **more, resume=True).count() == 2
+
+
+def test_two_attempts_at_a_stretch_leave_one_result(spark, tokens, tmp_path):
+    """As if a task had been lost after it wrote its file: the same stretch twice in one wave."""
+    from simsift.sources import cxsmiles, shards
+
+    import json
+
+    path, query, scores, _ = tokens
+    out, plan = f"file://{tmp_path}", cxsmiles.stretches(manifest.read_manifest(path), size=15_000)[:3]
+    spark.dataSource.register(shards.StretchSink)
+    again = [*plan, *plan]
+    options = {"out": out, "top_k": 10, "cutoff": "null", "bounds": "{}", "todo": json.dumps([[1, s.index, s.number, s.start, s.end] for s in again])}
+    rows = searches.every_score(cxsmiles.scan(spark, again), query, "tokens", line=("archive_index", "block", "row"))
+    rows.write.format("stretches").options(**options).mode("append").save()
+    assert sorted(shards.finished(out, 1)) == sorted(shards.part_name(s.index, s.number) for s in plan)
+    parts = searches._parts(spark, out, [1])
+    assert parts.where("tanimoto IS NOT NULL").count() == 30 and parts.where("lines IS NOT NULL").select("block").distinct().count() == parts.where("lines IS NOT NULL").count()
+
+
+def test_hits_that_don_t_fit_their_metadata_leave_nothing(spark, tmp_path):
+    import json
+
+    from simsift.sources import shards
+
+    spark.dataSource.register(shards.ShardSink)
+    rows = spark.range(9).selectExpr("0.5D AS tanimoto", "0 AS archive_index", "'a' AS source_file", "id AS ligand_line", "32L AS block", "0 AS row", "CAST(id % 2 + 1 AS INT) AS task_index")
+    save = lambda *kept: rows.repartition(2, "task_index").sortWithinPartitions("task_index").write.format("shards").options(out=f"file://{tmp_path}", metadata=json.dumps([{"task_index": t + 1, "retained": n} for t, n in enumerate(kept)])).mode("append").save()
+    with pytest.raises(Exception, match="its counts say"):
+        save(5, 5)
+    assert not list(tmp_path.rglob("*.parquet")) and searches.shard_metadata(spark, f"file://{tmp_path}") is None
+    save(5, 4)
+    meta = searches.shard_metadata(spark, f"file://{tmp_path}")
+    assert searches.shard_hits(spark, f"file://{tmp_path}", meta).count() == 9
+
+
 def test_circular_fingerprints_equal_brute_force(spark, library):
     _, paths, held = library
     from simsift.sources import cxsmiles

@@ -1,12 +1,17 @@
 import bz2
+import io
+import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from simsift.functions import records
 from simsift.functions.smiles import fingerprints, query_fingerprint
 from simsift.operators import search
 from simsift.sources import cxsmiles, manifest, sinks
+from simsift.sources.bzip2 import Blocks, lines_of
 
 HEADER = " ".join(records.FIELDS)
 FULL = "CCO{a} ID{n} 46.07 3 0.1 1 1 0 0.5 20.2 M KEY"
@@ -37,11 +42,15 @@ def test_lines_are_numbered_after_the_header_with_blanks(spark, library):
     assert [tuple(r) for r in ids] == [(0, "ID0", []), (3, "ID3", ["|&1:1|", "x"])]
 
 
-def test_header_lines_and_early_stop(spark, library):
+def test_header_lines_and_seeking(spark, library):
     assert cxsmiles.read_archives(spark, library, header_lines=0).count() == 7 + 3 + 1
     assert cxsmiles.read_archives(spark, library, header_lines=2).count() == 5 + 1
-    rows = cxsmiles.read_archives(spark, library, last_lines={0: 1}).collect()
-    assert [(r["archive_index"], r["ligand_line"]) for r in rows] == [(0, 0), (0, 1)]
+    rows = cxsmiles.read_archives(spark, library)
+    wanted = rows.where("archive_index = 0 AND ligand_line < 2")
+    found = cxsmiles.recovered(wanted.withColumnRenamed("record", "want").repartition(3)).collect()
+    assert len(found) == 2 and all(r["record"] == r["want"] for r in found)
+    with pytest.raises(Exception, match="no record at"):
+        cxsmiles.recovered(wanted.drop("record").withColumn("row", F.lit(99))).collect()
 
 
 def test_search_accepts_short_records_and_recovery_refuses_them(spark, library):
@@ -69,26 +78,102 @@ def test_chunked_archives_round_trip(spark, tmp_path):
             cxsmiles.verify_chunks(spark, *wrong)
 
 
-def test_one_large_archive_is_read_by_many_tasks(spark, tmp_path):
-    import random
+def universal(data: bytes) -> list[str]:
+    return [x.rstrip("\n") for x in io.TextIOWrapper(io.BytesIO(data), encoding="utf-8", errors="replace")]
+
 
+def big(tmp_path, n=40_000, name="big.cxsmiles.bz2", breaks=("\n", "\n", "\r\n")):
     rng = random.Random(1)
-    lines = ["head"] + ["" if i % 1000 == 7 else f"r{i} " + "".join(rng.choices("abcdefghijklmnop", k=60)) + "\r" * (i % 3 == 0) for i in range(40_000)]
-    data = "\n".join(lines).encode()
-    path = archive(tmp_path / "big.cxsmiles.bz2", bz2.compress(data[:1_500_000], 1) + bz2.compress(data[1_500_000:], 1))
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    text = "head\n" + "".join(("" if i % 1000 == 7 else f"r{i} " + "".join(rng.choices("abcdefghijklmnop", k=60))) + rng.choice(breaks) for i in range(n))
+    data = text.encode()
+    half = len(data) // 2
+    return archive(tmp_path / name, bz2.compress(data[:half], 1) + bz2.compress(data[half:], 1)), universal(data)
+
+
+class Held:
+    """A file of bytes, read as one of a store."""
+
+    def __init__(self, data):
+        self.data = data
+
+    def read_at(self, n, at):
+        return self.data[at : at + n]
+
+
+piece = st.one_of(st.sampled_from(["", "a", "\n", "\r", "\r\n", "\n\r", "\xfc", "\n\n"]), st.builds(lambda c, n: c * n, st.sampled_from("xyz"), st.integers(1, 90_000)))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(piece, max_size=30).map("".join), st.lists(st.integers(0, 400_000), max_size=3), st.integers(64, 5_000))
+def test_every_line_belongs_to_one_block_whatever_the_stretches(text, cuts, size):
+    data = text.encode()
+    cuts = sorted({min(c, len(data)) for c in cuts})
+    packed = b"".join(bz2.compress(data[a:b], 1) for a, b in zip([0, *cuts], [*cuts, len(data)]))
+    found = []
+    for start in range(0, len(packed), size):
+        end = min(start + size, len(packed))
+        for block, row, lines in lines_of(Blocks(Held(packed), len(packed)).since(start, end), 8 * end, start == 0):
+            found += [(block, row + k, x) for k, x in enumerate(lines)]
+    assert cxsmiles.decoded([x for _, _, x in found]) == universal(data) or not found and not universal(data)
+    assert found == sorted(found, key=lambda x: x[:2]) and len({x[:2] for x in found}) == len(found)
+    for block in {x[0] for x in found}:  # by itself a block has the same lines
+        own = [(b, r + k, x) for b, r, part in Blocks(Held(packed), len(packed)).lines_at(block, block + 1) for k, x in enumerate(part)]
+        assert own == [x for x in found if x[0] == block]
+
+
+@pytest.mark.parametrize("harm", ["flip", "cut"])
+def test_a_damaged_archive_is_an_error_in_some_stretch(harm):
+    rng = random.Random(2)
+    whole = bytearray(bz2.compress(bytes(rng.choices(range(97, 123), k=1_000_000)), 1))
+    if harm == "flip":
+        whole[len(whole) // 2] ^= 1
+    else:
+        del whole[len(whole) * 2 // 3 :]
+    errors = 0
+    for start in range(0, len(whole), 70_000):
+        end = min(start + 70_000, len(whole))
+        try:
+            list(lines_of(Blocks(Held(bytes(whole)), len(whole)).since(start, end), 8 * end, start == 0))
+        except OSError:
+            errors += 1
+    assert errors
+
+
+def test_one_archive_is_read_by_many_tasks_whatever_changes_between_actions(spark, tmp_path):
+    path, lines = big(tmp_path)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.leafNodeDefaultParallelism")
+    before = {n: spark.conf.get(n, None) for n in names}
     try:
-        rows = cxsmiles.read_large(spark, path)
-        assert rows.rdd.getNumPartitions() > 4
-        got = {r["ligand_line"]: r["record"] for r in rows.collect()}
+        rows = cxsmiles.read_archives(spark, [path], size=100_000)
+        assert rows.rdd.getNumPartitions() > 10
+        for settings_ in (("1m", "2"), ("200k", "6"), ("64m", "11")):
+            for n, value in zip(names, settings_):
+                spark.conf.set(n, value)
+            assert rows.count() == len(lines) - 1
+            assert {r["ligand_line"]: r["record"] for r in rows.collect()} == dict(enumerate(lines[1:]))
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert got == {i: x.rstrip("\r") for i, x in enumerate(lines[1:])}
-    want = {r["ligand_line"]: r["record"] for r in cxsmiles.read_archives(spark, [path]).collect()}
-    assert got == want
-    odd = archive(tmp_path / "odd.cxsmiles.bz2", bz2.compress(b"h\n\xff\xfe y\nz"))
-    assert sorted(map(tuple, cxsmiles.read_large(spark, odd).collect())) == [(0, "\ufffd\ufffd y"), (1, "z")]
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+    whole = cxsmiles.read_archives(spark, [path])  # as one stretch
+    assert {(r["ligand_line"], r["block"], r["row"], r["record"]) for r in whole.collect()} == {(r["ligand_line"], r["block"], r["row"], r["record"]) for r in rows.collect()}
+    blocks = cxsmiles.numbered(cxsmiles.block_index(spark, cxsmiles.stretches([path], size=100_000))).collect()
+    assert sum(b["lines"] for b in blocks) == len(lines) - 1 and len(blocks) > 20
+
+
+def test_recovery_reads_only_blocks_that_hold_a_hit(spark, tmp_path):
+    path, lines = big(tmp_path)
+    size = (tmp_path / "big.cxsmiles.bz2").stat().st_size
+    rows = cxsmiles.read_archives(spark, [path], size=200_000).where(F.col("ligand_line").isin(5, 6, 20_000, 39_999)).orderBy("block", "row").drop("record").toArrow()
+    taken = []
+    [batch] = list(cxsmiles.fetched(iter(rows.to_batches()), taken))
+    assert batch.column("record").to_pylist() == [lines[1 + n] for n in batch.column("ligand_line").to_pylist()]
+    assert len(taken) == 3 and max(taken) <= cxsmiles.SEEK_STEP * 2 and sum(taken) < size
+
+
+def test_headers_longer_than_a_stretch_are_refused(spark, tmp_path):
+    path, _ = big(tmp_path, 20_000)
+    with pytest.raises(Exception, match="longer than a stretch"):
+        cxsmiles.read_archives(spark, [path], header_lines=19_000, size=50_000).count()
 
 
 def test_chunks_of_lost_attempts_are_deleted(spark, tmp_path):
