@@ -1,6 +1,7 @@
 """Benchmark decontamination over a distributed positional inverted index. DataFrame functions only.
 
-A window is `window` consecutive words of a benchmark item, or all words of a shorter item.
+A window is `window` consecutive words of a benchmark item, or all words of a shorter item. Windows of the
+same words count once, as the first of them, so an item that repeats itself is searched once.
 
 1. Split every text into words once, into a table of their own.
 2. Count the corpus occurrences of the benchmark's terms; of each window pick the two rarest terms.
@@ -11,8 +12,13 @@ A window is `window` consecutive words of a benchmark item, or all words of a sh
    item would stand in the document. A (document, item, offset) survives if both places of some pick
    are found there: one count over (document, item, offset, pick), the intersection of the
    offset-adjusted lists of the rarest terms.
-5. Compare the windows of the surviving (document, item, offset) word by word with the document's.
+5. The places of a survivor's windows, a row each, are joined with the postings of the surviving documents on
+   document, position and term: the intersection with the other lists. Places that are found and follow each
+   other without a gap are a stretch; one of a window's length or more is a phrase match, all
+   of whose words are hit. Hit words are counted from the ends of stretches, never listed.
+6. Proximity: the two rarest words of a window within `window` words of each other, in any order.
 
+No row holds a text beside a place, so memory doesn't depend on how often a text repeats a word.
 Sides that don't grow with the corpus are broadcast after their rows and bytes are checked, else
 joined by shuffle; postings and picks come straight from tables then, so adaptive execution can
 split a hot term. A document's survivors are rows of a join, never one list.
@@ -75,57 +81,78 @@ def proximity_matches(index: DataFrame, queries: DataFrame, within: int) -> Data
     return met.where("found = n").select("query_id", "doc_id", "h", F.col("at").alias("start")).distinct()
 
 
-def _picked(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
-    """item, pick, pos, need: of each window that can occur the places of its two rarest terms (one
-    place if it has one term), as rows; windows with the same places are one pick, and a pick is
-    found where `need` of its places are."""
-    places = items.select("item", F.size("words").alias("n"), F.posexplode("words").alias("pos", "term"))
-    places = places.join(counts, "term", "left").withColumn("count", F.coalesce("count", F.lit(0)))
-    first = F.greatest(F.lit(0), F.col("pos") - window + 1)
-    last = F.least(F.col("pos"), F.greatest(F.lit(0), F.col("n") - window))
-    windows = places.select("item", "pos", "count", F.explode(F.sequence(first, last)).alias("w"))
-    rare = windows.groupBy("item", "w").agg(F.slice(F.array_sort(F.collect_list(F.struct("count", "pos"))), 1, 2).alias("r"))
-    rare = rare.where(F.col("r")[0]["count"] > 0)
-    picks = rare.select("item", F.array_sort(F.transform("r", lambda x: x["pos"])).alias("pick")).distinct()
-    return picks.select("item", "pick", F.size("pick").alias("need"), F.explode("pick").alias("pos"))
+def _windows(items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """item, s (its first place), k of each distinct window where it first occurs; and item, s, item_id
+    of all items that have it."""
+    k = F.least(F.size("words"), F.lit(window))
+    every = items.select("item", "item_id", "words", k.alias("k"), F.explode(F.sequence(F.lit(0), F.size("words") - k)).alias("at"))
+    every = every.select("item", "item_id", "k", "at", F.slice("words", F.col("at") + 1, F.col("k")).alias("content"))
+    first = every.groupBy("content", "k").agg(F.min(F.struct("item", "at")).alias("first"))
+    first = written(first.select("content", "k", F.col("first.item").alias("item"), F.col("first.at").alias("s")), "windows")
+    members = every.drop("item", "k").join(first, "content").select("item", "s", F.col("item_id").cast("string").alias("item_id")).distinct()
+    return first.select("item", "s", "k"), written(members, "members")
+
+
+def _picked(items: DataFrame, windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """item, s, k, pick, need, rare: of each window that can occur the places of its two rarest terms, in
+    order (one place if it has one word)."""
+    places = items.select("item", F.posexplode("words").alias("pos", "term")).join(counts, "term", "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    inside = windows.select("item", "s", "k", F.explode(F.sequence(F.col("s"), F.col("s") + F.col("k") - 1)).alias("pos")).join(places, ["item", "pos"])
+    rare = inside.groupBy("item", "s", "k").agg(F.slice(F.array_sort(F.collect_list(F.struct("count", "pos"))), 1, 2).alias("r"))
+    pick = F.array_sort(F.transform("r", lambda x: x["pos"]))
+    rare = rare.where(F.col("r")[0]["count"] > 0).select("item", "s", "k", pick.alias("rare"))
+    return rare.select("item", "s", "k", F.concat_ws(",", "rare").alias("pick"), F.size("rare").alias("need"), "rare")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of docs(doc_id, text)
-    against benchmark(item_id, text)."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near (items with a window whose two
+    rarest words stand near each other) of every row of docs(doc_id, text) against benchmark(item_id, text)."""
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     items = written(items.distinct().withColumn("item", F.monotonically_increasing_id()), "items")
+    windows, members = _windows(items, window)
     terms = written(items.select(F.explode("words").alias("term")).distinct(), "terms")
     corpus = split_words(docs)
     seen = corpus.select(F.explode("words").alias("term")).join(bounded(terms), "term")
     counts = written(seen.groupBy("term").count(), "term-counts")
-    anchors = _picked(items, counts, window).join(items.select("item", "words"), "item")
-    anchors = written(anchors.select("item", F.concat_ws(",", "pick").alias("pick"), "need", "pos", F.get("words", F.col("pos")).alias("term")), "anchors")
+    picks = written(_picked(items, windows, counts), "picks")
+    places = items.select("item", F.posexplode("words").alias("pos", "term"))
+    anchors = picks.select("item", "pick", "need", "rare").distinct().select("item", "pick", "need", "rare", F.explode("rare").alias("pos"))
+    bit = F.when(F.col("pos") == F.col("rare")[0], 1).otherwise(2).alias("bit")
+    anchors = written(anchors.join(places, ["item", "pos"]).select("item", "pick", "need", "pos", bit, "term"), "anchors")
     index = build_index(corpus, written(anchors.select("term").distinct(), "index-terms"))
-
-    met = index.join(bounded(anchors), "term").select("doc_id", "h", "item", (F.col("at") - F.col("pos")).alias("offset"), "pick", "need", "pos")
-    met = met.groupBy("doc_id", "h", "item", "offset", "pick", "need").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
-    met = met.where("need = 1 OR first < last")
-    spots = written(met.select("doc_id", "h", "item", "offset").distinct(), "spots")
-
-    held = bounded(written(spots.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct(), "spotted"))
-    named = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
-    texts = corpus.join(held, named, "left_semi").select("doc_id", "h", F.col("words").alias("doc")).dropDuplicates(["doc_id", "h"])
-    spots = bounded(spots.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "item", "offset"))
-    texts = texts.join(spots, named).select("doc_id", "h", "doc", "item", "offset").join(bounded(items), "item")
-    k = F.least(F.size("words"), F.lit(window))
-    # Starts of windows in the item, where both the item and the document have all of the window.
-    low, high = F.greatest(F.lit(0), -F.col("offset")), F.least(F.size("words"), F.size("doc") - F.col("offset")) - k
-    tries = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
-    same = lambda s: F.slice("words", s + 1, k) == F.slice("doc", s + F.col("offset") + 1, k)
-    hits = texts.withColumn("starts", F.filter(tries, same)).where(F.size("starts") > 0)
-    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s + F.col("offset"), s + F.col("offset") + k - 1))))
-    hits = written(hits.select("doc_id", "h", F.col("item_id").cast("string").alias("item_id"), covered.alias("covered")), "hits")
-    words = hits.select("doc_id", "h", F.explode("covered").alias("at")).distinct().groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n_hit"))
-    ids = hits.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
-    found = words.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "n_hit").join(ids, named).select("_id", "_h", "n_hit", "ids")
+    row, named = ["doc_id", "h"], F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
+    key = [F.col("doc_id").alias("_id"), F.col("h").alias("_h")]
+
+    met = index.join(bounded(anchors), "term").select(*row, "item", "at", (F.col("at") - F.col("pos")).alias("offset"), "pick", "need", "bit")
+    aligned = met.groupBy(*row, "item", "offset", "pick", "need").agg(F.bit_or("bit").alias("bits")).where("need = 1 OR bits = 3")
+    whole = picks.select("item", "pick", F.explode(F.sequence(F.col("s"), F.col("s") + F.col("k") - 1)).alias("pos")).distinct()
+    whole = written(whole.join(places, ["item", "pos"]), "pick-places")
+    spots = aligned.select(*row, "item", "offset", "pick").join(bounded(whole), ["item", "pick"])
+    spots = written(spots.select(*row, "item", "offset", "pos", "term").distinct(), "spots")
+
+    held = bounded(written(spots.select(*key).distinct(), "spotted"))
+    postings = corpus.join(held, named, "left_semi").select(*row, F.posexplode("words").alias("at", "term"))
+    asked = bounded(spots.select(*key, "item", "offset", "pos", (F.col("offset") + F.col("pos")).alias("_at"), F.col("term").alias("_term")))
+    found = postings.join(asked, named & (F.col("at") == F.col("_at")) & (F.col("term") == F.col("_term")))
+    found = found.select(*row, "item", "offset", "pos").distinct()
+    island = F.col("pos") - F.row_number().over(W.partitionBy(*row, "item", "offset").orderBy("pos"))
+    found = found.withColumn("island", island).groupBy(*row, "item", "offset", "island").agg(F.min("pos").alias("first"), F.count(F.lit(1)).cast("int").alias("n"))
+    found = found.join(bounded(windows.select("item", "k").distinct()), "item").where(F.col("n") >= F.col("k"))
+    hits = written(found.select(*row, "item", "k", "first", "n", (F.col("offset") + F.col("first")).alias("start")), "hits")
+
+    stretches = hits.groupBy(*row, "start").agg(F.max("n").alias("n"))
+    before = F.max(F.col("start") + F.col("n")).over(W.partitionBy(*row).orderBy("start").rowsBetween(W.unboundedPreceding, -1))
+    fresh = F.greatest(F.lit(0), F.col("start") + F.col("n") - F.greatest(F.col("start"), F.coalesce(before, F.lit(0))))
+    words = stretches.withColumn("fresh", fresh).groupBy(*row).agg(F.sum("fresh").alias("n_hit"))
+    inside = hits.select(*row, "item", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - F.col("k"))).alias("s")).distinct()
+    ids = inside.join(bounded(members), ["item", "s"]).groupBy(*row).agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
+    near = _near(met, row, window).join(bounded(picks.select("item", "pick", "s")), ["item", "pick"]).select(*row, "item", "s").distinct()
+    near = near.join(bounded(members), ["item", "s"]).groupBy(*row).agg(F.count_distinct("item_id").alias("n_near"))
+    found = words.select(*key, "n_hit").join(ids, named).select(*key, "n_hit", "ids")
     found = bounded(written(found, "found"))
+    near = bounded(written(near.select(F.col("doc_id").alias("_id2"), F.col("h").alias("_h2"), "n_near"), "near"))
     every = corpus.select("doc_id", "h", "n_words").join(found, named, "left")
+    every = every.join(near, F.col("doc_id").eqNullSafe(F.col("_id2")) & (F.col("h") == F.col("_h2")), "left")
     n_hit, ids = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("ids", F.array().cast("array<string>"))
     return every.select(
         "doc_id",
@@ -134,4 +161,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
+        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
     )
+
+
+def _near(met: DataFrame, row: list[str], window: int) -> DataFrame:
+    """Document, item, pick where postings of both places stand less than `window` words apart: if any do, then
+    two that are neighbours in order of position."""
+    group = [*row, "item", "pick"]
+    at = met.groupBy(*group, "need", "at").agg(F.bit_or("bit").alias("bits"))
+    last = W.partitionBy(*group).orderBy("at")
+    both = (F.col("bits").bitwiseOR(F.lag("bits").over(last)) == 3) & (F.col("at") - F.lag("at").over(last) < window)
+    return at.withColumn("near", F.coalesce(both, F.lit(False)) | (F.col("need") == 1)).where("near").select(*group).distinct()

@@ -149,10 +149,17 @@ SQL = {
         covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
                     FROM (SELECT doc_id, unnest(generate_series(s, s + k - 1)) AS p FROM hits) GROUP BY doc_id),
         items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id),
+        t AS MATERIALIZED (SELECT doc_id, unnest(generate_series(1, len(w))) AS p, unnest(w) AS word FROM d),
+        c AS (SELECT word, count(*) AS c FROM t GROUP BY word),
+        gp AS (SELECT g, i, g[i] AS word FROM (SELECT g, unnest(generate_series(1, len(g))) AS i FROM (SELECT DISTINCT g FROM g))),
+        rare AS MATERIALIZED (SELECT g, list(word ORDER BY n, i)[1:2] AS r FROM (SELECT g, i, word, coalesce(c, 0) AS n FROM gp LEFT JOIN c USING (word)) GROUP BY g HAVING min(n) > 0),
+        close AS (SELECT DISTINCT doc_id, g FROM rare JOIN t ON word = r[1] WHERE len(r) = 1 UNION
+                  SELECT DISTINCT a.doc_id, g FROM rare JOIN t a ON a.word = r[1] JOIN t b ON b.doc_id = a.doc_id AND b.word = r[2] WHERE a.p <> b.p AND abs(a.p - b.p) < 10),
+        near AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM close JOIN g USING (g) GROUP BY doc_id)
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
     """,
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,

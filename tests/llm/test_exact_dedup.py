@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from simsift.llm import queries
+from simsift.llm import _space, exact_dedup, queries
 from simsift.llm.exact_dedup import exact_duplicates
 from tests.compare import same
 from tests.conftest import SMALL
@@ -29,6 +29,20 @@ def test_equals_brute_force_whatever_the_hash(odd, keep, content_hash):
     assert sorted(map(tuple, got.collect()), key=str) == brute(odd.collect(), keep)
 
 
+@pytest.mark.parametrize("content_hash", [F.md5, lambda t: F.lit(1)])
+def test_hot_hashes_are_dealt_to_many_tasks(spark, odd, monkeypatch, content_hash):
+    """Nothing is broadcast, and a hash of two rows is hot already."""
+    monkeypatch.setattr(exact_dedup, "HOT", 1)
+    monkeypatch.setattr(_space, "BROADCAST_ROWS", -1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = sorted(map(tuple, exact_duplicates(odd, "max", content_hash).collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == brute(odd.collect(), "max")
+
+
 def test_empty_table(none):
     assert exact_duplicates(none).collect() == []
 
