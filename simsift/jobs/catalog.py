@@ -162,7 +162,7 @@ def similarity_topk_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K beyond what one task may hold, three fifths of the library: cut by counts, not by sorting."""
     hits = written(_scored(spark, sf_dir), "hits")
     k = max(1, read_table(spark, sf_dir, "documents").count() * 3 // 5)
-    return search.ranked(search.first_k(hits, k)).select("rank", "tanimoto", "archive_index", "ligand_line")
+    return search.ranked_by_ranges(search.first_k(hits, k)).select("rank", "tanimoto", "archive_index", "ligand_line")
 
 
 @registered(

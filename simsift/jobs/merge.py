@@ -37,7 +37,7 @@ def merge(
     shards.verified(metadata, manifest.manifest_frame(spark, paths), task_count)
     first = metadata.select("top_k", "header_lines").first()
     k = shards.final_k(first["top_k"], top_k)
-    best = written(search.ranked(search.top(shard_hits(spark, out, metadata).drop("task_index"), k)), "ranked")
+    best = written(search.best_ranked(shard_hits(spark, out, metadata).drop("task_index"), k), "ranked")
     sinks.write_locators(best, locators, digits)
 
     found = cxsmiles.recovered(best)

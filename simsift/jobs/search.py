@@ -1,7 +1,7 @@
 """The search job: a manifest of archives and a query in, hits and metadata of every shard out.
 
-A shard is a slice of the manifest, its K best hits and its counts. The archives' stretches are scanned
-once each, in waves: first as many as fill the cluster, then each time twice as many as are done, in an order that
+A shard is a slice of the manifest, its K best hits and its counts. The archives' stretches, small
+ones packed together, are scanned once each, in waves: first as many as fill the cluster, then each time twice as many as are done, in an order that
 takes all shards and all parts of them alike. A task scores the lines of its stretch, counts them by
 block and writes what can still matter to one file: the K best at or above the cutoff and above the
 K-th best score that its shard has so far, which is read from the files before each wave. So what is written
@@ -69,17 +69,20 @@ def _spread_order(n: int) -> list[int]:
     return sorted(range(n), key=lambda k: int(f"{k:0{bits}b}"[::-1], 2))
 
 
-def _begun(out: str, task: int, asked: str) -> None:
-    """Notes what a shard's stretches are searched for; raises if it was something else before."""
+def _begun(out: str, task: int, asked: dict, pack: int) -> int:
+    """Notes what a shard's stretches are searched for and how many bytes a task reads; raises if it was something
+    else before. The bytes that hold, those of the first call."""
     where, folder = manifest.opened(f"{out}/parts/task_index={task}")
     if where.get_file_info(f"{folder}/_search.json").type != manifest.fs.FileType.NotFound:
         with where.open_input_stream(f"{folder}/_search.json") as f:
-            if f.read().decode() != asked:
-                raise ValueError(f"{out} holds an unfinished search of task {task} with other arguments")
-        return
+            before = json.loads(f.read())
+        if before["asked"] != asked:
+            raise ValueError(f"{out} holds an unfinished search of task {task} with other arguments")
+        return before["pack"]
     where.create_dir(folder, recursive=True)
     with where.open_output_stream(f"{folder}/_search.json") as f:
-        f.write(asked.encode())
+        f.write(json.dumps({"asked": asked, "pack": pack}).encode())
+    return pack
 
 
 def _parts(spark: SparkSession, out: str, tasks: list[int]) -> DataFrame:
@@ -147,26 +150,27 @@ def search(
     }
     slices = {t: (len(paths) * (t - 1) // task_count, len(paths) * t // task_count) for t in tasks}
 
-    def scores(plan: list[cxsmiles.Stretch]) -> DataFrame:
+    def scores(plan: list[list[cxsmiles.Stretch]]) -> DataFrame:
         return every_score(cxsmiles.scan(spark, plan), query, kind, radius, fp_size, use_chirality, ("archive_index", "block", "row"))
 
     scores([])  # an argument that is none is refused before anything is written
     with kept_until_done(spark):
         plans = {t: cxsmiles.stretches(paths[a:b], header_lines, a, stretch_bytes) for t, (a, b) in slices.items()}
-        for t in tasks:
-            _begun(out, t, json.dumps({**values, "kind": kind, "stretch_bytes": stretch_bytes}))
-        _scan(spark, out, plans, scores, top_k, min_tanimoto)
+        pack = cxsmiles.pack_bytes(spark, [s for plan in plans.values() for s in plan], stretch_bytes)
+        asked_for = {**values, "kind": kind, "stretch_bytes": stretch_bytes}
+        packs = {t: cxsmiles.packed(plan, _begun(out, t, asked_for, pack)) for t, plan in plans.items()}
+        _scan(spark, out, packs, scores, top_k, min_tanimoto)
         if tasks:
             _publish(spark, out, paths, slices, values, began)
     return shard_metadata(spark, out).where(F.col("task_index").isin(asked))
 
 
-def _scan(spark: SparkSession, out: str, plans: dict[int, list], scores, top_k: int, cutoff: float | None) -> None:
-    """Scans the stretches that aren't done, in waves."""
+def _scan(spark: SparkSession, out: str, plans: dict[int, list[list]], scores, top_k: int, cutoff: float | None) -> None:
+    """Scans the packs of stretches that aren't done, in waves."""
     spark.dataSource.register(files.StretchSink)
     ready = {t: files.finished(out, t) for t in plans}
-    left = {t: [plan[k] for k in _spread_order(len(plan)) if files.part_name(plan[k].index, plan[k].number) not in ready[t]] for t, plan in plans.items()}
-    todo = [(place / len(own), t, s) for t, own in left.items() for place, s in enumerate(own)]
+    left = {t: [plan[k] for k in _spread_order(len(plan)) if files.part_name(plan[k]) not in ready[t]] for t, plan in plans.items()}
+    todo = [(place / len(own), t, pack) for t, own in left.items() for place, pack in enumerate(own)]
     todo.sort(key=lambda x: x[:2])
     scanned, size = sum(map(len, ready.values())), 2 * spark.sparkContext.defaultParallelism
     while todo:
@@ -177,14 +181,14 @@ def _scan(spark: SparkSession, out: str, plans: dict[int, list], scores, top_k:
             "top_k": top_k,
             "cutoff": json.dumps(cutoff),
             "bounds": json.dumps(bounds),
-            "todo": json.dumps([[t, s.index, s.number, s.start, s.end] for _, t, s in wave]),
+            "todo": json.dumps([[t, files.part_name(pack), files.spans(pack)] for _, t, pack in wave]),
         }
-        scores([s for _, _, s in wave]).write.format("stretches").options(**options).mode("append").save()
+        scores([pack for _, _, pack in wave]).write.format("stretches").options(**options).mode("append").save()
         scanned += len(wave)
         size = max(size, 2 * scanned)
-    lost = [(s.index, s.number) for t, plan in plans.items() for s in plan if files.part_name(s.index, s.number) not in files.finished(out, t)]
-    if lost:
-        raise ValueError(f"stretches {lost[:10]} (archive, number) have no result")
+    ready = {t: files.finished(out, t) for t in plans}
+    if lost := [files.part_name(pack) for t, plan in plans.items() for pack in plan if files.part_name(pack) not in ready[t]]:
+        raise ValueError(f"stretches {lost[:10]} have no result")
 
 
 def _publish(spark: SparkSession, out: str, paths: list[str], slices: dict[int, tuple[int, int]], values: dict, began: float) -> None:

@@ -151,6 +151,24 @@ def ranked(hits: DataFrame, start: int = 1) -> DataFrame:
     return hits.withColumn("rank", (F.row_number().over(W.orderBy(*hit_order())) + (start - 1)).cast("bigint"))
 
 
+def ranked_by_ranges(hits: DataFrame) -> DataFrame:
+    """As ranked, for any number of hits: ranges of the order are numbered side by side, each from the
+    number of hits in the ranges before it."""
+    placed = hits.repartitionByRange(*hit_order()).withColumn("_range", F.spark_partition_id())
+    placed = written(placed, "ranges")
+    before = F.coalesce(F.sum("n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    counts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).select("_range", before.alias("_before"))  # a row a range
+    number = F.row_number().over(W.partitionBy("_range").orderBy(*hit_order()))
+    rows = placed.join(F.broadcast(counts), "_range").withColumn("rank", (F.col("_before") + number).cast("bigint"))
+    return rows.drop("_range", "_before")
+
+
+def best_ranked(hits: DataFrame, k: int) -> DataFrame:
+    """The K best with their ranks, in no order: in one task for a small K, in many for a large one."""
+    check_arguments(top_k=k)
+    return ranked(top(hits, k)) if k <= SMALL_K else ranked_by_ranges(first_k(written(hits, "hits"), k))
+
+
 def top_in_groups(hits: DataFrame, k: int, *groups: str) -> DataFrame:
     """The K best of each group, with their rank in it. Up to GROUP_LIMIT the planner keeps K rows a
     task and group before the shuffle; a larger K is cut by counts first. So a hot group reaches the

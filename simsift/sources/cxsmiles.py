@@ -46,7 +46,7 @@ STRETCH_BYTES, SEEK_STEP = 32 << 20, 300_000
 
 
 @dataclass
-class Stretch(InputPartition):
+class Stretch:
     """Bytes start..end of an archive, or, with a limit, so many lines from a row of a block on."""
 
     index: int
@@ -60,8 +60,13 @@ class Stretch(InputPartition):
     row: int = 0
     limit: int = -1
 
-    def __post_init__(self):
-        super().__init__(self.number)
+
+class Pack(InputPartition):
+    """Stretches that a task reads one after the other: one of a large archive, several of small ones."""
+
+    def __init__(self, stretches: list[Stretch]):
+        super().__init__(None)
+        self.stretches = stretches
 
 
 def _each(work, items: list) -> list:
@@ -90,6 +95,24 @@ def stretches(paths: list[str], header_lines: int = 1, first_index: int = 0, siz
     return out
 
 
+def packed(plan: list[Stretch], limit: int) -> list[list[Stretch]]:
+    """Neighbouring stretches of together at most so many bytes, or one larger one."""
+    out: list[list[Stretch]] = []
+    held = 0
+    for s in plan:
+        if not out or held + s.end - s.start > limit:
+            out.append([])
+            held = 0
+        out[-1].append(s)
+        held += s.end - s.start
+    return out
+
+
+def pack_bytes(spark: SparkSession, plan: list[Stretch], size: int) -> int:
+    """What a task should read: a stretch's size, less if there wouldn't be three tasks a core."""
+    return min(size, sum(s.end - s.start for s in plan) // (3 * spark.sparkContext.defaultParallelism))
+
+
 def stretch_lines(s: Stretch) -> Iterator[tuple[int, int, list[bytes]]]:
     """block, row, lines after the header."""
     where, path = opened(s.path)
@@ -124,14 +147,16 @@ def decoded(lines: list[bytes]) -> list[str]:
 
 class ArchiveReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.plan = [Stretch(*x) for x in json.loads(options["stretches"])]
+        self.plan = [Pack([Stretch(*x) for x in pack]) for pack in json.loads(options["stretches"])]
 
     def partitions(self) -> list[InputPartition]:
         return self.plan
 
-    def read(self, partition: Stretch | None) -> Iterator[pa.RecordBatch]:
-        if partition is None:
-            return
+    def read(self, partition: Pack | None) -> Iterator[pa.RecordBatch]:
+        for stretch in partition.stretches if partition is not None else ():
+            yield from self._read(stretch)
+
+    def _read(self, partition: Stretch) -> Iterator[pa.RecordBatch]:
         line, blocks, rows, records = partition.first, [], [], []
         for block, row, lines in stretch_lines(partition):
             for at in range(0, len(lines), BATCH_ROWS):
@@ -157,9 +182,9 @@ class ArchiveReader(DataSourceReader):
 class BlockReader(ArchiveReader):
     """Of each block with lines: the first row after the header, and how many lines."""
 
-    def read(self, partition: Stretch | None) -> Iterator[pa.RecordBatch]:
+    def _read(self, partition: Stretch) -> Iterator[pa.RecordBatch]:
         found: dict[int, list[int]] = {}
-        for block, row, lines in stretch_lines(partition) if partition is not None else ():
+        for block, row, lines in stretch_lines(partition):
             found.setdefault(block, [row, 0])[1] += len(lines)
         n, types = len(found), (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
         values = ([partition.index] * n, [partition.number] * n, list(found), [v[0] for v in found.values()], [v[1] for v in found.values()]) if n else ([],) * 5
@@ -193,16 +218,16 @@ class BlockSource(DataSource):
         return BlockReader(self.options)
 
 
-def scan(spark: SparkSession, plan: list[Stretch], source: type[DataSource] = ArchiveSource) -> DataFrame:
-    """The lines of stretches as they lie, a task each; ligand_line is null where it isn't known yet."""
+def scan(spark: SparkSession, plan: list[list[Stretch]], source: type[DataSource] = ArchiveSource) -> DataFrame:
+    """The lines of stretches as they lie, a task a list; ligand_line is null where it isn't known yet."""
     spark.dataSource.register(source)
-    fields = [[s.index, s.path, s.number, s.start, s.end, s.header, s.first, s.block, s.row, s.limit] for s in plan]
+    fields = [[[s.index, s.path, s.number, s.start, s.end, s.header, s.first, s.block, s.row, s.limit] for s in pack] for pack in plan]
     return spark.read.format(source.name()).option("stretches", json.dumps(fields)).load()
 
 
 def block_index(spark: SparkSession, plan: list[Stretch]) -> DataFrame:
     """archive_index, stretch, block, first_row, lines of every block that has lines, from one pass over the stretches."""
-    return scan(spark, plan, BlockSource)
+    return scan(spark, [[s] for s in plan], BlockSource)
 
 
 def read_archives(spark: SparkSession, paths: list[str], header_lines: int = 1, first_index: int = 0, size: int = STRETCH_BYTES) -> DataFrame:
@@ -215,7 +240,7 @@ def read_archives(spark: SparkSession, paths: list[str], header_lines: int = 1,
         for s in several:
             line = 0 if s.number == 0 else line
             s.first, line = line, line + known.get((s.index, s.number), 0)
-    return scan(spark, plan)
+    return scan(spark, packed(plan, pack_bytes(spark, plan, size)))
 
 
 def numbered(blocks: DataFrame) -> DataFrame:
@@ -337,7 +362,7 @@ def cut(spark: SparkSession, archive: str, blocks: DataFrame, size: int, base: s
     starts = numbered(blocks).where(begins).select(F.explode(holds).alias("chunk"), "block", "shift")
     total = blocks.agg(F.sum("lines")).first()[0] or 0
     plan = [
-        Stretch(r["chunk"], archive, r["chunk"], 0, 0, 0, r["chunk"] * size, r["block"], r["chunk"] * size - r["shift"], min(size, total - r["chunk"] * size))
+        [Stretch(r["chunk"], archive, r["chunk"], 0, 0, 0, r["chunk"] * size, r["block"], r["chunk"] * size - r["shift"], min(size, total - r["chunk"] * size))]
         for r in starts.orderBy("chunk").collect()  # a row a chunk
     ]
     chunk = F.col("archive_index").cast("bigint")

@@ -1,7 +1,7 @@
 """What a search writes: a file for each finished stretch, then the shards' hits and metadata at once.
 
-    out/parts/task_index=t/a-n.parquet   of stretch n of archive a: the hits that can still matter, and a
-                                         row a block with its counts; the file is there once the stretch is done
+    out/parts/task_index=t/a-n.parquet   of stretch n of archive a, and those in its pack: the hits that can still
+                                         matter, and a row a block with its counts; the file is there once they are done
     out/hits/task_index=t/..parquet      the K best of a shard
     out/metadata/..json                  a row a shard, which names the shard's files: what it doesn't name
                                          isn't part of a run
@@ -32,8 +32,8 @@ PARTS = "archive_index int, block bigint, row int, tanimoto double, lines bigint
 _TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
 
 
-def part_name(archive: int, stretch: int) -> str:
-    return f"{archive}-{stretch}.parquet"
+def part_name(pack: list) -> str:
+    return f"{pack[0].index}-{pack[0].number}.parquet"
 
 
 def publish(folder: str, name: str, table: pa.Table) -> str:
@@ -52,6 +52,14 @@ def publish(folder: str, name: str, table: pa.Table) -> str:
     return f"{folder}/{name}"
 
 
+def spans(pack: list) -> list[tuple[int, int, int]]:
+    """Archives of a pack, and the bytes of them that it holds."""
+    held: dict[int, list[int]] = {}
+    for s in pack:
+        held.setdefault(s.index, []).extend((s.start, s.end))
+    return [(a, min(x), max(x)) for a, x in held.items()]
+
+
 def finished(out: str, task: int) -> set[str]:
     """Names of the files of a shard's finished stretches."""
     where, root = opened(f"{out}/parts/task_index={task}")
@@ -60,19 +68,20 @@ def finished(out: str, task: int) -> set[str]:
 
 
 class Best:
-    """The k best of scores that come in batches, in order of score, block and row; at most 2 k are held."""
+    """The k best of scores that come in batches, in order of score and place (archive, block, row); at most 2 k are held."""
 
     def __init__(self, k: int):
         self.k = k
-        self.held = [np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        self.held = [np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)]
 
-    def add(self, score: np.ndarray, block: np.ndarray, row: np.ndarray) -> None:
-        self.held = [np.concatenate(x) for x in zip(self.held, (score, block, row))]
+    def add(self, *columns: np.ndarray) -> None:
+        self.held = [np.concatenate(x) for x in zip(self.held, columns)]
         if len(self.held[0]) > 2 * self.k:
             self.cut()
 
     def cut(self) -> list[np.ndarray]:
-        order = np.lexsort((self.held[2], self.held[1], -self.held[0]))[: self.k]
+        score, archive, block, row = self.held
+        order = np.lexsort((row, block, archive, -score))[: self.k]
         self.held = [x[order] for x in self.held]
         return self.held
 
@@ -83,8 +92,8 @@ class Finished(WriterCommitMessage):
 
 
 class StretchWriter(DataSourceArrowWriter):
-    """Rows archive_index, block, row, tanimoto (null: not valid) of every line of a stretch, a task's
-    partition; todo names the stretches in the order of partitions."""
+    """Rows archive_index, block, row, tanimoto (null: not valid) of every line of a pack of stretches, a task's
+    partition; todo names the packs in the order of partitions: task, file, archives with their bytes."""
 
     def __init__(self, options: dict):
         self.out, self.k = options["out"], int(options["top_k"])
@@ -92,36 +101,39 @@ class StretchWriter(DataSourceArrowWriter):
         self.cutoff = json.loads(options["cutoff"])
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        task, archive, number, start, end = self.todo[TaskContext.get().partitionId()]
+        task, name, spans = self.todo[TaskContext.get().partitionId()]
+        bits = {a: (8 * start, max(8 * end, 33)) for a, start, end in spans}
         limit = max(self.cutoff or 0.0, self.bounds.get(task, 0.0))
         best, counts = Best(self.k), {}
         for b in iterator:
             if not len(b):
                 continue
             archives, blocks, rows = (b.column(k).to_numpy() for k in range(3))
-            if (archives != archive).any() or blocks.min() < 8 * start or blocks.max() >= max(8 * end, 33):
-                raise AssertionError(f"rows of another stretch than {number} of archive {archive}")
             score = b.column(3).to_numpy(zero_copy_only=False)  # null is NaN
             valid = ~np.isnan(score)
             passing = valid & (score >= (self.cutoff or 0.0))
-            for block in np.unique(blocks):
-                at = blocks == block
-                own = counts.setdefault(int(block), [int(rows[at][0]), 0, 0, 0])
-                own[1:] = own[1] + int(at.sum()), own[2] + int(valid[at].sum()), own[3] + int(passing[at].sum())
+            new = np.flatnonzero(np.append(True, (archives[1:] != archives[:-1]) | (blocks[1:] != blocks[:-1])))
+            for start, end in zip(new.tolist(), [*new[1:].tolist(), len(b)]):
+                archive, block = int(archives[start]), int(blocks[start])
+                low, high = bits.get(archive, (0, 0))
+                if not low <= block < high:
+                    raise AssertionError(f"rows of archive {archive}, bit {block}, which {name} doesn't hold")
+                own = counts.setdefault((archive, block), [int(rows[start]), 0, 0, 0])
+                own[1:] = own[1] + end - start, own[2] + int(valid[start:end].sum()), own[3] + int(passing[start:end].sum())
             near = valid & (score >= limit)
-            best.add(score[near], blocks[near], rows[near])
-        score, block, row = best.cut()
+            best.add(score[near], archives[near], blocks[near], rows[near])
+        score, archive, block, row = best.cut()
         none, n, m = [None], len(score), len(counts)
         columns = [
-            [archive] * (n + m),
-            [*block.tolist(), *counts],
+            [*archive.tolist(), *(a for a, _ in counts)],
+            [*block.tolist(), *(b for _, b in counts)],
             [*row.tolist(), *(c[0] for c in counts.values())],
             [*score.tolist(), *none * m],
             *([*none * n, *(c[k] for c in counts.values())] for k in (1, 2, 3)),
         ]
         names = [x.split()[0] for x in PARTS.split(", ")]
         table = pa.table([pa.array(c, t) for c, t in zip(columns, _TYPES)], names=names)
-        return Finished(publish(f"{self.out}/parts/task_index={task}", part_name(archive, number), table))
+        return Finished(publish(f"{self.out}/parts/task_index={task}", name, table))
 
     def commit(self, messages: list) -> None:
         """Nothing is left to do: a stretch counts from the moment its file is there."""

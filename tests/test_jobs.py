@@ -283,10 +283,10 @@ def test_two_attempts_at_a_stretch_leave_one_result(spark, tokens, tmp_path):
     out, plan = f"file://{tmp_path}", cxsmiles.stretches(manifest.read_manifest(path), size=15_000)[:3]
     spark.dataSource.register(shards.StretchSink)
     again = [*plan, *plan]
-    options = {"out": out, "top_k": 10, "cutoff": "null", "bounds": "{}", "todo": json.dumps([[1, s.index, s.number, s.start, s.end] for s in again])}
-    rows = searches.every_score(cxsmiles.scan(spark, again), query, "tokens", line=("archive_index", "block", "row"))
+    options = {"out": out, "top_k": 10, "cutoff": "null", "bounds": "{}", "todo": json.dumps([[1, shards.part_name([s]), shards.spans([s])] for s in again])}
+    rows = searches.every_score(cxsmiles.scan(spark, [[s] for s in again]), query, "tokens", line=("archive_index", "block", "row"))
     rows.write.format("stretches").options(**options).mode("append").save()
-    assert sorted(shards.finished(out, 1)) == sorted(shards.part_name(s.index, s.number) for s in plan)
+    assert sorted(shards.finished(out, 1)) == sorted(shards.part_name([s]) for s in plan)
     parts = searches._parts(spark, out, [1])
     assert parts.where("tanimoto IS NOT NULL").count() == 30 and parts.where("lines IS NOT NULL").select("block").distinct().count() == parts.where("lines IS NOT NULL").count()
 

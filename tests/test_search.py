@@ -83,6 +83,21 @@ def test_packed_fingerprints_score_as_sets(spark):
         assert sorted(a) == sorted(b)
 
 
+def test_ranks_by_ranges_are_those_of_one_order(spark, hits, monkeypatch):
+    want = sorted(hits.collect(), key=key)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = search.ranked_by_ranges(hits)
+        assert [(r["rank"], key(r)) for r in sorted(got.collect(), key=lambda r: r["rank"])] == [(n, key(r)) for n, r in enumerate(want, 1)]
+        monkeypatch.setattr(search, "SMALL_K", 10)
+        best = search.best_ranked(hits, 70).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sorted((r["rank"], key(r)) for r in best) == [(n, key(r)) for n, r in enumerate(want[:70], 1)]
+    assert search.ranked_by_ranges(hits.limit(0)).collect() == []
+
+
 def test_ranks_are_contiguous_and_groups_bounded(hits):
     assert [r["rank"] for r in search.ranked(search.top(hits, 30)).orderBy("rank").collect()] == list(range(1, 31))
     assert {r["n"] for r in search.top_in_groups(hits, 4, "archive_index").groupBy("archive_index").agg(F.count("*").alias("n")).collect()} == {4}

@@ -215,6 +215,32 @@ def test_sinks(spark, tmp_path):
     assert sinks.read_pipeline(spark, f"file://{tmp_path}/e").count() == 0
 
 
+def test_files_written_by_many_tasks_are_those_of_one(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    columns = 'CAST(id + 1 AS BIGINT) AS rank', "1 / (id + 1) AS tanimoto", "concat('a\"b,', id % 7) AS source_file", "id * 3 AS ligand_line", "concat('C', id) AS smiles", "IF(id % 5 = 0, NULL, concat(' n', id)) AS ligand_name"
+    rows = spark.range(5_000).selectExpr(*columns).withColumn("source_bz2", F.col("source_file"))
+    before = {n: spark.conf.get(n) for n in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for name, adaptive in (("many", "false"), ("one", "true")):
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            spark.conf.set("spark.sql.shuffle.partitions", "6")
+            sinks.write_locators(rows.repartition(9), f"file://{tmp_path}/{name}-t")
+            sinks.write_pipeline(rows.repartition(9), f"file://{tmp_path}/{name}-c", header=True)
+            for kind in "tc":
+                sinks.joined(spark, f"file://{tmp_path}/{name}-{kind}", f"file://{tmp_path}/{name}.{kind}")
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+    assert len(list((tmp_path / "many-t").glob("part*"))) > 4 and len(list((tmp_path / "one-t").glob("part*"))) == 1
+    sinks.locators(rows).orderBy("rank").withColumn("tanimoto", sinks.fixed(F.col("tanimoto"))).coalesce(1).write.option("sep", "\t").option("header", True).csv(f"file://{tmp_path}/plain-t")
+    plain = rows.orderBy("rank").select(*sinks.PIPELINE).coalesce(1).write
+    plain.option("header", True).option("lineSep", "\r\n").option("escape", '"').csv(f"file://{tmp_path}/plain-c")
+    for kind in "tc":
+        want = next((tmp_path / f"plain-{kind}").glob("part*")).read_bytes()
+        assert (tmp_path / f"many.{kind}").read_bytes() == (tmp_path / f"one.{kind}").read_bytes() == want
+
+
 def test_pipeline_rows_that_are_no_hits_are_dropped(spark, tmp_path):
     (tmp_path / "in.csv").write_text("smiles,ligand_name,source_bz2,tanimoto\nCC,a,f,0.7\nNA,b,f,0.8\nCO,c,f,x\n,d,f,0.9\nCN,e,f,nan\n")
     assert [r["ligand_name"] for r in sinks.read_pipeline(spark, f"file://{tmp_path}/in.csv").collect()] == ["a"]
