@@ -29,9 +29,9 @@ def split(
     """file, chunk, records of the chunks of X.cxsmiles.bz2, which stand in X_chunks once all are proven.
 
     One pass over the archive's stretches counts the lines of its blocks; the total comes from it alone.
-    Then every chunk is read from the block where it begins and written to X_chunks.inprogress by a task of its
-    own, read again (sizes, total, headers, checksums), and the folder is renamed. An existing X_chunks is refused, and a staging folder that a run left behind unless
-    overwrite_inprogress; an archive without records is an error. The archive is deleted, if asked
+    Then the chunks are read from the blocks where they begin and written to X_chunks.inprogress, each by one task,
+    read again (sizes, total, headers, checksums), and the folder is renamed. An existing X_chunks is
+    refused, and a staging folder that a run left behind unless overwrite_inprogress; an archive without records is an error. The archive is deleted, if asked
     for, as the last step.
     """
     if chunk_size < 1 or header_lines < 0 or not archive.endswith(SUFFIX):
@@ -50,7 +50,7 @@ def split(
     total = blocks.agg(F.sum("lines")).first()[0] or 0
     if len(header) < header_lines or not total:
         raise ValueError(f"{archive} has no record")
-    rows = cxsmiles.cut(spark, archive, blocks, chunk_size, base.rpartition("/")[2])
+    rows = cxsmiles.cut(spark, archive, blocks, chunk_size, base.rpartition("/")[2], stretch_bytes)
     files = cxsmiles.save_chunks(rows, "\n".join(header) if header else None, staging)
     made = files.orderBy("chunk").collect()  # a row a chunk
     cxsmiles.verify_chunks(spark, [r["file"] for r in made], chunk_size, total, header_lines, header, [r["checksum"] for r in made])

@@ -30,11 +30,11 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
 
 from simsift.operators.chunks import chunk_name, chunk_of
 from simsift.sources.bzip2 import Blocks, lines_of
-from simsift.sources.manifest import SUFFIX, opened
+from simsift.sources.manifest import SUFFIX, discover, opened
 from simsift.space import new_folder, written
 
 SCHEMA = "archive_index int, source_file string, block bigint, row int, ligand_line bigint, record string"
@@ -202,10 +202,59 @@ class ArchiveSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return ArchiveReader(self.options)
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return ArrivingArchives(self.options)
+
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
         return ChunkWriter(self.options)
 
 
+class ArrivingArchives(DataSourceStreamReader):
+    """The archives below a folder, each once, as they arrive; a partition an archive, whose lines are numbered.
+
+    `log` holds a file for each time that new archives were seen, with their names in order, numbered from 1; an offset
+    is the number of such files. So an offset names the same archives in every attempt and after a
+    restart, whatever has arrived since, and an archive's index is its place in the log.
+    """
+
+    def __init__(self, options: dict):
+        self.folder, self.log = options["folder"], options["log"]
+        self.header = int(options.get("header_lines", 1))
+
+    def _logged(self) -> list[list[str]]:
+        where, root = opened(self.log)
+        names = sorted(x.base_name for x in where.get_file_info(fs.FileSelector(root, allow_not_found=True)) if x.base_name.endswith(".json"))
+        out = []
+        for name in names:
+            with where.open_input_stream(f"{root}/{name}") as f:
+                out.append(json.loads(f.read()))
+        return out
+
+    def initialOffset(self) -> dict:
+        return {"seen": 0}
+
+    def latestOffset(self) -> dict:
+        logged = self._logged()
+        known = {a for names in logged for a in names}
+        if new := [a for a in discover(self.folder, none_is_wrong=False) if a not in known]:
+            where, root = opened(self.log)
+            where.create_dir(root, recursive=True)
+            with where.open_output_stream(f"{root}/.new") as f:
+                f.write(json.dumps(new).encode())
+            where.move(f"{root}/.new", f"{root}/{len(logged) + 1:010d}.json")
+        return {"seen": len(logged) + bool(new)}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        logged = self._logged()
+        first = sum(map(len, logged[: start["seen"]]))
+        new = [a for names in logged[start["seen"] : end["seen"]] for a in names]
+        sizes = _each(_size, new)
+        return [Pack([Stretch(k, a, 0, 0, size, self.header, 0)]) for k, (a, size) in enumerate(zip(new, sizes), first)]
+
+    def read(self, partition: Pack) -> Iterator[pa.RecordBatch]:
+        return ArchiveReader({"stretches": "[]"}).read(partition)
+
+
 class BlockSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -243,6 +292,13 @@ def read_archives(spark: SparkSession, paths: list[str], header_lines: int = 1,
     return scan(spark, packed(plan, pack_bytes(spark, plan, size)))
 
 
+def arriving_archives(spark: SparkSession, folder: str, log: str, header_lines: int = 1) -> DataFrame:
+    """A stream of the lines of archives below a folder, those that are there and those that come. Archives are put there
+    by a rename, as the split job does, and log belongs to this stream alone."""
+    spark.dataSource.register(ArchiveSource)
+    return spark.readStream.format("cxsmiles").options(folder=folder, log=log, header_lines=header_lines).load()
+
+
 def numbered(blocks: DataFrame) -> DataFrame:
     """blocks(archive_index, block, first_row, lines) with shift: what a row of the block has to be added to be its line's number."""
     earlier = W.partitionBy("archive_index").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
@@ -353,19 +409,20 @@ def write_chunks(records: DataFrame, size: int, header: str | None, folder: str)
     return save_chunks(rows.repartition("file").sortWithinPartitions("file", "line"), header, folder)
 
 
-def cut(spark: SparkSession, archive: str, blocks: DataFrame, size: int, base: str) -> DataFrame:
-    """file, chunk, record of an archive's lines in chunks of size, a task a chunk, which reads its own lines
-    from the block where they begin: no shuffle, no sort. blocks is the archive's block index."""
-    n, before = F.col("lines"), F.col("shift") + F.col("first_row")
-    holds = F.sequence(F.ceil(before / size), F.floor((before + n - 1) / size))
-    begins = F.ceil(before / size) <= F.floor((before + n - 1) / size)
-    starts = numbered(blocks).where(begins).select(F.explode(holds).alias("chunk"), "block", "shift")
+def cut(spark: SparkSession, archive: str, blocks: DataFrame, size: int, base: str, stretch_bytes: int = STRETCH_BYTES) -> DataFrame:
+    """file, chunk, record of an archive's lines in chunks of size. A task has one chunk, or neighbouring small ones, and reads
+    their lines from the block where the first begins: no shuffle, no sort. blocks is the archive's block index."""
     total = blocks.agg(F.sum("lines")).first()[0] or 0
-    plan = [
-        [Stretch(r["chunk"], archive, r["chunk"], 0, 0, 0, r["chunk"] * size, r["block"], r["chunk"] * size - r["shift"], min(size, total - r["chunk"] * size))]
-        for r in starts.orderBy("chunk").collect()  # a row a chunk
-    ]
-    chunk = F.col("archive_index").cast("bigint")
+    tasks = max(3 * spark.sparkContext.defaultParallelism, -(-_size(archive) // stretch_bytes))
+    lines = size * max(1, -(-total // size) // tasks)  # of a task
+    n, before = F.col("lines"), F.col("shift") + F.col("first_row")
+    first, last = F.ceil(before / lines), F.floor((before + n - 1) / lines)
+    starts = numbered(blocks).where(first <= last).select(F.explode(F.sequence(first, last)).alias("k"), "block", "shift")
+    plan = []
+    for r in starts.orderBy("k").collect():  # a row a task
+        line = r["k"] * lines
+        plan.append([Stretch(0, archive, r["k"], 0, 0, 0, line, r["block"], line - r["shift"], min(lines, total - line))])
+    chunk = chunk_of(F.col("ligand_line"), size)
     return scan(spark, plan).select(chunk_name(F.lit(base), chunk).alias("file"), chunk.alias("chunk"), "record")
 
 

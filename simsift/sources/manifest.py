@@ -14,14 +14,14 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def discover(root: str, suffix: str = SUFFIX) -> list[str]:
+def discover(root: str, suffix: str = SUFFIX, none_is_wrong: bool = True) -> list[str]:
     """All archives below root in order of their paths, without those of a split in progress."""
     where, path = opened(root)
     scheme = root[: root.index("://") + 3] if "://" in root else ""
     infos = where.get_file_info(fs.FileSelector(path, recursive=True))
     found = sorted(x.path for x in infos if x.type == fs.FileType.File and x.path.endswith(suffix))
     found = [scheme + p for p in found if STAGING not in p]
-    if not found:
+    if not found and none_is_wrong:
         raise ValueError(f"no *{suffix} below {root}")
     return found
 

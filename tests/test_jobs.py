@@ -337,6 +337,50 @@ def test_a_stream_starts_again(spark, tmp_path):
     assert run() == want(90)
 
 
+def test_archives_that_arrive_reach_the_list(spark, tokens, tmp_path):
+    """In batches, by a restart, and by one more after a batch that failed."""
+    from pyspark.sql import functions as F
+
+    from simsift.operators import search as ops
+    from simsift.sources import cxsmiles
+
+    _, query, _, held = tokens
+    folder, lines = tmp_path / "in", [x for x in held[0] if x.strip()][:900]
+    folder.mkdir()
+    put = lambda name, part: (folder / f"{name}.cxsmiles.bz2").write_bytes(bz2.compress("\n".join(["head", *part]).encode()))
+    asked = sorted(spark.range(1).select(ops.token_bits(F.lit(query)).alias("b")).first()["b"])
+    fails = []
+
+    def score(batch):
+        if fails:
+            raise RuntimeError(fails.pop())
+        return ops.scored(batch.withColumn("bits", ops.token_bits(F.col("record"))), asked)
+
+    def run():
+        stream = cxsmiles.arriving_archives(spark, f"file://{folder}", f"file://{tmp_path}/log")
+        return sorted(((r["tanimoto"], r["archive_index"], r["ligand_line"]) for r in top_k.fold_top_k(stream, score, 12, f"file://{tmp_path}/state").collect()), key=lambda r: (-r[0], r[1], r[2]))
+
+    def want(order):
+        scores = []
+        for a, part in enumerate(order):
+            for r in ops.scored(spark.createDataFrame([(a, "", n, x) for n, x in enumerate(part)], "archive_index int, source_file string, ligand_line bigint, record string").withColumn("bits", ops.token_bits(F.col("record"))), asked).collect():
+                scores.append((r["tanimoto"], r["archive_index"], r["ligand_line"]))
+        return sorted(scores, key=lambda r: (-r[0], r[1], r[2]))[:12]
+
+    assert run() == []
+    parts = [lines[k : k + 150] for k in range(0, 900, 150)]
+    for name, part in zip("cde", parts):
+        put(name, part)
+    assert run() == want(parts[:3])
+    put("a", parts[3])  # comes before the others in order of names, later in order of arrival
+    fails.append("lost")
+    with pytest.raises(Exception, match="lost"):
+        run()
+    put("b", parts[4])
+    assert run() == want(parts[:5]) and run() == want(parts[:5])
+    assert len(list((tmp_path / "state").glob("batch=*"))) <= 2
+
+
 def test_tables_of_a_run_are_deleted(spark):
     table = space.written(spark.range(3), "gone")
     [folder] = {f.rpartition("/")[0] for f in table.inputFiles()}
