@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from simsift.functions import records, similarity, smiles
 from simsift.functions.fingerprints import packed, query_words, sign_bits
+from simsift.jobs.legacy import legacy_search
 from simsift.jobs.merge import merge
 from simsift.jobs.report import report
 from simsift.jobs.search import search as search_shards
@@ -329,6 +330,19 @@ def merge_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("source_file", F.element_at(F.split("source_file", "/"), -1))
 
 
+_LEGACY = f"""{LIBRARY}, n AS (SELECT CAST(tanimoto AS FLOAT) AS tanimoto, CAST(ligand_line // {DOCS} AS INT) AS archive, ligand_line % {DOCS} AS line FROM scored),
+final AS (SELECT *, row_number() OVER (ORDER BY tanimoto DESC, archive, line) AS rank FROM n)"""
+
+
+@registered(f"{_LEGACY} SELECT CAST(rank AS VARCHAR) AS rank, format('{{:.6f}}', CAST(tanimoto AS DOUBLE)) AS tanimoto, {_DOCS_FILE} AS source_file, CAST(line AS VARCHAR) AS ligand_line FROM final WHERE rank <= {TOP_K}")
+def legacy_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older search over the folder of the documents' archives; its file's text but for the folder."""
+    root, output = _document_archives(spark, sf_dir).rpartition("/")[0], new_folder(spark, "legacy-file")
+    legacy_search(spark, root, _query_text(spark, sf_dir), output, TOP_K, kind="tokens")
+    rows = spark.read.option("sep", "\t").option("header", True).schema("rank string, tanimoto string, source_file string, ligand_line string").csv(output)
+    return rows.withColumn("source_file", F.element_at(F.split("source_file", "/"), -1))
+
+
 _PARTS = r"list_filter(string_split_regex(text, '[\s\x1c-\x1f\x{00A0}\x{0085}\p{Z}]+'), lambda t: t <> '')"
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -43,16 +44,16 @@ LINE = ("archive_index", "source_file", "ligand_line")
 STEPS = 1 << 16
 
 
-def every_score(library: DataFrame, query: str, kind: str = "structure", radius: int = RADIUS, fp_size: int = FP_SIZE, use_chirality: bool = False, line: tuple[str, ...] = LINE) -> DataFrame:
+def every_score(library: DataFrame, query: str, kind: str = "structure", radius: int = RADIUS, fp_size: int = FP_SIZE, use_chirality: bool = False, line: tuple[str, ...] = LINE, column: int = 0, single: bool = False) -> DataFrame:
     """The columns that name a line, and tanimoto, of every record, null where it isn't valid.
 
-    kind "structure" takes circular fingerprints of the first token; "tokens" the hashed tokens of
-    the whole record.
+    kind "structure" takes circular fingerprints of a token, the first if no other column is named; "tokens" the
+    hashed tokens of the whole record. single: scores are rounded to single precision.
     """
     if kind == "structure":
         asked = smiles.query_fingerprint(query, radius, fp_size, use_chirality)
-        first = records.structure(records.record_tokens(F.col("record")))
-        rows = smiles.fingerprints(library.select(*line, first.alias("smiles")), "smiles", radius, fp_size, use_chirality)
+        token = records.column_at(records.record_tokens(F.col("record")), column)
+        rows = smiles.fingerprints(library.select(*line, token.alias("smiles")), "smiles", radius, fp_size, use_chirality)
         words = [F.get("words", F.lit(i)) for i in range(len(asked))]
         score: Column = F.when(F.col("popcount") > 0, word_tanimoto(words, asked, F.col("popcount")))
     elif kind == "tokens":
@@ -60,7 +61,7 @@ def every_score(library: DataFrame, query: str, kind: str = "structure", radius:
         rows, score = library.withColumn("bits", token_bits(F.col("record"), fp_size)), ops.score_of(sorted(row["b"]))
     else:
         raise ValueError(f"no such fingerprint: {kind}")
-    return rows.select(*line, score.alias("tanimoto"))
+    return rows.select(*line, (score.cast("float").cast("double") if single else score).alias("tanimoto"))
 
 
 def _spread_order(n: int) -> list[int]:
@@ -115,11 +116,15 @@ def search(
     kind: str = "structure",
     resume: bool = False,
     stretch_bytes: int = cxsmiles.STRETCH_BYTES,
+    column: int = 0,
+    single_precision: bool = False,
+    progress: Callable[[str], None] | None = None,
 ) -> DataFrame:
     """Writes the shards of tasks (1-based, next to each other; all if None) to out; their metadata.
 
     Shards that an earlier call left unfinished are gone on with, stretch by stretch, if their arguments were
-    the same. Finished ones are refused, or with resume left as they are.
+    the same. Finished ones are refused, or with resume left as they are. progress is told what is done after each
+    wave.
     """
     ops.check_arguments(top_k, min_tanimoto)
     if fp_size < 64 or fp_size % 64 or radius < 0 or header_lines < 0:
@@ -151,21 +156,21 @@ def search(
     slices = {t: (len(paths) * (t - 1) // task_count, len(paths) * t // task_count) for t in tasks}
 
     def scores(plan: list[list[cxsmiles.Stretch]]) -> DataFrame:
-        return every_score(cxsmiles.scan(spark, plan), query, kind, radius, fp_size, use_chirality, ("archive_index", "block", "row"))
+        return every_score(cxsmiles.scan(spark, plan), query, kind, radius, fp_size, use_chirality, ("archive_index", "block", "row"), column, single_precision)
 
     scores([])  # an argument that is none is refused before anything is written
     with kept_until_done(spark):
         plans = {t: cxsmiles.stretches(paths[a:b], header_lines, a, stretch_bytes) for t, (a, b) in slices.items()}
         pack = cxsmiles.pack_bytes(spark, [s for plan in plans.values() for s in plan], stretch_bytes)
-        asked_for = {**values, "kind": kind, "stretch_bytes": stretch_bytes}
+        asked_for = {**values, "kind": kind, "stretch_bytes": stretch_bytes, "column": column, "single_precision": single_precision}
         packs = {t: cxsmiles.packed(plan, _begun(out, t, asked_for, pack)) for t, plan in plans.items()}
-        _scan(spark, out, packs, scores, top_k, min_tanimoto)
+        _scan(spark, out, packs, scores, top_k, min_tanimoto, progress or (lambda text: None))
         if tasks:
             _publish(spark, out, paths, slices, values, began)
     return shard_metadata(spark, out).where(F.col("task_index").isin(asked))
 
 
-def _scan(spark: SparkSession, out: str, plans: dict[int, list[list]], scores, top_k: int, cutoff: float | None) -> None:
+def _scan(spark: SparkSession, out: str, plans: dict[int, list[list]], scores, top_k: int, cutoff: float | None, progress: Callable[[str], None]) -> None:
     """Scans the packs of stretches that aren't done, in waves."""
     spark.dataSource.register(files.StretchSink)
     ready = {t: files.finished(out, t) for t in plans}
@@ -185,6 +190,7 @@ def _scan(spark: SparkSession, out: str, plans: dict[int, list[list]], scores, t
         }
         scores([pack for _, _, pack in wave]).write.format("stretches").options(**options).mode("append").save()
         scanned += len(wave)
+        progress(f"{scanned:,} of {scanned + len(todo):,} parts of {len(plans):,} tasks are searched")
         size = max(size, 2 * scanned)
     ready = {t: files.finished(out, t) for t in plans}
     if lost := [files.part_name(pack) for t, plan in plans.items() for pack in plan if files.part_name(pack) not in ready[t]]:

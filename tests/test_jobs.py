@@ -122,6 +122,27 @@ def test_a_search_without_hits(spark, library, tmp_path):
     assert merges.merge(spark, path, out, 2, f"file://{tmp_path}/t", f"file://{tmp_path}/c").collect() == []
 
 
+def test_the_older_search_in_one_call(spark, library, tmp_path):
+    import numpy as np
+
+    from simsift.jobs.legacy import figures, legacy_search
+
+    _, paths, held = library
+    root, told = paths[0].rpartition("/")[0], []
+    best = legacy_search(spark, root, QUERY, f"file://{tmp_path}/t", 25, work=f"file://{tmp_path}/w", progress=told.append)
+    want = sorted(((a, n, float(np.float32(s))) for a, n, s in brute(held)), key=lambda r: (-r[2], r[0], r[1]))[:25]
+    assert [(r["archive_index"], r["ligand_line"], r["tanimoto"]) for r in best.orderBy("rank").collect()] == want
+    lines = next((tmp_path / "t").glob("part*")).read_text().splitlines()
+    assert lines == ["rank\ttanimoto\tsource_file\tligand_line"] + [f"{k}\t{s:.6f}\t{paths[a]}\t{n}" for k, (a, n, s) in enumerate(want, 1)]
+    assert told and told[-1].endswith("of 1 tasks are searched")
+    archives = len({a for a, _, _ in want})
+    assert figures(best).first()["line"] == f"25 hits in {archives} archives, scores {want[0][2]:.6f} to {want[-1][2]:.6f}"
+    other = legacy_search(spark, root, "CC", f"file://{tmp_path}/u", 5, column=1)  # ids are no structures
+    assert other.collect() == [] and figures(other).first()["line"] == "0 hits in 0 archives, scores - to -"
+    with pytest.raises(ValueError):
+        legacy_search(spark, root, QUERY, f"file://{tmp_path}/v", 5, column=-1)
+
+
 def test_split_is_safe(spark, tmp_path):
     def archive(name, lines):
         (tmp_path / name).write_bytes(bz2.compress("\n".join(lines).encode()))
