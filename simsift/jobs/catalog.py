@@ -21,7 +21,7 @@ from simsift.jobs.report import report
 from simsift.jobs.search import search as search_shards
 from simsift.jobs.search import shard_hits, shard_metadata, summary
 from simsift.jobs.split import split
-from simsift.operators import brackets, chunks, recover, search, shards
+from simsift.operators import brackets, chunks, recover, search, shards, threshold_index
 from simsift.sources import cxsmiles, manifest, sinks
 from simsift.space import new_folder, read_table, written
 from simsift.streaming.top_k import fold_top_k
@@ -33,6 +33,9 @@ DIMS = 64
 #: Of the jobs over documents: documents an archive, shards, K and cutoff of a shard, K of the merge.
 DOCS, SHARDS, SHARD_K, SHARD_CUTOFF, MERGE_K = 90, 2, 40, 0.05, 30
 
+#: Of the index: the least cutoff that it serves, and the search's.
+INDEX_LEAST, INDEX_CUTOFF = 0.15, 0.25
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -187,6 +190,15 @@ def packed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.scored_packed(spark.read.parquet(path), query_words(query), CUTOFF).select("tanimoto", "archive_index", "ligand_line")
 
 
+@registered(LIBRARY + f"SELECT tanimoto, archive_index, ligand_line FROM scored WHERE tanimoto >= {INDEX_CUTOFF}")
+def threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By an index of the records' rarest bits, built for cutoffs from 0.15 on: only candidates are scored."""
+    library, query = _library(spark, sf_dir)
+    path = new_folder(spark, "threshold-index")
+    threshold_index.build(library, path, INDEX_LEAST)
+    return threshold_index.search(spark, path, query, INDEX_CUTOFF).select("tanimoto", "archive_index", "ligand_line")
+
+
 @registered(LIBRARY + f"SELECT rank, tanimoto, source_file, ligand_line FROM best WHERE rank <= {TOP_K}")
 def locator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.locators(search.ranked(search.top(_scored(spark, sf_dir), TOP_K)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from simsift.functions import similarity, smiles
 from simsift.functions.fingerprints import packed, query_words
-from simsift.operators import brackets, chunks, recover, search, shards
+from simsift.operators import brackets, chunks, recover, search, shards, threshold_index
 
 HITS = "tanimoto double, archive_index int, source_file string, ligand_line bigint"
 
@@ -83,6 +83,31 @@ def test_packed_fingerprints_score_as_sets(spark):
         assert sorted(a) == sorted(b)
 
 
+def test_the_threshold_index_meets_all_and_only_candidates(spark, tmp_path):
+    """Rare and common bits, empty and repeated records; every cutoff that the index serves."""
+    rng = random.Random(7)
+    sets = [sorted({min(int(rng.expovariate(0.02)), 255) for _ in range(rng.choice([0, 1, 5, 20, 40]))}) for _ in range(400)]
+    sets += [sorted({*sets[k], rng.randrange(256)} - {sets[k][0]}) for k in range(400) if len(sets[k]) > 1]
+    rows = spark.createDataFrame([(n % 5, f"a{n % 5}", n, b) for n, b in enumerate(sets)], "archive_index int, source_file string, ligand_line bigint, bits array<int>")
+    path = f"file://{tmp_path}/i"
+    threshold_index.build(rows.repartition(4), path, 0.5, 256)
+    for asked in (sets[5], sets[17], sets[33], list(range(0, 256, 9)), []):
+        for cutoff in (0.5, 0.6, 2 / 3, 0.8, 1.0):
+            want = {(n % 5, n): len(x & q) / len(x | q) for n, b in enumerate(sets) if (x := set(b)) and (q := set(asked)) and len(x & q) / len(x | q) >= cutoff}
+            got = threshold_index.search(spark, path, asked, cutoff)
+            assert {(r["archive_index"], r["ligand_line"]): r["tanimoto"] for r in got.collect()} == want
+    large = max(sets, key=len)
+    near = threshold_index.candidates(spark, path, large, 0.8).count()
+    assert 0 < near < len(sets) / 4
+    for wrong in (0.4, 1.1):
+        with pytest.raises(ValueError):
+            threshold_index.search(spark, path, large, wrong)
+    with pytest.raises(ValueError):
+        threshold_index.build(rows, path, 0.0)
+    plan = threshold_index.candidates(spark, path, large, 0.8)._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(rank" in plan or "PushedFilters: [IsNotNull(popcount), In(rank" in plan
+
+
 def test_ranks_by_ranges_are_those_of_one_order(spark, hits, monkeypatch):
     want = sorted(hits.collect(), key=key)
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
