@@ -1,7 +1,7 @@
 """Toxicity scores of texts whose disguises are undone first.
 
-Spans that look disguised (signs or digits among letters, letters three times in a row, four or more
-letters spaced or dotted apart; letters that are merely doubled aren't) are read as a noisy channel's output: each observed character may stand
+Spans that look disguised (signs or digits among letters, letters three times in a row, words of three or more
+letters each of which is doubled, four or more letters spaced or dotted apart) are read as a noisy channel's output: each observed character may stand
 for several letters or for none, and an exact Viterbi search over all pairs of last letters finds the
 letters that the channel and a character trigram model, counted over all training texts, make likeliest. The restored text is
 scored by a logistic regression (FTRL) over how often it holds which words and word beginnings, hashed.
@@ -35,7 +35,7 @@ KEPT_SPANS, KEPT_BYTES = 100_000, 64
 #: What each sign may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 APART = " .-_*"
-ANY_SPACE = re.compile(r"[\t-\r]")
+ANY_SPACE, DOUBLED = re.compile(r"[\t-\r]"), re.compile(r"((?:([^\W\d_])\2){3,})[!|+@$]*")
 #: Costs of the channel (minus log probabilities, but for a constant).
 STANDS_FOR, AS_IT_IS, REPEATED, TWICE, JOINED, PARTED = 1.0, 9.0, 0.3, 7.0, 0.3, 5.0
 
@@ -105,6 +105,19 @@ class CharModel:
         return "".join(reversed(text))
 
 
+def doubled(b: np.ndarray, letter: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Spans, but for signs at their ends, of three or more letters of which each stands twice."""
+    inner = np.concatenate([[0], np.cumsum(letter)])
+    first = np.minimum(np.searchsorted(inner, inner[starts] + 1) - 1, len(b) - 1)  # the span's first letter
+    count = inner[ends] - inner[starts]
+    last = np.minimum(first + count, ends)
+    differ = np.append(b[1:] != b[:-1], True)
+    even = np.concatenate([[0], np.cumsum(differ & (np.arange(len(b)) % 2 == 0))])
+    odd = np.concatenate([[0], np.cumsum(differ & (np.arange(len(b)) % 2 == 1))])
+    unlike = np.where(first % 2 == 0, even[last] - even[first], odd[last] - odd[first])
+    return (count >= 6) & (count % 2 == 0) & (inner[last] - inner[first] == count) & (unlike == 0)
+
+
 def disguised(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the spans to restore, in order and apart from each other."""
     b = LOWER[chunk.buf]
@@ -119,7 +132,7 @@ def disguised(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     odd |= letter[:n] & sep[1 : n + 1] & letter[2 : n + 2] & sep[3 : n + 3] & letter[4 : n + 4]
     starts, ends, _ = spans(chunk, ~SPACES)
     sums = np.concatenate([[0], np.cumsum(odd)])
-    marked = sums[ends] > sums[starts]
+    marked = (sums[ends] > sums[starts]) | doubled(b, letter[:n], starts, ends)
     # Runs of four or more one-character words, not all of the same character.
     text = np.searchsorted(chunk.offsets, starts, "right") - 1
     alone = (ends - starts == 1) & (letter[starts] | _DIGIT[b[starts]] | _SIGN[b[starts]])
@@ -142,6 +155,8 @@ class Restorer:
         if (out := self.known.get(seen)) is None:
             text = ANY_SPACE.sub(" ", seen.decode("utf-8", "replace").lower())
             core = text.strip("#%&*?,.;:()[]{}\"'`~^<>=/\\-_")
+            if twice := DOUBLED.fullmatch(core):
+                core = twice.group(1)[::2]
             out = (" " + self.model.decode(core) + " ").encode()
             if len(self.known) >= KEPT_SPANS:
                 self.known.clear()

@@ -99,7 +99,7 @@ def test_toxicity_of_held_out_rows_and_their_disguises(docs, labels):
     assert min(scores) > 0.5 and abs(scores[0] - scores[1]) < 0.05
 
 
-@pytest.mark.parametrize("seen", ["1d10t", "i d i o t", "i.d.i.o.t", "idiooot", "!diot"])
+@pytest.mark.parametrize("seen", ["1d10t", "i d i o t", "i.d.i.o.t", "idiooot", "!diot", "iiddiioott", "IIddiioott!", '"iiddiioott,"'])
 def test_disguises_are_undone(seen):
     counts = np.zeros(28**3)
     for word, n in (("idiot", 50), ("the", 500), ("ideal", 20), ("riot", 20)):
@@ -114,6 +114,14 @@ def test_disguises_are_undone(seen):
     assert got == [["plain", "words"], ["the", "idiot", "the"], [], [], ["idiot"]]
 
 
+def test_only_words_doubled_throughout_are_marked():
+    texts = ["aabb ccdd", "committee bookkeeper", "iiddiioot iiddiiootx", "x aabbcc, 1122334455 ------", "llaammaa", "", "AAbbCC"]
+    for c in chunks(pa.array(texts)):
+        starts, ends = toxicity.disguised(c)
+        got = [bytes(c.buf[a:b]).decode() for a, b in zip(starts, ends)]
+    assert got == ["aabbcc,", "llaammaa", "AAbbCC"]
+
+
 @pytest.mark.parametrize("text,letter", [("½", False), ("²①Ⅷ", False), ("12 _ !", False), ("", False), ("a", True), ("ü1", True), ("1½ʰ", True), ("語", True)])
 def test_letters_are_those_of_unicode(text, letter):
     assert language_id.has_letter(text) == letter == any(unicodedata.category(c).startswith("L") for c in text)
