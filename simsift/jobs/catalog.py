@@ -34,7 +34,7 @@ DIMS = 64
 DOCS, SHARDS, SHARD_K, SHARD_CUTOFF, MERGE_K = 90, 2, 40, 0.05, 30
 
 #: Of the index: the least cutoff that it serves, and the search's.
-INDEX_LEAST, INDEX_CUTOFF = 0.15, 0.25
+INDEX_LEAST, INDEX_CUTOFF = 0.1, 0.15
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,7 +192,7 @@ def packed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(LIBRARY + f"SELECT tanimoto, archive_index, ligand_line FROM scored WHERE tanimoto >= {INDEX_CUTOFF}")
 def threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By an index of the records' rarest bits, built for cutoffs from 0.15 on: only candidates are scored."""
+    """By an index of the records' rarest bits, built for cutoffs from 0.1 on: only candidates are scored."""
     library, query = _library(spark, sf_dir)
     path = new_folder(spark, "threshold-index")
     threshold_index.build(library, path, INDEX_LEAST)
