@@ -1,11 +1,12 @@
 """The search job: a manifest of archives and a query in, hits and metadata of every shard out.
 
 A shard is a slice of the manifest, its K best hits and its counts. The archives' stretches, small
-ones packed together, are scanned once each, in waves: first as many as fill the cluster, then each time twice as many as are done, in an order that
-takes all shards and all parts of them alike. A task scores the lines of its stretch, counts them by
-block and writes what can still matter to one file: the K best at or above the cutoff and above the
-K-th best score that its shard has so far, which is read from the files before each wave. So what is written
-follows the hits, and a file says that its stretch is done: a run that stopped goes on with the others.
+ones packed together, are scanned once each, in waves: first as many as fill the cluster, then each
+time twice as many as are done, in an order that takes all shards and all parts of them alike. A
+task scores the lines of its stretch, counts them by block and writes what can still matter to one
+file: the K best that reach the cutoff and the K-th best score of their shard so far, which is read
+from the files before each wave. So what is written follows the hits, and a file says that its
+stretch is done: a run that stopped goes on with the others.
 
 Once all stretches are done, block counts give the hits their line numbers, and the shards' K best
 and their metadata are published together (sources/shards.py).
@@ -23,14 +24,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from simsift.functions import records, smiles
-from simsift.functions.fingerprints import query_words, token_bits
+from simsift.functions.fingerprints import token_bits
 from simsift.functions.similarity import word_tanimoto
 from simsift.operators import search as ops
-from simsift.operators import shards
 from simsift.sources import cxsmiles, manifest
 from simsift.sources import shards as files
 from simsift.sources.sinks import fixed, grouped
-from simsift.space import kept_until_done, written
+from simsift.space import kept_until_done
 
 TOP_K, HEADER_LINES, RADIUS, FP_SIZE = 1_000_000, 1, 2, 2048
 METADATA = (
