@@ -9,9 +9,8 @@ same words count once, as the first of them, so an item that repeats itself is s
 3. Store the postings (term, document, position) of the picked terms: the index, written as a
    table by the tasks that read the words, without a shuffle.
 4. Join postings and picked places on the term; position minus place is the offset at which the
-   item would stand in the document. A (document, item, offset) survives if both places of some pick
-   are found there: one count over (document, item, offset, pick), the intersection of the
-   offset-adjusted lists of the rarest terms.
+   item would stand in the document. A (document, pick, offset) survives if both places of the pick
+   are found there: the intersection of the offset-adjusted lists of the rarest terms.
 5. The places of a survivor's windows, a row each, are joined with the postings of the surviving documents on
    document, position and term: the intersection with the other lists. Places that are found and follow each
    other without a gap are a stretch; one of a window's length or more is a phrase match, all
@@ -94,14 +93,13 @@ def _windows(items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _picked(items: DataFrame, windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """item, s, k, pick, need, rare: of each window that can occur the places of its two rarest terms, in
-    order (one place if it has one word)."""
+    """item, s, k, rare: of each window that can occur the places of its two rarest terms, in order (one
+    place if it has one word)."""
     places = items.select("item", F.posexplode("words").alias("pos", "term")).join(counts, "term", "left").withColumn("count", F.coalesce("count", F.lit(0)))
     inside = windows.select("item", "s", "k", F.explode(F.sequence(F.col("s"), F.col("s") + F.col("k") - 1)).alias("pos")).join(places, ["item", "pos"])
     rare = inside.groupBy("item", "s", "k").agg(F.slice(F.array_sort(F.collect_list(F.struct("count", "pos"))), 1, 2).alias("r"))
     pick = F.array_sort(F.transform("r", lambda x: x["pos"]))
-    rare = rare.where(F.col("r")[0]["count"] > 0).select("item", "s", "k", pick.alias("rare"))
-    return rare.select("item", "s", "k", F.concat_ws(",", "rare").alias("pick"), F.size("rare").alias("need"), "rare")
+    return rare.where(F.col("r")[0]["count"] > 0).select("item", "s", "k", pick.alias("rare"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -114,20 +112,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     corpus = split_words(docs)
     seen = corpus.select(F.explode("words").alias("term")).join(bounded(terms), "term")
     counts = written(seen.groupBy("term").count(), "term-counts")
-    picks = written(_picked(items, windows, counts), "picks")
+    rare = written(_picked(items, windows, counts), "rare")
+    chosen = written(rare.select("item", "rare").distinct().withColumn("pick", F.monotonically_increasing_id()), "named-picks")
+    picks = written(rare.join(chosen, ["item", "rare"]), "picks")
     places = items.select("item", F.posexplode("words").alias("pos", "term"))
-    anchors = picks.select("item", "pick", "need", "rare").distinct().select("item", "pick", "need", "rare", F.explode("rare").alias("pos"))
-    bit = F.when(F.col("pos") == F.col("rare")[0], 1).otherwise(2).alias("bit")
-    anchors = written(anchors.join(places, ["item", "pos"]).select("item", "pick", "need", "pos", bit, "term"), "anchors")
+    anchors = chosen.select("item", "pick", "rare", F.explode("rare").alias("pos"))
+    bit = F.when(F.size("rare") == 1, 3).when(F.col("pos") == F.col("rare")[0], 1).otherwise(2).alias("bit")
+    anchors = written(anchors.join(places, ["item", "pos"]).select("pick", "pos", bit, "term"), "anchors")
     index = build_index(corpus, written(anchors.select("term").distinct(), "index-terms"))
     row, named = ["doc_id", "h"], F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
     key = [F.col("doc_id").alias("_id"), F.col("h").alias("_h")]
 
-    met = index.join(bounded(anchors), "term").select(*row, "item", "at", (F.col("at") - F.col("pos")).alias("offset"), "pick", "need", "bit")
-    aligned = met.groupBy(*row, "item", "offset", "pick", "need").agg(F.bit_or("bit").alias("bits")).where("need = 1 OR bits = 3")
+    met = written(_met(index.join(bounded(anchors), "term"), row, window), "met")
+    aligned = met.where("bits = 3")
     whole = picks.select("item", "pick", F.explode(F.sequence(F.col("s"), F.col("s") + F.col("k") - 1)).alias("pos")).distinct()
     whole = written(whole.join(places, ["item", "pos"]), "pick-places")
-    spots = aligned.select(*row, "item", "offset", "pick").join(bounded(whole), ["item", "pick"])
+    spots = aligned.select(*row, "offset", "pick").join(bounded(whole), "pick")
     spots = written(spots.select(*row, "item", "offset", "pos", "term").distinct(), "spots")
 
     held = bounded(written(spots.select(*key).distinct(), "spotted"))
@@ -146,7 +146,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     words = stretches.withColumn("fresh", fresh).groupBy(*row).agg(F.sum("fresh").alias("n_hit"))
     inside = hits.select(*row, "item", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - F.col("k"))).alias("s")).distinct()
     ids = inside.join(bounded(members), ["item", "s"]).groupBy(*row).agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
-    near = _near(met, row, window).join(bounded(picks.select("item", "pick", "s")), ["item", "pick"]).select(*row, "item", "s").distinct()
+    near = met.where("near").select(*row, "pick").distinct().join(bounded(picks.select("item", "pick", "s")), "pick").select(*row, "item", "s").distinct()
     near = near.join(bounded(members), ["item", "s"]).groupBy(*row).agg(F.count_distinct("item_id").alias("n_near"))
     found = words.select(*key, "n_hit").join(ids, named).select(*key, "n_hit", "ids")
     found = bounded(written(found, "found"))
@@ -165,11 +165,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     )
 
 
-def _near(met: DataFrame, row: list[str], window: int) -> DataFrame:
-    """Document, item, pick where postings of both places stand less than `window` words apart: if any do, then
-    two that are neighbours in order of position."""
-    group = [*row, "item", "pick"]
-    at = met.groupBy(*group, "need", "at").agg(F.bit_or("bit").alias("bits"))
-    last = W.partitionBy(*group).orderBy("at")
-    both = (F.col("bits").bitwiseOR(F.lag("bits").over(last)) == 3) & (F.col("at") - F.lag("at").over(last) < window)
-    return at.withColumn("near", F.coalesce(both, F.lit(False)) | (F.col("need") == 1)).where("near").select(*group).distinct()
+def _met(postings: DataFrame, row: list[str], window: int) -> DataFrame:
+    """Document, pick, offset where all places of the pick are found (bits is 3), or near one of whose postings one of
+    the other place stands less than `window` words before: if any two do, then two that are neighbours in order
+    of position. One shuffle of the postings serves both."""
+    group = [*row, "pick"]
+    met = postings.select(*group, F.col("at").cast("int").alias("at"), (F.col("at") - F.col("pos")).cast("int").alias("offset"), F.col("bit").cast("byte").alias("bit"))
+    last = W.partitionBy(*group).orderBy("at", "bit")
+    gap = F.col("at") - F.lag("at").over(last)
+    near = (F.col("bit") == 3) | F.coalesce((F.col("bit") != F.lag("bit").over(last)) & (gap > 0) & (gap < window), F.lit(False))
+    met = met.withColumn("near", near).groupBy(*group, "offset").agg(F.bit_or("bit").alias("bits"), F.max("near").alias("near"))
+    return met.where("bits = 3 OR near")
