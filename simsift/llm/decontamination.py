@@ -12,7 +12,8 @@ same words count once, as the first of them, so an item that repeats itself is s
    item would stand in the document. A (document, pick, offset) survives if both places of the pick
    are found there: the intersection of the offset-adjusted lists of the rarest terms.
 5. The places of a survivor's windows, a row each, are joined with the postings of the surviving documents on
-   document, position and term: the intersection with the other lists. Places that are found and follow each
+   document, position and term: the intersection with the other lists. Postings are made at the asked positions
+   only: the other words of such a document are in no shuffle. Places that are found and follow each
    other without a gap are a stretch; one of a window's length or more is a phrase match, all
    of whose words are hit. Hit words are counted from the ends of stretches, never listed.
 6. Proximity: the two rarest words of a window within `window` words of each other, in any order.
@@ -130,9 +131,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     spots = aligned.select(*row, "offset", "pick").join(bounded(whole), "pick")
     spots = written(spots.select(*row, "item", "offset", "pos", "term").distinct(), "spots")
 
-    held = bounded(written(spots.select(*key).distinct(), "spotted"))
-    postings = corpus.join(held, named, "left_semi").select(*row, F.posexplode("words").alias("at", "term"))
-    asked = bounded(spots.select(*key, "item", "offset", "pos", (F.col("offset") + F.col("pos")).alias("_at"), F.col("term").alias("_term")))
+    place = (F.col("offset") + F.col("pos")).alias("_at")
+    wanted = written(spots.groupBy(*key).agg(F.collect_set(place).alias("wanted")), "wanted")
+    postings = _postings_at(corpus, wanted, named).select(*row, "at", "term")
+    asked = spots.select(*key, "item", "offset", "pos", place, F.col("term").alias("_term"))
     found = postings.join(asked, named & (F.col("at") == F.col("_at")) & (F.col("term") == F.col("_term")))
     found = found.select(*row, "item", "offset", "pos").distinct()
     island = F.col("pos") - F.row_number().over(W.partitionBy(*row, "item", "offset").orderBy("pos"))
@@ -165,6 +167,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     )
 
 
+def _postings_at(words: DataFrame, wanted: DataFrame, named: Column) -> DataFrame:
+    """Postings at the positions of wanted(_id, _h, wanted array, at most about a text's words), of its documents alone. Past
+    what may be broadcast, their words are shuffled once, a row a document."""
+    held = words.join(bounded(wanted.select("_id", "_h")), named, "left_semi").join(bounded(wanted), named)
+    postings = held.select("doc_id", "h", F.explode(F.transform("wanted", lambda at: F.struct(at.alias("at"), F.get("words", at).alias("term")))).alias("p"))
+    return postings.select("doc_id", "h", "p.at", "p.term").where("term IS NOT NULL")
+
+
 def _met(postings: DataFrame, row: list[str], window: int) -> DataFrame:
     """Document, pick, offset where all places of the pick are found (bits is 3), or near one of whose postings one of
     the other place stands less than `window` words before: if any two do, then two that are neighbours in order

@@ -127,3 +127,29 @@ def test_100_kb_of_one_word_against_1000_words_take_seconds(spark, make):
     rows = d.contamination(docs, spark.createDataFrame([(1, "la " * 1_000)], "item_id long, text string")).collect()
     assert [(r["n_words"], r["n_hit"], r["n_items"], r["n_near"]) for r in rows] == [(33_000, 33_000, 1, 1)] * 3
     assert time.monotonic() - began < 60
+
+
+def test_words_that_nobody_asks_for_are_not_shuffled(spark, make, monkeypatch):
+    """Too many places to broadcast, as on any large corpus: of a hit document only the asked words move."""
+    passage = "zig zag zog zug zeg alpha beta gamma delta omega"
+    docs = make([(i, "the of " * 2_500 + passage + f" w{i}" + " and in" * 2_500, "en", "s") for i in range(20)])
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    monkeypatch.setattr(_space, "BROADCAST_ROWS", 50)
+    stages = lambda: {(s.stageId(), s.attemptId()): s.shuffleWriteRecords() for s in _listed(spark)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        old = stages()
+        rows = d.contamination(docs, items).collect()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        moved = sum(n for k, n in stages().items() if k not in old)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [(r["n_words"], r["n_hit"], r["n_items"]) for r in rows] == [(10_011, 10, 1)] * 20
+    assert moved < 20_000  # of 200,220 words
+
+
+def _listed(spark):
+    store, empty = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+    found = store.stageList(None, False, False, empty, None)
+    return [found.apply(i) for i in range(found.size())]
