@@ -22,14 +22,16 @@ any length is spread over as many frames as it needs; other columns are ignored.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -38,12 +40,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from simsift.llm._space import new_folder, written
-from simsift.llm._text import chunks, worker_cache
+from simsift.llm._text import Chunk, chunks, worker_cache
 
 FRAME_IDS, PLACES = 65_536, 4_096
+#: Texts that are split and gathered at once.
+TEXT_BYTES = 4_000_000
 #: Fixed values of the seekable zstandard format.
 INDEX_MAGIC, SEEK_MAGIC, FOOTER_MAGIC, WITH_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
-#: Words kept with their ids by a worker, and the longest such word in bytes.
+#: Words kept with their ids by a worker, in two generations, and the longest such word in bytes.
 CACHED_WORDS, CACHED_BYTES = 1_200_000, 64
 ENDINGS = b".,;:!?#$%&*"
 
@@ -146,47 +150,91 @@ class WordEncoder:
     and kept. Right for tokenizers whose tokens never cross white space and don't depend on it, and
     never join an ASCII letter or digit to a sign of ENDINGS that follows it.
 
-    New words go to the library as one text, a bar between them, which is one id of its own.
+    New words go to the library as one text, a bar between them, which is one id of its own. Words of
+    ASCII letters alone go lower-cased to the tokenizer's model without its normalizer and splitter, if
+    these only lower-case such words and keep them whole, which all pairs of letters show.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.letters, self.known, self.older = Tokenizer.from_file(path), Tokenizer.from_file(path), {}, {}
         self.bar = self.tokenizer.encode("|", add_special_tokens=False).ids
-
-    def _encode(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"|" not in w] if len(self.bar) == 1 else []
-        for at in range(0, len(plain), 1000):
-            some = plain[at : at + 1000]
+        self.letters.normalizer, self.letters.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        pairs = "| | " + " | ".join(a + b for a in string.ascii_letters for b in string.ascii_letters)
+        plain, whole = (t.encode(x, add_special_tokens=False).ids for t, x in ((self.letters, pairs.lower()), (self.tokenizer, pairs)))
+        self.lowers = len(self.bar) == 1 and plain == whole
+
+    def _together(self, tokenizer, words: list[bytes]) -> None:
+        for at in range(0, len(words), 1000):
+            some = words[at : at + 1000]
             text = b" | ".join(some).decode("utf-8", "replace")
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            data, cuts = ids.tobytes(), np.flatnonzero(ids == self.bar[0]).tolist()
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            data, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == self.bar[0])).tolist()
             if len(cuts) != len(some) - 1:
                 raise ValueError("the tokenizer doesn't keep words apart")
-            self.known.update((w, data[4 * x + 4 : 4 * y]) for w, x, y in zip(some, [-1, *cuts], [*cuts, len(ids)]))
-        rest = words if len(plain) < len(words) and not plain else [w for w in words if b"|" in w]
+            self.known.update(zip(some, [data[x + 4 : y] for x, y in zip([-4, *cuts], [*cuts, len(data)])]))
+
+    def _encode(self, words: list[bytes]) -> None:
+        known, rest = self.known, words
+        if self.lowers:
+            small, large = [w for w in words if w.isalpha() and w.islower()], [w for w in words if w.isalpha() and not w.islower()]
+            rest = [w for w in words if not w.isalpha()]
+            self._together(self.letters, small + self._unknown({w.lower() for w in large}.difference(known, small)))
+            known.update([(w, known[w.lower()]) for w in large])
+        plain = [w for w in rest if b"|" not in w] if len(self.bar) == 1 else []
+        self._together(self.tokenizer, plain)
+        rest = [w for w in rest if b"|" in w] if plain else rest
         encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in rest], add_special_tokens=False)
-        self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, encoded))
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        """Of each text its ids as little-endian unsigned 32-bit integers."""
-        split = [t.split() for t in texts]
-        words, known = set().union(*split), self.known
-        new = words.difference(known)
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = words
+        known.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, encoded))
+
+    def _unknown(self, words: Iterable[bytes]) -> list[bytes]:
+        """Words that the older generation hasn't kept either; the others move to the younger."""
+        older = self.older
+        self.known.update([(w, older[w]) for w in words if w in older])
+        return [w for w in words if w not in older]
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Of distinct words their ids as little-endian unsigned 32-bit integers."""
+        found = list(map(self.known.get, words))
+        rest = [k for k, ids in enumerate(found) if ids is None]
+        if 2 * (len(self.known) + len(rest)) > CACHED_WORDS:
+            self.known, self.older = {}, self.known
+        known = self.known
+        new = self._unknown([words[k] for k in rest])
         ended = [(w, core, w[len(core) :]) for w in new if (core := w.rstrip(ENDINGS)) != w and core[-1:].isalnum()]
-        parts = new.difference(w for w, _, _ in ended).union(*(x[1:] for x in ended)).difference(known)
-        self._encode(list(parts))
-        known.update((w, known[core] + known[end]) for w, core, end in ended)
-        out = [b"".join(map(known.__getitem__, w)) for w in split]
-        for w in new | parts:
+        parts = set(new).difference([w for w, _, _ in ended]).union([x for _, x, _ in ended], [x for _, _, x in ended])
+        self._encode(self._unknown(parts.difference(known)))
+        known.update([(w, known[core] + known[end]) for w, core, end in ended])
+        for k in rest:
+            found[k] = known[words[k]]
+        for w in [*new, *parts]:
             if len(w) > CACHED_BYTES:
-                del known[w]
-        return out
+                known.pop(w, None)
+                known.pop(w.lower(), None)
+        return found
+
+    def __call__(self, texts: list[bytes] | Chunk) -> list[np.ndarray]:
+        """Of each text its ids. Arrow splits the texts and finds the distinct words; ids are gathered by word."""
+        if not isinstance(texts, Chunk):
+            texts = next(chunks(pa.array(texts, pa.large_binary()), 1 << 62, 1 << 62), None)
+            if texts is None:
+                return []
+        column = pa.Array.from_buffers(pa.large_string(), texts.rows, [None, *(pa.py_buffer(np.ascontiguousarray(x)) for x in (texts.offsets, texts.buf))])
+        split = pc.ascii_split_whitespace(column)
+        coded = split.flatten().dictionary_encode()
+        distinct = next(chunks(coded.dictionary, 1 << 62, 1 << 62))  # each text has a word, an empty one at least
+        data, cuts = distinct.buf.tobytes(), distinct.offsets.tolist()
+        found = self._ids([data[a:b] for a, b in zip(cuts, cuts[1:])])
+        ids, word = np.frombuffer(b"".join(found), "<u4"), coded.indices.to_numpy()
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begins, lengths = np.cumsum(sizes) - sizes, sizes[word]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        places = np.repeat(begins[word] - ends[:-1], lengths)
+        places += np.arange(len(places))
+        out, edges = ids[places], ends[split.offsets.to_numpy()].tolist()
+        return [out[a:b] for a, b in zip(edges, edges[1:])]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -211,7 +259,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, folder: str | Non
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, end = encoder(tokenizer), array("I", [end_id]).tobytes()
+        encode, end = encoder(tokenizer), np.array([end_id], "<u4")
         shard = TaskContext.get().partitionId()
         name, writer, out = f"{folder}/tokens-{shard:06d}-{uuid.uuid4().hex}.zst", None, None
         for batch in batches:
@@ -221,11 +269,9 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, folder: str | Non
                 out = where.open_output_stream(path, compression=None)
                 writer = ShardWriter(out)
             doc_ids = batch.column(0).to_pylist()
-            for chunk in chunks(batch.column(1)):
-                data, cuts = chunk.buf.tobytes(), chunk.offsets.tolist()
-                encoded = encode([data[a:b] for a, b in zip(cuts, cuts[1:])])
-                for doc_id, ids in zip(doc_ids[chunk.first :], encoded):
-                    writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
+            for chunk in chunks(batch.column(1), TEXT_BYTES):
+                for doc_id, ids in zip(doc_ids[chunk.first :], encode(chunk)):
+                    writer.add(doc_id, np.append(ids, end))
         if writer is not None:
             writer.close()
             out.close()

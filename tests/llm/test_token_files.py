@@ -91,3 +91,23 @@ def test_a_worker_keeps_one_operators_cache():
     assert encoder(PATH) is one
     worker_cache("")
     assert encoder(PATH) is not one
+
+
+def test_words_are_kept_by_generation_and_letters_skip_the_normalizer(monkeypatch):
+    """A full cache costs no frequent word its ids, and words of ASCII letters go to the model alone, lower-cased."""
+    from simsift.llm import token_files
+
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 60)
+    encode, t, seen = token_files.WordEncoder(PATH), Tokenizer.from_file(PATH), []
+    plain = encode._together
+    encode._together = lambda tokenizer, words: seen.append((tokenizer is encode.letters, words)) or plain(tokenizer, words)
+    letters = lambda k: "".join(chr(97 + int(x)) for x in str(k))
+    for k in range(40):
+        text = f"Often SEEN often, often. {letters(k)} {letters(k).upper()}x X{letters(k)}. ñ{k}|é don't I'LL ßz K İ " + "Long" * 30
+        got = encode([text.encode(), b" ", b"", f"\t{text}\n".encode()])
+        want = t.encode(text, add_special_tokens=False).ids
+        assert [x.tolist() for x in got] == [want, [], [], want]
+        assert len(encode.known) + len(encode.older) < 90  # a generation may pass its half by parts of the last words
+    assert all(w.isalpha() and w.islower() for x, words in seen if x for w in words)
+    assert sum(w == b"often" for x, words in seen for w in words) == 1
+    assert encode([]) == []
