@@ -44,7 +44,7 @@ from simsift.llm._text import Chunk, chunks, worker_cache
 
 FRAME_IDS, PLACES = 65_536, 4_096
 #: Texts that are split and gathered at once.
-TEXT_BYTES = 4_000_000
+TEXT_BYTES = 1_000_000
 #: Fixed values of the seekable zstandard format.
 INDEX_MAGIC, SEEK_MAGIC, FOOTER_MAGIC, WITH_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 #: Words kept with their ids by a worker, in two generations, and the longest such word in bytes.
